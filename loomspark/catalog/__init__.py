@@ -4,7 +4,7 @@ from importlib import import_module
 
 from loomspark.catalog.base import ORACLES, QUERIES
 
-FAMILIES = ["ngram_queries", "window_queries"]
+FAMILIES = ["ngram_queries", "window_queries", "token_queries"]
 
 for _name in FAMILIES:
     import_module(f"loomspark.catalog.{_name}")

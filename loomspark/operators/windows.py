@@ -6,6 +6,7 @@ sum that gives each token its corpus position; tokens themselves are never sorte
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -243,16 +244,17 @@ def _tidy(rows: list) -> pd.DataFrame:
 
 def _compose(first: pd.DataFrame, then: pd.DataFrame) -> pd.DataFrame:
     rows = []
-    nxt = list(then.itertuples(index=False))
+    nxt = list(then.sort_values("lo").itertuples(index=False))
+    los = [b.lo for b in nxt]
     for a in first.itertuples(index=False):
-        for b in nxt:
-            if not a.moves:
-                if b.lo <= a.out <= b.hi:
-                    rows.append((a.lo, a.hi, a.out + b.out if b.moves else b.out, a.closed + b.closed, False))
-                continue
+        if not a.moves:
+            b = nxt[bisect_right(los, a.out) - 1]
+            rows.append((a.lo, a.hi, a.out + b.out if b.moves else b.out, a.closed + b.closed, False))
+            continue
+        for k in range(bisect_right(los, a.lo + a.out) - 1, bisect_right(los, a.hi + a.out)):
+            b = nxt[k]
             lo, hi = max(a.lo, b.lo - a.out), min(a.hi, b.hi - a.out)
-            if lo <= hi:
-                rows.append((lo, hi, a.out + b.out if b.moves else b.out, a.closed + b.closed, b.moves))
+            rows.append((lo, hi, a.out + b.out if b.moves else b.out, a.closed + b.closed, b.moves))
     return _tidy(rows)
 
 
