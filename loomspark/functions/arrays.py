@@ -10,6 +10,11 @@ def _a(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, not once per element that mentions it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def as_double(c) -> Column:
     return _a(c).cast("array<double>")
 
@@ -94,29 +99,30 @@ def sum_sq(a) -> Column:
 def standardise(a, eps: float = 1e-5) -> Column:
     """Mean 0, population variance 1 (plus ``eps``)."""
     a = _a(a)
-    centred = F.transform(a, lambda x: x - fmean(a))
-    return F.transform(centred, lambda x: x / F.sqrt(sum_sq(centred) / F.size(a) + eps))
+
+    def spread(c: Column) -> Column:
+        return let(F.sqrt(sum_sq(c) / F.size(c) + eps), lambda s: F.transform(c, lambda x: x / s))
+
+    return let(let(fmean(a), lambda m: F.transform(a, lambda x: x - m)), spread)
 
 
 def rms_norm(a, eps: float = 1e-6) -> Column:
     a = _a(a)
-    return F.transform(a, lambda x: x / F.sqrt(sum_sq(a) / F.size(a) + eps))
+    return let(F.sqrt(sum_sq(a) / F.size(a) + eps), lambda s: F.transform(a, lambda x: x / s))
 
 
 def group_norm(a, groups: int, eps: float = 1e-6) -> Column:
     """Standardise each of ``groups`` equal runs of the vector on its own."""
     a = _a(a)
     width = F.ceil(F.size(a) / F.lit(groups)).cast("int")
-    parts = F.transform(
-        F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: standardise(F.slice(a, g * width + 1, width), eps)
-    )
-    return F.flatten(parts)
+    runs = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.slice(a, g * width + 1, width))
+    return F.flatten(F.transform(runs, lambda r: standardise(r, eps)))
 
 
 def l2_norm(a, eps: float = 1e-12) -> Column:
     """Divide by the larger of the Euclidean length and ``eps``."""
     a = _a(a)
-    return F.transform(a, lambda x: x / F.greatest(F.sqrt(sum_sq(a)), F.lit(eps)))
+    return let(F.greatest(F.sqrt(sum_sq(a)), F.lit(eps)), lambda s: F.transform(a, lambda x: x / s))
 
 
 def scale(a, factor: float) -> Column:
@@ -167,19 +173,19 @@ def pool(a, k: int, kind: str) -> Column:
 
 def softmax(a) -> Column:
     a = _a(a)
-    e = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    return F.transform(e, lambda x: x / fsum(e))
+    grown = let(F.array_max(a), lambda m: F.transform(a, lambda x: F.exp(x - m)))
+    return let(grown, lambda e: let(fsum(e), lambda z: F.transform(e, lambda x: x / z)))
 
 
 def log_sum_exp(a) -> Column:
     a = _a(a)
-    return F.array_max(a) + F.ln(F.aggregate(a, F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max(a))))
+    return let(F.array_max(a), lambda m: m + F.ln(F.aggregate(a, F.lit(0.0), lambda s, x: s + F.exp(x - m))))
 
 
 def cross_entropy(logits, probs) -> Column:
     """``-sum(p * log_softmax(logits))`` of one row; the caller averages over rows."""
-    logits = _a(logits)
-    return -fsum(F.zip_with(logits, _a(probs), lambda x, p: p * (x - log_sum_exp(logits))))
+    logits, probs = _a(logits), _a(probs)
+    return let(log_sum_exp(logits), lambda z: -fsum(F.zip_with(logits, probs, lambda x, p: p * (x - z))))
 
 
 def dot(a, b) -> Column:

@@ -24,9 +24,12 @@ def running_sums(
     *,
     inclusive: bool = True,
     width: int = WIDTH,
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
-    """Add one running sum per entry of ``sums`` (name -> value column)."""
+    """Add one running sum per entry of ``sums`` (name -> value column).
+
+    One level leaves ``rows / width`` block totals per key to a single window; ``levels=2`` cuts those again.
+    """
     keys = list(keys)
     names = list(sums)
     src = df
