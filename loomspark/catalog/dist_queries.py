@@ -104,11 +104,11 @@ def history(t):
 @query(
     "d10_penalties",
     f"""WITH {DISTS}, {HISTORY}, c AS (SELECT dist_id, tok AS token_id, count(*) AS c FROM (SELECT dist_id, unnest(h[-6:]) AS tok FROM hist) GROUP BY 1, 2)
-SELECT dist_id, token_id, round(CASE WHEN c IS NULL THEN logit ELSE (CASE WHEN logit <= 0 THEN logit * 1.3 ELSE logit / 1.3 END) - (c * 0.2 + 0.1) END, 9) AS logit FROM dists LEFT JOIN c USING (dist_id, token_id)""",
+SELECT dist_id, token_id, round(CASE WHEN c IS NULL THEN logit ELSE (CASE WHEN logit <= 0 THEN logit * 1.3 ELSE logit / 1.3 END) - (c * 0.2 + 0.1) END, 9) + 0.0 AS logit FROM dists LEFT JOIN c USING (dist_id, token_id)""",
 )
 def _(t):
     rows = D.penalties(dists(t), history(t), 6, 1.3, 0.2, 0.1)
-    return rows.select("dist_id", "token_id", F.round("logit", 9).alias("logit"))
+    return rows.select("dist_id", "token_id", (F.round("logit", 9) + F.lit(0.0)).alias("logit"))
 
 
 @query(
@@ -116,11 +116,11 @@ def _(t):
     f"""WITH {DISTS}, {HISTORY}, k AS (SELECT dist_id, h, unnest(range(1, 8)) AS k FROM hist),
 z AS (SELECT dist_id, h[8 - k + 1] AS token_id, list_position(list_transform(range(0, 9 - k), lambda n: n < 8 - k AND h[8 - n] = h[8 - n - k]), false) - 1 AS z FROM k),
 r AS (SELECT dist_id, token_id, max(z) AS z FROM z WHERE z >= 1 GROUP BY 1, 2)
-SELECT dist_id, token_id, round(logit - CASE WHEN z IS NULL THEN 0 ELSE 0.8 * pow(1.75, z - 1) END, 9) AS logit FROM dists LEFT JOIN r USING (dist_id, token_id)""",
+SELECT dist_id, token_id, round(logit - CASE WHEN z IS NULL THEN 0 ELSE 0.8 * pow(1.75, z - 1) END, 9) + 0.0 AS logit FROM dists LEFT JOIN r USING (dist_id, token_id)""",
 )
 def _(t):
     rows = D.dry(dists(t), history(t), 0.8, 1.75, 1)
-    return rows.select("dist_id", "token_id", F.round("logit", 9).alias("logit"))
+    return rows.select("dist_id", "token_id", (F.round("logit", 9) + F.lit(0.0)).alias("logit"))
 
 
 @query(

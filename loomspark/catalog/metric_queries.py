@@ -176,7 +176,7 @@ def _(t):
     return rounded(M.running_accuracy(judged), 9, "acc", "low", "high")
 
 
-BLANKS = """b AS (SELECT o_orderkey AS task, 2 + o_orderkey % 3 AS prefix, 1 + o_custkey % 2 AS answer,
+BLANKS = """b AS (SELECT o_orderkey AS task, 2 + o_orderkey % 2 AS prefix, 1 + o_custkey % 2 AS answer,
   list_transform(range(4 + o_orderkey % 7), lambda i: -((o_custkey * 13 + i * 29) % 50) / 10.0::DOUBLE) AS l1, list_transform(range(4 + o_orderkey % 5), lambda i: -((o_custkey * 17 + i * 31) % 50) / 10.0::DOUBLE) AS l2 FROM orders),
 k AS (SELECT *, CASE WHEN len(l1) - prefix > 3 AND len(l2) - prefix > 3 THEN prefix + 1 ELSE prefix END AS s1, CASE WHEN len(l1) - prefix > 3 AND len(l2) - prefix > 3 THEN prefix + 2 ELSE prefix END AS s2 FROM b),
 sc AS (SELECT task, answer, round(list_avg(l1[s1 + 1:s1 + (CASE WHEN len(l1) - s1 > 1 THEN len(l1) - s1 - 1 ELSE len(l1) - s1 END)]), 9) AS score1,
@@ -185,7 +185,7 @@ sc AS (SELECT task, answer, round(list_avg(l1[s1 + 1:s1 + (CASE WHEN len(l1) - s
 
 def blanks(t):
     lp = lambda n, a, b: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: -((F.col("o_custkey") * a + i * b) % 50) / F.lit(10.0))
-    prefix = (F.col("o_orderkey") % 3 + 2).cast("int")
+    prefix = (F.col("o_orderkey") % 2 + 2).cast("int")
     rows = t.orders.select(
         F.col("o_orderkey").alias("task"), prefix.alias("prefix"), (prefix + 1).alias("base1"), (prefix + 2).alias("base2"),
         lp(F.col("o_orderkey") % 7 + 4, 13, 29).alias("logp1"), lp(F.col("o_orderkey") % 5 + 4, 17, 31).alias("logp2"), (F.col("o_custkey") % 2 + 1).alias("answer"),

@@ -75,28 +75,28 @@ def _(t):
 
 @query(
     "e5_topk_similar",
-    f"""WITH {V}, {CENTROIDS}, s AS (SELECT label AS query_id, vec_id AS doc_id, round(list_cosine_similarity(v, c), 9) AS score FROM cent, (SELECT vec_id, v FROM e)),
+    f"""WITH {V}, {CENTROIDS}, s AS (SELECT label AS query_id, vec_id AS doc_id, round(list_cosine_similarity(v, c), 12) AS score FROM cent, (SELECT vec_id, v FROM e)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s)
-SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 10""",
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
 )
 def _(t):
     queries = centroids(t).withColumnRenamed("label", "query_id")
     corpus = vecs(t).select(F.col("vec_id").alias("doc_id"), F.col("v").alias("vec"))
-    return vec.topk_similar(queries, corpus, 10).withColumn("score", F.round("score", 9))
+    return vec.topk_similar(queries, corpus, 10).withColumn("score", F.round("score", 6))
 
 
 @query(
     "e5_topk_neighbours",
-    f"""WITH {V}, s AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM e a, e b),
+    f"""WITH {V}, s AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.v, b.v), 12) AS score FROM e a, e b),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s)
-SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 3""",
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r WHERE rank <= 3""",
 )
 def _(t):
     """Every vector as a query: the query set is cut in blocks, none travels whole."""
     rows = vecs(t).withColumnRenamed("v", "vec")
     queries = rows.select(F.col("vec_id").alias("query_id"), "vec")
     corpus = rows.select(F.col("vec_id").alias("doc_id"), "vec")
-    return vec.topk_similar(queries, corpus, 3, max_queries=256).withColumn("score", F.round("score", 9))
+    return vec.topk_similar(queries, corpus, 3, max_queries=256).withColumn("score", F.round("score", 6))
 
 
 @query("e6_pool_mean", f"WITH {V}, {CENTROIDS} SELECT label, {sql_digest('c')} AS d FROM cent")

@@ -24,7 +24,7 @@ def fsum(a) -> Column:
 
 
 def fmean(a) -> Column:
-    return fsum(a) / F.size(_a(a))
+    return F.try_divide(fsum(a), F.size(_a(a)))
 
 
 def argmax_last(a) -> Column:

@@ -216,7 +216,7 @@ def dry(
     hits = history.select("dist_id", F.explode(repeats("tokens")).alias("h")).select("dist_id", "h.token_id", "h.len")
     over = F.col("len") - allowed
     over = F.least(over, F.lit(most)) if most > 0 else over
-    cost = multiplier * F.pow(F.lit(base), over.cast("double"))
+    cost = F.when(F.col("len").isNotNull(), multiplier * F.pow(F.lit(base), over.cast("double")))
     return df.join(hits, ["dist_id", "token_id"], "left").withColumn("logit", F.col("logit") - F.coalesce(cost, F.lit(0.0))).drop("len")
 
 

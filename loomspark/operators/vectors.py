@@ -194,7 +194,7 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int, *, max_queries:
 
     def best(q_ids: np.ndarray, q: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["doc_id"].to_numpy()
-        s = np.round(_similarity(q, _unit(pdf["vec"].to_numpy())), 12)
+        s = np.round(_similarity(q, _unit(pdf["vec"].to_numpy())), 12)  # equal vectors rank by id, whatever the order of summation
         out = []
         for i in range(len(q)):
             near = np.arange(len(ids))

@@ -25,10 +25,11 @@ def running_sums(
     inclusive: bool = True,
     width: int = WIDTH,
     levels: int = 1,
+    tie: str | None = None,
 ) -> DataFrame:
     """Add one running sum per entry of ``sums`` (name -> value column).
 
-    One level leaves ``rows / width`` block totals per key to a single window; ``levels=2`` cuts those again.
+    ``tie`` orders rows that share a position.  One level leaves ``rows / width`` block totals per key to a single window; ``levels=2`` cuts those again.
     """
     keys = list(keys)
     names = list(sums)
@@ -36,13 +37,13 @@ def running_sums(
     for n in names:
         src = src.withColumn(f"__v_{n}", sums[n])
     src = src.withColumn("__blk", F.floor(F.col(order) / F.lit(width)).cast("long"))
-    out = _scan(src, keys, order, names, inclusive, width, levels)
+    out = _scan(src, keys, order, names, inclusive, width, levels, tie)
     return out.drop("__blk", *[f"__v_{n}" for n in names])
 
 
-def _scan(src, keys, order, names, inclusive, width, levels):
+def _scan(src, keys, order, names, inclusive, width, levels, tie=None):
     start, stop = Window.unboundedPreceding, 0 if inclusive else -1
-    inside = Window.partitionBy(*keys, "__blk").orderBy(order).rowsBetween(start, stop)
+    inside = Window.partitionBy(*keys, "__blk").orderBy(order, *([tie] if tie else [])).rowsBetween(start, stop)
     out = src
     for n in names:
         out = out.withColumn(n, F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0).cast("long")))
