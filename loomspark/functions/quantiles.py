@@ -1,10 +1,11 @@
-"""Exact quantiles of a column without sorting it in one place."""
+"""Exact quantiles without sorting a column in one place."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,53 +13,82 @@ BINS = 4_096
 DIRECT = 50_000
 
 
-def order_statistics(df: DataFrame, col: str, ranks: Sequence[int]) -> dict[int, float]:
+def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Sequence[int]) -> dict[int, float]:
     """The values at the given 0-based ranks.
 
-    Each pass counts rows in equal-width bins of the interval a rank lies in and keeps the bin that holds it, until the
-    interval has one value or few rows.  Only bin counts and those few rows reach the driver.
+    Each pass counts rows in equal-width bins of the intervals that hold a rank, all intervals in one job, and keeps the
+    bins the ranks fall in.  It ends when the intervals hold one value each or few rows together; only bin counts and
+    those few rows reach the driver.
     """
-    base = df.select(F.col(col).cast("double").alias("x")).filter("x IS NOT NULL")
-    lo, hi = base.agg(F.min("x"), F.max("x")).first()
+    x = F.col(col)
     found: dict[int, float] = {}
-    # interval -> ranks inside, counted from the first row of the interval
-    todo = {(lo, hi): {r: r for r in ranks}}
+    # (first value, last value) -> ranks inside, counted from the first row of the interval
+    todo, left = {(lo, hi): {r: r for r in ranks}}, math.inf
     while todo:
-        nxt: dict = {}
-        for (a, b), inside in todo.items():
-            rows = base.filter((F.col("x") >= a) & (F.col("x") <= b))
-            head = rows.limit(DIRECT + 1).count() if a < b else 0
+        for (a, b), inside in list(todo.items()):
             if a == b:
-                found.update({r: a for r in inside})
-            elif head <= DIRECT:
-                xs = sorted(r.x for r in rows.collect())
-                found.update({r: xs[i] for r, i in inside.items()})
-            else:
-                width = (b - a) / BINS
-                bins = rows.groupBy(F.least(F.floor((F.col("x") - a) / F.lit(width)), F.lit(BINS - 1)).alias("bin")).agg(
-                    F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")
-                )
-                seen = 0
-                for row in sorted(bins.collect(), key=lambda r: r.bin):
-                    hit = {r: i - seen for r, i in inside.items() if seen <= i < seen + row.n}
-                    if hit:
-                        nxt[(row.a, row.b)] = hit
-                    seen += row.n
+                found.update(dict.fromkeys(inside, a))
+                del todo[(a, b)]
+        if not todo:
+            break
+        spans = list(todo)
+        which = F.when(F.lit(False), F.lit(0))
+        for i, (a, b) in enumerate(spans):
+            which = which.when((x >= a) & (x <= b), i)
+        tagged = rows.select(x.alias("x"), which.alias("i")).filter("i IS NOT NULL")
+        if left <= DIRECT:
+            values: dict[int, list] = {}
+            for r in tagged.collect():
+                values.setdefault(r.i, []).append(r.x)
+            for i, span in enumerate(spans):
+                xs = sorted(values[i])
+                found.update({r: xs[k] for r, k in todo[span].items()})
+            break
+        start = F.element_at(F.array(*[F.lit(a) for a, _ in spans]), F.col("i") + 1)
+        width = F.element_at(F.array(*[F.lit((b - a) / BINS or math.inf) for a, b in spans]), F.col("i") + 1)
+        bins = tagged.groupBy("i", F.least(F.floor((F.col("x") - start) / width), F.lit(BINS - 1)).alias("bin")).agg(
+            F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")
+        )
+        counted = sorted(bins.collect(), key=lambda r: (r.i, r.a))
+        nxt: dict = {}
+        left = 0
+        for i, span in enumerate(spans):
+            seen = 0
+            for row in (r for r in counted if r.i == i):
+                hit = {r: k - seen for r, k in todo[span].items() if seen <= k < seen + row.n}
+                if hit:
+                    nxt[(row.a, row.b)] = hit
+                    left += row.n
+                seen += row.n
         todo = nxt
     return found
 
 
-def exact_quantiles(df: DataFrame, col: str, fractions: Sequence[float]) -> list[float]:
-    """Quantiles with linear interpolation on ``fraction * (n - 1)``."""
-    n = df.filter(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [math.nan] * len(fractions)
-    spots = [f * (n - 1) for f in fractions]
-    ranks = {int(s) for s in spots} | {min(int(s) + 1, n - 1) for s in spots}
-    at = order_statistics(df, col, sorted(ranks))
-    out = []
-    for s in spots:
-        i = int(s)
-        frac = s - i
-        out.append(at[i] if frac == 0 else (1 - frac) * at[i] + frac * at[min(i + 1, n - 1)])
-    return out
+def exact_quantiles(df: DataFrame, fractions: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
+    """Quantiles of several columns, with linear interpolation on ``fraction * (n - 1)``; nulls do not count."""
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in fractions]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = rows.agg(
+            *[f for c in fractions for f in (F.count(c).alias(f"{c}_n"), F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))], F.count("*").alias("__n")
+        ).first()
+        small = rows.collect() if stats["__n"] <= DIRECT else None
+        out = {}
+        for c, fs in fractions.items():
+            n = stats[f"{c}_n"]
+            if not n:
+                out[c] = [math.nan] * len(fs)
+                continue
+            spots = [f * (n - 1) for f in fs]
+            ranks = sorted({int(s) for s in spots} | {min(int(s) + 1, n - 1) for s in spots})
+            if small is not None:
+                xs = sorted(r[c] for r in small if r[c] is not None)
+                at = {r: xs[r] for r in ranks}
+            else:
+                at = _order_statistics(rows, c, stats[f"{c}_lo"], stats[f"{c}_hi"], ranks)
+            out[c] = []
+            for s in spots:
+                i, part = int(s), s - int(s)
+                out[c].append(at[i] if part == 0 else (1 - part) * at[i] + part * at[min(i + 1, n - 1)])
+        return out
+    finally:
+        rows.unpersist()

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.functions.quantiles import exact_quantiles
 from loomspark.plans.bounds import collect_bounded
 from loomspark.plans.lineage import cut
 
@@ -241,13 +242,10 @@ def finish_rates(rates: DataFrame) -> DataFrame:
 
 def load_summary(df: DataFrame) -> DataFrame:
     """95th percentile and mean of duration and rates, two places: columns duration, prompt_rate, gen_rate."""
-    from loomspark.functions.quantiles import exact_quantiles
-
-    out = []
-    for c in ("duration", "prompt_rate", "gen_rate"):
-        p95 = exact_quantiles(df, c, [0.95])[0]
-        out += [F.round(F.lit(p95), 2).alias(f"{c}_p95"), F.round(F.avg(c), 2).alias(f"{c}_avg")]
-    return df.agg(*[c for c in out[1::2]]).select(*[x for pair in zip(out[::2], [F.col(f"{c}_avg") for c in ("duration", "prompt_rate", "gen_rate")]) for x in pair])
+    names = ("duration", "prompt_rate", "gen_rate")
+    p95 = exact_quantiles(df, {c: [0.95] for c in names})
+    means = df.agg(*[F.round(F.avg(c), 2).alias(f"{c}_avg") for c in names])
+    return means.select(*[x for c in names for x in (F.round(F.lit(p95[c][0]), 2).alias(f"{c}_p95"), f"{c}_avg")])
 
 
 def request_timings(df: DataFrame) -> DataFrame:

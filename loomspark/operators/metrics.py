@@ -166,7 +166,7 @@ def _enough(tokens: DataFrame) -> None:
 
 def kld_report(tokens: DataFrame) -> DataFrame:
     _enough(tokens)
-    points = exact_quantiles(tokens, "kld", list(KLD_POINTS.values()))
+    points = exact_quantiles(tokens, {"kld": list(KLD_POINTS.values())})["kld"]
     mean, err = _mean_err(F.col("kld"), F.col("kld2"), F.col("n"))
     return kl_sums(tokens).select(mean.alias("mean"), err.alias("err"), *[F.lit(v).alias(k) for k, v in zip(KLD_POINTS, points)])
 
@@ -174,7 +174,7 @@ def kld_report(tokens: DataFrame) -> DataFrame:
 def dp_report(tokens: DataFrame) -> DataFrame:
     """Change of the target's probability, in percent."""
     _enough(tokens)
-    points = exact_quantiles(tokens, "p_diff", list(DP_POINTS.values()))
+    points = exact_quantiles(tokens, {"p_diff": list(DP_POINTS.values())})["p_diff"]
     n = F.col("n")
     mean, err = _mean_err(F.col("pd"), F.col("pd2"), n)
     mse, mse_err = _mean_err(F.col("pd2"), F.col("pd4"), n)
