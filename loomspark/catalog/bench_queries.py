@@ -33,11 +33,11 @@ p AS (SELECT *, bs * cn AS b_sum, bn * cn AS n, cs * bn AS c_sum FROM k WHERE bn
 @query(
     "b1_bench_stats",
     """WITH s AS (SELECT l_orderkey, list(1e9 * 640 / (l_quantity * 1000000) ORDER BY l_linenumber, l_partkey) AS ts FROM lineitem GROUP BY 1)
-SELECT l_orderkey, round(list_avg(ts), 6) AS avg_ts, round(coalesce(list_stddev_samp(ts), 0), 6) AS stddev_ts FROM s""",
+SELECT l_orderkey, round(list_avg(ts), 4) AS avg_ts, round(coalesce(list_stddev_samp(ts), 0), 4) AS stddev_ts FROM s""",
 )
 def _(t):
     rows = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.col("l_quantity") * 1000000).alias("samples_ns")).withColumn("n_prompt", F.lit(512)).withColumn("n_gen", F.lit(128))
-    return B.bench_stats(rows).select("l_orderkey", F.round("avg_ts", 6).alias("avg_ts"), F.round("stddev_ts", 6).alias("stddev_ts"))
+    return B.bench_stats(rows).select("l_orderkey", F.round("avg_ts", 4).alias("avg_ts"), F.round("stddev_ts", 4).alias("stddev_ts"))
 
 
 @query("b2_builds", f"WITH {HARM} SELECT build_commit, true AS mixed, count(*) AS n FROM b GROUP BY 1")
@@ -214,14 +214,14 @@ def _(t):
 
 @query(
     "b14_request_timings",
-    """SELECT event_id, round(value / nullif(event_id % 500, 0), 6) AS prompt_per_token_ms, round(1000 * (event_id % 500) / nullif(value, 0), 6) AS prompt_per_second, CASE WHEN user_id % 3 > 0 THEN user_id % 3 END AS draft_n, CASE WHEN user_id % 3 > 0 THEN 1::BIGINT END AS draft_n_accepted FROM events""",
+    """SELECT event_id, round(value / nullif(event_id % 500, 0), 10) AS prompt_per_token_ms, round(1000 * (event_id % 500) / nullif(value, 0), 6) AS prompt_per_second, CASE WHEN user_id % 3 > 0 THEN user_id % 3 END AS draft_n, CASE WHEN user_id % 3 > 0 THEN 1::BIGINT END AS draft_n_accepted FROM events""",
 )
 def _(t):
     rows = t.events.select(
         "event_id", (F.col("event_id") % 500).alias("prompt_n"), F.col("value").alias("prompt_ms"), F.col("user_id").alias("predicted_n"), F.col("value").alias("predicted_ms"), (F.col("user_id") % 3).alias("draft_n"), F.lit(1).cast("bigint").alias("draft_n_accepted")
     )
     out = B.request_timings(rows)
-    return out.select("event_id", F.round("prompt_per_token_ms", 6).alias("prompt_per_token_ms"), F.round("prompt_per_second", 6).alias("prompt_per_second"), "draft_n", "draft_n_accepted")
+    return out.select("event_id", F.round("prompt_per_token_ms", 10).alias("prompt_per_token_ms"), F.round("prompt_per_second", 6).alias("prompt_per_second"), "draft_n", "draft_n_accepted")
 
 
 def steps(t):

@@ -16,6 +16,7 @@ from loomspark.operators import vectors as V
 from loomspark.plans.scratch import fresh_folder
 from loomspark.sources import binary_files as bf
 from loomspark.sources import text_files as tf
+from loomspark.sources.tensor_files import read_tensor_file
 
 
 def folder(t, what):
@@ -282,3 +283,69 @@ def _(t):
         lines = t.nation.orderBy("n_nationkey").select(F.concat(F.lit(f"{side} "), "n_name", F.lit("\n")).alias("value"))
         lines.coalesce(1).write.text(f"{path}/{side}")
     return tf.read_prompt_pairs(t.spark, f"{path}/good", f"{path}/bad")
+
+
+@F.pandas_udf(T.StringType())
+def _tensor_file(paths: pd.Series, names: pd.Series, rows: pd.Series) -> pd.Series:
+    """Write one tensor file per row: two metadata keys and a float tensor per entry."""
+
+    def text(s):
+        return struct.pack("<Q", len(s.encode())) + s.encode()
+
+    def one(path, name, entries):
+        head = struct.pack("<IIQQ", 0x46554747, 3, len(entries), 2)
+        head += text("general.name") + struct.pack("<I", 8) + text(name)
+        head += text("sizes") + struct.pack("<IIQ", 9, 4, len(entries)) + struct.pack(f"<{len(entries)}I", *[e["size"] for e in entries])
+        at = 0
+        for e in entries:
+            head += text(e["tensor"]) + struct.pack("<IQQIQ", 2, e["size"], 2, 0, at)
+            at += -(-8 * e["size"] // 32) * 32
+        body = b"".join((np.arange(2 * e["size"], dtype="<f4") + e["size"]).tobytes().ljust(-(-8 * e["size"] // 32) * 32, b"\0") for e in entries)
+        with open(path, "wb") as f:
+            f.write(head.ljust(-(-len(head) // 32) * 32, b"\0") + body)
+        return path
+
+    return pd.Series([one(p, n, r) for p, n, r in zip(paths, names, rows)])
+
+
+TENSOR_FILES = "f AS (SELECT p_partkey // 64 AS k, p_partkey % 64 AS idx, 't' || p_partkey AS tensor, p_size AS size FROM part)"
+
+
+def tensor_folder(t):
+    """Files of up to 64 tensors each, in a folder every worker sees."""
+    from pathlib import Path
+
+    where = folder(t, "tensors")
+    Path(where).mkdir(parents=True)
+    k = F.floor(F.col("p_partkey") / 64)
+    entry = F.struct((F.col("p_partkey") % 64).alias("idx"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("tensor"), F.col("p_size").alias("size"))
+    files = t.part.groupBy(k.alias("k")).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    path = F.concat(F.lit(f"{where}/"), F.col("k").cast("string"), F.lit(".gguf"))
+    files.select(_tensor_file(path, F.concat(F.lit("model "), F.col("k").cast("string")), "rows").alias("path")).write.format("noop").mode("overwrite").save()
+    return f"{where}/*.gguf"
+
+
+def file_key():
+    return F.regexp_extract("file", r"(\d+)\.gguf$", 1).cast("long").alias("k")
+
+
+@query("s8_tensor_list", f"WITH {TENSOR_FILES} SELECT k, idx, tensor, 'F32' AS type, '2x' || size AS shape, size::BIGINT * 2 AS n_elements, size::BIGINT * 8 AS n_bytes FROM f")
+def _(t):
+    rows = read_tensor_file(t.spark, tensor_folder(t), "tensors")
+    return rows.select(file_key(), "idx", "tensor", "type", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"), "n_elements", "n_bytes")
+
+
+@query(
+    "s8_metadata",
+    f"WITH {TENSOR_FILES} SELECT DISTINCT k, 0::BIGINT AS idx, 'general.name' AS key, 'STRING' AS type, false AS is_array, 'model ' || k AS value FROM f UNION ALL SELECT k, 1, 'sizes', 'UINT32', true, string_agg(size::VARCHAR, ',' ORDER BY idx) FROM f GROUP BY k",
+)
+def _(t):
+    rows = read_tensor_file(t.spark, tensor_folder(t), "kv")
+    return rows.select(file_key(), "idx", "key", "type", "is_array", F.array_join("items", ",").alias("value"))
+
+
+@query("s8_tensor_data", f"WITH {TENSOR_FILES} SELECT k, idx, tensor, (size * 8)::INTEGER AS n_bytes, (size * 2 * size + size * (size * 2 - 1))::DOUBLE AS total FROM f")
+def _(t):
+    rows = read_tensor_file(t.spark, tensor_folder(t), "data")
+    total = F.aggregate(_floats("data"), F.lit(0.0), lambda s, x: s + x)
+    return rows.select(file_key(), "idx", "tensor", F.octet_length("data").alias("n_bytes"), total.alias("total"))

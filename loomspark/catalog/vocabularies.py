@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspark.catalog.inputs import doc_words
@@ -12,20 +12,28 @@ from loomspark.operators import tokens as tk
 TOP = 400
 
 
-def top_grams(t, n: int, top: int = TOP, letters: str = "[A-Za-z]"):
-    """The ``top`` most frequent letter n-grams within words."""
+def top_grams(t, top: dict[int, int]) -> dict[int, list[str]]:
+    """The most frequent letter n-grams within words: ``top[n]`` of each size, counted in one job."""
     words = doc_words(t).select(F.explode("tokens").alias("w")).groupBy("w").agg(F.count("*").alias("c"))
-    starts = F.when(F.length("w") >= n, F.sequence(F.lit(1), F.length("w") - n + 1))
-    grams = words.select("c", F.explode(F.transform(starts, lambda i: F.substring("w", i, F.lit(n)))).alias("g"))
-    counted = grams.filter(F.col("g").rlike(f"^{letters}{{{n}}}$")).groupBy("g").agg(F.sum("c").alias("c"))
-    return [r.g for r in counted.orderBy(F.desc("c"), "g").limit(top).collect()]
+
+    def grams(n: int):
+        starts = F.when(F.length("w") >= n, F.sequence(F.lit(1), F.length("w") - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring("w", i, F.lit(n)))
+
+    cut = words.select("c", F.explode(F.concat(*[grams(n) for n in top])).alias("g")).filter(F.col("g").rlike("^[A-Za-z]+$"))
+    counted = cut.groupBy("g").agg(F.sum("c").alias("c")).withColumn("n", F.length("g"))
+    rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("c"), "g"))
+    limit = F.element_at(F.create_map(*[F.lit(x) for kv in top.items() for x in kv]), F.col("n"))
+    rows = counted.withColumn("r", rank).filter(F.col("r") <= limit).collect()  # at most sum(top.values()) rows
+    return {n: [r.g for r in sorted(rows, key=lambda r: r.r) if r.n == n] for n in top}
 
 
 def bpe(t) -> tk.Vocab:
-    two, three = top_grams(t, 2), top_grams(t, 3)
+    grams = top_grams(t, {2: TOP, 3: TOP})
+    two = grams[2]
     ids = {c: b for b, c in tk.BYTE_CHARS.items()}
     ranks = {}
-    for g in two + [g for g in three if g[:2] in set(two)]:
+    for g in two + [g for g in grams[3] if g[:2] in set(two)]:
         ranks[(g[:-1], g[-1])] = len(ranks)
         ids[g] = len(ids)
     return tk.Vocab("bpe", ids, attrs={i: tk.ATTR_NORMAL for i in ids.values()}, ranks=ranks, family="gpt2", bos=500_000, eos=500_001)
@@ -38,8 +46,9 @@ def scored(t, kind: str) -> tk.Vocab:
         ids[f"<0x{b:02X}>"] = len(ids)
         attrs[ids[f"<0x{b:02X}>"]] = tk.ATTR_BYTE
     chars = sorted(r.ch for r in tk.distinct_codepoints(t.documents).limit(5000).collect())
-    first = [f"{tk.SPACE_MARK}{g}" for g in top_grams(t, 1, 60)]
-    for rank, g in enumerate([*first, *top_grams(t, 2), *top_grams(t, 3), tk.SPACE_MARK, *(c for c in chars if c != " ")]):
+    grams = top_grams(t, {1: 60, 2: TOP, 3: TOP})
+    first = [f"{tk.SPACE_MARK}{g}" for g in grams[1]]
+    for rank, g in enumerate([*first, *grams[2], *grams[3], tk.SPACE_MARK, *(c for c in chars if c != " ")]):
         if g not in ids:
             ids[g] = len(ids)
             attrs[ids[g]] = tk.ATTR_NORMAL
@@ -48,7 +57,7 @@ def scored(t, kind: str) -> tk.Vocab:
 
 
 def wordpiece(t) -> tk.Vocab:
-    lower = [g.lower() for n in (1, 2, 3) for g in top_grams(t, n)]
+    lower = [g.lower() for gs in top_grams(t, {1: 60, 2: TOP, 3: TOP}).values() for g in gs]
     ids = {"[UNK]": 0, "[CLS]": 1, "[SEP]": 2}
     for g in lower:
         for form in (tk.SPACE_MARK + g, g):
@@ -58,7 +67,8 @@ def wordpiece(t) -> tk.Vocab:
 
 def byte_trie(t) -> tk.Vocab:
     ids = {chr(b): b + 1 for b in range(256)}
-    for g in [*top_grams(t, 2), *top_grams(t, 3)]:
+    grams = top_grams(t, {2: TOP, 3: TOP})
+    for g in grams[2] + grams[3]:
         ids[g] = len(ids) + 1
     return tk.Vocab("rwkv", ids, attrs={i: tk.ATTR_NORMAL for i in ids.values()})
 

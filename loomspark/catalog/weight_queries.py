@@ -320,7 +320,7 @@ r AS (SELECT file, idx, n AS total, 0::BIGINT AS shard FROM z WHERE idx = 0 UNIO
 
 @query("g21_shards_by_size", sql_pack(f"(({SIZES}) + 31) // 32 * 32", 600_000))
 def _(t):
-    return W.plan_shards(tensors(t), mode="size", limit=600_000, width=16).select("file", "idx", "shard")
+    return W.plan_shards(tensors(t), mode="size", limit=600_000, width=32).select("file", "idx", "shard")
 
 
 @query("g22_writer_shards", sql_pack(SIZES, 500_000))

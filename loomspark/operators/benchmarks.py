@@ -41,9 +41,8 @@ def bench_stats(df: DataFrame, *, samples: str = "samples_ns") -> DataFrame:
     mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
     rows = df.withColumn("__ts", ts).withColumn("avg_ts", mean("__ts"))
     n = F.size("__ts")
-    sq = F.aggregate("__ts", F.lit(0.0), lambda s, x: s + x * x)
-    var = (sq - F.col("avg_ts") * F.col("avg_ts") * n) / F.nullif(n - 1, F.lit(0))
-    dev = F.when(n <= 1, 0.0).otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))
+    sq = F.aggregate("__ts", F.lit(0.0), lambda s, x: s + (x - F.col("avg_ts")) * (x - F.col("avg_ts")))
+    dev = F.when(n <= 1, 0.0).otherwise(F.sqrt(F.try_divide(sq, n - 1)))
     return rows.withColumn("stddev_ts", dev).drop("__ts")
 
 

@@ -295,7 +295,7 @@ def _wpm(v: Vocab, word: str) -> list[int]:
 
 
 def _ugm(v: Vocab, s: str) -> list[int]:
-    floor = min((x for i, x in v.scores.items() if v.attrs.get(i, ATTR_NORMAL) & ATTR_NORMAL), default=0.0) - 10.0
+    floor = v.floor
     best: list[tuple[float, int, int]] = [(0.0, v.unk, 0)] + [(float("-inf"), v.unk, 0)] * len(s)
     for i in range(len(s)):
         here = best[i][0]
@@ -337,6 +337,8 @@ ENCODERS = {"bpe": _bpe, "spm": _spm, "wpm": _wpm, "ugm": _ugm, "rwkv": _rwkv}
 
 def _encoder(v: Vocab) -> Callable[[str], list[int]]:
     v.longest = max(map(len, v.ids))
+    # an unknown character costs ten more than the worst entry
+    v.floor = min((x for i, x in v.scores.items() if v.attrs.get(i, ATTR_NORMAL) & ATTR_NORMAL), default=0.0) - 10.0
     fn, seen = ENCODERS[v.kind], {}
 
     def encode(piece: str) -> list[int]:
