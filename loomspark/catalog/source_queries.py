@@ -315,7 +315,7 @@ def tensor_folder(t):
     """Files of up to 64 tensors each, in a folder every worker sees."""
     from pathlib import Path
 
-    where = folder(t, "tensors")
+    where = folder(t, "tensors").removeprefix("file://").removeprefix("file:")
     Path(where).mkdir(parents=True)
     k = F.floor(F.col("p_partkey") / 64)
     entry = F.struct((F.col("p_partkey") % 64).alias("idx"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("tensor"), F.col("p_size").alias("size"))

@@ -151,8 +151,12 @@ PART_SIZE = r"(?i)^((([A]|\d+[x])?\d+([._]\d+)?[KMBT][\d]?)|small|mini|medium|la
 PART_TUNE = r"(?i)^(chat|instruct|vision|lora)$"
 
 
-def parse_model_id(model_id) -> Column:
-    """``struct(name, org, base, finetune, version, size)`` of ids like ``org/Base-v1-7B-chat``."""
+def parse_model_id(model_id, total_params=None) -> Column:
+    """``struct(name, org, base, finetune, version, size)`` of ids like ``org/Base-v1-7B-chat``.
+
+    With ``total_params`` a size far from it counts as part of the finetune; a negative total marks an adapter.
+    """
+    total = F.lit(0) if total_params is None else F.coalesce(total_params if isinstance(total_params, Column) else F.lit(total_params), F.lit(0))
     c = F.col(model_id) if isinstance(model_id, str) else model_id
     slashed = F.contains(c, F.lit("/"))
     org = F.when(slashed, F.split_part(c, F.lit("/"), F.lit(1)))
@@ -164,18 +168,27 @@ def parse_model_id(model_id) -> Column:
         # 7b1 means 7.1b
         moved = F.regexp_replace(dots, r"^(.*)(.)(\d)$", "$1.$3$2")
         one = F.when(dots.rlike(r"\d$"), moved).otherwise(dots)
-        return F.when(one.rlike(r"\d[kmbt]$"), F.concat(F.expr("''"), F.regexp_replace(one, r".$", ""), F.upper(F.right(one, F.lit(1))))).otherwise(one)
+        return F.when(one.rlike(r"\d[kmbt]$"), F.concat(F.regexp_replace(one, r".$", ""), F.upper(F.right(one, F.lit(1))))).otherwise(one)
 
     def tag(p: Column, i: Column) -> Column:
+        sized = size_text(p)
+        count = F.try_to_number(F.regexp_extract(sized, r"^([0-9]+)", 1), F.lit("999999999999")).cast("double")
+        fraction = F.concat(F.lit("0"), F.regexp_extract(sized, r"^[0-9]+(\.[0-9]+)[KMBT]$", 1)).cast("double")
+        unit = F.pow(F.lit(1000.0), F.instr(F.lit("KMBT"), F.right(sized, F.lit(1))))
+        params = F.when(sized.rlike(r"^[0-9]+(\.[0-9]+)?[KMBT]$"), (count + fraction) * unit)
+        far = ((total < 0) & (params < F.floor(F.abs(total) / 8))) | ((total > 0) & (F.abs(params - total) > F.floor(7 * total / 8)))
+        far = F.coalesce(far, F.lit(False))
         kind = (
             F.when(p.rlike(PART_VERSION), "version")
             .when(p.rlike(PART_TYPE), "type")
-            .when((i > 0) & p.rlike(PART_SIZE), "size")
+            .when((i > 0) & p.rlike(PART_SIZE), F.when(far, "far").otherwise("size"))
+            .when((i > 0) & (total < 0) & (F.lower(p) == "lora"), "type")
             .when((i > 0) & p.rlike(PART_TUNE), "finetune")
             .otherwise("")
         )
-        text = F.when(kind == "type", F.upper(p)).when(kind == "size", size_text(p)).otherwise(p)
-        return F.struct(text.alias("t"), kind.alias("k"))
+        lowered = F.concat(F.regexp_replace(sized, ".$", ""), F.lower(F.right(sized, F.lit(1))))
+        text = F.when(p.rlike(PART_TYPE), F.upper(p)).when(kind == "size", sized).when(kind == "far", lowered).otherwise(p)
+        return F.struct(text.alias("t"), F.when(kind == "far", "finetune").otherwise(kind).alias("k"))
 
     def finish(tags: Column) -> Column:
         numeric = F.exists(tags, lambda x: (x["k"] == "size") & x["t"].rlike(r"\d"))

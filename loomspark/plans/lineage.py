@@ -19,7 +19,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="loomspark-ckpt-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomspark-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

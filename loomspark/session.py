@@ -22,10 +22,13 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "loomspark", cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "loomspark", cores: int | str = 8, shuffle_partitions: int = 8, checkpoints: str | None = None
+) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", checkpoints) if checkpoints else SparkSession.builder
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

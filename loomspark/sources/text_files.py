@@ -112,6 +112,10 @@ def read_bench(spark: SparkSession, path, fmt: str = "jsonl") -> DataFrame:
         return rows.select(*[F.col(n).cast(k).alias(n) for n, k in FIELDS])
     reader = spark.read.option("multiLine", fmt == "json")
     raw = reader.schema("__row variant").option("singleVariantColumn", "__row").json(path)
+    if fmt == "json":
+        is_array = F.schema_of_variant("__row").startswith("ARRAY")
+        items = F.when(is_array, F.try_variant_get("__row", "$", "array<variant>")).otherwise(F.array("__row"))
+        raw = raw.select(F.explode(items).alias("__row"))
     keys = F.map_keys(F.try_variant_get("__row", "$", "map<string,variant>"))
     lacking = F.size(F.array_except(F.array(*[F.lit(n) for n, _ in FIELDS]), keys)) > 0
     require(raw, F.coalesce(lacking, F.lit(True)), "a benchmark row lacks a column")

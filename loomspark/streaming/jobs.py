@@ -56,6 +56,8 @@ def run_snapshots(stream: DataFrame, what: str, close: Callable[[DataFrame], Dat
         if batch_id % every == 0:
             out = close(batch) if close else batch
             out.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        else:
+            batch.write.format("noop").mode("overwrite").save()  # state is committed only for batches that are read
 
     query = (
         stream.writeStream.foreachBatch(snapshot).outputMode("complete").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
