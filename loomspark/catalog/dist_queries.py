@@ -125,11 +125,11 @@ def _(t):
 
 @query(
     "d12_logit_bias",
-    f"""WITH {DISTS}, b AS (SELECT (user_id % 16)::INTEGER AS token_id, round(avg(value), 6) AS bias FROM events WHERE user_id % 2 = 0 GROUP BY 1)
+    f"""WITH {DISTS}, b AS (SELECT (user_id % 8)::INTEGER AS token_id, round(avg(value), 6) AS bias FROM events GROUP BY 1)
 SELECT dist_id, token_id, round(logit + coalesce(bias, 0), 6) AS logit FROM dists LEFT JOIN b USING (token_id)""",
 )
 def _(t):
-    bias = t.events.filter("user_id % 2 = 0").groupBy((F.col("user_id") % 16).cast("int").alias("token_id")).agg(F.round(F.avg("value"), 6).alias("bias"))
+    bias = t.events.groupBy((F.col("user_id") % 8).cast("int").alias("token_id")).agg(F.round(F.avg("value"), 6).alias("bias"))
     return D.logit_bias(dists(t), bias).select("dist_id", "token_id", F.round("logit", 6).alias("logit"))
 
 

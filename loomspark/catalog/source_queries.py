@@ -188,19 +188,17 @@ def _(t):
 
 @query(
     "s13_transcripts",
-    "SELECT 'm' || c_nationkey % 3 AS model, (row_number() OVER (PARTITION BY c_nationkey % 3 ORDER BY c_custkey)) AS question_no, 'answer ' || c_custkey || chr(10) || c_name AS answer FROM customer",
+    "SELECT (c_custkey // 64)::VARCHAR AS model, c_custkey % 64 + 1 AS question_no, 'answer ' || c_custkey || chr(10) || c_name AS answer, 'q' || (c_custkey % 64 + 1) AS question FROM customer",
 )
 def _(t):
+    """One transcript for each block of 64 customers."""
     path = folder(t, "transcripts")
-    body = F.concat(F.lit("answer "), F.col("c_custkey").cast("string"), F.lit("\n"), "c_name", F.lit("\n------"))
-    rows = t.customer.select((F.col("c_nationkey") % 3).alias("m"), "c_custkey", body.alias("value"))
-    for m in range(3):
-        rows.filter(F.col("m") == m).orderBy("c_custkey").select("value").coalesce(1).write.text(f"{path}/m{m}.txt")
-    sheet = t.customer.select((F.col("c_custkey") + 1).alias("question_no"), F.lit("q").alias("question"))
-    out = tf.read_transcripts(t.spark, f"{path}/*", sheet)
-    keyed = out.withColumn("c_custkey", F.regexp_extract("answer", r"^answer (\d+)", 1).cast("long")).drop("model")
-    nations = t.customer.select("c_custkey", F.concat(F.lit("m"), (F.col("c_nationkey") % 3).cast("string")).alias("model"))
-    return keyed.join(nations, "c_custkey").select("model", "question_no", "answer")
+    key = F.col("c_custkey")
+    body = F.concat(F.lit("answer "), key.cast("string"), F.lit("\n"), "c_name", F.lit("\n------"))
+    blocks = t.customer.select(F.floor(key / 64).alias("m"), key, body.alias("value"))
+    blocks.repartition("m").sortWithinPartitions("m", "c_custkey").select("m", "value").write.partitionBy("m").text(path)
+    sheet = t.customer.select((key % 64 + 1).alias("question_no")).distinct().withColumn("question", F.concat(F.lit("q"), F.col("question_no").cast("string")))
+    return tf.read_transcripts(t.spark, path, sheet, model_pattern=r"/m=(\d+)/")
 
 
 @query("s14_checksums", "SELECT sha256(html) AS hash, 'page ' || page_id || '.html' AS filename FROM pages")
@@ -276,13 +274,14 @@ def _(t):
     return rows.select("id", "turn", "from", F.md5("value").alias("digest"))
 
 
-@query("s20_prompt_pairs", "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS pair, 'good ' || n_name AS positive, 'bad ' || n_name AS negative FROM nation")
+@query("s20_prompt_pairs", "SELECT (s_suppkey // 16)::VARCHAR AS grp, s_suppkey % 16 AS pair, 'good ' || s_name AS positive, 'bad ' || s_name AS negative FROM supplier")
 def _(t):
+    """A pair of files for each block of 16 suppliers, with a blank line behind every prompt."""
     path = folder(t, "pairs")
     for side in ("good", "bad"):
-        lines = t.nation.orderBy("n_nationkey").select(F.concat(F.lit(f"{side} "), "n_name", F.lit("\n")).alias("value"))
-        lines.coalesce(1).write.text(f"{path}/{side}")
-    return tf.read_prompt_pairs(t.spark, f"{path}/good", f"{path}/bad")
+        lines = t.supplier.select(F.floor(F.col("s_suppkey") / 16).alias("m"), "s_suppkey", F.concat(F.lit(f"{side} "), "s_name", F.lit("\n")).alias("value"))
+        lines.repartition("m").sortWithinPartitions("m", "s_suppkey").select("m", "value").write.partitionBy("m").text(f"{path}/{side}")
+    return tf.read_prompt_pairs(t.spark, f"{path}/good", f"{path}/bad", group_pattern=r"/m=(\d+)/")
 
 
 @F.pandas_udf(T.StringType())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomspark.catalog.inputs import doc_words
 from loomspark.functions.text import word_ids
 from loomspark.operators import tokens as tk
+from loomspark.plans.bounds import collect_bounded
 
 TOP = 400
 
@@ -45,7 +46,7 @@ def scored(t, kind: str) -> tk.Vocab:
     for b in range(256):
         ids[f"<0x{b:02X}>"] = len(ids)
         attrs[ids[f"<0x{b:02X}>"]] = tk.ATTR_BYTE
-    chars = sorted(r.ch for r in tk.distinct_codepoints(t.documents).limit(5000).collect())
+    chars = sorted(r.ch for r in collect_bounded(tk.distinct_codepoints(t.documents), 0x110000, "code points"))
     grams = top_grams(t, {1: 60, 2: TOP, 3: TOP})
     first = [f"{tk.SPACE_MARK}{g}" for g in grams[1]]
     for rank, g in enumerate([*first, *grams[2], *grams[3], tk.SPACE_MARK, *(c for c in chars if c != " ")]):

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.functions.quantiles import exact_quantiles
+from loomspark.functions.quantiles import exact_quantiles, grouped_median
 from loomspark.plans.bounds import collect_bounded
 from loomspark.plans.lineage import cut
 
@@ -184,13 +184,16 @@ def tool_bench_summary(tries: DataFrame) -> DataFrame:
     key = ["model", "server_name", "test", "temp"]
     ok = F.col("ok").cast("long")
     stats = tries.groupBy(*key).agg(
-        F.avg(ok.cast("double")).alias("success_ratio"), F.avg("secs").alias("avg_time"), F.median("secs").alias("median_time"),
+        F.avg(ok.cast("double")).alias("success_ratio"), F.avg("secs").alias("avg_time"),
         F.sum(ok).alias("success_count"), F.sum(1 - ok).alias("failure_count"),
     )
     texts = tries.filter(~F.col("ok")).select(*key, "error").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("error")).alias("failures"))
-    same = lambda a, b: reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in key])
-    joined = stats.alias("s").join(texts.alias("f"), same(stats, texts), "left")
-    return joined.select(*[stats[c] for c in stats.columns], F.coalesce(texts["failures"], F.array().cast("array<string>")).alias("failures"))
+    medians = grouped_median(tries, key, "secs")
+    # one text per key, since a temperature may be null
+    keyed = F.to_json(F.struct(*key)).alias("__k")
+    joined = stats.select("*", keyed).join(medians.select(keyed, F.col("median").alias("median_time")), "__k", "left")
+    joined = joined.join(texts.select(keyed, "failures"), "__k", "left").drop("__k")
+    return joined.withColumn("failures", F.coalesce("failures", F.array().cast("array<string>")))
 
 
 def success_matrix(df: DataFrame, *, test_regex: str | None = None, server_regex: str | None = None, max_cells: int = 10_000) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.operators.vectors import normalize, pool_mean
-from loomspark.plans.bounds import require
+from loomspark.plans.bounds import checked, require
 
 MIN_ROWS = 16
 NEAR_ZERO = 1e-6
@@ -58,7 +58,7 @@ def importance_sums_dense(df: DataFrame, *, vec: str = "vec") -> DataFrame:
 
 def assert_finite(sums: DataFrame) -> DataFrame:
     bad = F.isnan("sum_sq") | (F.abs("sum_sq") == float("inf"))
-    return require(sums, bad, "a sum is not finite")
+    return checked(sums, bad, "a sum is not finite")
 
 
 def assert_dims(df: DataFrame, *, tensor: str = "tensor", dim: str = "dim") -> DataFrame:
@@ -158,7 +158,7 @@ def combine_directions(df: DataFrame) -> DataFrame:
     """``(layer, vec)``: sum of strength * vector over ``(file, name, vec, strength)``; names are ``direction.<layer>``."""
     layer = F.try_to_number(F.regexp_extract("name", r"^direction\.(\d+)$", 1), F.lit("999999999")).cast("int")
     rows = df.withColumn("layer", F.when(F.col("name").rlike(r"^direction\.\d+$"), layer))
-    require(rows, F.col("layer").isNull() | (F.col("layer") < 1), "a direction must be named direction.<layer>, layer at least 1")
+    rows = checked(rows, F.col("layer").isNull() | (F.col("layer") < 1), "a direction must be named direction.<layer>, layer at least 1")
     width = rows.agg(F.min(F.size("vec")).alias("lo"), F.max(F.size("vec")).alias("hi")).first()
     if width.lo != width.hi:
         raise ValueError("directions have different lengths")

@@ -210,9 +210,14 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int, *, max_queries:
         shared = corpus.sparkSession.sparkContext.broadcast((np.array([r.query_id for r in rows]), _unit([r.vec for r in rows])))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            kept = None  # the best k per query this task has seen
             for pdf in batches:
                 if len(pdf):
-                    yield best(*shared.value, pdf)
+                    found = best(*shared.value, pdf)
+                    kept = found if kept is None else pd.concat([kept, found])
+                    kept = kept.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+            if kept is not None:
+                yield kept
 
         near = corpus.select("doc_id", "vec").mapInPandas(run, schema)
     else:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from loomspark.functions import blocks
 from loomspark.operators.windows import pack_greedy
-from loomspark.plans.bounds import require
+from loomspark.plans.bounds import checked, require
 from loomspark.plans.prefix import running_sums
 
 ALIGNMENT = 32
@@ -279,7 +279,7 @@ def map_tensor_names(df: DataFrame, rules: DataFrame, *, strict: bool = True, su
     rows = rows.join(rule("__full", "__t1"), "__full", "left").join(rule("__cut", "__t2"), "__cut", "left")
     target = F.coalesce(F.col("__t1"), F.concat("__t2", "__sfx"))
     out = rows.withColumn("mapped", F.replace(target, F.lit("{bid}"), F.col("__bid"))).drop("__bid", "__sfx", "__full", "__cut", "__t1", "__t2")
-    return require(out, F.col("mapped").isNull(), "a tensor name has no mapping") if strict else out
+    return checked(out, F.col("mapped").isNull(), "a tensor name has no mapping") if strict else out
 
 
 def edit_kv(df: DataFrame, remove: Sequence[str], replace: dict[str, str]) -> DataFrame:
@@ -602,7 +602,7 @@ def merge_shards(df: DataFrame) -> DataFrame:
     """
     rows = df.withColumn("prefix", F.regexp_extract("file", SHARD_NAME, 1)).withColumn("no", F.regexp_extract("file", SHARD_NAME, 2))
     rows = rows.withColumn("of", F.regexp_extract("file", SHARD_NAME, 3))
-    require(rows, F.col("of") == "", "a shard's file name does not fit the pattern")
+    rows = checked(rows, F.col("of") == "", "a shard's file name does not fit the pattern")
     rows = rows.withColumn("no", F.col("no").cast("int")).withColumn("of", F.col("of").cast("int"))
     sets = rows.groupBy("prefix").agg(
         F.count_distinct("no").alias("have"), F.max("of").alias("of_"), F.max(F.when(F.col("no") == 1, F.col("split_count"))).alias("split")
@@ -623,31 +623,38 @@ def pair_adapters(df: DataFrame) -> DataFrame:
     letter = F.lower(F.regexp_extract("tensor", r"\.lora_(?:embedding_)?([ABab])(?:\.weight)?$", 1))
     norm = F.col("tensor").rlike(r"(_layernorm|\bnorm)\.weight$")
     rows = df.withColumn("side", letter).withColumn("base", F.replace("tensor", side, F.lit("")))
-    require(rows, (F.col("side") == "") & ~norm, "unexpected tensor name in an adapter")
+    rows = checked(rows, (F.col("side") == "") & ~norm, "unexpected tensor name in an adapter")
     pairs = rows.filter("side != ''").groupBy("file", "base").pivot("side", ["a", "b"]).agg(F.first("tensor"))
-    return require(pairs, F.col("a").isNull() | F.col("b").isNull(), "an adapter tensor has no partner")
+    return checked(pairs, F.col("a").isNull() | F.col("b").isNull(), "an adapter tensor has no partner")
 
 
-def merge_adapters(base: DataFrame, adapters: DataFrame, *, strength: str = "strength") -> DataFrame:
+ADAPTER_BLOCK = 1_024
+
+
+def merge_adapters(base: DataFrame, adapters: DataFrame, *, strength: str = "strength", block: int = ADAPTER_BLOCK) -> DataFrame:
     """``W + scale * B·A`` for weight rows ``(tensor, row, values)`` and adapters ``(tensor, a, b, alpha, strength)``.
 
     ``a`` is rank x inputs and ``b`` outputs x rank, as arrays of rows, one adapter per row; scale = strength * alpha / rank, or
-    strength when alpha is 0.  Adapters are joined by tensor and row: each weight row meets only its own row of B.
+    strength when alpha is 0.  Weight rows meet, in blocks, their own rows of B and the small matrix A; adapters add.
     """
-    rank = F.size("a")
-    scale = F.when(F.col("alpha") != 0, F.col(strength) * F.col("alpha") / rank).otherwise(F.col(strength))
-    parts = adapters.select("tensor", F.posexplode("b").alias("row", "b_row"), "a", scale.alias("scale"))
-    contribution = F.aggregate(
-        F.arrays_zip("b_row", "a"),
-        F.transform(F.get("a", F.lit(0)), lambda x: F.lit(0.0)),
-        lambda acc, z: F.zip_with(acc, z["a"], lambda s, x: s + z["b_row"] * x),
-    )
-    deltas = parts.select("tensor", F.col("row").cast("long").alias("row"), F.transform(contribution, lambda x: x * F.col("scale")).alias("d"))
-    dims = deltas.select("tensor", "row", F.posexplode("d").alias("dim", "x")).groupBy("tensor", "row", "dim").agg(F.sum("x").alias("x"))
-    summed = dims.groupBy("tensor", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda e: e["x"]).alias("delta"))
-    rows = base.join(summed, ["tensor", "row"], "left")
-    merged = F.when(F.col("delta").isNull(), F.col("values")).otherwise(F.zip_with("values", "delta", lambda w, d: w + d))
-    return rows.select("tensor", "row", merged.alias("values"))
+    scale = F.when(F.col("alpha") != 0, F.col(strength) * F.col("alpha") / F.size("a")).otherwise(F.col(strength))
+    last = F.floor((F.size("b") - 1) / block).cast("long")
+    parts = adapters.select("tensor", "a", "b", scale.alias("scale"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("blk"))
+    parts = parts.select(F.col("tensor").alias("ad_tensor"), F.col("blk").alias("ad_blk"), "a", "scale", F.slice("b", (F.col("blk") * block + 1).cast("int"), F.lit(block)).alias("b"))
+    rows = base.select("tensor", "row", "values", F.floor(F.col("row") / block).cast("long").alias("blk"))
+
+    def add(weights: pd.DataFrame, ads: pd.DataFrame) -> pd.DataFrame:
+        if weights.empty:
+            return weights[["tensor", "row", "values"]]
+        w = np.stack(weights["values"].to_numpy()).astype(np.float64)
+        at = (weights["row"] - weights["blk"] * block).to_numpy()
+        for ad in ads.itertuples(index=False):
+            b = np.stack(ad.b).astype(np.float64)
+            inside = at < len(b)
+            w[inside] += ad.scale * b[at[inside]] @ np.stack(ad.a).astype(np.float64)
+        return weights[["tensor", "row"]].assign(values=list(w))
+
+    return rows.groupBy("tensor", "blk").cogroup(parts.groupBy("ad_tensor", "ad_blk")).applyInPandas(add, "tensor string, row long, values array<double>")
 
 
 def prune_layers(df: DataFrame, layers: Sequence[int], *, name: str = "tensor", file: str = "file") -> DataFrame:

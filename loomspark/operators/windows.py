@@ -15,19 +15,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomspark.plans.bounds import require
+from loomspark.plans.bounds import checked
+from loomspark.plans.lineage import cut
 from loomspark.plans.prefix import WIDTH, running_sums
 
 
-def corpus_offsets(df: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """``(doc, offset)``: corpus position of each document's first token."""
-    sizes = df.select(doc, F.size(tokens).cast("long").alias("__n"))
-    return running_sums(sizes, [], doc, {"offset": F.col("__n")}, inclusive=False).select(doc, "offset")
+def corpus_sizes(df: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> tuple[DataFrame, int]:
+    """(token count of each document, tokens in all).
 
+    The counts are written, so that neither the total nor the offsets read the texts again.
+    """
+    sizes = cut(df.select(doc, F.size(tokens).cast("long").alias("n")))
+    return sizes, sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def corpus_offsets(sizes: DataFrame, *, doc: str = "doc_id") -> DataFrame:
+    """``(doc, offset)``: corpus position of each document's first token, from ``(doc, n)``."""
+    return running_sums(sizes, [], doc, {"offset": F.col("n")}, inclusive=False).select(doc, "offset")
 
-def corpus_positions(df: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+
+def corpus_positions(df: DataFrame, sizes: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """``(doc, gpos, token)`` with ``gpos`` counting from 0 over the whole corpus."""
-    offs = corpus_offsets(df, doc=doc, tokens=tokens)
+    offs = corpus_offsets(sizes, doc=doc)
     return (
         df.select(doc, tokens)
         .join(offs, doc)
@@ -36,16 +45,12 @@ def corpus_positions(df: DataFrame, *, doc: str = "doc_id", tokens: str = "token
     )
 
 
-def corpus_size(df: DataFrame, tokens: str = "tokens") -> int:
-    return df.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0))).first()[0]
-
-
 def chunk_tokens(df: DataFrame, n_ctx: int, max_chunks: int = -1, *, skip: int = 0, tokens: str = "tokens", doc: str = "doc_id") -> DataFrame:
     """``(chunk, pos, gpos, token)`` of the whole chunks of ``n_ctx`` tokens; the tail is dropped.
 
     At least two chunks are required.  ``skip`` leaves out the first chunks.
     """
-    n = corpus_size(df, tokens)
+    sizes, n = corpus_sizes(df, doc=doc, tokens=tokens)
     if skip and n < (skip + 2) * n_ctx:
         raise ValueError(f"{n} tokens are too few to skip {skip} chunks of {n_ctx}")
     if n < 2 * n_ctx:
@@ -54,7 +59,7 @@ def chunk_tokens(df: DataFrame, n_ctx: int, max_chunks: int = -1, *, skip: int =
     if max_chunks >= 0:
         usable = min(usable, max_chunks)
     p = F.col("gpos") - skip * n_ctx
-    flat = corpus_positions(df, doc=doc, tokens=tokens).filter((p >= 0) & (p < usable * n_ctx))
+    flat = corpus_positions(df, sizes, doc=doc, tokens=tokens).filter((p >= 0) & (p < usable * n_ctx))
     return flat.select(F.floor(p / n_ctx).cast("long").alias("chunk"), (p % n_ctx).cast("int").alias("pos"), "gpos", "token")
 
 
@@ -62,11 +67,11 @@ def stride_windows(df: DataFrame, n_ctx: int, stride: int, *, tokens: str = "tok
     """Overlapping windows ``(win, pos, token, scored)``; only the last ``stride`` targets of each are scored."""
     if stride <= 0:
         raise ValueError("stride must be greater than zero")
-    n = corpus_size(df, tokens)
+    sizes, n = corpus_sizes(df, doc=doc, tokens=tokens)
     if n <= n_ctx:
         raise ValueError(f"{n} tokens are not enough for a context of {n_ctx}")
     n_win = (n - n_ctx + stride - 1) // stride
-    return _expand(corpus_positions(df, doc=doc, tokens=tokens), n_ctx, stride, n_win).withColumn(
+    return _expand(corpus_positions(df, sizes, doc=doc, tokens=tokens), n_ctx, stride, n_win).withColumn(
         "scored", F.col("pos") >= n_ctx - stride
     )
 
@@ -95,9 +100,9 @@ def with_bos(chunks: DataFrame, bos: int) -> DataFrame:
 
 def train_windows(df: DataFrame, n_ctx: int, stride: int, *, tokens: str = "tokens", doc: str = "doc_id") -> DataFrame:
     """``(win, pos, data, label)``: the label is the next token."""
-    n = corpus_size(df, tokens)
+    sizes, n = corpus_sizes(df, doc=doc, tokens=tokens)
     n_win = max(0, (n - n_ctx - 1) // stride)
-    rows = _expand(corpus_positions(df, doc=doc, tokens=tokens), n_ctx + 1, stride, n_win)
+    rows = _expand(corpus_positions(df, sizes, doc=doc, tokens=tokens), n_ctx + 1, stride, n_win)
     label = F.lead("token").over(Window.partitionBy("win").orderBy("pos"))
     return rows.withColumn("label", label).filter(F.col("pos") < n_ctx).select("win", "pos", F.col("token").alias("data"), "label")
 
@@ -274,7 +279,7 @@ def pack_greedy(
     than ``width`` rows or ``fan`` maps of a key, but for one map per ``width * fan`` rows at the top.
     """
     keys = list(keys)
-    require(df, F.col(size) > budget, f"a row is larger than the budget of {budget}")
+    df = checked(df, F.col(size) > budget, f"a row is larger than the budget of {budget}")
     blocked = df.withColumn("__blk", F.floor(F.col(order) / F.lit(width)).cast("long"))
     key_ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields if f.name in keys)
     key_names = [f.name for f in df.schema.fields if f.name in keys]

@@ -32,8 +32,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want, *[F.col(k) for k in keys])
 
 
+def checked(df: DataFrame, bad, message: str) -> DataFrame:
+    """``df``, failing while it is computed when a row satisfies ``bad``; costs no pass of its own."""
+    return df.filter(F.when(bad, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
+
+
 def require(df: DataFrame, bad, message: str) -> DataFrame:
-    """Fail the job when any row satisfies ``bad``; otherwise return ``df`` unchanged."""
+    """Fail at once when any row of a small table satisfies ``bad``; otherwise return ``df`` unchanged."""
     hit = df.filter(bad).limit(1).count()
     if hit:
         raise ValueError(message)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from loomspark.functions.text import split_keep_empty
 from loomspark.operators.benchmarks import FIELDS
-from loomspark.plans.bounds import require
+from loomspark.plans.bounds import checked, require
 from loomspark.plans.prefix import running_sums
 
 INSTRUCTION = "instruction string, input string, output string"
@@ -118,7 +118,7 @@ def read_bench(spark: SparkSession, path, fmt: str = "jsonl") -> DataFrame:
         raw = raw.select(F.explode(items).alias("__row"))
     keys = F.map_keys(F.try_variant_get("__row", "$", "map<string,variant>"))
     lacking = F.size(F.array_except(F.array(*[F.lit(n) for n, _ in FIELDS]), keys)) > 0
-    require(raw, F.coalesce(lacking, F.lit(True)), "a benchmark row lacks a column")
+    raw = checked(raw, F.coalesce(lacking, F.lit(True)), "a benchmark row lacks a column")
     return raw.select(*[F.try_variant_get("__row", f"$.{n}", k).alias(n) for n, k in FIELDS])
 
 
@@ -214,10 +214,11 @@ def read_tool_bench(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     return parsed.filter("reason IS NULL").select("r.*").drop(CORRUPT), parsed.filter("reason IS NOT NULL").select("value", "reason")
 
 
-def read_transcripts(spark: SparkSession, path, sheet: DataFrame) -> DataFrame:
+def read_transcripts(spark: SparkSession, path, sheet: DataFrame, *, model_pattern: str = r"([^/]+?)(?:\.txt)?$") -> DataFrame:
     """``(model, question_no, answer, question, correct)``: records between ``------`` lines, joined to ``sheet`` by ordinal.
 
-    Row 0 of the sheet is its header, so record 0 meets row 1.  The text behind the last separator is no record.
+    Row 0 of the sheet is its header, so record 0 meets row 1.  The text behind the last separator is no record.  The model is
+    what ``model_pattern`` finds in the file's path.
     """
     lines = numbered_lines(spark, path)
     mark = F.trim("line") == "------"
@@ -226,7 +227,7 @@ def read_transcripts(spark: SparkSession, path, sheet: DataFrame) -> DataFrame:
     bodies = rows.filter("NOT mark").groupBy("file", "rec").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("ls"))
     text = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
     answers = ends.join(bodies, ["file", "rec"], "left").select("file", (F.col("rec") + 1).alias("question_no"), F.coalesce(text, F.lit("")).alias("answer"))
-    model = F.regexp_replace(F.regexp_extract("file", r"([^/]+)$", 1), r"\.txt$", "")
+    model = F.regexp_extract("file", model_pattern, 1)
     return answers.join(sheet, "question_no", "left").select(model.alias("model"), "question_no", "answer", *[c for c in sheet.columns if c != "question_no"])
 
 
@@ -246,18 +247,20 @@ def missing_files(problems: DataFrame) -> DataFrame:
     return problems.filter("problem = 'missing' AND file IS NOT NULL").select("file").distinct()
 
 
-def read_prompt_pairs(spark: SparkSession, positive, negative) -> DataFrame:
-    """``(pair, positive, negative)`` from two files of lines; blank lines are skipped, and both must hold as many."""
+def read_prompt_pairs(spark: SparkSession, positive, negative, *, group_pattern: str = "()") -> DataFrame:
+    """``(grp, pair, positive, negative)`` from files of lines; blank lines are skipped, and both sides must hold as many.
+
+    Files belong together when ``group_pattern`` finds the same text in their paths; by default there is one on each side.
+    """
 
     def lines(path) -> DataFrame:
-        rows = numbered_lines(spark, path).filter(F.trim("line") != "")
-        return running_sums(rows, [], "line_no", {"pair": F.lit(1).cast("long")}, inclusive=False).select("pair", "line")
+        rows = numbered_lines(spark, path).filter(F.trim("line") != "").withColumn("grp", F.regexp_extract("file", group_pattern, 1))
+        return running_sums(rows, ["grp"], "line_no", {"pair": F.lit(1).cast("long")}, inclusive=False).select("grp", "pair", "line")
 
-    pairs = lines(positive).withColumnRenamed("line", "positive").join(lines(negative).withColumnRenamed("line", "negative"), "pair", "full_outer")
-    require(pairs, F.col("positive").isNull() | F.col("negative").isNull(), "the files hold different numbers of prompts")
-    if pairs.isEmpty():
+    both = lines(positive).withColumnRenamed("line", "positive").join(lines(negative).withColumnRenamed("line", "negative"), ["grp", "pair"], "full_outer")
+    if both.isEmpty():
         raise ValueError("no prompts")
-    return pairs.orderBy("pair")
+    return checked(both, F.col("positive").isNull() | F.col("negative").isNull(), "the files hold different numbers of prompts")
 
 
 # ------------------------------------------------------------------ web pages

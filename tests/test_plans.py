@@ -49,8 +49,16 @@ def test_pack_greedy_is_exact(spark, width, fan):
 
 
 def test_pack_greedy_rejects_what_never_fits(spark):
-    with pytest.raises(ValueError):
-        W.pack_greedy(spark.createDataFrame([(0, 51)], "i long, s long"), [], "i", "s", 50)
+    with pytest.raises(Exception, match="larger than the budget"):
+        W.pack_greedy(spark.createDataFrame([(0, 51)], "i long, s long"), [], "i", "s", 50).collect()
+
+
+def test_grouped_median(spark):
+    rng = random.Random(8)
+    rows = [(k, rng.choice([1.0, 2.5, rng.random()])) for k in ["hot"] * 5001 + ["b"] * 40 + [None] * 7 + ["one"]]
+    got = quantiles.grouped_median(spark.createDataFrame(rows, "k string, x double").repartition(6), ["k"], "x").collect()
+    want = {k: float(np.median([x for j, x in rows if j == k])) for k in {j for j, _ in rows}}
+    assert {r.k: r.median for r in got} == pytest.approx(want)
 
 
 def test_quantiles_are_exact_in_both_ways(spark, monkeypatch):
