@@ -8,7 +8,7 @@ from loomspark.operators import benchmarks as B
 # benchmark rows from line items: two commits of different id length, two models, three tests
 BENCH = """bench AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'abcd1234' ELSE 'ef5678901' END AS build_commit, l_orderkey % 2 AS build_number, 'cpu' AS cpu_info, 'NVIDIA GeForce ' || l_suppkey % 2 AS gpu_info, 'CUDA' AS backends,
  'm.bin' AS model_filename, 'llama ' || l_partkey % 2 || 'B Q4_K - Medium' AS model_type, 512 AS n_batch, (l_suppkey % 3) * 128 AS n_ubatch, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE '0.00' END AS tensor_split, 99 AS n_gpu_layers,
- [512, 0, 512][l_linenumber % 3 + 1] AS n_prompt, [0, 128, 128][l_linenumber % 3 + 1] AS n_gen, CASE WHEN l_linenumber % 2 = 0 THEN 512 ELSE 0 END AS n_depth, l_shipdate AS test_time, l_quantity AS avg_ts, l_partkey % 2 AS flash_attn FROM lineitem)"""
+ [512, 0, 512][l_linenumber % 3 + 1]::BIGINT AS n_prompt, [0, 128, 128][l_linenumber % 3 + 1]::BIGINT AS n_gen, (CASE WHEN l_linenumber % 2 = 0 THEN 512 ELSE 0 END)::BIGINT AS n_depth, l_shipdate AS test_time, l_quantity AS avg_ts, l_partkey % 2 AS flash_attn FROM lineitem)"""
 
 
 def bench_rows(t):
@@ -246,8 +246,8 @@ def _(t):
 
 @query(
     "s21_exposition",
-    f"""WITH {SERVICE} SELECT event_type, '# HELP llamacpp:prompt_tokens_total Number of prompt tokens processed.' || chr(10) || '# TYPE llamacpp:prompt_tokens_total counter' || chr(10) || 'llamacpp:prompt_tokens_total ' || pn || chr(10) ||
- '# HELP llamacpp:n_decode_total Total number of llama_decode() calls' || chr(10) || '# TYPE llamacpp:n_decode_total counter' || chr(10) || 'llamacpp:n_decode_total ' || steps || chr(10) AS text FROM s""",
+    f"""WITH {SERVICE} SELECT event_type, '# HELP model:prompt_tokens_total Number of prompt tokens processed.' || chr(10) || '# TYPE model:prompt_tokens_total counter' || chr(10) || 'model:prompt_tokens_total ' || pn || chr(10) ||
+ '# HELP model:n_decode_total Total number of decode calls' || chr(10) || '# TYPE model:n_decode_total counter' || chr(10) || 'model:n_decode_total ' || steps || chr(10) AS text FROM s""",
 )
 def _(t):
     out = B.service_metrics(steps(t), F.col("event_type")).select("event_type", "prompt_tokens_total", "n_decode_total")

@@ -281,14 +281,14 @@ METRICS = [
     ("counter", "prompt_seconds_total", "Prompt process time"),
     ("counter", "tokens_predicted_total", "Number of generation tokens processed."),
     ("counter", "tokens_predicted_seconds_total", "Predict process time"),
-    ("counter", "n_decode_total", "Total number of llama_decode() calls"),
-    ("counter", "n_busy_slots_per_decode", "Average number of busy slots per llama_decode() call"),
+    ("counter", "n_decode_total", "Total number of decode calls"),
+    ("counter", "n_busy_slots_per_decode", "Average number of busy slots per decode call"),
     ("gauge", "prompt_tokens_seconds", "Average prompt throughput in tokens/s."),
     ("gauge", "predicted_tokens_seconds", "Average generation throughput in tokens/s."),
 ]
 
 
-def to_exposition(df: DataFrame, *keys: str, prefix: str = "llamacpp") -> DataFrame:
+def to_exposition(df: DataFrame, *keys: str, prefix: str = "model") -> DataFrame:
     """``(keys, text)``: metrics in exposition text."""
     lines = []
     for kind, name, help_ in METRICS:
