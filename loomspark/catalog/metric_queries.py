@@ -168,12 +168,12 @@ def _(t):
     "m12_wilson",
     f"""WITH {ENDINGS}, c AS (SELECT task, (choice = task % 4)::INTEGER AS ok FROM best), r AS (SELECT task, sum(ok) OVER w AS k, count(*) OVER w AS n FROM c WINDOW w AS (ORDER BY task)),
 z AS (SELECT task, n, k / n AS f, 1.95996398454::DOUBLE * 1.95996398454::DOUBLE / n AS z FROM r)
-SELECT task, n, round(f, 12) AS acc, round((f + z * 0.5 - z * sqrt(n * (4 * f * (1 - f) + z)) / (2 * 1.95996398454::DOUBLE)) / (1 + z), 9) AS low,
+SELECT task, n, f AS acc, round((f + z * 0.5 - z * sqrt(n * (4 * f * (1 - f) + z)) / (2 * 1.95996398454::DOUBLE)) / (1 + z), 9) AS low,
  round((f + z * 0.5 + z * sqrt(n * (4 * f * (1 - f) + z)) / (2 * 1.95996398454::DOUBLE)) / (1 + z), 9) AS high FROM z""",
 )
 def _(t):
     judged = endings(t).select("task", (F.col("choice") == F.col("task") % 4).alias("correct"))
-    return rounded(rounded(M.running_accuracy(judged), 9, "low", "high"), 12, "acc")
+    return rounded(M.running_accuracy(judged), 9, "low", "high")
 
 
 BLANKS = """b AS (SELECT o_orderkey AS task, 2 + o_orderkey % 2 AS prefix, 1 + o_custkey % 2 AS answer,

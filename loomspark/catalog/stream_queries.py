@@ -110,13 +110,13 @@ def _(t):
 
 @query(
     "x7_truncation_alerts",
-    """WITH b AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS start, avg((event_type = 'click')::INTEGER) AS rate, count(*) AS n FROM events GROUP BY 1)
-SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(rate, 9) AS rate, n FROM b WHERE rate >= 0.8 AND start + INTERVAL '10 minutes' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events) AND start >= TIMESTAMP '2024-01-01 00:01:00'""",
+    """WITH b AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS start, avg((event_type = 'click')::INTEGER) AS rate, count(*) AS n FROM events GROUP BY 1)
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, round(rate, 9) AS rate, n FROM b WHERE rate >= 0.8 AND start + INTERVAL '1 minute' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events) AND start >= TIMESTAMP '2024-01-01 00:01:00'""",
 )
 def _(t):
     rows = events(t).withColumn("finish", F.when(F.col("event_type") == "click", "length").otherwise("stop"))
     since = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
-    out = J.run_to_table(J.truncation_alerts(rows, "10 minutes", LATE, since=since), "alerts")
+    out = J.run_to_table(J.truncation_alerts(rows, "1 minute", LATE, since=since), "alerts")
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), F.round("rate", 9).alias("rate"), "n")
 
 

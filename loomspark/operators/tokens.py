@@ -488,7 +488,7 @@ def looks_special(text) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     # Fixed values.
     named = c.isin("<pad>", "<mask>", "<2mass>", "[@BOS@]")
-    return named | c.rlike(r"^<\|(.*\|)?>$|^<｜(.*｜)?>$|^<unused.*>$")
+    return named | c.rlike(r"(?s)^<\|(.*\|)?>$|^<｜(.*｜)?>$|^<unused.*>$")
 
 
 def vocabulary_table(vocab: DataFrame, size: int) -> DataFrame:
