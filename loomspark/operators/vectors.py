@@ -16,6 +16,7 @@ from loomspark.plans.bounds import collect_bounded, fits
 
 MAX_QUERIES = 4_096
 CORPUS_BLOCK = 65_536
+QUERY_SLICE = 256
 
 
 # ------------------------------------------------------------------ text chunks
@@ -194,16 +195,17 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int, *, max_queries:
 
     def best(q_ids: np.ndarray, q: np.ndarray, pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf["doc_id"].to_numpy()
-        s = np.round(_similarity(q, _unit(pdf["vec"].to_numpy())), 12)  # equal vectors rank by id, whatever the order of summation
-        out = []
-        for i in range(len(q)):
-            near = np.arange(len(ids))
-            if len(ids) > k:
-                cutoff = np.partition(s[i], len(ids) - k)[len(ids) - k]
-                near = np.flatnonzero(s[i] >= cutoff)
-            near = near[np.lexsort((ids[near], -s[i][near]))][:k]
-            out.append(pd.DataFrame({"query_id": q_ids[i], "doc_id": ids[near], "score": s[i][near]}))
-        return pd.concat(out)
+        unit = _unit(pdf["vec"].to_numpy())
+        found: list[tuple] = []
+        for at in range(0, len(q), QUERY_SLICE):
+            # equal vectors rank by id, whatever the order of summation
+            s = np.round(_similarity(q[at : at + QUERY_SLICE], unit), 12)
+            cutoff = np.partition(s, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(s), -np.inf)
+            for i, row in enumerate(s):
+                near = np.flatnonzero(row >= cutoff[i])
+                near = near[np.lexsort((ids[near], -row[near]))][:k]
+                found.append((np.full(len(near), q_ids[at + i]), ids[near], row[near]))
+        return pd.DataFrame({c: np.concatenate([f[j] for f in found]) for j, c in enumerate(("query_id", "doc_id", "score"))})
 
     if fits(queries, max_queries):
         rows = collect_bounded(queries.select("query_id", "vec"), max_queries, "query set")
