@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, secret_scans
+from loomspark.llm import common, pii, secret_scans, token_counts
 from loomspark.session import apply_runtime_conf
 
 
@@ -19,5 +19,14 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *common.span_digest(F.col("spans"), secret_scans.KINDS, secret_scans.KINDS[:3]))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans,)}
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *common.span_digest(F.col("spans"), pii.KINDS, pii.BASE))
+
+
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op8_token_counts, op10_pii)}
 ORACLES: dict[str, str] = {}
