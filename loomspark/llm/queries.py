@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, pii, secret_scans, token_counts
+from loomspark.llm import common, html_extraction, pii, secret_scans, token_counts
 from loomspark.session import apply_runtime_conf
 
 
@@ -28,5 +28,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *common.span_digest(F.col("spans"), pii.KINDS, pii.BASE))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op8_token_counts, op10_pii)}
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extraction.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op2_secret_scans, op5_html_extraction, op8_token_counts, op10_pii)}
 ORACLES: dict[str, str] = {}
