@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, html_extraction, pii, secret_scans, token_counts
+from loomspark.llm import common, html_extraction, line_dedup, pii, quality_rules, secret_scans, token_counts
 from loomspark.session import apply_runtime_conf
 
 
@@ -33,5 +33,13 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op5_html_extraction, op8_token_counts, op10_pii)}
-ORACLES: dict[str, str] = {}
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("host", "text_hash")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_secret_scans, op5_html_extraction, op6_line_dedup, op8_token_counts, op10_pii)}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_line_dedup": line_dedup.ORACLE}
