@@ -62,7 +62,11 @@ def span_text(spans: Column, kinds: Sequence[str]) -> Column:
 def span_digest(spans: Column, kinds: Sequence[str], base: Sequence[str]) -> list[Column]:
     """Counts of the ``base`` kinds (the first of ``kinds``), the hash of their spans, and all spans as text."""
     own = F.filter(spans, lambda x: x["kind"] < len(base))
-    counts = [F.size(F.filter(spans, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(base)]
+
+    def count(k):
+        return F.size(F.filter(spans, lambda x: x["kind"] == k)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(base)]
     return [*counts, F.sha2(span_text(own, kinds), 256).alias("base_sha256"), span_text(spans, kinds).alias("spans")]
 
 

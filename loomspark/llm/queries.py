@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, html_extraction, line_dedup, pii, quality_rules, secret_scans, token_counts
+from loomspark.llm import common, decontamination, html_extraction, line_dedup, pii, quality_rules, secret_scans, token_counts
 from loomspark.session import apply_runtime_conf
 
 
@@ -41,5 +41,9 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_secret_scans, op5_html_extraction, op6_line_dedup, op8_token_counts, op10_pii)}
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_line_dedup": line_dedup.ORACLE}
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_secret_scans, op5_html_extraction, op6_line_dedup, op7_decontamination, op8_token_counts, op10_pii)}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE}
