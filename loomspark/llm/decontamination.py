@@ -80,7 +80,7 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
     parts = []
     for size in range(1, WINDOW + 1):
         own = rows.filter(F.size("template") >= size) if size == WINDOW else rows.filter(short & (F.size("template") == size))
-        each = own.select("item_id", F.explode(cut(size)).alias("x")).select("item_id", F.lit(size).alias("size"), "x.*")
+        each = own.select("item_id", F.explode_outer(cut(size)).alias("x")).select("item_id", F.lit(size).alias("size"), "x.*")
         parts.append(each.filter(_plain(F.col("template")) * WINDOW >= MIN_PLAIN * size))
     out = parts[0]
     for p in parts[1:]:
@@ -100,12 +100,16 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
     bench = written(item_windows(items, item_id, item_text), "item-windows")
     sizes = [r["size"] for r in bench.select("size").distinct().collect()]  # at most WINDOW values
     few = bench.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    rows = docs.select(
+    texts = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
         F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"),
-        tokens(F.col(text)).alias("words"),
+        F.col(text).alias("text"),
     )
-    rows = rows.withColumn("template", templates(F.col("words")))
+
+    def read(rows):
+        return rows.withColumn("words", tokens(F.col("text"))).withColumn("template", templates(F.col("words")))
+
+    rows = read(texts)
     keys = ["doc_id", "text_hash"]
     hashes = bench.select("hash", "size").distinct()
 
@@ -114,7 +118,7 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
 
     parts = []
     for size in sizes or [WINDOW]:
-        parts.append(rows.select(*keys, F.explode(places(size)).alias("x")).select(*keys, "x.*"))
+        parts.append(rows.select(*keys, F.explode_outer(places(size)).alias("x")).select(*keys, "x.*"))
     each = parts[0]
     for p in parts[1:]:
         each = each.unionByName(p)
@@ -122,9 +126,9 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
     spots = each.join(wanted, ["hash", "size"], "left_semi")
     # Places of a document that may hold an item, at most as many as its words; its words are fetched once for them.
     by_doc = written(spots.groupBy(*keys).agg(F.collect_set(F.struct("size", "place", "hash")).alias("spots")), "spots")
-    held = rows.join(by_doc, keys)
+    held = read(texts.join(by_doc, keys))
     cut = F.transform("spots", lambda x: F.struct(x["size"].alias("size"), x["place"].alias("place"), x["hash"].alias("hash"), F.slice("words", x["place"] + 1, x["size"]).alias("seen"), F.slice("template", x["place"] + 1, x["size"]).alias("seen_template")))
-    met = held.select(*keys, F.explode(cut).alias("x")).select(*keys, "x.*").join(F.broadcast(bench) if few else bench, ["hash", "size"])
+    met = held.select(*keys, F.explode_outer(cut).alias("x")).select(*keys, "x.*").join(F.broadcast(bench) if few else bench, ["hash", "size"])
     met = met.filter(F.col("seen_template") == F.col("template"))  # equal templates, not only equal hashes
     pair = F.zip_with("words", "seen", lambda a, b: F.struct(F.lower(a).alias("item"), F.lower(b).alias("doc")))
     slots = F.filter(pair, lambda p, i: F.startswith(F.get("template", i), F.lit("<")))

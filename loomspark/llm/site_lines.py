@@ -48,7 +48,8 @@ def document_counts(docs: DataFrame, text: str, host: str) -> DataFrame:
         F.sort_array(F.array_distinct(F.transform(F.filter(lines_of(F.col(text)), lambda x: x.rlike(HAS_WORD)), line_hash))).alias("hashes"),
     )
     lowest = first.select("host", "hashes", F.get("hashes", F.lit(0)).alias("low"), F.coalesce(F.get("hashes", F.lit(1)), F.lit(b"")).alias("next"))
-    each = lowest.select("host", "low", "next", F.explode("hashes").alias("line"))
+    # The outer form, here as in the other operators: for a plain explode the planner adds a filter that works out the whole array once more.
+    each = lowest.select("host", "low", "next", F.explode_outer("hashes").alias("line")).filter("line IS NOT NULL")
     each = each.select("host", "line", F.when(F.col("line") == F.col("low"), F.col("next")).otherwise(F.col("low")).alias("sketch"))
     return each.groupBy("host", "line", "sketch").agg(F.lit(1).alias("__one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
 
