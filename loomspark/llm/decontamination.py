@@ -37,15 +37,15 @@ def tokens(text: Column) -> Column:
 def templates(words: Column) -> Column:
     """Each word as it stands in a template; ``words`` has to be a plain column."""
 
-    def one(w, i):
+    digit = lambda w: F.ascii(w).between(48, 57)
+
+    def one(w, i):  # the cheap test comes first, as nearly every word is plain
         low = F.lower(w)
-        number = F.ascii(w).between(48, 57)
-        before = F.coalesce(F.ascii(F.get(words, i - 1)).between(48, 57), F.lit(False))
         name = (w != low) & (F.substring(w, 2, MAX_INT) == F.substring(low, 2, MAX_INT)) & ~low.isin(OPENERS)
         return (
-            F.when(number, F.when(w.rlike(r"^[0-9][0-9.,:/-]*$"), F.lit("<n>")).otherwise(F.lit("<m>")))
-            .when(low.isin(UNITS) & before, F.lit("<u>"))
-            .when(name, F.lit("<p>"))
+            F.when(digit(w), F.when(w.rlike(r"^[0-9][0-9.,:/-]*$"), F.lit("<n>")).otherwise(F.lit("<m>")))
+            .when(digit(F.coalesce(F.get(words, i - 1), F.lit(""))) & low.isin(UNITS), F.lit("<u>"))
+            .when(~F.ascii(w).between(97, 122) & name, F.lit("<p>"))
             .otherwise(low)
         )
 
