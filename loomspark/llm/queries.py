@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, decontamination, html_extraction, line_dedup, pii, quality_rules, secret_scans, token_counts
+from loomspark.llm import common, decontamination, html_extraction, line_dedup, packing, pii, quality_rules, secret_scans, sharding, simhash, token_counts
 from loomspark.session import apply_runtime_conf
 
 
@@ -45,5 +45,37 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_secret_scans, op5_html_extraction, op6_line_dedup, op7_decontamination, op8_token_counts, op10_pii)}
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE}
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shuffle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return dealt.select(
+        "doc_id",
+        (F.octet_length(text).cast("long") + 8).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.word_length())
+
+
+OPERATORS = (
+    op1_quality_rules, op2_secret_scans, op3_simhash, op4_sharding, op5_html_extraction,
+    op6_line_dedup, op7_decontamination, op8_token_counts, op9_packing, op10_pii,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op6_line_dedup": line_dedup.ORACLE,
+    "op7_decontamination": decontamination.ORACLE,
+    "op9_packing": packing.ORACLE,
+}
