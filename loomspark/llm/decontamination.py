@@ -21,7 +21,9 @@ MIN_PLAIN = 4
 MIN_SHARE_PERCENT = 50
 MIN_WINDOWS = 6
 #: Rows of item windows that are broadcast; beyond it the windows of the documents are shuffled.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
+#: Words of a piece: a window is joined with its piece beside it, so a piece bounds what is in memory, not a document.
+PIECE = 256
 MAX_INT = (1 << 31) - 1
 
 TOKEN = r"([\p{L}\p{N}]+(?:[.,:/'’-][\p{L}\p{N}]+)*)"
@@ -89,7 +91,7 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
     return out.join(totals, "item_id")
 
 
-def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, text_hash, item_id, n_found and n_windows (windows of the item found, and in all) of each item a document holds.
 
     Only documents with a finding have rows, one for each item; rows that repeat count as one document; null ids
@@ -99,7 +101,7 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
     """
     bench = written(item_windows(items, item_id, item_text), "item-windows")
     sizes = [r["size"] for r in bench.select("size").distinct().collect()]  # at most WINDOW values
-    few = bench.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = bench.limit(broadcast_rows + 1).count() <= broadcast_rows
     texts = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
         F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"),
@@ -109,27 +111,38 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
     def read(rows):
         return rows.withColumn("words", tokens(F.col("text"))).withColumn("template", templates(F.col("words")))
 
-    rows = read(texts)
     keys = ["doc_id", "text_hash"]
-    hashes = bench.select("hash", "size").distinct()
 
-    def places(size):
-        return F.transform(_starts(F.size("template"), size), lambda i: F.struct(F.lit(size).alias("size"), i.alias("place"), _hash(F.col("template"), i, size).alias("hash")))
-
-    parts = []
-    for size in sizes or [WINDOW]:
-        parts.append(rows.select(*keys, F.explode_outer(places(size)).alias("x")).select(*keys, "x.*"))
-    each = parts[0]
-    for p in parts[1:]:
-        each = each.unionByName(p)
-    wanted = F.broadcast(hashes) if few else hashes
-    spots = each.join(wanted, ["hash", "size"], "left_semi")
-    # Places of a document that may hold an item, at most as many as its words; its words are fetched once for them.
-    by_doc = written(spots.groupBy(*keys).agg(F.collect_set(F.struct("size", "place", "hash")).alias("spots")), "spots")
-    held = read(texts.join(by_doc, keys))
-    cut = F.transform("spots", lambda x: F.struct(x["size"].alias("size"), x["place"].alias("place"), x["hash"].alias("hash"), F.slice("words", x["place"] + 1, x["size"]).alias("seen"), F.slice("template", x["place"] + 1, x["size"]).alias("seen_template")))
-    met = held.select(*keys, F.explode_outer(cut).alias("x")).select(*keys, "x.*").join(F.broadcast(bench) if few else bench, ["hash", "size"])
-    met = met.filter(F.col("seen_template") == F.col("template"))  # equal templates, not only equal hashes
+    def spots(rows):
+        """The windows of all sizes: keys, x with size, place in the piece and hash, and the piece with its base."""
+        base = F.when(F.size("template") > 0, F.sequence(F.lit(0), F.size("template") - 1, F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+        part = lambda c, b: F.slice(c, b + 1, F.lit(PIECE + WINDOW - 1)).alias(c)
+        pieces = F.transform(base, lambda b: F.struct(b.alias("base"), part("words", b), part("template", b)))
+        cut = rows.withColumn("pieces", pieces).select(*keys, F.explode_outer("pieces").alias("p")).select(*keys, "p.base", "p.words", "p.template")
+        places = F.flatten(F.array(*[of_size(size) for size in sizes or [WINDOW]]))
+        return cut.withColumn("places", places).select(*cut.columns, F.explode_outer("places").alias("x")).select(*cut.columns, "x.size", "x.place", "x.hash")
+
+    def of_size(size):
+        first = F.slice(_starts(F.size("template"), size), 1, PIECE)  # a window belongs to the piece that it begins in
+        return F.transform(first, lambda i: F.struct(F.lit(size).alias("size"), i.alias("place"), _hash(F.col("template"), i, size).alias("hash")))
+
+    rows = read(texts).select(*keys, "words", "template")
+    if few:
+        # In one pass: a window meets the items in memory, and only where it does are its words cut out of its piece.
+        met = spots(rows).alias("d").join(F.broadcast(bench).alias("b"), "hash")  # the hash holds the size
+        cut = lambda c: F.slice(f"d.{c}", F.col("place") + 1, F.col("d.size"))
+        met = met.select(*keys, (F.col("base") + F.col("place")).alias("place"), "item_id", "n_windows", "at", "b.words", "b.template", cut("words").alias("seen"), cut("template").alias("seen_template"))
+    else:
+        # In two: hashes are shuffled to the items, and the documents that met one are read once more for their words.
+        narrow = spots(rows).select(*keys, "size", (F.col("base") + F.col("place")).alias("place"), "hash")
+        hits = narrow.join(bench.select("hash").distinct(), "hash", "left_semi")
+        by_doc = written(hits.groupBy(*keys).agg(F.collect_set(F.struct("size", "place", "hash")).alias("xs")), "spots")
+        held = read(texts.join(by_doc, keys))
+        cut = lambda c, x: F.slice(c, x["place"] + 1, x["size"])
+        own = F.transform("xs", lambda x: F.struct(x["place"].alias("place"), x["hash"].alias("hash"), cut("words", x).alias("seen"), cut("template", x).alias("seen_template")))
+        met = held.withColumn("own", own).select(*keys, F.explode_outer("own").alias("x")).select(*keys, "x.*").join(bench, "hash")
+    # Equal templates, not only equal hashes; written so that it is looked at where hashes meet and not made a key of the join.
+    met = met.filter((F.col("seen_template") <= F.col("template")) & (F.col("seen_template") >= F.col("template")))
     pair = F.zip_with("words", "seen", lambda a, b: F.struct(F.lower(a).alias("item"), F.lower(b).alias("doc")))
     slots = F.filter(pair, lambda p, i: F.startswith(F.get("template", i), F.lit("<")))
     aligned = met.groupBy(*keys, "item_id", "n_windows", (F.col("place") - F.col("at")).alias("shift"))
