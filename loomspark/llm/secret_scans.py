@@ -49,7 +49,7 @@ def name_score(name: str) -> float:
     parts = [w.lower() for w in WORDS.findall(name[-LOOK_BACK:])]
     pairs = [f"{a} {b}" for a, b in zip(parts, parts[1:])]
     score = max((SENSITIVE.get(p, 0.0) for p in parts + pairs), default=0.0)
-    return score - 0.6 if parts and parts[-1] in ABOUT else score
+    return score - 0.8 if parts and parts[-1] in ABOUT else score
 
 
 def literal_score(value: str) -> float:
