@@ -239,7 +239,7 @@ def _(t):
 
 SHARDS = """i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM labels), n AS (SELECT count(*) // 8 AS n FROM labels),
 s AS (SELECT g AS shard, row_number() OVER (ORDER BY (g * 7919 + 13) % 1009, g) - 1 AS place FROM n, unnest(range(n)) AS r(g)),
-sh AS (SELECT doc_id, idx, shard, place FROM i JOIN s ON s.shard = idx // 8)"""
+sh AS (SELECT doc_id, idx, idx // 8 AS shard, coalesce(place, idx // 8) AS place, idx // 8 < (SELECT n FROM n) AS whole FROM i LEFT JOIN s ON s.shard = idx // 8)"""
 
 
 def shards(t):
@@ -247,14 +247,14 @@ def shards(t):
     return P.shuffle_shards(rows, 8, draw=(F.col("shard") * 7919 + 13) % 1009)
 
 
-@query("p17_shuffle_shards", f"WITH {SHARDS} SELECT doc_id, idx, shard, place FROM sh")
+@query("p17_shuffle_shards", f"WITH {SHARDS} SELECT doc_id, idx, shard, place, whole FROM sh")
 def _(t):
     return shards(t)
 
 
-@query("p18_batches", f"WITH {SHARDS} SELECT doc_id, shard, place // 4 AS batch FROM sh WHERE place // 4 < (SELECT n // 4 FROM n)")
+@query("p18_batches", f"WITH {SHARDS} SELECT doc_id, shard, place // 4 AS batch, place // 4 < (SELECT n // 4 FROM n) AS \"full\" FROM sh")
 def _(t):
-    return P.assign_batches(shards(t), 4).select("doc_id", "shard", "batch")
+    return P.assign_batches(shards(t), 4).select("doc_id", "shard", "batch", "full")
 
 
 @query(

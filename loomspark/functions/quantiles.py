@@ -13,8 +13,8 @@ BINS = 4_096
 DIRECT = 50_000
 
 
-def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Sequence[int]) -> dict[int, float]:
-    """The values at the given 0-based ranks.
+def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Sequence[int], count: float = math.inf) -> dict[int, float]:
+    """The values at the given 0-based ranks of a column of finite numbers.
 
     Each pass counts rows in equal-width bins of the intervals that hold a rank, all intervals in one job, and keeps the
     bins the ranks fall in.  It ends when the intervals hold one value each or few rows together; only bin counts and
@@ -23,7 +23,7 @@ def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Se
     x = F.col(col)
     found: dict[int, float] = {}
     # (first value, last value) -> ranks inside, counted from the first row of the interval
-    todo, left = {(lo, hi): {r: r for r in ranks}}, math.inf
+    todo, left = {(lo, hi): {r: r for r in ranks}}, count
     while todo:
         for (a, b), inside in list(todo.items()):
             if a == b:
@@ -45,8 +45,13 @@ def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Se
                 found.update({r: xs[k] for r, k in todo[span].items()})
             break
         start = F.element_at(F.array(*[F.lit(a) for a, _ in spans]), F.col("i") + 1)
-        width = F.element_at(F.array(*[F.lit((b - a) / BINS or math.inf) for a, b in spans]), F.col("i") + 1)
-        bins = tagged.groupBy("i", F.least(F.floor((F.col("x") - start) / width), F.lit(BINS - 1)).alias("bin")).agg(
+        # Halves first: the difference of two finite numbers may not be one.  A width that comes out as 0 belongs to an interval of
+        # fewer numbers than bins, and each of them is a bin of its own.
+        widths = [b / BINS - a / BINS for a, b in spans]
+        width = F.element_at(F.array(*[F.lit(w or 1.0) for w in widths]), F.col("i") + 1)
+        place = F.least(F.floor(F.col("x") / width - start / width), F.lit(BINS - 1)).cast("double")
+        tiny = F.col("i").isin([i for i, w in enumerate(widths) if not w or any(math.isinf(v / w) for v in spans[i])])
+        bins = tagged.groupBy("i", F.when(tiny, F.col("x")).otherwise(place).alias("bin")).agg(
             F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")
         )
         counted = sorted(bins.collect(), key=lambda r: (r.i, r.a))
@@ -65,35 +70,51 @@ def _order_statistics(rows: DataFrame, col: str, lo: float, hi: float, ranks: Se
 
 
 def exact_quantiles(df: DataFrame, fractions: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
-    """Quantiles of several columns, with linear interpolation on ``fraction * (n - 1)``; nulls do not count."""
+    """Quantiles of several columns, with linear interpolation on ``fraction * (n - 1)``; nulls do not count.
+
+    The order is minus infinity, the finite numbers, infinity, NaN, for any number of rows; only finite numbers are searched.
+    """
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in fractions]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = rows.agg(
-            *[f for c in fractions for f in (F.count(c).alias(f"{c}_n"), F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))], F.count("*").alias("__n")
-        ).first()
-        small = rows.collect() if stats["__n"] <= DIRECT else None
+        stats = rows.agg(*[f for c in fractions for f in _extent(c)]).first()
         out = {}
         for c, fs in fractions.items():
-            n = stats[f"{c}_n"]
+            low, fin, high, nan = (stats[f"{c}_{k}"] for k in ("low", "fin", "high", "nan"))
+            n = low + fin + high + nan
             if not n:
                 out[c] = [math.nan] * len(fs)
                 continue
             spots = [f * (n - 1) for f in fs]
-            ranks = sorted({int(s) for s in spots} | {min(int(s) + 1, n - 1) for s in spots})
-            if small is not None:
-                xs = sorted(r[c] for r in small if r[c] is not None)
-                at = {r: xs[r] for r in ranks}
-            else:
-                at = _order_statistics(rows, c, stats[f"{c}_lo"], stats[f"{c}_hi"], ranks)
+            ranks = {int(s) for s in spots} | {min(int(s) + 1, n - 1) for s in spots}
+            at = {r: -math.inf if r < low else math.inf if r < low + fin + high else math.nan for r in ranks if not low <= r < low + fin}
+            inside = sorted(r - low for r in ranks - set(at))
+            if inside:
+                finite = rows.select(c).filter(_finite(c))
+                found = _order_statistics(finite, c, stats[f"{c}_lo"], stats[f"{c}_hi"], inside, fin)
+                at |= {r + low: x for r, x in found.items()}
             out[c] = []
             for s in spots:
                 i, part = int(s), s - int(s)
-                out[c].append(at[i] if part == 0 else (1 - part) * at[i] + part * at[min(i + 1, n - 1)])
+                a, b = at[i], at[min(i + 1, n - 1)]
+                out[c].append(a if part == 0 or a == b else (1 - part) * a + part * b)
         return out
     finally:
         rows.unpersist()
 
 
+def _finite(c: str):
+    return ~F.isnan(c) & (F.abs(c) != math.inf)
+
+
+def _extent(c: str) -> list:
+    """Counts of the numbers that are not finite, and count and ends of those that are."""
+    x = F.when(_finite(c), F.col(c))
+    return [
+        F.count_if(F.col(c) == -math.inf).alias(f"{c}_low"), F.count(x).alias(f"{c}_fin"), F.count_if(F.col(c) == math.inf).alias(f"{c}_high"),
+        F.count_if(F.isnan(c)).alias(f"{c}_nan"), F.min(x).alias(f"{c}_lo"), F.max(x).alias(f"{c}_hi"),
+    ]
+
+
 SKETCH = 10_000
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.quantiles import exact_quantiles, grouped_median
 from loomspark.plans.bounds import collect_bounded
-from loomspark.plans.lineage import cut
+from loomspark.plans.scratch import fresh_folder
 
 # Columns and types of a benchmark row: fixed values.
 FIELDS = [
@@ -130,20 +130,25 @@ def prettify(df: DataFrame) -> DataFrame:
     return out
 
 
-def ancestors(edges: DataFrame, start, *, max_depth: int = 100_000) -> DataFrame:
+def ancestors(edges: DataFrame, start) -> DataFrame:
     """``(commit, depth)`` of all ancestors of ``start`` in ``edges(commit, parent)``, nearest depth first.
 
-    Each round is one join with the newest layer; lineage is cut every round.
+    Each round is one join with the newest layer, which is written beside the earlier ones; it ends with the last layer,
+    however deep that is.
     """
-    seen = cut(edges.filter(F.col("commit") == start).select("commit").distinct().withColumn("depth", F.lit(0)))
-    layer = seen
-    for depth in range(1, max_depth + 1):
-        nxt = layer.select("commit").join(edges, "commit").select(F.col("parent").alias("commit")).distinct()
-        layer = cut(nxt.join(seen, "commit", "left_anti").withColumn("depth", F.lit(depth)))
-        if layer.isEmpty():
-            break
-        seen = cut(seen.unionByName(layer))
-    return seen.filter(F.col("depth") > 0)
+    spark = edges.sparkSession
+    folder = fresh_folder(spark, "ancestors")
+    first = edges.filter(F.col("commit") == start).select("commit").distinct()
+    seen, depth = first, 0
+    while True:
+        layer = seen.withColumn("depth", F.lit(depth))
+        layer.write.parquet(f"{folder}/layer={depth}")
+        newest = spark.read.schema(layer.schema).parquet(f"{folder}/layer={depth}")
+        whole = spark.read.schema(layer.schema).option("recursiveFileLookup", "true").parquet(folder)
+        if newest.isEmpty():
+            return whole.filter(F.col("depth") > 0)
+        parents = newest.select("commit").join(edges, "commit").select(F.col("parent").alias("commit")).distinct()
+        seen, depth = parents.join(whole, "commit", "left_anti"), depth + 1
 
 
 def pick_builds(rows: DataFrame, mainline: DataFrame) -> tuple[str | None, str | None]:

@@ -265,9 +265,9 @@ def split_by_position(df: DataFrame, frac: float = 0.95, *, key: str) -> DataFra
 
 
 def shuffle_shards(df: DataFrame, shard_size: int, *, idx: str = "idx", seed: int = 0, upto: int = -1, draw: Column | None = None) -> DataFrame:
-    """Add ``shard`` and ``place``: whole shards of ``shard_size`` rows in a drawn order.
+    """Add ``shard``, ``place`` and ``whole``: whole shards of ``shard_size`` rows in a drawn order.
 
-    ``idx`` is dense from 0.  With ``upto`` only shards in front of that row change places; the rest keep theirs.
+    ``idx`` is dense from 0.  Rows behind the last whole shard are a short one that stays last, with ``whole`` false.  With ``upto`` only shards in front of that row change places; the rest keep theirs.
     ``draw`` may replace the hash of (shard, seed); it is a long of at least 0.
     """
     last = df.agg(F.max(idx)).first()[0]
@@ -279,15 +279,15 @@ def shuffle_shards(df: DataFrame, shard_size: int, *, idx: str = "idx", seed: in
     span = 1 << 62 if draw is None else max(1, drawn.agg(F.max("__h")).first()[0] or 1)
     width = max(1, span // max(1, moving // WIDTH))
     order = running_sums(drawn, [], "__h", {"place": F.lit(1).cast("long")}, inclusive=False, width=width, tie="shard").select("shard", "place")
-    rows = df.withColumn("shard", F.floor(F.col(idx) / shard_size).cast("long")).filter(F.col("shard") < n_shards)
+    rows = df.withColumn("shard", F.floor(F.col(idx) / shard_size).cast("long")).withColumn("whole", F.col("shard") < n_shards)
     return rows.join(order, "shard", "left").withColumn("place", F.coalesce("place", "shard"))
 
 
 def assign_batches(df: DataFrame, shards_per_batch: int) -> DataFrame:
-    """Add ``batch``: batch b takes the shards at places ``b*k … b*k+k-1``; a short last batch is left out."""
-    n = df.agg(F.max("place")).first()[0] + 1
+    """Add ``batch`` and ``full``: batch b takes the shards at places ``b*k … b*k+k-1``; ``full`` is false in a last batch of fewer whole shards."""
+    n = (df.agg(F.max(F.when(F.col("whole"), F.col("place")))).first()[0] or -1) + 1
     rows = df.withColumn("batch", F.floor(F.col("place") / shards_per_batch).cast("long"))
-    return rows.filter(F.col("batch") < n // shards_per_batch)
+    return rows.withColumn("full", F.col("batch") < n // shards_per_batch)
 
 
 def pad_pairs(df: DataFrame, pad: int, *, a: str = "a", b: str = "b") -> DataFrame:

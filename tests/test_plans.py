@@ -1,5 +1,6 @@
 """Prefix sums, greedy batches, quantiles and bounds against plain loops."""
 
+import math
 import random
 
 import numpy as np
@@ -112,3 +113,31 @@ def test_match_prefix_against_all_pairs(spark):
         options = [(-shared(prompts[r.prompt_id], s), i) for i, s in cached.items() if shared(prompts[r.prompt_id], s) / len(s) > 0.4]
         want = (min(options)[1], -min(options)[0]) if options else (29, 0)
         assert (r.cache_id, r.shared) == want
+
+
+@pytest.mark.parametrize("odd", [[], [math.inf], [math.nan, -math.inf], [math.inf, math.inf, math.nan], [1e308, -1e308], [5e-324, 1e-323]])
+@pytest.mark.parametrize("n", [40, 120_000])
+def test_quantiles_with_odd_numbers(spark, odd, n):
+    rows = spark.range(n).selectExpr("CAST((id * 7919) % 1009 AS DOUBLE) AS x")
+    rows = rows.union(spark.createDataFrame([(v,) for v in odd], "x double"))
+    values = sorted([float(k * 7919 % 1009) for k in range(n)] + [v for v in odd if not math.isnan(v)]) + [v for v in odd if math.isnan(v)]
+    fractions = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = quantiles.exact_quantiles(rows, {"x": fractions})["x"]
+    for f, g in zip(fractions, got):
+        s = f * (len(values) - 1)
+        a, b = values[int(s)], values[min(int(s) + 1, len(values) - 1)]
+        want = a if s == int(s) or a == b else (1 - (s - int(s))) * a + (s - int(s)) * b
+        assert g == pytest.approx(want, rel=1e-9, nan_ok=True), (f, g, want)
+
+
+def test_quantiles_among_the_smallest_numbers(spark):
+    tiny = spark.range(120_000).selectExpr("(id % 11) * 4.9E-324D AS x")
+    assert quantiles.exact_quantiles(tiny, {"x": [0.5, 1.0]})["x"] == [5 * 5e-324, 10 * 5e-324]
+
+
+def test_ranks_of_hashed_ids(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS id", "cast(xxhash64(id) AS string) AS name")
+    for c in ("id", "name"):
+        ids = sorted(r[0] for r in rows.select(c).collect())
+        got = {r[c]: r.idx for r in prefix.dense_index(rows.select(c), c).collect()}
+        assert [got[i] for i in ids] == list(range(5000))
