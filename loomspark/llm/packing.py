@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.common import ranked, words
+from loomspark.plans.scratch import written
 
 BUCKETS = 8
 BUDGET = 16_384
@@ -75,6 +76,7 @@ def pack(docs: DataFrame, length: Column, doc_id: str = "doc_id", text: str = "t
     only, of at most MAX_BINS lengths; buckets of any size are ranked over all tasks.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("__hash"))
+    rows = written(rows, "lengths")  # texts are read once
     longest = rows.agg(F.max("n_tokens")).first()[0] or 0
     grain = max(1, -(-longest // MAX_BINS))
     rounded = (F.ceil(F.col("n_tokens") / grain) * grain).cast("long")
