@@ -16,6 +16,10 @@ from loomspark.operators.benchmarks import service_metrics
 from loomspark.operators.ngrams import NGRAM_MAX
 from loomspark.plans.scratch import fresh_folder
 
+def _timeout(idle_ms: int | None) -> str:
+    """A stream over available data has to end, so its states wait for nothing; one that never ends gives idle states up."""
+    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
 
 def table_stream(spark: SparkSession, folder: str, name: str, *, files_per_batch: int = 1) -> DataFrame:
     """One table of a folder of Parquet files as a stream."""
@@ -75,14 +79,18 @@ def latest(snapshots: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ n-grams
 
 
-def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX) -> DataFrame:
+def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX, *, idle_ms: int | None = None) -> DataFrame:
     """Count increments ``(n, ngram, token, cnt, gap)`` of append-only chunks ``(doc_id, seq, tokens array<string>)``.
 
-    State is the last four tokens and the next chunk number of each document.  A chunk out of turn is reported as a gap
-    row without n-gram, and counting goes on behind it.
+    State is the last four tokens and the next chunk number of each document, given up after ``idle_ms`` without a chunk.  Where
+    chunks are missing a gap row without n-gram is told and counting begins anew behind it, so no n-gram reaches over the gap;
+    a chunk that comes after its turn is told as a gap too and is not counted.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         tail, expect = state.get if state.exists else ([], 0)
         tail = list(tail)
         counts: dict[tuple, int] = {}
@@ -90,6 +98,10 @@ def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX
         chunks = sorted((int(s), list(t)) for pdf in batches for s, t in zip(pdf["seq"], pdf["tokens"]))
         for seq, tokens in chunks:
             gaps += seq != expect
+            if seq < expect:
+                continue
+            if seq > expect:
+                tail = []
             expect = seq + 1
             seen = tail + tokens
             for i in range(len(tail), len(seen)):
@@ -98,6 +110,8 @@ def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX
                     counts[item] = counts.get(item, 0) + 1
             tail = seen[-NGRAM_MAX:]
         state.update((tail, expect))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         rows = [(len(g), list(g), t, c, 0) for (g, t), c in counts.items()]
         if gaps:
             rows.append((0, [], None, 0, gaps))
@@ -108,18 +122,20 @@ def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX
         "n int, ngram array<string>, token string, cnt long, gap long",
         "tail array<string>, expect long",
         "append",
-        GroupStateTimeout.NoTimeout,
+        _timeout(idle_ms),
     )
 
 
 # ------------------------------------------------------------------ replies
 
 
-def assemble_replies(stream: DataFrame, stops: Sequence[str]) -> DataFrame:
-    """Released text ``(reply_id, seq, text, done)`` of deltas ``(reply_id, seq, delta, last)``.
+def assemble_replies(stream: DataFrame, stops: Sequence[str], *, idle_ms: int | None = None) -> DataFrame:
+    """Released text ``(reply_id, seq, text, done)`` of deltas ``(reply_id, seq, delta, last)``, numbered from 0.
 
     Text that may be the start of a stop word is held back until it is clear; a stop word ends the reply and is not released.
-    State is the held text and a flag.
+    A delta that comes ahead of its turn waits in the state, in whatever batch the ones before it come; one that was
+    there already is passed over.  With ``idle_ms`` a reply without news for so long is closed: what was held back is released
+    and its state goes, as does that of a finished reply.
     """
 
     def held_from(text: str) -> int:
@@ -132,12 +148,20 @@ def assemble_replies(stream: DataFrame, stops: Sequence[str]) -> DataFrame:
         return cut
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, done = state.get if state.exists else ("", False)
+        expect, held, done, *ahead = state.get if state.exists else (0, "", False, [], [], [])
         rows = []
-        deltas = sorted((int(s), d, bool(e)) for pdf in batches for s, d, e in zip(pdf["seq"], pdf["delta"], pdf["last"]))
-        for seq, delta, is_last in deltas:
-            if done:
-                continue
+        if state.hasTimedOut:
+            state.remove()
+            if not done:
+                rows.append((key[0], expect, held, True))
+            yield pd.DataFrame(rows, columns=["reply_id", "seq", "text", "done"])
+            return
+        waiting = {int(s): (d, bool(e)) for s, d, e in zip(*ahead)}
+        for pdf in batches:
+            for s, d, e in zip(pdf["seq"], pdf["delta"], pdf["last"]):
+                waiting.setdefault(int(s), (d, bool(e)))
+        while not done and expect in waiting:
+            delta, is_last = waiting.pop(expect)
             text = held + delta
             hits = [i for i in (text.find(s) for s in stops) if i >= 0]
             if hits:
@@ -148,12 +172,20 @@ def assemble_replies(stream: DataFrame, stops: Sequence[str]) -> DataFrame:
                 at = held_from(text)
                 out, held = text[:at], text[at:]
             if out or done:
-                rows.append((key[0], seq, out, done))
-        state.update((held, bool(done)))
+                rows.append((key[0], expect, out, done))
+            expect += 1
+        later = [] if done else sorted((s, d, e) for s, (d, e) in waiting.items() if s >= expect)
+        state.update((expect, held, bool(done), [s for s, _, _ in later], [d for _, d, _ in later], [e for _, _, e in later]))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(rows, columns=["reply_id", "seq", "text", "done"])
 
     return stream.groupBy("reply_id").applyInPandasWithState(
-        step, "reply_id long, seq long, text string, done boolean", "held string, done boolean", "append", GroupStateTimeout.NoTimeout
+        step,
+        "reply_id long, seq long, text string, done boolean",
+        "expect long, held string, done boolean, seqs array<long>, deltas array<string>, lasts array<boolean>",
+        "append",
+        _timeout(idle_ms),
     )
 
 

@@ -142,6 +142,25 @@ def test_replies_hold_back_partial_stops(spark, tmp_path):
     assert [r.text for r in out if r.reply_id == 0][0] == "ab"
 
 
+def test_ngrams_do_not_reach_over_a_gap(spark, tmp_path):
+    for seq, toks in ((0, ["a", "b"]), (2, ["c", "d"]), (1, ["x", "y"]), (3, ["e"])):
+        spark.createDataFrame([(1, seq, toks)], "doc_id long, seq long, tokens array<string>").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = J.folder_stream(spark, str(tmp_path / "in"), "doc_id long, seq long, tokens array<string>")
+    out = J.run_to_table(J.incremental_ngrams(stream, 1, 2), "gaps").collect()
+    grams = {(*r.ngram, r.token) for r in out if r.n}
+    assert sum(r.gap for r in out) >= 2 and ("a", "b") in grams and ("c", "d") in grams and ("d", "e") in grams
+    assert not grams & {("b", "c"), ("b", "x"), ("d", "x"), ("y", "e")}
+
+
+def test_deltas_wait_for_their_turn_over_batches(spark, tmp_path):
+    deltas = [(1, 2, "c", False), (1, 0, "a", False), (1, 0, "again", False), (1, 3, "d", True), (1, 1, "b", False), (1, 4, "late", False)]
+    for d in deltas:
+        spark.createDataFrame([d], "reply_id long, seq long, delta string, last boolean").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = J.folder_stream(spark, str(tmp_path / "in"), "reply_id long, seq long, delta string, last boolean")
+    out = J.run_to_table(J.assemble_replies(stream, ["</s>"]), "waiting").orderBy("seq").collect()
+    assert [(r.seq, r.text, r.done) for r in out] == [(0, "a", False), (1, "b", False), (2, "c", False), (3, "d", True)]
+
+
 def test_running_sums_snapshot_every_second_batch(spark, tmp_path):
     for b in range(4):
         spark.createDataFrame([("t", 0, c, float(b + c)) for c in range(3)], "tensor string, expert int, col int, x double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
