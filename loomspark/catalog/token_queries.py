@@ -110,7 +110,7 @@ SELECT doc_id, len(f)::INTEGER AS n, len(list_filter(f, lambda x: x = '#1'))::IN
 def _(t):
     specials = [(1, "the", tk.ATTR_USER_DEFINED), (2, "ou", tk.ATTR_USER_DEFINED), (3, "x", tk.ATTR_CONTROL)]
     rows = docs(t).select("doc_id", tk.partition_special("text", specials, False).alias("f"))
-    hits = lambda i: F.size(F.filter("f", lambda x: x == F.lit(f"{tk.SPECIAL}{i}")))
+    hits = lambda i: F.size(F.filter("f", lambda x: F.coalesce(x["id"] == i, F.lit(False))))
     return rows.select("doc_id", F.size("f").alias("n"), hits(1).alias("n_the"), hits(2).alias("n_ou"))
 
 

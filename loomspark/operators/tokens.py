@@ -25,8 +25,8 @@ from loomspark.plans.prefix import neighbour, running_sums
 MAX_VOCAB = 2_000_000
 CACHE_PIECES = 500_000
 SPACE_MARK = "\u2581"
-# Noncharacters, never part of interchanged text, mark piece borders and special tokens.
-BORDER, SPECIAL = "\ufdd0", "\ufdd1"
+# Noncharacters mark piece borders; a text that holds them gets a longer mark of its own.
+BORDER, FENCE = "\ufdd0", "\ufdd1"
 
 # Attribute bits of a vocabulary entry: fixed values.
 ATTR_UNKNOWN, ATTR_UNUSED, ATTR_NORMAL, ATTR_CONTROL, ATTR_USER_DEFINED, ATTR_BYTE = 1, 2, 4, 8, 16, 32
@@ -95,49 +95,78 @@ ALIASES = {
 # ------------------------------------------------------------------ splitting
 
 
-def _cut(piece: Column, pattern: str) -> Column:
-    """Matches and the gaps between them, in order."""
-    marked = F.regexp_replace(piece, f"(?U)(?:{pattern})", f"{BORDER}$0{BORDER}")
-    return F.filter(F.split(marked, BORDER, -1), lambda p: p != F.lit(""))
+def border(text: Column) -> Column:
+    """A mark that does not occur in ``text``, even where text and mark touch: one more ``BORDER`` in a row than any run of the text."""
+    runs = F.transform(F.regexp_extract_all(text, F.lit(f"({BORDER}+)")), F.length)
+    longest = F.when(F.contains(text, F.lit(BORDER)), F.array_max(runs)).otherwise(0)
+    return F.concat(F.lit(FENCE), F.repeat(F.lit(BORDER), longest + 1), F.lit(FENCE))
 
 
-def _cutter(pattern: str) -> Callable[[Column], Column]:
-    return lambda p: _cut(p, pattern)
+def _cut(piece: Column, pattern: str, mark: Column) -> Column:
+    """Gaps (even places) and matches (odd places), in order."""
+    return F.split(F.regexp_replace(piece, F.lit(pattern), F.concat(mark, F.lit("$0"), mark)), mark, -1)
+
+
+def _cutter(pattern: str, mark: Column) -> Callable[[Column], Column]:
+    return lambda p: F.filter(_cut(p, f"(?U)(?:{pattern})", mark), lambda x: x != F.lit(""))
 
 
 def pretokenize(text, family: str = "default") -> Column:
     """Array of pieces; every pattern of the family splits the pieces of the one before."""
     col = F.col(text) if isinstance(text, str) else text
-    pieces = F.array(col)
+    pieces, mark = F.array(col), border(col)
     for pattern in PRETOKENIZERS[ALIASES.get(family, family)]:
-        pieces = F.flatten(F.transform(pieces, _cutter(pattern)))
+        pieces = F.flatten(F.transform(pieces, _cutter(pattern, mark)))
     return F.filter(pieces, lambda p: p != F.lit(""))
 
 
-def _marker(pattern: str, mark: str) -> Callable[[Column], Column]:
-    def cut(f: Column) -> Column:
-        return F.when(F.startswith(f, F.lit(SPECIAL)), F.array(f)).otherwise(
-            F.split(F.regexp_replace(f, pattern, mark), BORDER, -1)
-        )
+def _raw(text: Column) -> Column:
+    return F.struct(F.lit(None).cast("int").alias("id"), text.alias("text"))
+
+
+def _groups(specials: list[tuple[int, str, int]]) -> list[list[tuple[int, str, int]]]:
+    """Specials in order, as long as possible together; those that can overlap without one holding the other stay in turn."""
+
+    def overlap(a: str, b: str) -> bool:
+        return any(a[-n:] == b[:n] or b[-n:] == a[:n] for n in range(1, min(len(a), len(b))))
 
-    return cut
+    groups: list[list[tuple[int, str, int]]] = []
+    for s in specials:
+        blanks = s[2] & (ATTR_LSTRIP | ATTR_RSTRIP)
+        if groups and not blanks and not any(g[2] & (ATTR_LSTRIP | ATTR_RSTRIP) or overlap(s[1], g[1]) or g[1] in s[1] for g in groups[-1]):
+            groups[-1].append(s)
+        else:
+            groups.append([s])
+    return groups
 
 
 def partition_special(text, specials: list[tuple[int, str, int]], parse_special: bool) -> Column:
-    """Array of raw fragments and special tokens (``SPECIAL`` + id), longest special first.
+    """Array of fragments (id, text), longest special first: ``id`` is null for raw text, which may hold any character.
 
-    ``specials`` lists (token id, text, attribute bits); control and unknown tokens count only with ``parse_special``.
+    ``specials`` lists (token id, text, attribute bits); control and unknown tokens count only with ``parse_special``.  Specials that
+    cannot overlap are looked for in one pass.
     """
     col = F.col(text) if isinstance(text, str) else text
     use = [s for s in specials if parse_special or not s[2] & (ATTR_CONTROL | ATTR_UNKNOWN)]
-    if not use:
-        return F.filter(F.array(col), lambda p: p != F.lit(""))
+    frags, mark = F.array(_raw(col)), border(col)
     blank = r"[ \t\n\x0B\f\r]*"
-    frags = F.array(col)
-    for tid, lit, attr in sorted(use, key=lambda s: (-len(s[1].encode()), s[0])):
-        pat = (blank if attr & ATTR_LSTRIP else "") + quote_regex(lit) + (blank if attr & ATTR_RSTRIP else "")
-        frags = F.flatten(F.transform(frags, _marker(pat, f"{BORDER}{SPECIAL}{tid}{BORDER}")))
-    return F.filter(frags, lambda p: p != F.lit(""))
+
+    def splitter(pattern: str, ids: Column):
+        def one(part: Column, i: Column) -> Column:
+            return F.when(i % 2 == 1, F.struct(F.coalesce(F.element_at(ids, part), F.element_at(ids, F.lit(""))).alias("id"), part.alias("text"))).otherwise(_raw(part))
+
+        return lambda f: F.when(f["id"].isNotNull(), F.array(f)).otherwise(F.transform(_cut(f["text"], pattern, mark), one))
+
+    for group in _groups(sorted(use, key=lambda s: (-len(s[1].encode()), s[0]))):
+        first: dict[str, int] = {}
+        for tid, lit, _ in group:
+            first.setdefault(lit, tid)
+        attr = group[0][2]  # only a group of one has blanks around it, and its match may hold them
+        body = "|".join(quote_regex(lit) for lit in first)
+        pattern = (blank if attr & ATTR_LSTRIP else "") + f"(?:{body})" + (blank if attr & ATTR_RSTRIP else "")
+        ids = F.create_map(*[F.lit(x) for lit, tid in [*first.items(), *([("", group[0][0])] if len(group) == 1 else [])] for x in (lit, tid)])
+        frags = F.flatten(F.transform(frags, splitter(pattern, ids)))
+    return F.filter(frags, lambda f: f["id"].isNotNull() | (f["text"] != F.lit("")))
 
 
 # ------------------------------------------------------------------ normalising
@@ -353,33 +382,27 @@ def _encoder(v: Vocab) -> Callable[[str], list[int]]:
 
 
 def pieces(text, v: Vocab, parse_special: bool = False) -> Column:
-    """Pieces that can be encoded on their own, special tokens marked.
+    """Pieces (id, text) that can be encoded on their own; ``id`` is set for special tokens.
 
     Score-based kinds may be cut in front of a blank mark unless an entry reaches across one.
     """
     frags = partition_special(text, v.specials(), parse_special)
+    split = lambda f, parts: F.when(f["id"].isNotNull(), F.array(f)).otherwise(F.transform(parts, _raw))
     if v.kind == "bpe":
-        return F.flatten(
-            F.transform(frags, lambda f: F.when(F.startswith(f, F.lit(SPECIAL)), F.array(f)).otherwise(pretokenize(f, v.family)))
-        )
-    if v.kind == "wpm":
-        raw = F.transform(frags, lambda f: F.when(F.startswith(f, F.lit(SPECIAL)), F.concat(F.lit(BORDER), f, F.lit(BORDER))).otherwise(f))
-        return raw  # normalised into words in front of the lookup
-    if v.kind == "rwkv":
-        return frags
+        return F.flatten(F.transform(frags, lambda f: split(f, pretokenize(f["text"], v.family))))
+    if v.kind in ("wpm", "rwkv"):
+        return frags  # words of the first are normalised in front of the lookup
     spans = any(SPACE_MARK in t.lstrip(SPACE_MARK) for t, i in v.ids.items() if not v.attrs.get(i, 0) & ATTR_CONTROL)
 
     def mark(f: Column, i: Column) -> Column:
         lead = F.lit("")
         if v.space_prefix:
-            after_special = (i == 0) | F.startswith(F.coalesce(F.get(frags, i - 1), F.lit("")), F.lit(SPECIAL))
+            after_special = (i == 0) | F.get(frags, i - 1)["id"].isNotNull()
             lead = F.when(after_special, F.lit(" ")).otherwise(F.lit(""))
-        whole = F.replace(F.concat(lead, f), F.lit(" "), F.lit(SPACE_MARK))
+        whole = F.replace(F.concat(lead, f["text"]), F.lit(" "), F.lit(SPACE_MARK))
         return F.array(whole) if spans else F.regexp_extract_all(whole, F.lit(f"({SPACE_MARK}+[^{SPACE_MARK}]*|^[^{SPACE_MARK}]+)"))
 
-    return F.flatten(
-        F.transform(frags, lambda f, i: F.when(F.startswith(f, F.lit(SPECIAL)), F.array(f)).otherwise(mark(f, i)))
-    )
+    return F.flatten(F.transform(frags, lambda f, i: split(f, mark(f, i))))
 
 
 def tokenize_corpus(
@@ -387,19 +410,18 @@ def tokenize_corpus(
 ) -> DataFrame:
     """``(doc, tokens, double_bos, double_eos)`` for every row."""
     src = df.select(doc, pieces(F.col(text), v, parse_special).alias("pieces"))
-    if v.kind == "wpm":
-        src = src.withColumn("pieces", F.flatten(F.transform("pieces", lambda p: F.split(p, BORDER))))
+    src = src.select(doc, F.col("pieces.id").alias("ids"), F.col("pieces.text").alias("texts"))
     shared = df.sparkSession.sparkContext.broadcast(v)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = shared.value
         encode, table = _encoder(vocab), _Normal()
 
-        def one(parts) -> list[int]:
+        def one(special, texts) -> list[int]:
             out: list[int] = []
-            for p in parts:
-                if p.startswith(SPECIAL):
-                    out.append(int(p[1:]))
+            for known, p in zip(special, texts):
+                if known is not None and known == known:
+                    out.append(int(known))
                 elif vocab.kind == "wpm":
                     for w in p.translate(table).split():
                         out += encode(w)
@@ -413,7 +435,7 @@ def tokenize_corpus(
             return out
 
         for pdf in batches:
-            yield pd.DataFrame({doc: pdf[doc], "tokens": [one(p) for p in pdf["pieces"]]})
+            yield pd.DataFrame({doc: pdf[doc], "tokens": [one(i, t) for i, t in zip(pdf["ids"], pdf["texts"])]})
 
     ids = src.mapInPandas(run, f"{doc} {df.schema[doc].dataType.simpleString()}, tokens array<int>")
     if not add_special:
@@ -559,7 +581,8 @@ def tokenize_prompts(df: DataFrame, prompt: str, v: Vocab, *, key: str = "prompt
 
 def token_frequencies(df: DataFrame, v: Vocab, *, text: str = "text", parse_special: bool = False) -> DataFrame:
     """``(token_id, cnt)`` over the corpus: each distinct piece is encoded once and weighed by its count."""
-    counted = df.select(F.explode(pieces(F.col(text), v, parse_special)).alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+    each = df.select(F.explode(pieces(F.col(text), v, parse_special)).alias("p")).select("p.id", F.col("p.text").alias("piece"))
+    counted = each.groupBy("id", "piece").agg(F.count("*").alias("n"))
     ids = tokenize_pieces(counted, v)
     return ids.select("n", F.explode("tokens").alias("token_id")).groupBy("token_id").agg(F.sum("n").alias("cnt"))
 
@@ -570,10 +593,10 @@ def tokenize_pieces(counted: DataFrame, v: Vocab) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _encoder(shared.value)
         for pdf in batches:
-            toks = [[int(p[1:])] if p.startswith(SPECIAL) else encode(p) for p in pdf["piece"]]
+            toks = [encode(p) if pd.isna(known) else [int(known)] for known, p in zip(pdf["id"], pdf["piece"])]
             yield pd.DataFrame({"piece": pdf["piece"], "n": pdf["n"], "tokens": toks})
 
-    return counted.select("piece", "n").mapInPandas(run, "piece string, n long, tokens array<int>")
+    return counted.select("id", "piece", "n").mapInPandas(run, "piece string, n long, tokens array<int>")
 
 
 def token_statistics(df: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens", unknown: int = 0) -> DataFrame:

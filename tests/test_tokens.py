@@ -87,9 +87,18 @@ def test_unigram_takes_the_best_path(spark):
 def test_special_tokens_strip_blanks(spark):
     df = spark.createDataFrame([("x  <t> y<u>z",)], "t string")
     specials = [(5, "<t>", T.ATTR_USER_DEFINED | T.ATTR_LSTRIP | T.ATTR_RSTRIP), (6, "<u>", T.ATTR_CONTROL)]
-    frags = lambda p: df.select(T.partition_special("t", specials, p).alias("f")).first().f
-    assert frags(False) == ["x", T.SPECIAL + "5", "y<u>z"]
-    assert frags(True) == ["x", T.SPECIAL + "5", "y", T.SPECIAL + "6", "z"]
+    frags = lambda p: [x.text if x.id is None else x.id for x in df.select(T.partition_special("t", specials, p).alias("f")).first().f]
+    assert frags(False) == ["x", 5, "y<u>z"]
+    assert frags(True) == ["x", 5, "y", 6, "z"]
+
+
+def test_marks_in_a_text_are_text(spark):
+    texts = ["ab\ufdd0cd", "\ufdd112", "\ufdd1x", "\ufdd0\ufdd0<a>\ufdd1\ufdd0\ufdd1 b", "\ufdd1\ufdd0", "<a><ab>c<a", "<ab><a>"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    specials = [(7, "<a>", T.ATTR_USER_DEFINED), (8, "<ab>", T.ATTR_USER_DEFINED), (9, ">c", T.ATTR_USER_DEFINED)]
+    for row in df.select("t", T.pretokenize("t").alias("p"), T.partition_special("t", specials, False).alias("f")).collect():
+        assert "".join(row.p) == row.t and "".join(x.text for x in row.f) == row.t
+        assert [x.id for x in row.f if x.id] == {"<a><ab>c<a": [7, 8], "<ab><a>": [8, 7]}.get(row.t, [7] if "<a>" in row.t else [])
 
 
 def test_bytes_join_before_decoding(spark):
