@@ -241,6 +241,29 @@ def _(t):
     return vecs(t).select("vec_id", digest(A.gather("v", idx)).alias("g"))
 
 
+@query(
+    "a13_scatter",
+    f"""WITH {V} SELECT vec_id, {sql_digest('list_transform(v, lambda x, i: CASE WHEN i = vec_id % 64 + 1 THEN v[2] WHEN i = 64 THEN v[1] ELSE x END)')} AS s FROM e""",
+)
+def _(t):
+    at = (F.col("vec_id") % 64).cast("int")
+    idx = F.array(F.lit(63), at, F.lit(64))
+    put = F.array(F.get("v", F.lit(0)), F.get("v", F.lit(1)), F.lit(0.0))
+    return vecs(t).select("vec_id", digest(A.scatter("v", idx, put)).alias("s"))
+
+
+@query(
+    "a16_outer_product",
+    f"""WITH {V}, x AS (SELECT v[i + 1] * v[j + 1] AS y, i, j FROM e, unnest(range(4)) AS r(i), unnest(range(3)) AS s(j))
+SELECT i::INTEGER AS i, j::INTEGER AS j, round(sum(y), 6) AS y FROM x GROUP BY 1, 2""",
+)
+def _(t):
+    """The sum of all rows' outer products."""
+    rows = vecs(t).select(F.posexplode(A.outer(F.slice("v", 1, 4), F.slice("v", 1, 3))).alias("i", "row"))
+    cells = rows.select("i", F.posexplode("row").alias("j", "y"))
+    return cells.groupBy("i", "j").agg(F.round(F.sum("y"), 6).alias("y"))
+
+
 @query(
     "a14_pool",
     f"""WITH {V} SELECT vec_id, {sql_digest('list_transform(range(0, 12), lambda i: list_max(v[i * 5 + 1:i * 5 + 5]))')} AS mx, {sql_digest('list_transform(range(0, 12), lambda i: list_avg(v[i * 5 + 1:i * 5 + 5]))')} AS av FROM e""",

@@ -61,7 +61,7 @@ SELECT chunk, count(*) AS n, sum(token_id * (pos + 1))::BIGINT AS token_sum, sum
 FROM c WHERE pos >= 64 AND pos < 127 GROUP BY 1""",
 )
 def _(t):
-    return checked(w.score_mask(w.chunk_tokens(doc_ids(t), N_CTX), N_CTX), "chunk", "token", "target")
+    return checked(w.score_mask(w.chunk_tokens(doc_ids(t), N_CTX, ahead=True), N_CTX), "chunk", "token", "target")
 
 
 @query(

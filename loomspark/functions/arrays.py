@@ -163,6 +163,20 @@ def gather(a, idx) -> Column:
     return F.transform(_a(idx), lambda i: F.get(a, i))
 
 
+def scatter(a, idx, values) -> Column:
+    """``a`` with ``values[k]`` at place ``idx[k]``; of several for one place the last stays, places outside are passed over."""
+    a, back = _a(a), F.reverse(_a(idx))
+    late = F.reverse(_a(values))
+    at = lambda i: F.array_position(back, i).cast("int")
+    return F.transform(a, lambda x, i: F.when(at(i) > 0, F.get(late, at(i) - 1)).otherwise(x))
+
+
+def outer(a, b) -> Column:
+    """Matrix ``a[i] * b[j]`` of one row, as an array of rows."""
+    b = _a(b)
+    return F.transform(_a(a), lambda x: F.transform(b, lambda y: x * y))
+
+
 def pool(a, k: int, kind: str) -> Column:
     """1-D pooling with stride equal to the kernel; a short tail is left out."""
     a = _a(a)

@@ -490,11 +490,19 @@ def hash_tensors(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256"), *, sk
     rows = df
     for s in skip:
         rows = rows.filter(~F.endswith("tensor", F.lit(s)))
-    fns = {"sha1": F.sha1("data"), "sha256": F.sha2("data", 256), "uuid": _uuid5("data")}
+    fns = {"sha1": F.sha1("data"), "sha256": F.sha2("data", 256), "uuid": _uuid5("data"), "xxh64": _xxh64("data")}
     items = F.array(*[F.struct(F.lit(k).alias("kind"), fns[k].alias("hash")) for k in kinds])
     return rows.select("file", "tensor", F.explode(items).alias("h")).select("file", "tensor", "h.kind", "h.hash")
 
 
+@F.pandas_udf(T.StringType())
+def _xxh64(data: pd.Series) -> pd.Series:
+    """XXH64 with seed 0 (the built-in function has another, fixed seed)."""
+    import xxhash
+
+    return data.map(lambda b: None if b is None else xxhash.xxh64_hexdigest(b))
+
+
 def _uuid5(data) -> Column:
     """Version 5 UUID of the name space and the bytes."""
     raw = F.sha1(F.concat(F.unhex(F.lit(UUID_SPACE.replace("-", ""))), F.col(data) if isinstance(data, str) else data))
@@ -513,6 +521,8 @@ def hash_files(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256", "uuid"),
     import hashlib
     import uuid
 
+    import xxhash
+
     rows = df
     for s in skip:
         rows = rows.filter(~F.endswith("tensor", F.lit(s)))
@@ -520,7 +530,7 @@ def hash_files(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256", "uuid"),
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def start() -> dict:
-            return {k: hashlib.sha256() if k == "sha256" else hashlib.sha1(uuid.UUID(UUID_SPACE).bytes if k == "uuid" else b"") for k in kinds}
+            return {k: xxhash.xxh64() if k == "xxh64" else hashlib.sha256() if k == "sha256" else hashlib.sha1(uuid.UUID(UUID_SPACE).bytes if k == "uuid" else b"") for k in kinds}
 
         def finish(name, hs) -> pd.DataFrame:
             out = {k: str(uuid.UUID(bytes=h.digest()[:16], version=5)) if k == "uuid" else h.hexdigest() for k, h in hs.items()}

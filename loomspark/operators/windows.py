@@ -21,32 +21,34 @@ from loomspark.plans.prefix import WIDTH, running_sums
 
 
 def corpus_sizes(df: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> tuple[DataFrame, int]:
-    """(token count of each document, tokens in all).
+    """(token count and first token of each document, tokens in all).
 
-    The counts are written, so that neither the total nor the offsets read the texts again.
+    They are written, so that neither the total nor the offsets read the texts again.
     """
-    sizes = cut(df.select(doc, F.size(tokens).cast("long").alias("n")))
+    sizes = cut(df.select(doc, F.size(tokens).cast("long").alias("n"), F.get(tokens, F.lit(0)).alias("first")))
     return sizes, sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def corpus_offsets(sizes: DataFrame, *, doc: str = "doc_id") -> DataFrame:
-    """``(doc, offset)``: corpus position of each document's first token, from ``(doc, n)``."""
-    return running_sums(sizes, [], doc, {"offset": F.col("n")}, inclusive=False).select(doc, "offset")
+def corpus_positions(df: DataFrame, sizes: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens", ahead: bool = False) -> DataFrame:
+    """``(doc, gpos, token)`` with ``gpos`` counting from 0 over the whole corpus; ``ahead`` adds the token behind each as ``next``.
 
-
-def corpus_positions(df: DataFrame, sizes: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """``(doc, gpos, token)`` with ``gpos`` counting from 0 over the whole corpus."""
-    offs = corpus_offsets(sizes, doc=doc)
-    return (
-        df.select(doc, tokens)
-        .join(offs, doc)
-        .select(doc, "offset", F.posexplode(tokens).alias("p", "token"))
-        .select(doc, (F.col("offset") + F.col("p")).alias("gpos"), "token")
-    )
+    The next token stands in the same array but for the last of a document; that one gets the first token of the next
+    document that has any, over a join of one row for each document.
+    """
+    offs = running_sums(sizes, [], doc, {"offset": F.col("n")}, inclusive=False)
+    if not ahead:
+        flat = df.select(doc, tokens).join(offs.select(doc, "offset"), doc)
+        return flat.select(doc, "offset", F.posexplode(tokens).alias("p", "token")).select(doc, (F.col("offset") + F.col("p")).alias("gpos"), "token")
+    behind = offs.filter("n > 0").select(F.col("offset").alias("__end"), F.col("first").alias("__next"))
+    offs = offs.select(doc, "offset", (F.col("offset") + F.col("n")).alias("__end")).join(behind, "__end", "left").drop("__end")
+    t = F.col(tokens)
+    pair = F.arrays_zip(t.alias("token"), F.concat(F.slice(t, F.lit(2), F.size(t)), F.array("__next")).alias("next"))
+    flat = df.select(doc, tokens).join(offs, doc).filter(F.size(t) > 0).select(doc, "offset", F.posexplode(pair).alias("p", "z"))
+    return flat.select(doc, (F.col("offset") + F.col("p")).alias("gpos"), "z.token", "z.next")
 
 
-def chunk_tokens(df: DataFrame, n_ctx: int, max_chunks: int = -1, *, skip: int = 0, tokens: str = "tokens", doc: str = "doc_id") -> DataFrame:
-    """``(chunk, pos, gpos, token)`` of the whole chunks of ``n_ctx`` tokens; the tail is dropped.
+def chunk_tokens(df: DataFrame, n_ctx: int, max_chunks: int = -1, *, skip: int = 0, tokens: str = "tokens", doc: str = "doc_id", ahead: bool = False) -> DataFrame:
+    """``(chunk, pos, gpos, token)`` of the whole chunks of ``n_ctx`` tokens; the tail is dropped.  ``ahead`` adds ``next``.
 
     At least two chunks are required.  ``skip`` leaves out the first chunks.
     """
@@ -59,8 +61,8 @@ def chunk_tokens(df: DataFrame, n_ctx: int, max_chunks: int = -1, *, skip: int =
     if max_chunks >= 0:
         usable = min(usable, max_chunks)
     p = F.col("gpos") - skip * n_ctx
-    flat = corpus_positions(df, sizes, doc=doc, tokens=tokens).filter((p >= 0) & (p < usable * n_ctx))
-    return flat.select(F.floor(p / n_ctx).cast("long").alias("chunk"), (p % n_ctx).cast("int").alias("pos"), "gpos", "token")
+    flat = corpus_positions(df, sizes, doc=doc, tokens=tokens, ahead=ahead).filter((p >= 0) & (p < usable * n_ctx))
+    return flat.select(F.floor(p / n_ctx).cast("long").alias("chunk"), (p % n_ctx).cast("int").alias("pos"), "gpos", "token", *["next"] * ahead)
 
 
 def stride_windows(df: DataFrame, n_ctx: int, stride: int, *, tokens: str = "tokens", doc: str = "doc_id") -> DataFrame:
@@ -82,15 +84,13 @@ def _expand(flat: DataFrame, length: int, stride: int, n_win: int) -> DataFrame:
     first = F.greatest(F.lit(0).cast("long"), F.floor((g - length) / stride).cast("long") + 1)
     last = F.least(F.lit(n_win - 1).cast("long"), F.floor(g / stride).cast("long"))
     wins = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-    return flat.select("gpos", "token", F.explode(wins).alias("win")).select(
-        "win", (F.col("gpos") - F.col("win") * stride).cast("int").alias("pos"), "token"
-    )
+    more = [c for c in ("token", "next") if c in flat.columns]
+    return flat.select("gpos", *more, F.explode(wins).alias("win")).select("win", (F.col("gpos") - F.col("win") * stride).cast("int").alias("pos"), *more)
 
 
 def score_mask(chunks: DataFrame, n_ctx: int) -> DataFrame:
-    """Rows whose next token is predicted: the second half of each chunk, with its target."""
-    nxt = F.lead("token").over(Window.partitionBy("chunk").orderBy("pos"))
-    return chunks.withColumn("target", nxt).filter((F.col("pos") >= n_ctx // 2) & (F.col("pos") < n_ctx - 1))
+    """Rows whose next token is predicted: the second half of each chunk, with its target; chunks carry ``next``."""
+    return chunks.withColumnRenamed("next", "target").filter((F.col("pos") >= n_ctx // 2) & (F.col("pos") < n_ctx - 1))
 
 
 def with_bos(chunks: DataFrame, bos: int) -> DataFrame:
@@ -102,9 +102,8 @@ def train_windows(df: DataFrame, n_ctx: int, stride: int, *, tokens: str = "toke
     """``(win, pos, data, label)``: the label is the next token."""
     sizes, n = corpus_sizes(df, doc=doc, tokens=tokens)
     n_win = max(0, (n - n_ctx - 1) // stride)
-    rows = _expand(corpus_positions(df, sizes, doc=doc, tokens=tokens), n_ctx + 1, stride, n_win)
-    label = F.lead("token").over(Window.partitionBy("win").orderBy("pos"))
-    return rows.withColumn("label", label).filter(F.col("pos") < n_ctx).select("win", "pos", F.col("token").alias("data"), "label")
+    rows = _expand(corpus_positions(df, sizes, doc=doc, tokens=tokens, ahead=True), n_ctx, stride, n_win)
+    return rows.select("win", "pos", F.col("token").alias("data"), F.col("next").alias("label"))
 
 
 def common_prefix(*seqs) -> Column:

@@ -161,3 +161,12 @@ def test_unmapped_names_fail(spark):
     assert {r.tensor: r.mapped for r in rows} == {"model.layers.12.mlp.up_proj.weight": "blk.12.ffn_up.weight", "odd": None}
     with pytest.raises(Exception, match="no mapping"):
         W.map_tensor_names(df, rules).collect()
+
+
+def test_xxh64_of_tensors_and_files(spark):
+    import xxhash
+
+    df = spark.createDataFrame([("f", 0, "a", b"one"), ("f", 1, "b", b""), ("g", 0, "a", b"two")], "file string, idx int, tensor string, data binary")
+    got = {(r.file, r.tensor): r.hash for r in W.hash_tensors(df, ("xxh64",)).collect()}
+    assert got == {(f, t): xxhash.xxh64(d).hexdigest() for f, t, d in (("f", "a", b"one"), ("f", "b", b""), ("g", "a", b"two"))}
+    assert {r.file: r.hash for r in W.hash_files(df, ("xxh64",)).collect()} == {"f": xxhash.xxh64(b"one").hexdigest(), "g": xxhash.xxh64(b"two").hexdigest()}
