@@ -84,7 +84,7 @@ def test_a_tie_with_the_ratio_stays(make):
     hold = [(k, f"{unique(k, 3)}\nshared line", "site") for k in range(10)]
     rest = lambda n: [(100 + k, unique(100 + k, 4), "site") for k in range(n)]
     dropped = lambda rows: sum(r.n_dropped_lines for r in line_dedup.drop_lines(make(rows)).collect())
-    assert dropped(hold + rest(90)) == 0 and dropped(hold + rest(89)) == 10
+    assert dropped(hold + rest(190)) == 0 and dropped(hold + rest(189)) == 10
 
 
 # 2 secrets
