@@ -204,15 +204,15 @@ def _(t):
 
 @query(
     "t16_frequencies",
-    r"""WITH c AS (SELECT unnest(string_split(text, '')) AS ch FROM documents)
-SELECT ord(ch) + 1 AS token_id, count(*) AS cnt FROM c WHERE ord(ch) < 128 GROUP BY 1""",
+    r"""WITH b AS (SELECT unnest(regexp_extract_all(hex(encode(text)), '..')) AS b FROM documents)
+SELECT ('0x' || b)::INTEGER + 1 AS token_id, count(*) AS cnt FROM b GROUP BY 1""",
 )
 def _(t):
-    """Byte frequencies: a vocabulary of single bytes over distinct pieces; one-byte characters are checked."""
+    """Byte frequencies: a vocabulary of single bytes over distinct pieces."""
     v = tk.Vocab("rwkv", {chr(b): b + 1 for b in range(256)}, attrs={})
     lines = docs(t).select(F.explode(F.split("text", " ", -1)).alias("text"))
     blanks = docs(t).agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).alias("cnt"))
-    counts = tk.token_frequencies(lines, v).filter("token_id <= 128")
+    counts = tk.token_frequencies(lines, v)
     return counts.unionByName(blanks.select(F.lit(33).alias("token_id"), "cnt"))
 
 

@@ -204,3 +204,16 @@ def test_odd_directions_fail(spark):
         C.combine_directions(spark.createDataFrame([("f", "direction.0", [1.0], 1.0)], "file string, name string, vec array<double>, strength double")).collect()
     with pytest.raises(ValueError):
         C.assert_dims(spark.createDataFrame([("a", 1), ("a", 2)], "tensor string, dim int"))
+
+
+def test_a_task_with_too_many_answers_is_one_bad_row(spark):
+    import struct
+
+    text = lambda s: struct.pack("<I", len(s)) + s.encode()
+    few = struct.pack("<I", 2) + text("yes") + text("no") + struct.pack("<2i", 1, 0)
+    many = struct.pack("<I", 101) + text("x") * 101 + struct.pack("<101i", *[0] * 101)
+    raw = struct.pack("<III", 2, 0, 0) + text("good") + few + few + text("bad") + few + many
+    files = spark.createDataFrame([("f", bytearray(raw))], "path string, content binary")
+    rows = [(r.question, r.mode, r.answer_no, r.answer, r.label) for r in bf.parse_choices(files).collect()]
+    assert rows[:2] == [("good", "single", 0, "yes", 1), ("good", "single", 1, "no", 0)]
+    assert rows[6:] == [("bad", "multi", -1, None, None)] and len(rows) == 7
