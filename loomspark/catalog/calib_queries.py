@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loomspark.catalog.base import query
 from loomspark.catalog.function_queries import V, digest, sql_digest, vecs
-from loomspark.operators import calib as C
+from loomspark.operators import calib as C, hooks
 from loomspark.plans.prefix import running_sums
 
 ACT = "act AS (SELECT 'blk.' || l_suppkey % 5 || '.ffn' AS tensor, (l_partkey % 2)::INTEGER AS expert, l_orderkey AS row, l_linenumber AS col, l_quantity / 50 AS x FROM lineitem)"
@@ -42,6 +42,14 @@ def _(t):
     return C.select_activations(rows, process_output=True)
 
 
+@query("u2_observe", f"WITH {ACT} SELECT tensor, col, count(*) AS n, round(max(abs(x)), 9) AS top FROM act WHERE tensor IN ('blk.1.ffn', 'blk.3.ffn') AND expert = 1 GROUP BY ALL")
+def _(t):
+    """A user's callback: asked for each row's tensor, then handed the rows it wants."""
+    wanted = lambda df: df.tensor.isin("blk.1.ffn", "blk.3.ffn") & (df.expert == 1)
+    peaks = lambda df: df.groupBy("tensor", "col").agg(F.count("*").alias("n"), F.round(F.max(F.abs("x")), 9).alias("top"))
+    return hooks.observe(activations(t), wanted, peaks)
+
+
 @query("c3_importance_sums", f"WITH {ACT} SELECT tensor, expert, col, round(sum(x * x), 6) AS sum_sq, count(*) AS cnt FROM act GROUP BY ALL")
 def _(t):
     return C.importance_sums(activations(t)).withColumn("sum_sq", F.round("sum_sq", 6))

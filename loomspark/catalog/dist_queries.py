@@ -154,3 +154,16 @@ SELECT dist_id, token_id, round(e / sum(e) OVER (PARTITION BY dist_id), 9) AS p
 def _(t):
     out = D.chain(dists(t), {"top_k": {"k": 10}, "top_p": {"p": 0.95}, "min_p": {"p": 0.02}, "temperature": {"t": 0.8}})
     return out.select("dist_id", "token_id", F.round("p", 9).alias("p"))
+
+
+@query(
+    "u3_own_step",
+    f"""WITH {DISTS}, k AS (SELECT *, row_number() OVER (PARTITION BY dist_id ORDER BY logit DESC, token_id) AS r FROM dists),
+o AS (SELECT dist_id, token_id, logit FROM k WHERE r <= 10 AND token_id % 2 = 1), e AS (SELECT *, exp((logit - max(logit) OVER (PARTITION BY dist_id)) / 0.8) AS e FROM o)
+SELECT dist_id, token_id, round(e / sum(e) OVER (PARTITION BY dist_id), 9) AS p FROM e""",
+)
+def _(t):
+    """A step of the user's own between two named ones."""
+    odd = lambda df: df.filter("token_id % 2 = 1")
+    out = D.chain(dists(t), {"top_k": {"k": 10}, "temperature": {"t": 0.8}}, ("top_k", odd, "temperature"))
+    return out.select("dist_id", "token_id", F.round("p", 9).alias("p"))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.operators.windows import batches_of
@@ -23,6 +23,11 @@ def map_batches(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataF
     return df.mapInPandas(run, schema)
 
 
+def observe(df: DataFrame, ask: Callable[[DataFrame], Column], collect: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``collect`` makes of the rows that ``ask`` wants to see; rows nobody asks for are never read further."""
+    return collect(df.filter(F.coalesce(ask(df), F.lit(False))))
+
+
 def score_with(df: DataFrame, make: Callable[[], Callable[[list[str]], list]], out_type: str, *, key: str, text: str, name: str = "reply") -> DataFrame:
     """``(key, name)``: the user's model over every row; ``make`` builds it once per task."""
     key_type = df.schema[key].dataType.simpleString()
