@@ -167,3 +167,43 @@ def _(t):
     odd = lambda df: df.filter("token_id % 2 = 1")
     out = D.chain(dists(t), {"top_k": {"k": 10}, "temperature": {"t": 0.8}}, ("top_k", odd, "temperature"))
     return out.select("dist_id", "token_id", F.round("p", 9).alias("p"))
+
+
+def _soft(name: str, src: str) -> str:
+    own = "OVER (PARTITION BY dist_id)"
+    return f"{name}_e AS (SELECT dist_id, token_id, logit, exp(logit - max(logit) {own}) AS e FROM {src}), {name} AS (SELECT dist_id, token_id, logit, e / sum(e) {own} AS p, max(logit) {own} AS m, count(*) {own} AS n FROM {name}_e)"
+
+
+BY_LOGIT = "(PARTITION BY dist_id ORDER BY logit DESC, token_id)"
+
+
+@query(
+    "d18_default_chain",
+    f"""WITH {DISTS}, {HISTORY}, c AS (SELECT dist_id, tok AS token_id, count(*) AS c FROM (SELECT dist_id, unnest(h[-6:]) AS tok FROM hist) GROUP BY 1, 2),
+pen AS (SELECT dist_id, token_id, CASE WHEN c IS NULL THEN logit ELSE (CASE WHEN logit <= 0 THEN logit * 1.3 ELSE logit / 1.3 END) - (c * 0.2 + 0.1) END AS logit FROM dists LEFT JOIN c USING (dist_id, token_id)),
+hk AS (SELECT dist_id, h, unnest(range(1, 8)) AS k FROM hist),
+hz AS (SELECT dist_id, h[8 - k + 1] AS token_id, list_position(list_transform(range(0, 9 - k), lambda n: n < 8 - k AND h[8 - n] = h[8 - n - k]), false) - 1 AS z FROM hk),
+hr AS (SELECT dist_id, token_id, max(z) AS z FROM hz WHERE z >= 1 GROUP BY 1, 2),
+dried AS (SELECT dist_id, token_id, logit - CASE WHEN z IS NULL THEN 0 ELSE 0.8 * pow(1.75, z - 1) END AS logit FROM pen LEFT JOIN hr USING (dist_id, token_id)),
+sigma AS (SELECT dist_id, token_id, CASE WHEN logit < max(logit) OVER w - 2.0 * stddev_pop(logit) OVER w THEN '-infinity'::DOUBLE ELSE logit END AS logit FROM dried WINDOW w AS (PARTITION BY dist_id)),
+few AS (SELECT * FROM sigma QUALIFY row_number() OVER {BY_LOGIT} <= 12), {_soft('t0', 'few')},
+t1 AS (SELECT *, sum(CASE WHEN p > 0 THEN -p * ln(p) ELSE 0 END) OVER (PARTITION BY dist_id) AS h FROM t0),
+t2 AS (SELECT *, CASE WHEN p > 0 THEN abs(-ln(p) - h) ELSE 'infinity'::DOUBLE END AS s FROM t1),
+t3 AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY dist_id ORDER BY s, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cs, row_number() OVER (PARTITION BY dist_id ORDER BY s, token_id) AS rs FROM t2),
+t4 AS (SELECT dist_id, token_id, logit FROM t3 WHERE cs <= 0.95 OR rs = 1), {_soft('p0', 't4')},
+p1 AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY dist_id ORDER BY logit DESC, token_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c, row_number() OVER {BY_LOGIT} AS r FROM p0),
+p2 AS (SELECT dist_id, token_id, logit FROM p1 WHERE (c < 0.9 OR r = 1) AND logit >= m + ln(0.02)), {_soft('x0', 'p2')},
+x1 AS (SELECT *, row_number() OVER {BY_LOGIT} - 1 AS r, greatest(sum((p >= 0.2)::INTEGER) OVER (PARTITION BY dist_id) - 1, 0) AS last FROM x0),
+x2 AS (SELECT dist_id, token_id, exp((logit - m) / 0.8) AS e FROM x1 WHERE n < 2 OR r >= last)
+SELECT dist_id, token_id, round(e / sum(e) OVER (PARTITION BY dist_id), 9) AS p FROM x2""",
+)
+def _(t):
+    """All nine steps of the default order."""
+    past = history(t)
+    settings = {
+        "penalties": {"history": past, "last_n": 6, "repeat": 1.3, "freq": 0.2, "present": 0.1},
+        "dry": {"history": past, "multiplier": 0.8, "base": 1.75, "allowed": 1},
+        "top_n_sigma": {"n": 2.0}, "top_k": {"k": 12}, "typical": {"p": 0.95}, "top_p": {"p": 0.9}, "min_p": {"p": 0.02},
+        "xtc": {"probability": 1.0, "threshold": 0.2}, "temperature": {"t": 0.8},
+    }
+    return D.chain(dists(t), settings).select("dist_id", "token_id", F.round("p", 9).alias("p"))
