@@ -161,12 +161,18 @@ def messages_to_json(df: DataFrame, *, join_text: bool = False) -> DataFrame:
     return df.withColumn("message", F.when(~both, message)).withColumn("message_error", F.when(both, "cannot specify both content and content_parts"))
 
 
+def _first_keys(keys: DataFrame, order: str, n: int) -> DataFrame:
+    """The ``n`` first rows of a narrow table in ``order``, ranked over all tasks."""
+    return running_sums(keys, [], order, {"__i": F.lit(1).cast("long")}, inclusive=False).filter(F.col("__i") < n).drop("__i")
+
+
 def select_prompts(df: DataFrame, max_prompt: int, max_ctx: int, n: int, *, conv: str = "conv_id") -> DataFrame:
     """The first ``n`` usable prompts of ``(conv, n_turns, first_from, prompt, reply)``."""
     rows = df.filter((F.col("n_turns") >= 2) & (F.col("first_from") == "human"))
     rows = rows.withColumn("n_prompt", rough_pieces("prompt")).withColumn("n_reply", rough_pieces("reply"))
     ok = (F.col("n_prompt") >= 4) & (F.col("n_reply") >= 4) & (F.col("n_prompt") <= max_prompt) & (F.col("n_prompt") + F.col("n_reply") <= max_ctx)
-    return rows.filter(ok).select(conv, "prompt", "n_prompt", "n_reply").orderBy(conv).limit(n)
+    rows = rows.filter(ok).select(conv, "prompt", "n_prompt", "n_reply")
+    return rows.join(_first_keys(rows.select(conv), conv, n), conv, "left_semi")
 
 
 # ------------------------------------------------------------------ token prompts
@@ -253,8 +259,9 @@ def truncate_tokens(df: DataFrame, n: int = 2048, *, tokens: str = "tokens") ->
 
 
 def sample_tasks(df: DataFrame, n: int, *, key: str, seed: int = 1) -> DataFrame:
-    """``n`` rows drawn without replacement; the same rows on every run."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """``n`` rows drawn without replacement; the same rows on every run.  ``key`` tells rows apart."""
+    drawn = df.select(key, F.xxhash64(key, F.lit(seed)).alias("__drawn"))
+    return df.join(_first_keys(drawn, "__drawn", n), key, "left_semi")
 
 
 def split_by_position(df: DataFrame, frac: float = 0.95, *, key: str) -> DataFrame:
