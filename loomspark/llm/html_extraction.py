@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from loomspark.llm.common import map_rows, row_key
 from loomspark.plans.scratch import written
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
 NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|[\s"'/])(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
@@ -136,9 +136,6 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
             drop = False  # the title of an article may stand in a header of its own
         else:
             drop = dropped or noise or name in DROP
-        flush_needed = drop != dropped
-        if flush_needed and name not in INLINE:
-            flush()
         if m[3].endswith("/") and name not in ("a",) and m[3][-2:-1] in ("", " "):
             continue
         where.setdefault(name, []).append(len(stack))

@@ -180,6 +180,7 @@ def test_shared_lines_are_a_longest_common_subsequence():
         ('<html class="has-sidebar"><body class="comments-open"><article class="post comments-off"><p>x</p></article>', "x"),
         ("<p>a < b &lt;i&gt; &#233; &bogus;</p>", "a < b <i> é &bogus;"),
         ("<!-- c -->\n<style>p{}</style>", ""),
+        ("<p title=it's>one</p><p title='a>b'>two's</p>", "one two's"),
         ("plain", "plain"),
         (None, ""),
     ],
