@@ -6,6 +6,8 @@ Inside each bucket rows are cut into batches that stay within a token budget whe
 
 from __future__ import annotations
 
+from array import array
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,6 @@ from loomspark.plans.scratch import written
 
 BUCKETS = 8
 BUDGET = 16_384
-#: Lengths the histogram tells apart; beyond that many words, lengths are rounded up to a multiple.
-MAX_BINS = 65_536
 
 
 def bounds(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
@@ -31,10 +31,10 @@ def bounds(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
         upto.append(upto[-1] + n)
     size = len(lengths)
     cost: list[int | None] = [0] + [None] * size
-    backs: list[list[int]] = []
+    backs: list[array] = []
     for _ in range(min(buckets, size)):
         new: list[int | None] = [None] * (size + 1)
-        back = [0] * (size + 1)
+        back = array("l", [0]) * (size + 1)
         hull: list[tuple[int, int, int]] = []  # slope, start, end of the bucket before
         at = 0
         for j in range(1, size + 1):
@@ -73,14 +73,12 @@ def pack(docs: DataFrame, length: Column, doc_id: str = "doc_id", text: str = "t
     ``length`` is the number of tokens of a row; null counts as 0.  Rows are never cut or dropped: one that is longer than the budget
     is a batch of its own.  Order within a bucket is by length, id (null first) and a hash of the text; rows equal in all three
     are interchangeable.  An empty table gives an empty table; other columns are not read.  The driver sees the histogram
-    only, of at most MAX_BINS lengths; buckets of any size are ranked over all tasks.
+    only, one entry for each length that occurs: d different lengths need d * (d - 1) / 2 tokens at least, so ten billion
+    tokens have under 150,000 of them.  Buckets of any size are ranked over all tasks.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("__hash"))
     rows = written(rows, "lengths")  # texts are read once
-    longest = rows.agg(F.max("n_tokens")).first()[0] or 0
-    grain = max(1, -(-longest // MAX_BINS))
-    rounded = (F.ceil(F.col("n_tokens") / grain) * grain).cast("long")
-    histogram = [tuple(r) for r in rows.groupBy(rounded.alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    histogram = [tuple(r) for r in rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()]
     tops = bounds(histogram, buckets) or [0]
     limit = F.array(*[F.lit(t).cast("long") for t in tops])
     bucket = F.size(F.filter(limit, lambda t: t < F.col("n_tokens")))

@@ -152,6 +152,12 @@ def test_packing_rows(make, edge_rows):
     assert packing.pack(make([]), packing.word_length()).collect() == []
 
 
+def test_one_long_row_does_not_round_the_others(make):
+    lengths = [1, 2, 3, 5, 7, 11, 13, 400_000]
+    out = packing.pack(make([(n, "x" * n, "a") for n in lengths]), F.length("text")).collect()
+    assert sorted((r.n_tokens, r.bucket_len) for r in out) == [(n, n) for n in lengths]
+
+
 # 5 HTML extraction
 
 
