@@ -1,15 +1,16 @@
 """Secrets in texts: fixed patterns, and literals that an assignment gives to a sensitive name.
 
 The lexer walks over the assignment operators of a text.  Left of each it reads the target name, right of it the
-value: string literals and names, joined by ``+``.  Names of plain literals are constants, and a constant that is
-given to a sensitive name counts like the literal itself.  A literal is scored by the words of its target name
-and by its own shape.
+value: string literals and names, joined by ``+``.  Names of literals, and of what is joined from them, are constants, and
+a constant that is given to a sensitive name counts like the literal itself.  A value is scored by the words of its
+target name and by the shape of its terms, each alone and all joined; what is told are the spans of its literals.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -28,9 +29,11 @@ CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/%&|^-])=(?![=>~])|(?<!:):(?![:/=])")
 TARGET = re.compile(r"""(?:([A-Za-z_$][\w$.-]*)|["']([\w$. -]{1,80})["'])[\x20\t]*[\])]?[\x20\t]*$""", re.A)
 TERM = re.compile(r"""[\x20\t]*(?:[rbuf]{0,2}("(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)|([A-Za-z_$][\w$.]*+(?![\w("'\[+/=-]))|([^\s"'`,;(){}\[\]<>]+))""", re.A)
-PLUS = re.compile(r"[\x20\t]*[+][\x20\t]*(?=[\"'`A-Za-z_$])")
+PLUS = re.compile(r"[\x20\t]*[+](?:[\x20\t]*(?=[\"'`A-Za-z_$])|\s*(?=[\"'`]))")
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|0+|null|none|true|false|undefined|todo|n/?a)$|^(?:your|my|the|insert|replace|enter|example|sample|dummy|change)[-_ ]|[<>{}]|\$[({A-Za-z_]|%[({sd]")
+INNER = re.compile(r"(?i)[<>{}]|\$[({A-Za-z_]|%[({sd]")
+BEGINNING = re.compile(r"(?i)^(?:your|my|the|insert|replace|enter|example|sample|dummy|change)[-_ ]")
+PLACEHOLDER = re.compile(rf"(?i)^(?:x+|\*+|\.+|-+|0+|null|none|true|false|undefined|todo|n/?a)$|{BEGINNING.pattern[4:]}|{INNER.pattern[4:]}")
 
 #: Weight of a word, or of two words in a row, of a target name.
 SENSITIVE = {
@@ -52,14 +55,57 @@ def name_score(name: str) -> float:
     return score - 0.8 if parts and parts[-1] in ABOUT else score
 
 
+def _shape(counts: dict[str, int], length: int) -> float:
+    bits = -sum(n / length * math.log2(n / length) for n in counts.values())
+    kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in counts)
+    return (0.3 if bits >= 3 else 0.0) + (0.2 if kinds >= 2 else -0.2) - (0.6 if " " in counts else 0.0)
+
+
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret: 0 for a plain one, less for placeholders and prose, more for mixed and random ones."""
     if len(value) < 6 or PLACEHOLDER.search(value):
         return -1.0
-    counts = Counter(value)
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(f(c) for c in counts) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in counts)
-    return (0.3 if bits >= 3 else 0.0) + (0.2 if kinds >= 2 else -0.2) - (0.6 if " " in value else 0.0)
+    return _shape(Counter(value), len(value))
+
+
+class Value:
+    """A literal, or values joined.  It is scored as :func:`literal_score` scores its whole text, but from what is known of its
+    parts, so a name that grows by one literal a line costs the same at each."""
+
+    __slots__ = ("counts", "length", "head", "last", "inner", "span", "parts", "told")
+    HEAD = 16  # longer than any placeholder that is a word
+
+    def __init__(self, value: str = "", start: int = 0, end: int = 0):
+        self.counts, self.length, self.head, self.last = Counter(value), len(value), value[: self.HEAD], value[-1:]
+        self.inner, self.span, self.parts, self.told = bool(INNER.search(value)), (start, end), (), False
+
+    def plus(self, other: Value) -> Value:
+        out = Value()
+        out.counts, out.length = self.counts + other.counts, self.length + other.length
+        out.head, out.last = (self.head + other.head)[: self.HEAD] if self.length < self.HEAD else self.head, other.last or self.last
+        out.inner = self.inner or other.inner or bool(INNER.search(self.last + other.head[:1]))
+        out.parts = (self, other)
+        return out
+
+    def score(self) -> float:
+        if self.length < 6 or self.inner:
+            return -1.0
+        if self.length <= self.HEAD:
+            placeholder = PLACEHOLDER.search(self.head)
+        else:
+            placeholder = BEGINNING.match(self.head) or len(one := {c.lower() for c in self.counts}) == 1 and one <= set("x*.-0")
+        return -1.0 if placeholder else _shape(self.counts, self.length)
+
+    def tell(self, found: set[tuple[int, int]]) -> None:
+        """Adds the spans of the literals inside; each value is walked through once."""
+        todo = [self]
+        while todo:
+            v = todo.pop()
+            if not v.told:
+                v.told = True
+                todo += v.parts
+                if not v.parts:
+                    found.add(v.span)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -75,7 +121,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def assignments(text: str):
-    """(target name, literals as (value, start, end), names used) of each assignment, in order.
+    """(target name, terms as (value, start, end, kind)) of each assignment, in order; kind 1 is a quoted literal, 2 a name, 3 another bare value.
 
     A bare value is passed over as a whole; a quoted one may hold assignments of its own (connection strings).
     """
@@ -83,42 +129,86 @@ def assignments(text: str):
     while op:
         resume = op.end()
         left = TARGET.search(text[max(0, op.start() - LOOK_BACK) : op.start()])
-        literals, names, at = [], set(), op.end()
+        terms, at = [], op.end()
         while left and (m := TERM.match(text, at)):
             if m.lastindex == 1:
-                literals.append((m[1][1:-1], m.start(1) + 1, m.end(1) - 1))
+                terms.append((m[1][1:-1], m.start(1) + 1, m.end(1) - 1, 1))
             else:
-                literals.append((m[m.lastindex], m.start(m.lastindex), m.end(m.lastindex)))
-                if m.lastindex == 2:
-                    names.add(m[2])
+                terms.append((m[m.lastindex], m.start(m.lastindex), m.end(m.lastindex), m.lastindex))
                 resume = m.end()
             at = m.end()
             if not (plus := PLUS.match(text, at)):
                 break
             at = plus.end()
-        if literals:
-            yield left[1] or left[2], literals, names
+        if terms:
+            yield left[1] or left[2], terms
         op = OPERATOR.search(text, resume)
 
 
 def literal_spans(text: str) -> set[tuple[int, int]]:
     """Spans of the literals that reach a sensitive name, directly or through constants.
 
-    A constant is a name that was last given one literal, or another constant.
+    Names are resolved after the whole text is read: a name stands for what it was given last, or if that comes later, first.
+    One that has nothing, or only itself in a circle, is a bare value like any other.  Terms that are no constants have no
+    known text: they are scored alone, and the others are joined without them.
     """
     if "=" not in text and ":" not in text:
         return set()
-    constants: dict[str, tuple[str, int, int]] = {}
-    found = set()
-    for target, literals, names in assignments(text):
-        values = [constants.get(x[0], x) if x[0] in names else x for x in literals]
+    every = list(assignments(text))
+    given: dict[str, list[int]] = {}
+    for i, (target, _) in enumerate(every):
+        given.setdefault(target, []).append(i)
+
+    def source(i: int, name: str) -> int | None:
+        """The assignment that the name stands for in assignment ``i``."""
+        places = given.get(name)
+        if places is None:
+            return None
+        k = bisect_left(places, i)
+        if k:
+            return places[k - 1]
+        return places[0] if places[0] != i else None
+
+    values: dict[int, Value | None] = {}  # None where nothing is known
+    terms_of: dict[int, list[Value]] = {}
+    for first in range(len(every)):
+        todo = [first]
+        open_: set[int] = set()
+        while todo:
+            i = todo[-1]
+            if i in values:
+                todo.pop()
+                continue
+            sources = [source(i, t[0]) if t[3] == 2 else None for t in every[i][1]]
+            missing = [j for j in sources if j is not None and j not in values and j not in open_]
+            if i not in open_:
+                open_.add(i)
+                if missing:
+                    todo += missing
+                    continue
+            terms = every[i][1]
+            known: list[Value] = []
+            alone: list[Value] = []
+            for (value, start, end, kind), j in zip(terms, sources):
+                if (constant := values.get(j) if j is not None else None) is not None:
+                    known.append(constant)
+                elif kind == 1 or len(terms) == 1:
+                    known.append(Value(value, start, end))
+                else:
+                    alone.append(Value(value, start, end))
+            joined = None
+            for v in known:
+                joined = v if joined is None else joined.plus(v)
+            values[i] = joined
+            terms_of[i] = [*alone, *known, *([joined] if len(known) > 1 else [])]
+            todo.pop()
+    found: set[tuple[int, int]] = set()
+    for i, (target, _) in enumerate(every):
         weight = name_score(target)
         if weight > 0:
-            found |= {(s, e) for v, s, e in values if weight + literal_score(v) >= THRESHOLD}
-        if len(values) == 1:
-            constants[target] = values[0]
-        else:
-            constants.pop(target, None)
+            for v in terms_of[i]:
+                if weight + v.score() >= THRESHOLD:
+                    v.tell(found)
     return found
 
 
