@@ -26,13 +26,14 @@ NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-label|itemprop)\s*=\s*(?
 HIDDEN = re.compile(r"""(?:^|[\s"'/])(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 SPLIT_NAME = re.compile(r"[^a-z0-9]+")
 
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg object".split())
 DROP = RAW | frozenset("head nav header footer aside form button select option dialog menu label input canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "option": frozenset(["option"])}
-#: Words of class, id and role that mark an element as no article text.
+#: Words of class, id and role that mark an element as no article text.  A compound name that holds one, and a form, only make an
+#: element doubtful: what it holds is looked at before it is dropped.
 NOISE = frozenset(
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget widgets ad ads adv advert adverts advertisement "
     "advertising banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
@@ -45,47 +46,86 @@ OWN = frozenset("article post entry story content".split())
 MAIN = frozenset(["articlebody", "main"])
 
 
-def _is_noise(token: str, whole: bool) -> bool:
-    """Whether a class, id or role is a noise word, or unless ``whole``, holds one."""
+def _holds_noise(token: str) -> bool:
+    """Whether a class, id or role holds a noise word."""
     parts = [p for p in SPLIT_NAME.split(token) if p]
-    if whole or not parts or parts[0] in STATES:
-        return token in NOISE
-    if parts[0] in OWN and parts[-1] == "header":
+    if not parts or parts[0] in STATES or parts[0] in OWN and parts[-1] == "header":
         return False
     return any(p in NOISE for p in parts)
 
 
-def _attributes(element: str, tag_text: str) -> tuple[bool, bool]:
-    """(noise, article) as class, id, role and the like say."""
+def _attributes(element: str, tag_text: str) -> tuple[bool, bool, bool]:
+    """(noise, noise in a compound name, article) as class, id, role and the like say."""
     if HIDDEN.search(tag_text):
-        return True, False
-    noise = article = False
+        return True, False, False
+    noise = compound = article = False
     for name, *values in NAMED.findall(tag_text):
         tokens = "".join(values).lower().split()
-        noise |= any(_is_noise(t, element in ("article", "main")) for t in tokens)
+        noise |= any(t in NOISE for t in tokens)
+        compound |= element not in ("article", "main") and any(_holds_noise(t) for t in tokens)
         article |= name.lower() in ("role", "itemprop") and any(t in MAIN for t in tokens)
-    return noise, article
+    return noise, compound, article
+
+
+def _settled(found: list[tuple[str, bool, bool, int]], parents: list[int], holds: list[bool]) -> list[tuple[str, bool]]:
+    """The blocks that stay when the doubtful elements are judged, outer ones first and of equal depth the larger first.
+
+    One stays if it has most of the page's text, or if it holds an article or a main element and no text of such stands in what stays
+    so far.  Without most of the text its article marks do not count.
+    """
+    if not parents:
+        return [(text, inside) for text, inside, _, _ in found]
+    sizes, total, seen = [0] * len(parents), 0, False
+    bodies = [False] * len(parents)  # text of an article or main right inside
+    for text, _, body, d in found:
+        total += len(text)
+        if d >= 0:
+            sizes[d] += len(text)
+            bodies[d] |= body
+        else:
+            seen |= body
+    depths = []
+    for p in parents:
+        depths.append(depths[p] + 1 if p >= 0 else 0)
+    for d in range(len(parents) - 1, -1, -1):
+        if (p := parents[d]) >= 0:
+            sizes[p] += sizes[d]
+            holds[p] |= holds[d]
+    stays, most = [False] * len(parents), [False] * len(parents)
+    for d in sorted(range(len(parents)), key=lambda d: (depths[d], -sizes[d])):
+        p = parents[d]
+        if p >= 0 and not stays[p]:
+            continue
+        large = sizes[d] * 2 > total
+        stays[d] = large or holds[d] and not seen
+        most[d] = large and (p < 0 or most[p])
+        seen |= stays[d] and bodies[d]
+    return [(text, inside and (d < 0 or most[d])) for text, inside, _, d in found if d < 0 or stays[d]]
 
 
 def blocks(page: str | None) -> list[tuple[str, bool]]:
     """(text, inside the article) of each text block of a page in order; blanks are folded, empty blocks left out."""
     page = page or ""
-    out: list[tuple[str, bool]] = []
+    out: list[tuple[str, bool, bool, int]] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, in the article
-    dropped = inside = False
+    # Name, dropped, in the article, in an article or main, and the doubtful element around, as a place in ``parents``.
+    stack: list[tuple[str, bool, bool, bool, int]] = []
+    outermost = (False, False, False, -1)
+    dropped, inside, body, doubt = outermost
+    parents: list[int] = []  # the doubtful element around each doubtful one
+    holds: list[bool] = []  # whether it holds an article or main
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
-            out.append((text, inside))
+            out.append((text, inside, body, doubt))
 
     def pop_to(depth: int) -> None:
-        nonlocal dropped, inside
+        nonlocal dropped, inside, body, doubt
         flush()
         del stack[depth:]
-        dropped, inside = stack[-1][1:] if stack else (False, False)
+        dropped, inside, body, doubt = stack[-1][1:] if stack else outermost
 
     at, end = 0, len(page)
     where: dict[str, list[int]] = {}  # depths at which a name is open
@@ -109,13 +149,13 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
                 was = dropped
                 stack.pop()
                 open_at.pop()
-                dropped, inside = stack[-1][1:] if stack else (False, False)
+                dropped, inside, body, doubt = stack[-1][1:] if stack else outermost
                 if was and not dropped:
                     buffer.append(" ")
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
-            if not m[3].endswith("/") or name not in ("svg", "math"):
+            if not m[3].endswith("/") or name != "svg":
                 at = close.end() if close else end
             if name not in INLINE:
                 flush()
@@ -128,21 +168,31 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
                 pop_to(len(stack) - 1)
         if name in VOID:
             continue
-        noise, marked = _attributes(name, m[3]) if m[3] else (False, False)
+        noise, compound, marked = _attributes(name, m[3]) if m[3] else (False, False, False)
         if name in ("html", "body"):
-            noise = False
+            noise = compound = False
+        if name in INLINE:
+            noise, compound = noise or compound, False
         article = name == "article" or marked
         if name in HEADINGS and inside and any(s[0] == "header" for s in stack[-2:]) and not noise:
             drop = False  # the title of an article may stand in a header of its own
         else:
-            drop = dropped or noise or name in DROP
+            drop = dropped or noise or name in DROP and name != "form"
         if m[3].endswith("/") and name not in ("a",) and m[3][-2:-1] in ("", " "):
             continue
         where.setdefault(name, []).append(len(stack))
-        stack.append((name, drop, (inside or article) and not noise))
-        dropped, inside = stack[-1][1:]
+        around = doubt
+        if not drop and (compound or name == "form"):
+            parents.append(doubt)
+            holds.append(False)
+            around = len(parents) - 1
+        of_body = article or name == "main"
+        if of_body and not drop and around >= 0:
+            holds[around] = True
+        stack.append((name, drop, (inside or article) and not noise, (body or of_body) and not noise, around))
+        dropped, inside, body, doubt = stack[-1][1:]
     flush()
-    return out
+    return _settled(out, parents, holds)
 
 
 def line_key(text: str) -> int:

@@ -196,6 +196,24 @@ def test_blocks(spark, page, text):
     assert html_extraction.extract(pages).first()["text"] == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='content-sidebar-wrap'><article><p>story</p></article><div class='widget-area'>w</div></div>", "story"),
+        ("<div class='post-with-comments'><article><p>story</p></article><div class='post-comments'><article>reply</article></div></div>", "story"),
+        ("<div>chrome text that is longer than it</div><div class='layout-menu-left'><main><p>story</p></main></div>", "chrome text that is longer than it story"),
+        ("<form><div class='top-menu'>m</div><p>A page that stands in one form</p><input name=x></form>", "A page that stands in one form"),
+        ("<p>A long story of the page</p><form>search</form><div class='share-box'>s</div>", "A long story of the page"),
+        ("<article>long story</article><div class='related-posts'><article>card</article></div>", "long story"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>", "So x=2 holds"),
+    ],
+)
+def test_names_alone_do_not_drop_the_article(page, text):
+    found = html_extraction.blocks(page)
+    marked = any(i for _, i in found)
+    assert " ".join(t for t, i in found if i or not marked) == text
+
+
 def test_neighbours_lose_shared_lines(spark):
     row = lambda k, url, body: (k, url, f"<div>Home</div><div>About</div>{body}<div>Bottom</div>", "x")
     rows = [row(k, f"http://h.example/blog/{k}", f"<p>own {k}</p>") for k in range(40)]
