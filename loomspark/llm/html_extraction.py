@@ -4,7 +4,7 @@ Pages are ordered by host and URL path; a page is paired with whichever neighbou
 beginning of the path.  The text blocks ("lines") of both are aligned by a longest common subsequence, and blocks that both
 pages have are template and are deleted.  What the markup itself says goes first: blocks inside elements that never hold
 article text (menus, footers, forms, notices, adverts, comments ...) are not lines at all, and where a page
-marks its article, the blocks inside are the article's own even if a neighbour, say a copy, repeats them.
+marks its article, the blocks inside are the article's own even if a neighbour repeats them; blocks outside are compared.
 """
 
 from __future__ import annotations
@@ -284,8 +284,9 @@ def _reader():
 def _writer():
     def row(page_id, url, lines, mate):
         drop = shared([x["line"] for x in lines], mate) if mate else [False] * len(lines)
-        marked = any(x["inside"] for x in lines)
-        text = " ".join(x["text"] for x, d in zip(lines, drop) if x["inside"] or not marked and not d)
+        # A mate without a common line says nothing about the template; then a mark decides alone.
+        alone = any(x["inside"] for x in lines) and not any(drop)
+        text = " ".join(x["text"] for x, d in zip(lines, drop) if x["inside"] or not alone and not d)
         return page_id, url, text
 
     return row
@@ -303,7 +304,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     Null or empty html gives an empty text, and a null URL stands for a host of its own; null ids stay.
     Rows that repeat are pages like any others and give a row each.  Of two neighbours that are equally near the one before
-    is taken; a host with one page has nothing to compare with.  An empty table gives an empty table, and other
+    is taken; copies are passed over, so they never delete each other; a host of copies, or of one page, has nothing to compare with.  An empty table gives an empty table, and other
     columns are not read.  Only keys, paths and line hashes are dealt out by host and URL, in ranges, so a
     host of any size is spread over all tasks; a page meets the line hashes of one other page.
     """
@@ -311,19 +312,37 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     rows = pages.select(key.alias("key"), F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     # Texts are read twice, once for their hashes and once for themselves, and are written nowhere in between.
     read = written(map_rows(rows.select("key", "url", "html"), _hasher, "key string, host string, path string, lines array<long>"), "pages")
-    places = read.groupBy("host", "path", "key").agg(F.count(F.lit(1)).alias("times"))  # copies of a row are one place
+    places = read.groupBy("host", "path", "key").agg(F.first(F.xxhash64("lines")).alias("sequence"))  # copies of a row are one place
     order = ["host", "path", "key"]
+    place = F.struct(*order, "sequence")
+    # A page with the same lines says nothing either: a neighbour is the nearest of other lines, or of another host, where the search ends.
+    other = lambda a, b: (a["host"] != b["host"]) | (a["sequence"] != b["sequence"])
+
+    def nearest(beside, order_of):
+        """The nearest place before, in an order, that is other than each row's own; ``beside`` is the row just before."""
+        return F.last(beside, ignorenulls=True).over(order_of.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
     dealt = written(places.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "places")
-    inside = Window.partitionBy("part").orderBy(*order)
-    # At most two rows of each partition miss a neighbour; those meet in one place, one row for each partition's end.
-    ends = dealt.groupBy("part").agg(F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
-    across = Window.orderBy("part")
-    ends = ends.select("part", F.lag("last").over(across).alias("before_part"), F.lead("first").over(across).alias("after_part"))
-    near = dealt.withColumn("before", F.lag(F.struct(*order)).over(inside)).withColumn("after", F.lead(F.struct(*order)).over(inside))
+    # What misses a neighbour in its partition looks for it in the rows at the ends of the others, two for each end.
+    ends = dealt.groupBy("part").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    ends = dealt.join(F.broadcast(ends), "part").groupBy("part", "first", "last").agg(
+        F.max(F.when(other(place, F.col("last")), place)).alias("last_other"),
+        F.min(F.when(other(place, F.col("first")), place)).alias("first_other"),
+    )
+    up, down = Window.orderBy("part"), Window.orderBy(F.desc("part"))
+    ends = ends.withColumn("before_part", F.lag("last").over(up)).withColumn("after_part", F.lag("first").over(down))
+    beside = lambda c, own: F.when(other(F.col(c), F.col(own)), F.col(c))
+    ends = ends.withColumn("last_other", nearest(F.coalesce("last_other", beside("before_part", "last")), up))
+    ends = ends.withColumn("first_other", nearest(F.coalesce("first_other", beside("after_part", "first")), down))
+    ends = ends.select("part", "before_part", "after_part", F.lag("last_other").over(up).alias("before_other"), F.lag("first_other").over(down).alias("after_other"))
+    ways = {"before": Window.partitionBy("part").orderBy(*order), "after": Window.partitionBy("part").orderBy(*[F.desc(c) for c in order])}
+    near = dealt.withColumn("own", place)
+    for way, window in ways.items():
+        near = near.withColumn(way, F.lag("own").over(window))
+        near = near.withColumn(way, nearest(beside(way, "own"), window))
     near = near.join(F.broadcast(ends), "part").select(
         *order,
-        F.coalesce("before", "before_part").alias("before"),
-        F.coalesce("after", "after_part").alias("after"),
+        *[F.coalesce(way, F.when(other(F.col(f"{way}_part"), F.col("own")), F.col(f"{way}_part")).otherwise(F.col(f"{way}_other"))).alias(way) for way in ways],
     )
     score = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), _prefix(F.col(f"{c}.path"), F.col("path")))
     near = near.withColumn("s", score("before")).withColumn("t", score("after"))

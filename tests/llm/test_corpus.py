@@ -227,6 +227,22 @@ def test_neighbours_lose_shared_lines(spark):
     assert html_extraction.extract(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_copies_do_not_delete_each_other(spark, parts):
+    page = lambda body: f"<div>Home</div>{body}<div>Bottom</div>"
+    rows = [(k, f"http://h.example/a/{k:03d}", page("<p>same story</p>")) for k in range(30)]
+    rows += [(50, "http://h.example/a/zz", page("<p>other story</p>")), (60, "http://only.example/1", page("<p>s</p>")), (61, "http://only.example/2", page("<p>s</p>"))]
+    rows += [(70 + k, f"http://m.example/{k}", page(f"<div>story {k}</div><article class=teaser>card {k}</article>")) for k in range(3)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {k: "same story" for k in range(30)} | {50: "other story", 60: "Home s Bottom", 61: "Home s Bottom"} | {70 + k: f"story {k} card {k}" for k in range(3)}
+
+
 @pytest.mark.parametrize("page", ["<" * 50_000, "<b>" * 50_000, "<div>" * 50_000, "<b><p>" * 30_000, '<div class="' * 20_000, "<p>x" * 50_000])
 def test_odd_markup_ends(page):
     html_extraction.blocks(page)
