@@ -2,8 +2,9 @@
 
 Words become typed placeholders where a question can be re-parameterised: numbers, measures (a number with its unit), units
 behind a number, and names (words with a capital first letter that are not common sentence openers).  Windows of eight
-template words are joined by hash.  Where a document and an item meet, the values behind the placeholders are
-compared: along one alignment each value of the item has to stand for one value of the document.  A verbatim copy
+template words are joined by hash.  Where a document and an item meet, the names behind the placeholders are
+compared: along one alignment each name of the item has to stand for one name of the document, and windows with another one
+do not count, unless their words are equal.  Numbers are free, as one number may stand in two roles.  A verbatim copy
 passes with equal values, a re-parameterised question with replaced ones, a chance meeting fails.
 """
 
@@ -143,12 +144,24 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
         met = held.withColumn("own", own).select(*keys, F.explode_outer("own").alias("x")).select(*keys, "x.*").join(bench, "hash")
     # Equal templates, not only equal hashes; written so that it is looked at where hashes meet and not made a key of the join.
     met = met.filter((F.col("seen_template") <= F.col("template")) & (F.col("seen_template") >= F.col("template")))
+    lowered = lambda c: F.transform(c, F.lower)
+    same = lowered("words") == lowered("seen")
     pair = F.zip_with("words", "seen", lambda a, b: F.struct(F.lower(a).alias("item"), F.lower(b).alias("doc")))
-    slots = F.filter(pair, lambda p, i: F.startswith(F.get("template", i), F.lit("<")))
-    aligned = met.groupBy(*keys, "item_id", "n_windows", (F.col("place") - F.col("at")).alias("shift"))
-    aligned = aligned.agg(F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"), F.collect_set("at").alias("at"))
-    one_value = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda p: p["item"])))
-    found = aligned.filter(one_value).groupBy(*keys, "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_found"))
+    slots = F.filter(F.transform(pair, lambda p, i: F.struct((F.col("at") + i).alias("pos"), p["item"].alias("item"), p["doc"].alias("doc"))), lambda p, i: F.get("template", i) == "<p>")
+    window = F.struct("at", same.alias("same"), slots.alias("slots"))
+    aligned = met.groupBy(*keys, "item_id", "n_windows", (F.col("place") - F.col("at")).alias("shift")).agg(F.collect_list(window).alias("windows"))
+    # A name of the item stands for the value that most of its places have; of equal numbers for none.
+    value = lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))
+    aligned = aligned.withColumn("places", F.transform(F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))), value))
+    aligned = aligned.withColumn("values", F.array_distinct("places"))
+    counted = F.transform("values", lambda v: F.struct(v.alias("v"), F.size(F.filter("places", lambda p: p == v)).alias("n")))
+    one_value = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["item"])))
+    aligned = aligned.withColumn("counted", F.when(~one_value, counted).otherwise(F.array().cast("array<struct<v:struct<item:string,doc:string>,n:int>>")))
+    beaten = lambda x: F.exists("counted", lambda y: (y["v"]["item"] == x["v"]["item"]) & (y["v"]["doc"] != x["v"]["doc"]) & (y["n"] >= x["n"]))
+    aligned = aligned.withColumn("bad", F.transform(F.filter("counted", beaten), lambda x: x["v"]))
+    stays = lambda w: w["same"] | ~F.exists(w["slots"], lambda p: F.array_contains("bad", value(p)))
+    left = aligned.select(*keys, "item_id", "n_windows", F.transform(F.filter("windows", stays), lambda w: w["at"]).alias("at"))
+    found = left.groupBy(*keys, "item_id", "n_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_found"))
     enough = (F.col("n_found") * 100 >= F.col("n_windows") * MIN_SHARE_PERCENT) | (F.col("n_found") >= MIN_WINDOWS)
     back = F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id")
     return found.filter(enough).select(back, "text_hash", "item_id", "n_found", "n_windows")

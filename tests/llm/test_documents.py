@@ -263,6 +263,15 @@ def test_inconsistent_slots_are_no_finding(spark, make):
     assert {r.doc_id for r in got} == {2, 3}
 
 
+def test_one_other_value_leaves_the_rest(spark, make):
+    long = f"Alice went to the market {unique(1, 30)} and there Alice met her old friend {unique(2, 20)}"
+    pens = "She buys 3 pens and 3 books at the shop for her sister and pays them"
+    items = spark.createDataFrame([(1, long), (2, pens)], "item_id long, text string")
+    docs = [(1, long.replace("there Alice", "there Bob"), "a"), (2, pens.replace("3 pens", "4 pens").replace("3 books", "7 books"), "a"), (3, unique(9, 60), "a")]
+    got = {(r.doc_id, r.item_id): (r.n_found, r.n_windows) for r in decontamination.find(make(docs), items).collect()}
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1][0] >= 40 and got[2, 2][0] == got[2, 2][1]
+
+
 def test_decontamination_of_empty_tables(spark, make):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame(ITEMS, "item_id long, text string")
