@@ -2,7 +2,7 @@
 
 Words become typed placeholders where a question can be re-parameterised: numbers, measures (a number with its unit), units
 behind a number, and names (words with a capital first letter that are not common sentence openers).  Windows of eight
-template words are joined by hash.  Where a document and an item meet, the names behind the placeholders are
+template words are joined by hash, and beside them windows of the words as they are, in lower case.  Where a document and an item meet, the names behind the placeholders are
 compared: along one alignment each name of the item has to stand for one name of the document, and windows with another one
 do not count, unless their words are equal.  Numbers are free, as one number may stand in two roles.  A verbatim copy
 passes with equal values, a re-parameterised question with replaced ones, a chance meeting fails.
@@ -68,9 +68,10 @@ def _plain(words: Column) -> Column:
 
 
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, size, at, hash, words, template, n_windows): the windows of each item that hold enough plain words.
+    """(item_id, size, at, words, template, n_windows, hash, form): the windows of each item.
 
-    An item shorter than a window is one window of its own size.  Rows that share an id are windows of one item.
+    A window is looked for as its words in lower case and, if it holds enough plain words, as its template too; ``form`` is
+    what the hash is of, and a window has a row for each of its forms.  An item shorter than a window is one window of its own size.  Rows that share an id are windows of one item.
     """
     rows = items.select(F.col(item_id).cast("long").alias("item_id"), tokens(F.col(text)).alias("words"))
     rows = rows.withColumn("template", templates(F.col("words")))
@@ -78,17 +79,21 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
 
     def cut(size):
         part = lambda c, i: F.slice(c, i + 1, F.lit(size)).alias(c)
-        return F.transform(_starts(F.size("template"), size), lambda i: F.struct(i.alias("at"), _hash(F.col("template"), i, size).alias("hash"), part("words", i), part("template", i)))
+        return F.transform(_starts(F.size("template"), size), lambda i: F.struct(i.alias("at"), part("words", i), part("template", i)))
 
     parts = []
     for size in range(1, WINDOW + 1):
         own = rows.filter(F.size("template") >= size) if size == WINDOW else rows.filter(short & (F.size("template") == size))
         each = own.select("item_id", F.explode_outer(cut(size)).alias("x")).select("item_id", F.lit(size).alias("size"), "x.*")
-        parts.append(each.filter(_plain(F.col("template")) * WINDOW >= MIN_PLAIN * size))
+        dense = _plain(F.col("template")) * WINDOW >= MIN_PLAIN * size
+        forms = F.array_distinct(F.array(F.transform("words", F.lower), F.when(dense, F.col("template")).otherwise(F.transform("words", F.lower))))
+        each = each.select("*", F.explode_outer(forms).alias("form"))
+        parts.append(each.withColumn("hash", _hash(F.col("form"), F.lit(0), size)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    totals = out.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    own = F.transform("words", F.lower) == F.col("form")  # each window has this form once
+    totals = out.groupBy("item_id").agg(F.count(F.when(own, 1)).alias("n_windows"))
     return out.join(totals, "item_id")
 
 
@@ -96,7 +101,7 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
     """doc_id, text_hash, item_id, n_found and n_windows (windows of the item found, and in all) of each item a document holds.
 
     Only documents with a finding have rows, one for each item; rows that repeat count as one document; null ids
-    stay; null and empty texts hold nothing, and an item without words, or of placeholders only, is never found.  A share that ties with the
+    stay; null and empty texts hold nothing, and an item without words is never found; one of placeholders is found by its words only.  A share that ties with the
     limit is a finding.  Empty tables give an empty table; other columns are not read.  Item windows are broadcast while
     they are few, else both sides are shuffled by hash; what is joined further grows with the findings.
     """
@@ -120,19 +125,21 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
         part = lambda c, b: F.slice(c, b + 1, F.lit(PIECE + WINDOW - 1)).alias(c)
         pieces = F.transform(base, lambda b: F.struct(b.alias("base"), part("words", b), part("template", b)))
         cut = rows.withColumn("pieces", pieces).select(*keys, F.explode_outer("pieces").alias("p")).select(*keys, "p.base", "p.words", "p.template")
+        lowered = cut.withColumn("low", F.transform("words", F.lower))
         places = F.flatten(F.array(*[of_size(size) for size in sizes or [WINDOW]]))
-        return cut.withColumn("places", places).select(*cut.columns, F.explode_outer("places").alias("x")).select(*cut.columns, "x.size", "x.place", "x.hash")
+        return lowered.withColumn("places", places).select(*cut.columns, F.explode_outer("places").alias("x")).select(*cut.columns, "x.size", "x.place", "x.hash")
 
     def of_size(size):
         first = F.slice(_starts(F.size("template"), size), 1, PIECE)  # a window belongs to the piece that it begins in
-        return F.transform(first, lambda i: F.struct(F.lit(size).alias("size"), i.alias("place"), _hash(F.col("template"), i, size).alias("hash")))
+        spot = lambda c: F.transform(first, lambda i: F.struct(F.lit(size).alias("size"), i.alias("place"), _hash(F.col(c), i, size).alias("hash")))
+        return F.concat(spot("template"), spot("low"))  # a window that is met by both counts once
 
     rows = read(texts).select(*keys, "words", "template")
     if few:
         # In one pass: a window meets the items in memory, and only where it does are its words cut out of its piece.
         met = spots(rows).alias("d").join(F.broadcast(bench).alias("b"), "hash")  # the hash holds the size
         cut = lambda c: F.slice(f"d.{c}", F.col("place") + 1, F.col("d.size"))
-        met = met.select(*keys, (F.col("base") + F.col("place")).alias("place"), "item_id", "n_windows", "at", "b.words", "b.template", cut("words").alias("seen"), cut("template").alias("seen_template"))
+        met = met.select(*keys, (F.col("base") + F.col("place")).alias("place"), "item_id", "n_windows", "at", "b.words", "b.template", "b.form", cut("words").alias("seen"), cut("template").alias("seen_template"))
     else:
         # In two: hashes are shuffled to the items, and the documents that met one are read once more for their words.
         narrow = spots(rows).select(*keys, "size", (F.col("base") + F.col("place")).alias("place"), "hash")
@@ -142,9 +149,9 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "d
         cut = lambda c, x: F.slice(c, x["place"] + 1, x["size"])
         own = F.transform("xs", lambda x: F.struct(x["place"].alias("place"), x["hash"].alias("hash"), cut("words", x).alias("seen"), cut("template", x).alias("seen_template")))
         met = held.withColumn("own", own).select(*keys, F.explode_outer("own").alias("x")).select(*keys, "x.*").join(bench, "hash")
-    # Equal templates, not only equal hashes; written so that it is looked at where hashes meet and not made a key of the join.
-    met = met.filter((F.col("seen_template") <= F.col("template")) & (F.col("seen_template") >= F.col("template")))
+    # Equal forms, not only equal hashes.
     lowered = lambda c: F.transform(c, F.lower)
+    met = met.filter((F.col("seen_template") == F.col("form")) | (lowered("seen") == F.col("form")))
     same = lowered("words") == lowered("seen")
     pair = F.zip_with("words", "seen", lambda a, b: F.struct(F.lower(a).alias("item"), F.lower(b).alias("doc")))
     slots = F.filter(F.transform(pair, lambda p, i: F.struct((F.col("at") + i).alias("pos"), p["item"].alias("item"), p["doc"].alias("doc"))), lambda p, i: F.get("template", i) == "<p>")

@@ -272,6 +272,18 @@ def test_one_other_value_leaves_the_rest(spark, make):
     assert set(got) == {(1, 1), (2, 2)} and got[1, 1][0] >= 40 and got[2, 2][0] == got[2, 2][1]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_verbatim_items_of_few_plain_words(spark, make, few):
+    texts = ["Solve 3x + 5 = 20 for x.", "Compute 12 + 45 - 7 * 3 / 9.", "Alice Bob Carol Dave Erin Frank Grace Heidi Ivan", "Then Alice asked Bob about Carol and Dave told Erin of the Berlin trip"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    pad = unique(3, 20)
+    docs = [(10 * k + j, f"{pad} {t} {pad}", "a") for k, text in enumerate(texts) for j, t in enumerate((text, text.lower(), text.upper()))]
+    docs.append((99, f"{pad} Zoe Yan Xu Will Vera Uma Tom Sam Rob {pad}", "a"))
+    found = decontamination.find(make(docs), items, broadcast_rows=decontamination.BROADCAST_ROWS if few else 0).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(10 * k + j, k) for k in range(4) for j in range(3)}
+    assert all(r.n_found == r.n_windows for r in found)
+
+
 def test_decontamination_of_empty_tables(spark, make):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame(ITEMS, "item_id long, text string")
