@@ -89,3 +89,23 @@ def ranked(df: DataFrame, order: Sequence[str], name: str, what: str, within: Se
     local = placed.withColumn("__local", F.row_number().over(inside) - 1)
     joined = local.alias("l").join(totals.alias("r"), on)
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("__local") + F.col("__before")).alias(name))
+
+
+#: A key of more than one row in this many is hot; so there are fewer hot keys than this, whatever the table.
+HOT_ONE_IN = 1000
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``left`` joined to its row of ``right``, in which ``keys`` are unique and not null; rows without one go.
+
+    Keys that hold more than a thousandth of ``left`` are counted first; there are fewer than a thousand of them by
+    definition, so their rows of ``right`` are broadcast.  No key of the rest can fill a task of the shuffle.
+    ``left`` is read three times, so give a written table.
+    """
+    keys = list(keys)
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = written(counts.filter(F.col("__n") * HOT_ONE_IN > left.count()).select(*keys), what)
+    rare = left.join(F.broadcast(hot), keys, "left_anti").join(right, keys)
+    if hot.isEmpty():
+        return rare
+    return rare.unionByName(left.join(F.broadcast(right.join(F.broadcast(hot), keys, "left_semi")), keys))

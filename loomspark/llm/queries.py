@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import common, decontamination, html_extraction, line_dedup, packing, pii, quality_rules, secret_scans, sharding, simhash, token_counts
+from loomspark.llm import chat_format, common, decontamination, html_extraction, line_dedup, manifest, packing, pii, quality_rules, secret_scans, sharding, simhash, token_counts, whitening
 from loomspark.session import apply_runtime_conf
 
 
@@ -68,9 +68,28 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.word_length())
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+#: A conversation whose texts are marks of the template themselves.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.formatted(rows.unionByName(marked)))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents")).drop("tampered", "segments")
+
+
 OPERATORS = (
     op1_quality_rules, op2_secret_scans, op3_simhash, op4_sharding, op5_html_extraction,
     op6_line_dedup, op7_decontamination, op8_token_counts, op9_packing, op10_pii,
+    op11_embedding_whitening, op12_chat_format, op13_merkle_manifest,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 ORACLES: dict[str, str] = {
