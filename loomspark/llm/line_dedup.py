@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.site_lines import HAS_WORD, SQL, document_counts, host_sizes, line_hash, lines_of
+from loomspark.llm.site_lines import HAS_WORD, SQL, document_counts, host_of, host_sizes, line_hash, lines_of
 from loomspark.plans.scratch import written
 
 #: A line goes if its pages are more than this share of the host's pages, and it stands on this many pages.
@@ -16,39 +16,39 @@ MIN_PAGES = 10
 def boilerplate(docs: DataFrame, text: str, host: str) -> DataFrame:
     """(host, line) over the ratio, as a written table whose size the planner knows."""
     counts = document_counts(docs, text, host).filter(F.col("n_docs") >= MIN_PAGES)
-    over = counts.join(host_sizes(docs, host), "host").filter(F.col("n_docs") * 100 > F.col("host_docs") * MAX_RATIO_PERCENT)
+    over = counts.join(host_sizes(docs, text, host), "host").filter(F.col("n_docs") * 100 > F.col("host_docs") * MAX_RATIO_PERCENT)
     return written(over.select("host", "line"), "boilerplate")
 
 
 def drop_lines(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``text`` without its boilerplate lines, and n_lines (with a word) and n_dropped_lines beside it.
 
-    Rows keep all their columns; of columns named n_lines or n_dropped_lines the new ones stay.  A null text stays null and has no
-    lines; an empty one and one without boilerplate stay as they are, and so does a line that ties with the ratio; a null host is one
-    host of its own; null ids are a key like others; rows that repeat are pages like others and are each cleaned alike; an
-    empty table gives an empty table.  Texts are shuffled once, by row; a site of any size is spread.
+    Rows keep all their columns, whatever their names; of columns named n_lines or n_dropped_lines, in any case of letters, the new
+    ones stay.  A null text stays null and has no lines; an empty one and one without boilerplate stay as they are, and
+    so does a line that ties with the ratio; a null host is one host of its own; null ids are a key like others; rows
+    that repeat are each cleaned alike and, as copies, count as one page; an empty table gives an empty table.  Texts are
+    shuffled once, by row; a site of any size is spread.
     """
-    clash = {"n_lines", "n_dropped_lines"}
-    rows = docs.drop(*clash & set(docs.columns))
-    names = rows.columns
-    rows = rows.withColumns({
-        "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))),
-        "__host": F.coalesce(F.col(host).cast("string"), F.lit("")),
-        "__hash": F.coalesce(F.xxhash64(text), F.lit(0)),
-    })
-    keys = ["__id", "__host", "__hash"]
-    numbered = F.transform(lines_of(F.col(text)), lambda x, i: F.struct(i.alias("at"), F.when(x.rlike(HAS_WORD), line_hash(x)).alias("line")))
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped_lines")]
+    body = F.col(f"row.`{text}`")
+    rows = docs.select(
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(1 << 63))).alias("id"),
+        host_of(host),
+        F.coalesce(F.xxhash64(F.col(f"`{text}`")), F.lit(0)).alias("hash"),
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),  # own columns cannot clash with those inside
+    )
+    keys = ["id", "host", "hash"]
+    numbered = F.transform(lines_of(body), lambda x, i: F.struct(i.alias("at"), F.when(x.rlike(HAS_WORD), line_hash(x)).alias("line")))
     each = rows.select(*keys, numbered.alias("x")).select(*keys, F.explode_outer("x").alias("x")).select(*keys, "x.at", "x.line")
-    bad = boilerplate(docs, text, host).withColumnRenamed("host", "__host")
-    dropped = each.filter("line IS NOT NULL").join(bad, ["__host", "line"]).groupBy(*keys).agg(F.collect_set("at").alias("__drop"))
+    dropped = each.filter("line IS NOT NULL").join(boilerplate(docs, text, host), ["host", "line"]).groupBy(*keys).agg(F.collect_set("at").alias("drop"))
     met = rows.join(dropped, keys, "left")
-    worded = F.size(F.filter(lines_of(F.col(text)), lambda x: x.rlike(HAS_WORD)))
-    left = F.array_join(F.filter(lines_of(F.col(text)), lambda x, i: ~F.array_contains("__drop", i)), "\n")
-    out = {text: F.when(F.col("__drop").isNull(), F.col(text)).otherwise(left)}
+    worded = F.size(F.filter(lines_of(body), lambda x: x.rlike(HAS_WORD)))
+    left = F.array_join(F.filter(lines_of(body), lambda x, i: ~F.array_contains("drop", i)), "\n")
+    cleaned = F.when(F.col("drop").isNull(), body).otherwise(left)
     return met.select(
-        *[out[c].alias(c) if c == text else F.col(c) for c in names],
-        F.when(F.col(text).isNull(), 0).otherwise(worded).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped_lines"),
+        *[cleaned.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names],
+        F.when(body.isNull(), 0).otherwise(worded).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped_lines"),
     )
 
 

@@ -52,7 +52,7 @@ def base_figures(docs: DataFrame, text: str = "text") -> DataFrame:
 def common_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     """(host, line) over the limits, as a written table whose size the planner knows."""
     counts = document_counts(docs, text, host).filter(F.col("n_docs") > MAX_DOCS)
-    over = counts.join(host_sizes(docs, host), "host").filter(F.col("n_docs") * 100 > F.col("host_docs") * MAX_SHARE_PERCENT)
+    over = counts.join(host_sizes(docs, text, host), "host").filter(F.col("n_docs") * 100 > F.col("host_docs") * MAX_SHARE_PERCENT)
     return written(over.select("host", "line"), "common-lines")
 
 

@@ -1,8 +1,8 @@
 """Lines of a site: how many of its documents hold each line.
 
-A document counts once for a line, and copies of a document count as one: documents that agree in their sketch, the
-smallest line hash beside the line in question, are one document.  A page that was copied a thousand times does not make
-its own lines look like boilerplate this way, while a line that stands in many different documents does.
+A document counts once for a line, and exact copies of a document count as one: documents of a host with the same text are
+one document, for a line and for the host alike.  A page that was copied a thousand times does not make its own lines look
+like boilerplate this way, while a line that stands in many different documents does.
 """
 
 from __future__ import annotations
@@ -37,25 +37,32 @@ def hashed(text: Column) -> Column:
     return F.transform(worded, lambda x: F.struct(line_hash(x).alias("line"), F.size(words(x)).alias("words")))
 
 
+def host_of(host: str) -> Column:
+    """A null host is the host of those without one."""
+    return F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host")
+
+
+def document_of(text: str) -> Column:
+    """What copies of a document share: a hash of its whole text."""
+    return F.coalesce(F.xxhash64(F.col(f"`{text}`")), F.lit(0)).alias("document")
+
+
 def document_counts(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """(host, line, n_docs) of every line of every host; a null host is the host of those without one.
+    """(host, line, n_docs) of every line of every host: its different documents.
 
-    Distinct sketches are counted in two steps, so a line that a whole site shares is summed before it is dealt out
+    Distinct documents are counted in two steps, so a line that a whole site shares is summed before it is dealt out
     and no task gets all its documents.
     """
-    first = docs.select(
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
-        F.sort_array(F.array_distinct(F.transform(F.filter(lines_of(F.col(text)), lambda x: x.rlike(HAS_WORD)), line_hash))).alias("hashes"),
-    )
-    lowest = first.select("host", "hashes", F.get("hashes", F.lit(0)).alias("low"), F.coalesce(F.get("hashes", F.lit(1)), F.lit(b"")).alias("next"))
+    worded = F.filter(lines_of(F.col(f"`{text}`")), lambda x: x.rlike(HAS_WORD))
+    first = docs.select(host_of(host), document_of(text), F.array_distinct(F.transform(worded, line_hash)).alias("hashes"))
     # The outer form, here as in the other operators: for a plain explode the planner adds a filter that works out the whole array once more.
-    each = lowest.select("host", "low", "next", F.explode_outer("hashes").alias("line")).filter("line IS NOT NULL")
-    each = each.select("host", "line", F.when(F.col("line") == F.col("low"), F.col("next")).otherwise(F.col("low")).alias("sketch"))
-    return each.groupBy("host", "line", "sketch").agg(F.lit(1).alias("__one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
+    each = first.select("host", "document", F.explode_outer("hashes").alias("line")).filter("line IS NOT NULL")
+    return each.groupBy("host", "line", "document").agg(F.lit(1).alias("__one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def host_sizes(docs: DataFrame, host: str) -> DataFrame:
-    return docs.groupBy(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
+def host_sizes(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """(host, host_docs): different documents of a host, counted in two steps too."""
+    return docs.select(host_of(host), document_of(text)).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
 
 
 # The same for DuckDB, over a table ``documents``; line hashes are hexadecimal there.
@@ -64,7 +71,6 @@ SQL = r"""WITH ls AS (SELECT doc_id, coalesce(source, '') AS host, unnest(string
 hl AS (SELECT doc_id, host, idx, line, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words,
     left(md5(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')))), 16) AS h
   FROM ls WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-dl AS (SELECT DISTINCT doc_id, host, h FROM hl),
-lowest AS (SELECT doc_id, min(h) AS low, coalesce(list_sort(list(h))[2], '') AS nxt FROM dl GROUP BY doc_id),
-counts AS (SELECT host, h, count(DISTINCT CASE WHEN h = low THEN nxt ELSE low END) AS n_docs FROM dl JOIN lowest USING (doc_id) GROUP BY host, h),
-sizes AS (SELECT coalesce(source, '') AS host, count(*) AS host_docs FROM documents GROUP BY 1)"""
+units AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(md5(text), '') AS unit FROM documents),
+counts AS (SELECT hl.host, h, count(DISTINCT unit) AS n_docs FROM hl JOIN units USING (doc_id) GROUP BY hl.host, h),
+sizes AS (SELECT host, count(DISTINCT unit) AS host_docs FROM units GROUP BY host)"""
