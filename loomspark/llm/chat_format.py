@@ -588,3 +588,16 @@ def read_back(pieces: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=READ)
 
     return pieces.mapInArrow(run, READ_DDL)
+
+
+def oracle(own_rows: str) -> str:
+    """DuckDB: what ``read_back`` finds in the formatted ``conversations`` and ``own_rows``; an escape is one more character."""
+    control = "(" + "|".join(rf"{re.escape(c[0])}\\*{re.escape(c[1:])}" for c in CONTROLS) + ")"
+    chars = lambda x: f"length({x}) + len(regexp_extract_all({x}, '{control}'))"
+    marks = " ".join(f"WHEN '{r}' THEN {len(a) + len(b)} + {chars('text')}" for r, (a, b) in MARKS.items())
+    return rf"""WITH rows_ AS (SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL {own_rows}))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  ({len(BEGIN)} + sum(CASE role {marks} ELSE {sum(map(len, OTHER))} + {chars('role')} + {chars('text')} END))::BIGINT AS formatted_chars
+FROM rows_ GROUP BY conv_id"""

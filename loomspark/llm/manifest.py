@@ -186,3 +186,47 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
         "segments",
     )
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"), "tampered", "segments")
+
+
+# The same for DuckDB, over a table ``documents``.  Trees of one node are handed on as they are, so all have one height there.
+SQL_LEVELS, SQL_TOP_LEVELS = 6, 4
+
+
+def _sql_level(table: str, k: int) -> str:
+    """Runs of level k of the trees of ``table``, and the nodes above them."""
+    return f"""{table}_r{k} AS (SELECT tree, idx // {ARITY} AS run, list(d ORDER BY idx) AS ds, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {table}_{k}) GROUP BY tree, run),
+{table}_{k + 1} AS (SELECT tree, run AS idx, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d FROM {table}_r{k})"""
+
+
+def _sql_hop(name: str, source: str, table: str, k: int, tree: str, place: str) -> str:
+    """Proof and folded digest, one level on."""
+    at = f"({place} // {ARITY**k}) % {ARITY}"
+    left, right = f"array_to_string(ds[1 : {at}], '')", f"array_to_string(ds[{at} + 2 :], '')"
+    return f"""{name} AS (SELECT p.* EXCLUDE (proof, folded), CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof, CASE WHEN n = 1 THEN folded ELSE sha256({left} || folded || {right}) END AS folded
+  FROM {source} p JOIN {table}_r{k} r ON r.tree = p.{tree} AND r.run = p.{place} // {ARITY ** (k + 1)})"""
+
+
+def _sql() -> str:
+    value = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    first = " || ".join(value(c) for c in FIELDS[:-1])
+    lowered = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    step = "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), {step}), 4294967295)"
+    parts = [
+        f"""rows_ AS (SELECT doc_id, coalesce('s' || source, '') AS tree, sha256({first} || {value('text')}) AS leaf,
+  CASE WHEN {crc} % {TAMPER_EVERY} = 0 THEN sha256({first} || {value(lowered)}) END AS changed FROM documents)""",
+        "leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM rows_)",
+        "own_0 AS (SELECT tree, idx, leaf AS d FROM leaves)",
+        *[_sql_level("own", k) for k in range(SQL_LEVELS)],
+        f"subs AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS place FROM own_{SQL_LEVELS})",
+        "top_0 AS (SELECT 0 AS tree, place AS idx, d FROM subs)",
+        *[_sql_level("top", k) for k in range(SQL_TOP_LEVELS)],
+        "path_0 AS (SELECT doc_id, tree, idx, leaf, '' AS proof, coalesce(changed, leaf) AS folded FROM leaves)",
+        *[_sql_hop(f"path_{k + 1}", f"path_{k}", "own", k, "tree", "idx") for k in range(SQL_LEVELS)],
+        f"up_0 AS (SELECT p.*, s.d AS subroot, s.place, 0 AS top FROM path_{SQL_LEVELS} p JOIN subs s USING (tree))",
+        *[_sql_hop(f"up_{k + 1}", f"up_{k}", "top", k, "top", "place") for k in range(SQL_TOP_LEVELS)],
+    ]
+    return "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, t.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.d AS verified FROM up_{SQL_TOP_LEVELS} CROSS JOIN top_{SQL_TOP_LEVELS} t"
+
+
+ORACLE = _sql()

@@ -97,4 +97,6 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_decontamination": decontamination.ORACLE,
     "op9_packing": packing.ORACLE,
+    "op12_chat_format": chat_format.oracle(f"SELECT -7, turn, role, '{MARKED}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)"),
+    "op13_merkle_manifest": manifest.ORACLE,
 }

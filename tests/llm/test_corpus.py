@@ -276,7 +276,7 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = [q for q in entry.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
     sharded = queries.QUERIES["op4_sharding"](spark, SF)
     assert sharded.agg(F.countDistinct("shard")).first()[0] == 24

@@ -59,12 +59,32 @@ def test_depleted_documents_go(make):
     shared = " ".join(f"menu{k}" for k in range(60))
     rows = [(k, f"{shared}\n{unique(k, 60)}", "site") for k in range(30)]
     rows += [(100, f"{shared.upper()}\n{unique(100, 5)}", "site"), (101, f"{shared}\n{unique(101, 5)}", "elsewhere")]
-    rows += [(200 + k, "\n".join(unique(j, 8) for j in range(500, 512)) + f"\nonly {k}", "site") for k in range(30)]  # copies do not deplete each other
+    rows += [(200 + k, "\n".join(unique(j, 8) for j in range(500, 512)) + f"\nonly {k}", "site") for k in range(30)]  # different documents
+    rows += [(300 + k, "\n".join(unique(j, 8) for j in range(600, 612)), "site") for k in range(30)]  # copies do not deplete each other
     got = {r.doc_id: r for r in quality_rules.judge(make(rows)).collect()}
     assert got[100].n_removed_words == 60 and not got[100].kept and not got[100].base_failed
     assert got[101].n_removed_words == 0 and got[101].kept
-    assert all(got[k].kept for k in [*range(30), *range(200, 230)])
-    assert got[0].n_removed_words == 60 and got[205].n_removed_words == 0
+    assert all(got[k].kept for k in [*range(30), *range(300, 330)])
+    assert got[0].n_removed_words == 60 and got[305].n_removed_words == 0
+    assert all(got[k].n_removed_words == 96 and not got[k].kept for k in range(200, 230))
+
+
+def test_a_line_that_ties_with_the_limits_stays(make):
+    hold = lambda n: [(k, f"{unique(k, 60)}\nshared line", "site") for k in range(n)]
+    rest = lambda n: [(100 + k, unique(100 + k, 60), "site") for k in range(n)]
+    removed = lambda rows: sum(r.n_removed_words for r in quality_rules.judge(make(rows)).collect())
+    assert removed(hold(10) + rest(5)) == 0 and removed(hold(11) + rest(5)) == 22
+    assert removed(hold(12) + rest(108)) == 0 and removed(hold(12) + rest(107)) == 24
+
+
+@pytest.mark.parametrize("own", [1, 3])
+def test_template_lines_of_a_site(make, own):
+    """Twenty lines of a template over many different pages all count, however few lines a page has beside them."""
+    template = [f"template line {k} of the site" for k in range(20)]
+    rows = [(k, "\n".join([*template, *[f"own line {k} {j} {unique(k, 6)}" for j in range(own)]]), "site") for k in range(300)]
+    got = line_dedup.drop_lines(make(rows)).collect()
+    assert {r.n_dropped_lines for r in got} == {20} and {len(r.text.split("\n")) for r in got} == {own}
+    assert {r.n_removed_words for r in quality_rules.judge(make(rows)).collect()} == {120}
 
 
 # 6 line dedup
@@ -80,6 +100,14 @@ def test_boilerplate_goes(make, edge_rows):
     assert set(same.columns) >= {"n_words", "host", "line", "n_lines", "n_dropped_lines"}
 
 
+def test_line_dedup_keeps_odd_columns(make):
+    rows = [(k, f"{unique(k, 3)}\nmenu line", "site") for k in range(40)]
+    odd = make(rows).selectExpr("*", "1 AS `a.b`", "2 AS N_Lines", "3 AS id", "4 AS __id", "5 AS `row`", "6 AS `drop`", "'x' AS hash")
+    out = line_dedup.drop_lines(odd)
+    assert out.columns == [*make([]).columns, "a.b", "id", "__id", "row", "drop", "hash", "n_lines", "n_dropped_lines"]
+    assert {tuple(r)[5:] for r in out.collect()} == {(1, 3, 4, 5, 6, "x", 2, 1)}
+
+
 def test_a_tie_with_the_ratio_stays(make):
     hold = [(k, f"{unique(k, 3)}\nshared line", "site") for k in range(10)]
     rest = lambda n: [(100 + k, unique(100 + k, 4), "site") for k in range(n)]
@@ -246,12 +274,57 @@ def test_reparameterised_questions(spark, make, edge_rows, few):
         (11, f"{pad} {bob} {pad}", "a"),
         (12, f"{pad} {ITEMS[0][1][:30]} {pad}", "a"),
         (13, "Well, too short!", "a"),
+        (14, "42 7 9 Berlin", "a"),
         (10, f"{pad}\n{ITEMS[0][1]}\n{pad}", "a"),
     ]
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontamination.find(make(rows, clash=True), items, broadcast_rows=decontamination.BROADCAST_ROWS if few else 0)
     got = {(r.doc_id, r.item_id): r.n_found for r in found.collect()}
-    assert set(got) == {(10, 1), (11, 1), (13, 2)} and got[10, 1] == got[11, 1] > 6
+    assert set(got) == {(10, 1), (11, 1)} and got[10, 1] == got[11, 1] > 6
+
+
+def test_short_items_are_listed_not_found(spark, make):
+    texts = ["Berlin", "the end", None, "", "one two three four", "What is the capital of Peru?", "Berlin is big and old and"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    assert {tuple(r) for r in decontamination.too_short(items).collect()} == {(0, 1), (1, 2), (2, 0), (3, 0), (4, 4)}
+    pad = unique(1, 9)
+    docs = [(1, f"{pad} Berlin the end one two three four", "a"), (2, f"{pad} what is the capital of Peru? {pad}", "a"), (3, f"{pad} What is the capital of Chad? {pad}", "a"), (4, f"{pad} what is the capital {pad}", "a")]
+    found = decontamination.find(make(docs), items).collect()
+    assert {(r.doc_id, r.item_id, r.n_found, r.n_windows) for r in found} == {(2, 5, 1, 1), (3, 5, 1, 1)}
+
+
+def test_numbers_are_checked_in_each_window(spark, make):
+    cats = "If there are 3 cats and 4 dogs then 3 cats see 4 dogs"
+    road = "The old red car goes 5 miles to town and 5 miles back to the house"
+    items = spark.createDataFrame([(1, cats), (2, road)], "item_id long, text string")
+    docs = [
+        (1, "If there are 9 cats and 8 dogs then 7 cats see 6 dogs", "a"),
+        (2, "If there are 9 cats and 8 dogs then 9 cats see 8 dogs", "a"),
+        (3, road.replace("5 miles", "7 km"), "a"),
+        (4, "The old red car goes 5 miles to town and 6 feet back to the house", "a"),
+    ]
+    got = {(r.doc_id, r.item_id): (r.n_found, r.n_windows) for r in decontamination.find(make(docs), items).collect()}
+    assert got == {(2, 1): (7, 7), (3, 2): (9, 9), (4, 2): (5, 9)}
+
+
+def test_decontamination_as_sql_on_odd_rows(spark, make, duck):
+    """Both forms, conflicts of names and numbers, ties of the share and short items beside DuckDB."""
+    rng = random.Random(11)
+    vocab = ["Alice", "Bob", "carol", "3", "4", "5km", "km", "miles", "the", "The", "red", "house", "tree", "dog", "cats", "runs", "ALICE", "zoe"]
+    items = [(k, " ".join(rng.choices(vocab, k=rng.choice([3, 5, 6, 8, 9, 12, 25])))) for k in range(60)]
+    docs = []
+    for k in range(200):
+        words = " ".join(t for _, t in rng.sample(items, 2)).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(vocab)
+        text = " ".join(rng.choices(vocab, k=5) + words + rng.choices(vocab, k=5))
+        docs.append((k, rng.choice([str, str, str.lower, str.upper])(text), "a"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(duck(documents=make(docs).toPandas(), benchmark=bench.toPandas()).execute(decontamination.ORACLE).fetchall())
+    assert len(want) > 100
+    for rows in (0, decontamination.BROADCAST_ROWS):
+        got = decontamination.find(make(docs), bench, broadcast_rows=rows).drop("text_hash")
+        assert sorted(map(tuple, got.collect())) == want
 
 
 def test_inconsistent_slots_are_no_finding(spark, make):
@@ -269,7 +342,7 @@ def test_one_other_value_leaves_the_rest(spark, make):
     items = spark.createDataFrame([(1, long), (2, pens)], "item_id long, text string")
     docs = [(1, long.replace("there Alice", "there Bob"), "a"), (2, pens.replace("3 pens", "4 pens").replace("3 books", "7 books"), "a"), (3, unique(9, 60), "a")]
     got = {(r.doc_id, r.item_id): (r.n_found, r.n_windows) for r in decontamination.find(make(docs), items).collect()}
-    assert set(got) == {(1, 1), (2, 2)} and got[1, 1][0] >= 40 and got[2, 2][0] == got[2, 2][1]
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1][0] >= 40 and got[2, 2] == (6, 9)
 
 
 @pytest.mark.parametrize("few", [True, False])
