@@ -16,6 +16,7 @@ from loomspark.operators import vectors as V
 from loomspark.plans.scratch import fresh_folder
 from loomspark.sources import binary_files as bf
 from loomspark.sources import text_files as tf
+from loomspark.sources.ranges import write_bytes, write_files
 from loomspark.sources.tensor_files import read_tensor_file
 
 
@@ -23,6 +24,10 @@ def folder(t, what):
     return fresh_folder(t.spark, what)
 
 
+def name_of(path):
+    return F.element_at(F.split(path, "/"), -1).alias(path)
+
+
 @query("s1_instructions", f"WITH {INSTR} SELECT instruction, md5(input) AS input, nullif(output, '') AS output, count(*) AS n FROM ins GROUP BY ALL")
 def _(t):
     path = folder(t, "instructions")
@@ -90,7 +95,7 @@ def _choice_file(keys: pd.Series, names: pd.Series) -> pd.Series:
 )
 def _(t):
     files = t.customer.select(F.col("c_custkey").cast("string").alias("path"), _choice_file("c_custkey", "c_name").alias("content"))
-    return bf.parse_choices(files)
+    return bf.read_choice_bin(t.spark, write_files(files, folder(t, "choices"))).select(name_of("path"), "task", "question", "mode", "answer_no", "answer", "label")
 
 
 @F.pandas_udf(T.BinaryType())
@@ -117,8 +122,8 @@ SELECT k::VARCHAR AS path, chunk, pos::INTEGER AS pos, ((k + chunk * 8 + pos + 1
 )
 def _(t):
     files = t.supplier.select(F.col("s_suppkey").cast("string").alias("path"), _logits_file("s_suppkey").alias("content"))
-    rows = bf.parse_logits(files)
-    return rows.select("path", "chunk", "pos", "target", F.col("scale").cast("double").alias("scale"), (F.col("min_log_prob").cast("double") + F.lit(0.0)).alias("min_log_prob"), F.array_join(F.col("q").cast("array<string>"), ",").alias("q"))
+    rows = bf.read_logits(t.spark, write_files(files, folder(t, "logits")), chunks_per_task=1)
+    return rows.select(name_of("path"), "chunk", "pos", "target", F.col("scale").cast("double").alias("scale"), (F.col("min_log_prob").cast("double") + F.lit(0.0)).alias("min_log_prob"), F.array_join(F.col("q").cast("array<string>"), ",").alias("q"))
 
 
 @F.pandas_udf(T.BinaryType())
@@ -137,7 +142,7 @@ def _importance_file(keys: pd.Series) -> pd.Series:
 )
 def _(t):
     files = t.supplier.select(F.col("s_suppkey").cast("string").alias("path"), _importance_file("s_suppkey").alias("content"))
-    return bf.parse_importance(files)
+    return bf.read_importance(t.spark, write_files(files, folder(t, "importance"))).withColumn("path", name_of("path"))
 
 
 @F.pandas_udf(T.BinaryType())
@@ -161,7 +166,7 @@ def _(t):
     counts = ng.ngram_counts(doc_ids(t), 2, 2, keep=("doc_id",))
     entry = F.struct("ngram", "token", F.col("cnt").cast("int").alias("cnt"))
     files = counts.groupBy(F.col("doc_id").cast("string").alias("path")).agg(F.collect_list(entry).alias("e")).select("path", _ngram_file("e").alias("content"))
-    merged = ng.ngram_merge(bf.parse_ngrams(files))
+    merged = ng.ngram_merge(bf.read_ngrams(t.spark, write_files(files, folder(t, "ngrams")), range_bytes=1 << 12))
     return merged.select("n", F.array_join(F.col("ngram").cast("array<string>"), " ").alias("ngram"), "token", "cnt")
 
 
@@ -300,8 +305,7 @@ def _tensor_file(paths: pd.Series, names: pd.Series, rows: pd.Series) -> pd.Seri
             head += text(e["tensor"]) + struct.pack("<IQQIQ", 2, e["size"], 2, 0, at)
             at += -(-8 * e["size"] // 32) * 32
         body = b"".join((np.arange(2 * e["size"], dtype="<f4") + e["size"]).tobytes().ljust(-(-8 * e["size"] // 32) * 32, b"\0") for e in entries)
-        with open(path, "wb") as f:
-            f.write(head.ljust(-(-len(head) // 32) * 32, b"\0") + body)
+        write_bytes(path, head.ljust(-(-len(head) // 32) * 32, b"\0") + body)
         return path
 
     return pd.Series([one(p, n, r) for p, n, r in zip(paths, names, rows)])
@@ -312,10 +316,7 @@ TENSOR_FILES = "f AS (SELECT p_partkey // 64 AS k, p_partkey % 64 AS idx, 't' ||
 
 def tensor_folder(t):
     """Files of up to 64 tensors each, in a folder every worker sees."""
-    from pathlib import Path
-
-    where = folder(t, "tensors").removeprefix("file://").removeprefix("file:")
-    Path(where).mkdir(parents=True)
+    where = folder(t, "tensors")
     k = F.floor(F.col("p_partkey") / 64)
     entry = F.struct((F.col("p_partkey") % 64).alias("idx"), F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("tensor"), F.col("p_size").alias("size"))
     files = t.part.groupBy(k.alias("k")).agg(F.array_sort(F.collect_list(entry)).alias("rows"))

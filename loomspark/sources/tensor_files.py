@@ -1,20 +1,22 @@
 """Tensor files as a Spark data source: metadata, tensor list and tensor bytes.
 
-``spark.dataSource.register(TensorFiles)``, then ``spark.read.format("tensorfile").option("what", …).load(glob)``.
-Only headers are read to plan; the bytes of a tensor are read by the task that returns them.
+``spark.dataSource.register(TensorFiles)``, then ``spark.read.format("tensorfile").option("what", …).load(path)``.
+The driver lists files and their sizes.  Tasks read the headers; the bytes of a tensor are read by the task whose range of the file
+they begin in.
 """
 
 from __future__ import annotations
 
-import glob
-import struct
+import fnmatch
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from loomspark.functions.blocks import BLOCK_SIZES
+from loomspark.sources.ranges import RANGE_BYTES, Bytes, Cursor, locate
 
 MAGIC = 0x46554747
 VERSIONS = (2, 3)
@@ -40,14 +42,13 @@ SCHEMAS = {
 class _Header:
     """Metadata and tensor list of one open file."""
 
-    def __init__(self, f):
-        self.f, self.order = f, "<"
+    def __init__(self, data: Bytes):
+        self.cur = Cursor(data)
         if self._one("I") != MAGIC:
             raise ValueError("not a tensor file")
         version = self._one("I")
         if version & 0xFFFF == 0:  # written with the other byte order
-            self.order = ">"
-            f.seek(4)
+            self.cur.order, self.cur.at = ">", 4
             version = self._one("I")
         if version not in VERSIONS:
             raise ValueError(f"version {version} is not supported")
@@ -57,18 +58,10 @@ class _Header:
         self.tensors = self._tensors(n_tensors)
 
     def _one(self, code: str):
-        fmt = self.order + code
-        raw = self.f.read(struct.calcsize(fmt))
-        if len(raw) < struct.calcsize(fmt):
-            raise ValueError("file ends early")
-        return struct.unpack(fmt, raw)[0]
+        return self.cur.ints(1, code)[0]
 
     def _text(self) -> str:
-        n = self._one("Q")
-        raw = self.f.read(n)
-        if len(raw) < n:
-            raise ValueError("file ends early")
-        return raw.decode("utf-8", errors="replace")
+        return self.cur.text("Q")
 
     def _value(self, kind: int) -> tuple[str, list[str], bool]:
         if kind not in VALUE_TYPES:
@@ -86,7 +79,7 @@ class _Header:
     def _metadata(self, n: int) -> list[tuple]:
         out, seen = [], set()
         for idx in range(n):
-            at = self.f.tell()
+            at = self.cur.at
             key = self._text()
             name, items, is_array = self._value(self._one("I"))
             if key in seen:
@@ -109,7 +102,7 @@ class _Header:
             if kind not in TENSOR_TYPES:
                 raise ValueError(f"unknown tensor type {kind}")
             found.append((idx, name, TENSOR_TYPES[kind], dims, offset))
-        start = -(-self.f.tell() // align) * align
+        start = -(-self.cur.at // align) * align
         out = []
         for idx, name, kind, dims, offset in found:
             elements = 1
@@ -123,32 +116,36 @@ class _Header:
 @dataclass
 class _Part(InputPartition):
     file: str
-    first: int = 0
-    last: int = -1
+    start: int = 0
+    stop: int = 0
+
+
+def _listed(path: str) -> list[tuple[str, int]]:
+    """(file, bytes) of a file, or of what a pattern in the last part of a path stands for."""
+    fs, inside = locate(path)
+    folder, _, pattern = inside.rpartition("/")
+    root = path[: len(path) - len(inside)] if path.endswith(inside) else ""
+    found = fs.get_file_info(arrow_fs.FileSelector(folder or "/", allow_not_found=True))
+    return sorted((root + f.path, f.size) for f in found if f.type == arrow_fs.FileType.File and fnmatch.fnmatchcase(f.base_name, pattern))
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.what = options.get("what", "tensors")
-        self.files = sorted(glob.glob(options["path"]))
-        self.per_task = int(options.get("tensorsPerTask", "16"))
-        self.piece = int(options.get("pieceBytes", str(64 << 20)))
+        self.files = _listed(options["path"])
+        self.range = int(options.get("rangeBytes", str(RANGE_BYTES)))
+        self.piece = int(options.get("pieceBytes", str(RANGE_BYTES)))
         if not self.files:
             raise ValueError(f"no files at {options['path']}")
 
     def partitions(self):
         if self.what != "data":
-            return [_Part(f) for f in self.files]
-        out = []
-        for name in self.files:
-            with open(name, "rb") as f:
-                n = len(_Header(f).tensors)
-            out += [_Part(name, i, min(i + self.per_task, n)) for i in range(0, n, self.per_task)]
-        return out
+            return [_Part(name) for name, _ in self.files]
+        return [_Part(name, at, at + self.range) for name, size in self.files for at in range(0, max(size, 1), self.range)]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        with open(partition.file, "rb") as f:
-            head = _Header(f)
+        with Bytes(partition.file) as data:
+            head = _Header(data)
             if self.what == "kv":
                 for row in head.kv:
                     yield (partition.file, *row)
@@ -156,17 +153,22 @@ class _Reader(DataSourceReader):
                 for row in head.tensors:
                     yield (partition.file, *row)
             else:
-                for idx, name, kind, _, _, n_bytes, offset in head.tensors[partition.first : partition.last]:
-                    # long tensors come in pieces of whole blocks
-                    size = BLOCK_SIZES[kind][1]
-                    step = max(size, self.piece // size * size)
-                    for part, at in enumerate(range(0, max(n_bytes, 1), step)):
-                        f.seek(offset + at)
-                        want = min(step, n_bytes - at)
-                        raw = f.read(want)
-                        if len(raw) < want:
-                            raise ValueError(f"{partition.file} ends inside {name}")
-                        yield (partition.file, idx, name, kind, part, raw)
+                yield from self._pieces(partition, data, head.tensors)
+
+    def _pieces(self, partition: _Part, data: Bytes, tensors: list[tuple]) -> Iterator[tuple]:
+        """The pieces that begin in the range; long tensors come in pieces of whole blocks, so many tasks can share one."""
+        for idx, name, kind, _, _, n_bytes, offset in tensors:
+            if offset + n_bytes > data.size:
+                raise ValueError(f"{partition.file} ends inside {name}")
+            size = BLOCK_SIZES[kind][1]
+            step = max(size, self.piece // size * size)
+            first = max(0, -(-(partition.start - offset) // step))
+            for part in range(first, max(1, -(-n_bytes // step))):
+                at = offset + part * step
+                # an empty tensor at the end of a file begins in its last range
+                if not partition.start <= min(at, data.size - 1) < partition.stop:
+                    break
+                yield (partition.file, idx, name, kind, part, data.at(at, min(step, n_bytes - part * step)))
 
 
 class TensorFiles(DataSource):

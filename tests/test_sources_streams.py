@@ -173,9 +173,9 @@ def test_running_sums_snapshot_every_second_batch(spark, tmp_path):
 def test_chunks_count_bytes(spark):
     text = "é\nab\nçç\nx"
     rows = V.chunk_text(spark.createDataFrame([("f", text)], "filename string, text string"), 3, "\n").orderBy("chunk_no").collect()
-    assert [(r.filepos, r.textdata) for r in rows] == [(0, "é\nab\n"), (6, "çç\nx")]
+    assert [(r.byte_offset, r.chunk) for r in rows] == [(0, "é\nab\n"), (6, "çç\nx")]
     alone = V.chunk_text(spark.createDataFrame([("f", "abc")], "filename string, text string"), 100, "\n").collect()
-    assert [(r.filepos, r.textdata) for r in alone] == [(0, "abc")]
+    assert [(r.byte_offset, r.chunk) for r in alone] == [(0, "abc")]
 
 
 def test_topk_blocks_equal_broadcast(spark, tables):
@@ -206,7 +206,7 @@ def test_odd_directions_fail(spark):
         C.assert_dims(spark.createDataFrame([("a", 1), ("a", 2)], "tensor string, dim int"))
 
 
-def test_a_task_with_too_many_answers_is_one_bad_row(spark):
+def test_a_task_with_too_many_answers_is_bad_and_whole(spark):
     import struct
 
     text = lambda s: struct.pack("<I", len(s)) + s.encode()
@@ -214,6 +214,6 @@ def test_a_task_with_too_many_answers_is_one_bad_row(spark):
     many = struct.pack("<I", 101) + text("x") * 101 + struct.pack("<101i", *[0] * 101)
     raw = struct.pack("<III", 2, 0, 0) + text("good") + few + few + text("bad") + few + many
     files = spark.createDataFrame([("f", bytearray(raw))], "path string, content binary")
-    rows = [(r.question, r.mode, r.answer_no, r.answer, r.label) for r in bf.parse_choices(files).collect()]
-    assert rows[:2] == [("good", "single", 0, "yes", 1), ("good", "single", 1, "no", 0)]
-    assert rows[6:] == [("bad", "multi", -1, None, None)] and len(rows) == 7
+    rows = [(r.question, r.mode, r.answer_no, r.answer, r.label, r.bad) for r in bf.parse_choices(files).collect()]
+    assert rows[:2] == [("good", "single", 0, "yes", 1, False), ("good", "single", 1, "no", 0, False)]
+    assert rows[6:] == [("bad", "multi", k, "x", 0, True) for k in range(101)]
