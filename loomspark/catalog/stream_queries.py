@@ -9,6 +9,7 @@ from loomspark.functions import text
 from loomspark.operators import hooks as H
 from loomspark.operators.metrics import log_softmax
 from loomspark.plans.bounds import spread
+from loomspark.plans.scratch import fresh_folder
 from loomspark.streaming import jobs as J
 
 LATE = "10 minutes"
@@ -25,17 +26,82 @@ def steps(rows):
     )
 
 
+BATCHES = 6
+DAY = "2024-01-01 00:00:00"
+
+
+def in_batches(t, rows, batch, what):
+    """The rows as files of a folder, one for each of ``BATCHES`` and a last one far behind them in time, in two parts.
+
+    ``batch`` says in which file a row is; ``ts`` is a minute for each.  The file behind them moves the watermark on, so
+    that states become idle.
+    """
+    path = fresh_folder(t.spark, what)
+    minute = F.lit(DAY).cast("timestamp") + F.make_interval(mins=F.col("batch"))
+    timed = rows.withColumn("batch", batch.cast("int")).withColumn("ts", minute)
+    schema = timed.drop("batch").schema
+
+    def write(first, last):
+        for k in range(first, last):  # in the order in which they are read
+            timed.filter(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(path)
+
+    def heartbeat(hours):
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in schema}
+        late = t.spark.range(1).select(*[F.lit(-hours).cast("long").alias(c) if c.endswith("_id") else F.lit(0).cast("long").alias(c) if c == "seq" else (F.lit(DAY).cast("timestamp") + F.make_interval(hours=F.lit(hours))).alias(c) if c == "ts" else empty[c].alias(c) for c in schema.names])
+        late.coalesce(1).write.mode("append").parquet(path)
+
+    return path, schema, write, heartbeat
+
+
+def run_twice(t, job, path, schema, write, heartbeat, what, progress=None):
+    """Run over the first half of the batches, then go on from the checkpoint with the rest and what makes the states idle."""
+    out = fresh_folder(t.spark, what)
+    stream = lambda: job(J.folder_stream(t.spark, path, schema))
+    write(0, BATCHES // 2)
+    J.run_to_table(stream(), what, out, progress)
+    write(BATCHES // 2, BATCHES)
+    for hours in (10, 20):
+        heartbeat(hours)
+    return J.run_to_table(stream(), what, out, progress)
+
+
+def word_chunks(t):
+    words = t.documents.select("doc_id", text.words("text").alias("w"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)), F.lit(200))
+    chunks = words.select("doc_id", F.posexplode(F.transform(starts, lambda i: F.slice("w", i, F.lit(200)))).alias("seq", "tokens"))
+    return chunks.withColumn("seq", F.col("seq").cast("long"))
+
+
+def word_deltas(t):
+    parts = F.split("text", r"(?<= )", -1)
+    rows = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("reply_id"), F.size(parts).alias("n"), F.posexplode(parts).alias("seq", "delta"))
+    return rows.select("reply_id", F.col("seq").cast("long").alias("seq"), "delta", (F.col("seq") == F.col("n") - 1).alias("last"), "n")
+
+
+def chunk_job(t, progress=None):
+    """Chunk 0 in the first file, chunk 1 in the second, and so on; the last file has the rest."""
+    parts = in_batches(t, word_chunks(t), F.least(F.col("seq"), F.lit(BATCHES - 1)), "chunks")
+    return run_twice(t, lambda s: J.incremental_ngrams(s, 2, 2, ts="ts"), *parts, "ngrams", progress)
+
+
+def delta_job(t, progress=None):
+    """The words of a message in six files; one word of each third message comes a file later than its turn, as far as there is one."""
+    rows = word_deltas(t)
+    own = F.least(F.floor(F.col("seq") * BATCHES / F.greatest(F.col("n"), F.lit(1))), F.lit(BATCHES - 1))
+    late = (F.col("reply_id") % 3 == 0) & (F.col("seq") == 1)
+    batch = F.when(late, F.least(own + 1, F.lit(BATCHES - 1))).otherwise(own)
+    parts = in_batches(t, rows, batch, "deltas")
+    return run_twice(t, lambda s: J.assemble_replies(s, [" the "], ts="ts"), *parts, "replies", progress)
+
+
 @query(
     "x1_incremental_ngrams",
     f"""WITH {DOCS}, g AS (SELECT unnest(list_transform(range(1, greatest(len(toks) - 1, 1)), lambda i: {{'ngram': toks[i] || ' ' || toks[i + 1], 'token': toks[i + 2]}})) AS g FROM docs)
 SELECT g.ngram AS ngram, g.token AS token, count(*) AS cnt FROM g GROUP BY ALL""",
 )
 def _(t):
-    """Documents arrive in chunks of 200 words; the streamed counts equal the batch counts."""
-    rows = J.table_stream(t.spark, t.root, "documents").select("doc_id", text.words("text").alias("w"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)), F.lit(200))
-    chunks = rows.select("doc_id", F.posexplode(F.transform(starts, lambda i: F.slice("w", i, F.lit(200)))).alias("seq", "tokens"))
-    out = J.run_to_table(J.incremental_ngrams(chunks.withColumn("seq", F.col("seq").cast("long")), 2, 2), "ngrams")
+    """Documents arrive in chunks of 200 words, in six files and two runs; the streamed counts equal the batch counts."""
+    out = chunk_job(t)
     return out.filter("n > 0").groupBy(F.array_join("ngram", " ").alias("ngram"), "token").agg(F.sum("cnt").alias("cnt"))
 
 
@@ -44,16 +110,23 @@ def _(t):
     "SELECT conv_id * 1000 + turn AS reply_id, md5(split_part(text, ' the ', 1)) AS digest FROM conversations",
 )
 def _(t):
-    """Messages arrive word by word; the reply ends in front of the stop text."""
-    rows = J.table_stream(t.spark, t.root, "conversations")
-    parts = F.split("text", r"(?<= )", -1)
-    deltas = rows.select((F.col("conv_id") * 1000 + F.col("turn")).alias("reply_id"), F.size(parts).alias("n"), F.posexplode(parts).alias("seq", "delta"))
-    deltas = deltas.select("reply_id", F.col("seq").cast("long").alias("seq"), "delta", (F.col("seq") == F.col("n") - 1).alias("last"))
-    out = J.run_to_table(J.assemble_replies(deltas, [" the "]), "replies")
+    """Messages arrive word by word, in six files and two runs, some words late; a reply ends in front of the stop text."""
+    out = delta_job(t).filter("reply_id >= 0")
     whole = out.groupBy("reply_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("p"))
     return whole.select("reply_id", F.md5(F.array_join(F.transform("p", lambda x: x["text"]), "")).alias("digest"))
 
 
+@query("x2_state_goes", "SELECT true AS many_batches, true AS held_all, true AS fell, true AS all_closed, count(*) AS n FROM conversations")
+def _(t):
+    """State while messages come and when they have been idle: rows fall to those of what came last."""
+    progress: list = []
+    out = delta_job(t, progress).filter("reply_id >= 0")
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    n = out.filter("done").select("reply_id").distinct().count()
+    facts = out.filter("done").groupBy("reply_id").agg(F.count("*").alias("times")).agg(F.count("*").alias("n"), F.bool_and(F.col("times") == 1).alias("all_closed"))
+    return facts.select(F.lit(len(rows) >= BATCHES + 2).alias("many_batches"), F.lit(max(rows) >= n).alias("held_all"), F.lit(rows[-1] <= 6).alias("fell"), "all_closed", "n")
+
+
 @query(
     "x3_service_buckets",
     """WITH b AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS start, sum(event_id % 500)::BIGINT AS pn, sum(value) AS pm, sum(user_id)::BIGINT AS gn, count(*) AS steps FROM events GROUP BY 1)
@@ -122,10 +195,10 @@ def _(t):
 
 @query(
     "x9_distinct_failures",
-    "SELECT DISTINCT 'm' || user_id % 3 AS model, event_type AS test, 'failure ' || event_id % 4 AS error FROM events WHERE value <= 5",
+    "SELECT DISTINCT 'm' || user_id % 3 AS model, event_type AS test, 'failure ' || event_id % 4 AS error FROM events",
 )
 def _(t):
-    rows = events(t).filter("value <= 5").select("ts", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model"), F.col("event_type").alias("test"), F.concat(F.lit("failure "), (F.col("event_id") % 4).cast("string")).alias("error"))
+    rows = events(t).select("ts", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model"), F.col("event_type").alias("test"), F.concat(F.lit("failure "), (F.col("event_id") % 4).cast("string")).alias("error"))
     out = J.run_to_table(J.distinct_failures(rows, "40 days"), "failures")
     return out.select("model", "test", "error")
 

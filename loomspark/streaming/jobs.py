@@ -10,15 +10,15 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from loomspark.operators.benchmarks import service_metrics
 from loomspark.operators.ngrams import NGRAM_MAX
 from loomspark.plans.scratch import fresh_folder
 
-def _timeout(idle_ms: int | None) -> str:
-    """A stream over available data has to end, so its states wait for nothing; one that never ends gives idle states up."""
-    return GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+IDLE_MS = 3_600_000
+LATE = "10 minutes"
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, *, files_per_batch: int = 1) -> DataFrame:
@@ -32,10 +32,14 @@ def folder_stream(spark: SparkSession, path: str, schema, *, files_per_batch: in
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_to_table(stream: DataFrame, what: str) -> DataFrame:
-    """Run an append-mode stream over the available data; its rows land in a Parquet table of the shared folder."""
+def run_to_table(stream: DataFrame, what: str, path: str | None = None, progress: list | None = None) -> DataFrame:
+    """Run an append-mode stream over the available data; its rows land in a Parquet table of the shared folder.
+
+    Run again with the same ``path`` it goes on from its checkpoint, and the table grows.  ``progress`` gets what each
+    micro-batch reports.
+    """
     spark = stream.sparkSession
-    path = fresh_folder(spark, what)
+    path = path or fresh_folder(spark, what)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -45,6 +49,8 @@ def run_to_table(stream: DataFrame, what: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    if progress is not None:
+        progress.extend(query.recentProgress)
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
@@ -76,27 +82,66 @@ def latest(snapshots: DataFrame) -> DataFrame:
     return snapshots.join(F.broadcast(last), "batch").drop("batch")  # one row
 
 
+# ------------------------------------------------------------------ state by key
+
+
+def _timed(stream: DataFrame, ts: str | None, late: str) -> DataFrame:
+    """The stream with its event time in ``event_time``: a column of its own, or else the time of the batch that brings a row."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # the store that has lists, maps and timers
+    time = F.current_timestamp() if ts is None else F.col(ts)
+    return stream.withColumn("event_time", time.cast("timestamp")).withWatermark("event_time", late)
+
+
+def _due(times: list, idle_ms: int) -> int:
+    return max(int(pd.Timestamp(t).timestamp() * 1000) for t in times) + idle_ms
+
+
+class _Timed(StatefulProcessor):
+    """State that goes when the watermark has passed the last row of its key by ``idle_ms``; a key has one timer."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.timer = handle.getValueState("timer", "due long")
+
+    def keep_until(self, times: list) -> None:
+        """Move the timer behind the last of ``times``, never back."""
+        due, held = _due(times, self.idle_ms), self.timer.get()
+        if held is None or due > held[0]:
+            if held is not None:
+                self.handle.deleteTimer(held[0])
+            self.handle.registerTimer(due)
+            self.timer.update((due,))
+
+    def close(self) -> None:
+        pass
+
+
 # ------------------------------------------------------------------ n-grams
 
 
-def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX, *, idle_ms: int | None = None) -> DataFrame:
-    """Count increments ``(n, ngram, token, cnt, gap)`` of append-only chunks ``(doc_id, seq, tokens array<string>)``.
+class _NgramCounter(_Timed):
+    def __init__(self, n_min: int, n_max: int, idle_ms: int):
+        super().__init__(idle_ms)
+        self.n_min, self.n_max = n_min, n_max
 
-    State is the last four tokens and the next chunk number of each document, given up after ``idle_ms`` without a chunk.  Where
-    chunks are missing a gap row without n-gram is told and counting begins anew behind it, so no n-gram reaches over the gap;
-    a chunk that comes after its turn is told as a gap too and is not counted.
-    """
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.tail = handle.getListState("tail", "token string")
+        self.expect = handle.getValueState("expect", "seq long")
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        tail, expect = state.get if state.exists else ([], 0)
-        tail = list(tail)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        chunks, times = [], []
+        for pdf in rows:
+            chunks += [(int(s), [] if t is None else list(t)) for s, t in zip(pdf["seq"], pdf["tokens"])]
+            times += list(pdf["event_time"])
+        expect = self.expect.get()[0] if self.expect.exists() else 0
+        tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
         counts: dict[tuple, int] = {}
         gaps = 0
-        chunks = sorted((int(s), list(t)) for pdf in batches for s, t in zip(pdf["seq"], pdf["tokens"]))
-        for seq, tokens in chunks:
+        for seq, tokens in sorted(chunks):
             gaps += seq != expect
             if seq < expect:
                 continue
@@ -105,87 +150,126 @@ def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX
             expect = seq + 1
             seen = tail + tokens
             for i in range(len(tail), len(seen)):
-                for n in range(n_min, min(n_max, i) + 1):
+                for n in range(self.n_min, min(self.n_max, i) + 1):
                     item = (tuple(seen[i - n : i]), seen[i])
                     counts[item] = counts.get(item, 0) + 1
             tail = seen[-NGRAM_MAX:]
-        state.update((tail, expect))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-        rows = [(len(g), list(g), t, c, 0) for (g, t), c in counts.items()]
+        self.expect.update((expect,))
+        if tail:
+            self.tail.put([(t,) for t in tail])
+        elif self.tail.exists():
+            self.tail.clear()
+        self.keep_until(times)
+        out = [(len(g), list(g), t, c, 0) for (g, t), c in counts.items()]
         if gaps:
-            rows.append((0, [], None, 0, gaps))
-        yield pd.DataFrame(rows, columns=["n", "ngram", "token", "cnt", "gap"])
-
-    return stream.groupBy("doc_id").applyInPandasWithState(
-        step,
-        "n int, ngram array<string>, token string, cnt long, gap long",
-        "tail array<string>, expect long",
-        "append",
-        _timeout(idle_ms),
+            out.append((0, [], None, 0, gaps))
+        yield pd.DataFrame(out, columns=["n", "ngram", "token", "cnt", "gap"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for state in (self.tail, self.expect, self.timer):
+            state.clear()
+        yield pd.DataFrame([], columns=["n", "ngram", "token", "cnt", "gap"])
+
+
+def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX, *, ts: str | None = None, late: str = LATE, idle_ms: int = IDLE_MS) -> DataFrame:
+    """Count increments ``(n, ngram, token, cnt, gap)`` of append-only chunks ``(doc_id, seq, tokens array<string>)``.
+
+    State is the last four tokens and the next chunk number of each document; it goes when the watermark of ``ts`` (else of
+    the time of arrival) is ``idle_ms`` behind the document's last chunk.  Where chunks are missing a gap row without
+    n-gram is told and counting begins anew behind it, so no n-gram reaches over the gap; a chunk that comes after its turn
+    is told as a gap too and is not counted, and one behind the watermark is dropped.
+    """
+    rows = _timed(stream, ts, late).select("doc_id", "seq", "tokens", "event_time")
+    return rows.groupBy("doc_id").transformWithStateInPandas(
+        _NgramCounter(n_min, n_max, idle_ms), "n int, ngram array<string>, token string, cnt long, gap long", "Append", "EventTime"
     )
 
 
 # ------------------------------------------------------------------ replies
 
 
-def assemble_replies(stream: DataFrame, stops: Sequence[str], *, idle_ms: int | None = None) -> DataFrame:
-    """Released text ``(reply_id, seq, text, done)`` of deltas ``(reply_id, seq, delta, last)``, numbered from 0.
+def held_from(text: str, stops: Sequence[str]) -> int:
+    """Where the end of ``text`` begins that may be the start of a stop word."""
+    cut = len(text)
+    for stop in stops:
+        for n in range(min(len(stop) - 1, len(text)), 0, -1):
+            if text.endswith(stop[:n]):
+                cut = min(cut, len(text) - n)
+                break
+    return cut
 
-    Text that may be the start of a stop word is held back until it is clear; a stop word ends the reply and is not released.
-    A delta that comes ahead of its turn waits in the state, in whatever batch the ones before it come; one that was
-    there already is passed over.  With ``idle_ms`` a reply without news for so long is closed: what was held back is released
-    and its state goes, as does that of a finished reply.
-    """
 
-    def held_from(text: str) -> int:
-        cut = len(text)
-        for stop in stops:
-            for n in range(min(len(stop) - 1, len(text)), 0, -1):
-                if text.endswith(stop[:n]):
-                    cut = min(cut, len(text) - n)
-                    break
-        return cut
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        expect, held, done, *ahead = state.get if state.exists else (0, "", False, [], [], [])
-        rows = []
-        if state.hasTimedOut:
-            state.remove()
-            if not done:
-                rows.append((key[0], expect, held, True))
-            yield pd.DataFrame(rows, columns=["reply_id", "seq", "text", "done"])
-            return
-        waiting = {int(s): (d, bool(e)) for s, d, e in zip(*ahead)}
-        for pdf in batches:
+REPLY = ["reply_id", "seq", "text", "done"]
+
+
+class _ReplyAssembler(_Timed):
+    def __init__(self, stops: Sequence[str], idle_ms: int):
+        super().__init__(idle_ms)
+        self.stops = list(stops)
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.open = handle.getValueState("open", "expect long, held string")
+        self.waiting = handle.getMapState("waiting", "seq long", "delta string, last boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        deltas, times = {}, []
+        for pdf in rows:
             for s, d, e in zip(pdf["seq"], pdf["delta"], pdf["last"]):
-                waiting.setdefault(int(s), (d, bool(e)))
-        while not done and expect in waiting:
-            delta, is_last = waiting.pop(expect)
-            text = held + delta
-            hits = [i for i in (text.find(s) for s in stops) if i >= 0]
+                deltas.setdefault(int(s), (d, bool(e)))
+            times += list(pdf["event_time"])
+        done = not self.open.exists() and self.timer.exists()  # of a finished reply only the timer is left
+        expect, held = self.open.get() if self.open.exists() else (0, "")
+        out = []
+        ahead = {} if done or not self.waiting.exists() else {int(k[0]): (v[0], bool(v[1])) for k, v in self.waiting.iterator()}
+        deltas |= ahead
+        while not done and expect in deltas:
+            delta, is_last = deltas[expect]
+            text = held + (delta or "")
+            hits = [i for i in (text.find(s) for s in self.stops) if i >= 0]
             if hits:
-                out, held, done = text[: min(hits)], "", True
+                part, held, done = text[: min(hits)], "", True
             elif is_last:
-                out, held, done = text, "", True
+                part, held, done = text, "", True
             else:
-                at = held_from(text)
-                out, held = text[:at], text[at:]
-            if out or done:
-                rows.append((key[0], expect, out, done))
+                at = held_from(text, self.stops)
+                part, held = text[:at], text[at:]
+            if part or done:
+                out.append((key[0], expect, part, done))
             expect += 1
-        later = [] if done else sorted((s, d, e) for s, (d, e) in waiting.items() if s >= expect)
-        state.update((expect, held, bool(done), [s for s, _, _ in later], [d for _, d, _ in later], [e for _, _, e in later]))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame(rows, columns=["reply_id", "seq", "text", "done"])
-
-    return stream.groupBy("reply_id").applyInPandasWithState(
-        step,
-        "reply_id long, seq long, text string, done boolean",
-        "expect long, held string, done boolean, seqs array<long>, deltas array<string>, lasts array<boolean>",
-        "append",
-        _timeout(idle_ms),
+        if done:
+            self.open.clear()
+            self.waiting.clear()
+        else:
+            self.open.update((expect, held))
+            for s in ahead:
+                if s < expect:
+                    self.waiting.removeKey((s,))
+            for s, v in deltas.items():
+                if s >= expect and s not in ahead:
+                    self.waiting.updateValue((s,), v)
+        self.keep_until(times)
+        yield pd.DataFrame(out, columns=REPLY)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = [(key[0], self.open.get()[0], self.open.get()[1], True)] if self.open.exists() else []
+        for state in (self.open, self.waiting, self.timer):
+            state.clear()
+        yield pd.DataFrame(out, columns=REPLY)
+
+
+def assemble_replies(stream: DataFrame, stops: Sequence[str], *, ts: str | None = None, late: str = LATE, idle_ms: int = IDLE_MS) -> DataFrame:
+    """Released text ``(reply_id, seq, text, done)`` of deltas ``(reply_id, seq, delta, last)``, numbered from 0.
+
+    Text that may be the start of a stop word is held back until it is clear; a stop word ends the reply and is not released.
+    A delta that comes ahead of its turn waits in the state, in whatever batch the ones before it come; one that was
+    there already is passed over.  A finished reply leaves a timer and nothing else.  When the watermark of ``ts`` (else of the
+    time of arrival) is ``idle_ms`` behind a reply's last delta, that goes too, and a reply that is still open is closed: what was
+    held back is released, what waits behind a missing delta is given up.
+    """
+    rows = _timed(stream, ts, late).select("reply_id", "seq", "delta", "last", "event_time")
+    return rows.groupBy("reply_id").transformWithStateInPandas(
+        _ReplyAssembler(stops, idle_ms), "reply_id long, seq long, text string, done boolean", "Append", "EventTime"
     )
 
 
