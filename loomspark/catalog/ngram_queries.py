@@ -64,7 +64,7 @@ def _(t):
 SELECT ngram, token, cnt, total FROM r WHERE rn = 1 AND total >= 2 AND 100 * cnt >= 50 * total""",
 )
 def _(t):
-    return ng.ngram_predict(ng.ngram_static(doc_words(t))).select(joined(), "token", "cnt", "total")
+    return ng.ngram_predict(ng.ngram_flat(doc_words(t), 2, 2)).select(joined(), "token", "cnt", "total")
 
 
 @query(
@@ -83,19 +83,63 @@ def _(t):
     from loomspark.functions import text
 
     prompts = t.conversations.select(text.words("text").alias("tokens"))
-    out = ng.ngram_predict_validated(ng.ngram_counts(prompts), ng.ngram_static(doc_words(t)), "lax")
+    out = ng.ngram_predict_validated(ng.ngram_flat(prompts), ng.ngram_flat(doc_words(t), 2, 2), "lax")
     return out.select("n", joined(), "token", "cnt", "total")
 
 
-@query("n6_draft")
+def _grams(table, key=""):
+    """(key, n, ngram, token, cnt) of the word lists of ``table``."""
+    k = f"{key}, " if key else ""
+    return f"""(SELECT {k}p.n AS n, p.ngram AS ngram, p.token AS token, count(*) AS cnt FROM (SELECT {k}unnest(flatten([list_transform(range(1, greatest(len(toks) - n + 1, 1)),
+   lambda i: {{'n': n, 'ngram': array_to_string(toks[i:i + n - 1], ' '), 'token': toks[i + n]}}) for n in [1, 2, 3, 4]])) AS p FROM {table}) GROUP BY ALL)"""
+
+
+def _best(grams, key, samples, percent):
+    """(key, n, ngram, token): the next token of each context that passes the gates."""
+    k = f"{key}, " if key else ""
+    return f"""(SELECT {k}n, ngram, token FROM (SELECT {k}n, ngram, g.token, cnt, sum(cnt) OVER w AS total, row_number() OVER (PARTITION BY {k}n, ngram ORDER BY cnt * coalesce(100 * cs, 1) DESC, g.token) AS rn
+   FROM {grams} g LEFT JOIN st ON n >= 2 AND st.bigram = array_to_string(string_split(ngram, ' ')[-2:], ' ') AND st.token = g.token WINDOW w AS (PARTITION BY {k}n, ngram))
+   WHERE rn = 1 AND total >= {list(samples)}[n] AND 100 * cnt >= {list(percent)}[n] * total)"""
+
+
+def _one(i, grams, join, samples, percent, rank):
+    """Contexts of one token, weighed by the static counts of the two before."""
+    return f"""SELECT prompt_id, 1 AS n, token, {rank} AS rank FROM (SELECT r.prompt_id, w.token, w.cnt, sum(w.cnt) OVER p AS total, row_number() OVER (PARTITION BY r.prompt_id ORDER BY w.cnt * coalesce(100 * cs, 1) DESC, w.token) AS rn
+   FROM r{i} r JOIN {grams} w ON {join} w.n = 1 AND w.ngram = r.tail[-1] LEFT JOIN st ON st.bigram = array_to_string(r.tail[-2:], ' ') AND st.token = w.token WHERE is_open WINDOW p AS (PARTITION BY r.prompt_id))
+   WHERE rn = 1 AND total >= {samples[0]} AND 100 * cnt >= {percent[0]} * total"""
+
+
+def _round(i):
+    return f"""g{i} AS (SELECT prompt_id, n, array_to_string(tail[-n:], ' ') AS ngram FROM r{i}, (SELECT unnest(range(2, 5)) AS n) WHERE is_open AND n <= len(tail)),
+h{i} AS (SELECT prompt_id, arg_min(token, [rank, -n]) AS nx FROM (SELECT prompt_id, n, token, 1 AS rank FROM g{i} JOIN by_prompt USING (prompt_id, n, ngram) UNION ALL
+  SELECT prompt_id, n, token, 2 FROM g{i} JOIN of_all USING (n, ngram) UNION ALL SELECT prompt_id, 2, token, 3 FROM g{i} JOIN likely USING (ngram) WHERE n = 2 UNION ALL
+  {_one(i, 'own', 'w.prompt_id = r.prompt_id AND', ng.LAX_SAMPLES, ng.LAX_PERCENT, 1)} UNION ALL {_one(i, 'chats', '', ng.STRICT_SAMPLES, ng.STRICT_PERCENT, 2)}) GROUP BY prompt_id),
+r{i + 1} AS (SELECT prompt_id, CASE WHEN is_open AND nx IS NOT NULL THEN list_append(tail, nx)[-4:] ELSE tail END AS tail,
+  CASE WHEN is_open AND nx IS NOT NULL THEN list_append(draft, nx) ELSE draft END AS draft, is_open AND nx IS NOT NULL AS is_open FROM r{i} LEFT JOIN h{i} USING (prompt_id))"""
+
+
+@query(
+    "n6_draft",
+    f"""WITH {TOKS}, words AS (SELECT item_id AS prompt_id, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS toks FROM benchmark),
+conv AS (SELECT list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS toks FROM conversations),
+st AS (SELECT ngram AS bigram, token, cnt AS cs FROM {_grams('docs')} WHERE n = 2),
+own AS {_grams('words', 'prompt_id')}, chats AS {_grams('conv')},
+by_prompt AS {_best('own', 'prompt_id', ng.LAX_SAMPLES, ng.LAX_PERCENT)},
+of_all AS {_best('chats', '', ng.STRICT_SAMPLES, ng.STRICT_PERCENT)},
+likely AS (SELECT bigram AS ngram, token FROM (SELECT bigram, token, cs, sum(cs) OVER (PARTITION BY bigram) AS total, row_number() OVER (PARTITION BY bigram ORDER BY cs DESC, token) AS rn FROM st)
+  WHERE rn = 1 AND total >= 2 AND 100 * cs >= 50 * total),
+r0 AS (SELECT prompt_id, toks[-4:] AS tail, []::VARCHAR[] AS draft, true AS is_open FROM words WHERE len(toks) >= 2),
+{_round(0)}, {_round(1)}, {_round(2)}
+SELECT prompt_id, array_to_string(draft, ' ') AS draft, len(draft)::INTEGER AS n_draft FROM r3""",
+)
 def _(t):
     from loomspark.functions import text
 
     prompts = t.benchmark.select(F.col("item_id").alias("prompt_id"), text.words("text").alias("tokens"))
     docs = doc_words(t)
-    ctx = ng.ngram_counts(prompts, keep=("prompt_id",))
+    ctx = ng.ngram_flat(prompts, keep=("prompt_id",))
     chats = t.conversations.select(text.words("text").alias("tokens"))
-    out = ng.ngram_draft(prompts, ctx, ng.ngram_counts(chats), ng.ngram_static(docs), 3)
+    out = ng.ngram_draft(prompts, ctx, ng.ngram_flat(chats), ng.ngram_flat(docs, 2, 2), 3)
     return out.select("prompt_id", F.array_join("draft", " ").alias("draft"), F.size("draft").alias("n_draft"))
 
 
