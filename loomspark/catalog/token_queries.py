@@ -9,7 +9,7 @@ from loomspark.functions import text
 from loomspark.operators import tokens as tk
 from loomspark.plans.bounds import spread
 
-B = tk.BORDER
+B, M = tk.BORDER, "\ufdd2"
 
 
 def docs(t):
@@ -63,7 +63,22 @@ def _(t):
     return pretokenised(t, "deepseek-coder")
 
 
-@query("t2_pretokenize_default")
+# A blank that the next word takes is marked, as the twin has no look-ahead: blanks end at the mark.
+PUNCTUATION, *_, DIGITS, THREE = tk.PRETOKENIZERS["default"]
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}{M}]+|\s+"
+WORDED = rf"""list_transform({sql_cut('text', [PUNCTUATION])}, lambda p: regexp_replace(p, '(\s)(\S)', '{M}\1\2', 'g'))"""
+WORDED = f"""list_transform(flatten(list_transform({WORDED}, lambda p: string_split(regexp_replace(p, '({WORDS.replace("'", "''")})', '{B}\\1{B}', 'g'), '{B}'))), lambda p: replace(p, '{M}', ''))"""
+
+
+def sql_parts(src, pattern):
+    return f"flatten(list_transform({src}, lambda p: string_split(regexp_replace(p, '({pattern})', '{B}\\1{B}', 'g'), '{B}')))"
+
+
+@query(
+    "t2_pretokenize_default",
+    f"WITH w AS (SELECT doc_id, list_filter({sql_parts(sql_parts(WORDED, DIGITS), THREE)}, lambda x: x <> '') AS w FROM documents) "
+    "SELECT doc_id, len(w)::INTEGER AS n, md5(array_to_string(w, '|')) AS digest FROM w",
+)
 def _(t):
     return pretokenised(t, "default")
 
@@ -132,6 +147,16 @@ def _(t):
     return tk.detokenize(tk.tokenize_corpus(rows, v, add_special=False), v).select("doc_id", F.md5("text").alias("digest"))
 
 
+@query(
+    "t10_joined_bytes",
+    f"""WITH {IDS}, vocab AS (SELECT token_id, min(tok) AS text FROM (SELECT tok, ((ascii(tok) * 31 + length(tok)) % 97)::INTEGER AS token_id FROM tk) GROUP BY token_id)
+SELECT d.doc_id, md5(coalesce(string_agg(v.text, '' ORDER BY pos), '')) AS digest FROM documents d LEFT JOIN ids USING (doc_id) LEFT JOIN vocab v USING (token_id) GROUP BY d.doc_id""",
+)
+def _(t):
+    pieces = vocab.word_table(t).select("token_id", F.col("text").cast("binary").alias("raw"))
+    return tk.join_pieces(doc_ids(t), pieces).select("doc_id", F.md5("text").alias("digest"))
+
+
 VOCAB = """vocab AS (SELECT token_id, min(tok) AS text, token_id % 5 = 0 AS added, token_id % 10 = 0 AS special FROM
   (SELECT tok, ((ascii(tok) * 31 + length(tok)) % 97)::INTEGER AS token_id FROM tk) GROUP BY token_id)"""
 

@@ -25,8 +25,8 @@ from loomspark.plans.prefix import neighbour, running_sums
 MAX_VOCAB = 2_000_000
 CACHE_PIECES = 500_000
 SPACE_MARK = "\u2581"
-# Noncharacters mark piece borders; a text that holds them gets a longer mark of its own.
-BORDER, FENCE = "\ufdd0", "\ufdd1"
+#: A noncharacter that no speech holds, around its numbers.
+BORDER = "\ufdd0"
 
 # Attribute bits of a vocabulary entry: fixed values.
 ATTR_UNKNOWN, ATTR_UNUSED, ATTR_NORMAL, ATTR_CONTROL, ATTR_USER_DEFINED, ATTR_BYTE = 1, 2, 4, 8, 16, 32
@@ -95,29 +95,28 @@ ALIASES = {
 # ------------------------------------------------------------------ splitting
 
 
-def border(text: Column) -> Column:
-    """A mark that does not occur in ``text``, even where text and mark touch: one more ``BORDER`` in a row than any run of the text."""
-    runs = F.transform(F.regexp_extract_all(text, F.lit(f"({BORDER}+)")), F.length)
-    longest = F.when(F.contains(text, F.lit(BORDER)), F.array_max(runs)).otherwise(0)
-    return F.concat(F.lit(FENCE), F.repeat(F.lit(BORDER), longest + 1), F.lit(FENCE))
+def _either(pattern: str) -> str:
+    """A match of ``pattern`` or, where none begins, the characters up to the next one: all of a text in one pass, in order.
 
-
-def _cut(piece: Column, pattern: str, mark: Column) -> Column:
-    """Gaps (even places) and matches (odd places), in order."""
-    return F.split(F.regexp_replace(piece, F.lit(pattern), F.concat(mark, F.lit("$0"), mark)), mark, -1)
+    Whatever a pattern that takes no characters (a look-ahead) finds is a place to cut at.
+    """
+    gap = rf"(?s:.)(?:(?!{pattern})(?s:.))*+"
+    return gap if pattern.startswith("(?:(?=") else f"{pattern}|{gap}"
 
 
-def _cutter(pattern: str, mark: Column) -> Callable[[Column], Column]:
-    return lambda p: F.filter(_cut(p, f"(?U)(?:{pattern})", mark), lambda x: x != F.lit(""))
+def _cut(piece: Column, pattern: str) -> Column:
+    """Matches and what lies between them, in order; together they are ``piece``, and none is empty."""
+    return F.regexp_extract_all(piece, F.lit("(?U)" + _either(pattern)), F.lit(0))
 
 
 def pretokenize(text, family: str = "default") -> Column:
     """Array of pieces; every pattern of the family splits the pieces of the one before."""
     col = F.col(text) if isinstance(text, str) else text
-    pieces, mark = F.array(col), border(col)
-    for pattern in PRETOKENIZERS[ALIASES.get(family, family)]:
-        pieces = F.flatten(F.transform(pieces, _cutter(pattern, mark)))
-    return F.filter(pieces, lambda p: p != F.lit(""))
+    first, *others = PRETOKENIZERS[ALIASES.get(family, family)]
+    pieces = _cut(col, f"(?:{first})")
+    for pattern in others:
+        pieces = F.flatten(F.transform(pieces, lambda p: _cut(p, f"(?:{pattern})")))  # noqa: B023
+    return pieces
 
 
 def _raw(text: Column) -> Column:
@@ -148,14 +147,12 @@ def partition_special(text, specials: list[tuple[int, str, int]], parse_special:
     """
     col = F.col(text) if isinstance(text, str) else text
     use = [s for s in specials if parse_special or not s[2] & (ATTR_CONTROL | ATTR_UNKNOWN)]
-    frags, mark = F.array(_raw(col)), border(col)
+    frags = F.array(_raw(col))
     blank = r"[ \t\n\x0B\f\r]*"
 
-    def splitter(pattern: str, ids: Column):
-        def one(part: Column, i: Column) -> Column:
-            return F.when(i % 2 == 1, F.struct(F.coalesce(F.element_at(ids, part), F.element_at(ids, F.lit(""))).alias("id"), part.alias("text"))).otherwise(_raw(part))
-
-        return lambda f: F.when(f["id"].isNotNull(), F.array(f)).otherwise(F.transform(_cut(f["text"], pattern, mark), one))
+    def splitter(pattern: str, named: Callable[[Column], Column]):
+        one = lambda part: F.when(named(part).isNotNull(), F.struct(named(part).alias("id"), part.alias("text"))).otherwise(_raw(part))
+        return lambda f: F.when(f["id"].isNotNull(), F.array(f)).otherwise(F.transform(_cut(f["text"], pattern), one))
 
     for group in _groups(sorted(use, key=lambda s: (-len(s[1].encode()), s[0]))):
         first: dict[str, int] = {}
@@ -164,8 +161,11 @@ def partition_special(text, specials: list[tuple[int, str, int]], parse_special:
         attr = group[0][2]  # only a group of one has blanks around it, and its match may hold them
         body = "|".join(quote_regex(lit) for lit in first)
         pattern = (blank if attr & ATTR_LSTRIP else "") + f"(?:{body})" + (blank if attr & ATTR_RSTRIP else "")
-        ids = F.create_map(*[F.lit(x) for lit, tid in [*first.items(), *([("", group[0][0])] if len(group) == 1 else [])] for x in (lit, tid)])
-        frags = F.flatten(F.transform(frags, splitter(pattern, ids)))
+        # What lies between matches neither is nor holds a special, so a part tells by itself what it is.
+        ids = F.create_map(*[F.lit(x) for lit, tid in first.items() for x in (lit, tid)])
+        alone, tid = group[0][1], group[0][0]
+        named = (lambda part: F.when(F.contains(part, F.lit(alone)), F.lit(tid))) if attr & (ATTR_LSTRIP | ATTR_RSTRIP) else (lambda part: F.element_at(ids, part))  # noqa: B023
+        frags = F.flatten(F.transform(frags, splitter(pattern, named)))
     return F.filter(frags, lambda f: f["id"].isNotNull() | (f["text"] != F.lit("")))
 
 
@@ -457,40 +457,46 @@ def add_special_tokens(df: DataFrame, *, bos: int | None, eos: int | None, token
     )
 
 
-def detokenize(df: DataFrame, v: Vocab, *, doc: str = "doc_id", tokens: str = "tokens", special: bool = False) -> DataFrame:
-    """``(doc, text)``: bytes of all tokens are joined before they are decoded."""
-    shared = df.sparkSession.sparkContext.broadcast(v)
+def piece_bytes(v: Vocab, special: bool = False) -> dict[int, bytes]:
+    """What each token stands for; control and unknown tokens for nothing unless ``special``."""
+    back = {c: b for b, c in BYTE_CHARS.items()}
+    raw: dict[int, bytes] = {}
+    for t, i in v.ids.items():
+        attr = v.attrs.get(i, ATTR_NORMAL)
+        if attr & (ATTR_CONTROL | ATTR_UNKNOWN):
+            raw[i] = t.encode() if special else b""
+        elif attr & ATTR_USER_DEFINED:
+            raw[i] = t.encode()
+        elif attr & ATTR_BYTE:
+            raw[i] = bytes([int(t[3:5], 16)])
+        elif v.kind == "bpe":
+            raw[i] = bytes(back[c] for c in t)
+        elif v.kind == "rwkv":
+            raw[i] = t.encode("latin-1")
+        else:
+            raw[i] = t.replace(SPACE_MARK, " ").encode()
+    return raw
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = shared.value
-        back = {c: b for b, c in BYTE_CHARS.items()}
-        raw: dict[int, bytes] = {}
-        for t, i in vocab.ids.items():
-            attr = vocab.attrs.get(i, ATTR_NORMAL)
-            if attr & (ATTR_CONTROL | ATTR_UNKNOWN):
-                raw[i] = t.encode() if special else b""
-            elif attr & ATTR_USER_DEFINED:
-                raw[i] = t.encode()
-            elif attr & ATTR_BYTE:
-                raw[i] = bytes([int(t[3:5], 16)])
-            elif vocab.kind == "bpe":
-                raw[i] = bytes(back[c] for c in t)
-            elif vocab.kind == "rwkv":
-                raw[i] = t.encode("latin-1")
-            else:
-                raw[i] = t.replace(SPACE_MARK, " ").encode()
-        drop = vocab.space_prefix and vocab.kind in ("spm", "ugm", "wpm")
-
-        def one(ids) -> str:
-            parts = [raw.get(int(i), b"") for i in ids]
-            if drop and parts and parts[0][:1] == b" ":
-                parts[0] = parts[0][1:]
-            return b"".join(parts).decode("utf-8", errors="replace")
 
-        for pdf in batches:
-            yield pd.DataFrame({doc: pdf[doc], "text": [one(x) for x in pdf[tokens]]})
+def join_pieces(df: DataFrame, pieces: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens", drop_space: bool = False) -> DataFrame:
+    """``(doc, text)`` of ids and ``pieces(token_id, raw binary)``: the bytes of a document in order, decoded once; ``doc`` is its key.
+
+    Ids without a piece stand for nothing, bytes that are no UTF-8 for U+FFFD.  ``drop_space`` leaves out a blank that the
+    first token begins with.  Tokens meet their pieces by a join, broadcast by size, and go back to their document.
+    """
+    each = df.select(doc, F.posexplode_outer(tokens).alias("pos", "token_id")).join(pieces.select("token_id", F.hex("raw").alias("raw")), "token_id", "left")
+    parts = each.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("raw", F.lit("")).alias("raw")))).alias("parts"))
+    whole = F.array_join(F.transform("parts", lambda p: p["raw"]), "")
+    if drop_space:
+        whole = F.when(F.startswith(F.get("parts", F.lit(0))["raw"], F.lit("20")), F.substring(whole, 3, (1 << 31) - 1)).otherwise(whole)
+    return parts.select(doc, F.make_valid_utf8(F.unhex(whole).cast("string")).alias("text"))
 
-    return df.select(doc, tokens).mapInPandas(run, f"{doc} {df.schema[doc].dataType.simpleString()}, text string")
+
+def detokenize(df: DataFrame, v: Vocab, *, doc: str = "doc_id", tokens: str = "tokens", special: bool = False) -> DataFrame:
+    """``(doc, text)``: bytes of all tokens are joined before they are decoded."""
+    spark = df.sparkSession
+    pieces = spark.createDataFrame([(i, bytearray(raw)) for i, raw in piece_bytes(v, special).items()], "token_id int, raw binary")
+    return join_pieces(df, pieces, doc=doc, tokens=tokens, drop_space=v.space_prefix and v.kind in ("spm", "ugm", "wpm"))
 
 
 # ------------------------------------------------------------------ tables around tokens
