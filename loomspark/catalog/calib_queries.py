@@ -134,6 +134,20 @@ def _(t):
     return C.direction_mean(sides(t)).select("layer", digest("vec").alias("d"))
 
 
+RANK_ONE = "list_transform(range(1, 65), lambda j: (j + label % 3) / 64.0::DOUBLE)"
+
+
+@query(
+    "c10_direction_rank_one",
+    f"""WITH {V}, u AS (SELECT DISTINCT label AS layer, {RANK_ONE} AS u FROM e), s AS (SELECT layer, u, sqrt(list_sum(list_transform(u, lambda x: x * x))) AS n FROM u)
+SELECT layer, {sql_digest('list_transform(u, lambda x: x / n)')} AS d FROM s""",
+)
+def _(t):
+    """Every row of a layer is a multiple of one vector, which is the direction."""
+    u = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda j: (j + F.col("label") % 3) / F.lit(64.0) * (F.get("v", F.lit(0)) + 2) * F.when(F.col("vec_id") % 2 == 0, 1.0).otherwise(-1.0))
+    return C.direction_pca(vecs(t).select(F.col("label").alias("layer"), u.alias("vec"))).select("layer", digest("vec").alias("d"))
+
+
 @query("c10_direction_pca")
 def _(t):
     return C.direction_pca(sides(t)).select("layer", digest("vec", 4).alias("d"))

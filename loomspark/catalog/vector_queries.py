@@ -20,11 +20,11 @@ r AS (SELECT doc_id, i, strlen(piece) AS cur, 0 AS chunk, NOT tail AND strlen(pi
   NOT s.tail AND (CASE WHEN r.cut THEN strlen(s.piece) ELSE r.cur + strlen(s.piece) END) > 512, s.piece, s.tail FROM r JOIN s ON s.doc_id = r.doc_id AND s.i = r.i + 1),
 m AS (SELECT *, max(chunk) FILTER (cut) OVER (PARTITION BY doc_id) AS last FROM r),
 c AS (SELECT doc_id, least(chunk, coalesce(last, 0)) AS chunk_no, string_agg(piece, '' ORDER BY i) AS textdata FROM m GROUP BY 1, 2)
-SELECT doc_id, chunk_no::INTEGER AS chunk_no, (coalesce(sum(strlen(textdata)) OVER (PARTITION BY doc_id ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS filepos, md5(textdata) AS digest FROM c""",
+SELECT doc_id, chunk_no::INTEGER AS chunk_no, (coalesce(sum(strlen(textdata)) OVER (PARTITION BY doc_id ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS byte_offset, md5(textdata) AS digest FROM c""",
 )
 def _(t):
     rows = vec.chunk_text(spread(t.documents.select("doc_id", "text"), "doc_id"), 512, "\n", name="doc_id")
-    return rows.select("doc_id", "chunk_no", "filepos", F.md5("textdata").alias("digest"))
+    return rows.select("doc_id", "chunk_no", "byte_offset", F.md5("chunk").alias("digest"))
 
 
 @query(
@@ -73,6 +73,16 @@ def _(t):
     return m.withColumn("score", F.round("score", 9))
 
 
+@query(
+    "e4_pairs_above",
+    f"WITH {V} SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.v, b.v), 9) AS score FROM e a JOIN e b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.4",
+)
+def _(t):
+    """All pairs of all vectors that are this much alike."""
+    rows = vecs(t).select(F.col("vec_id").alias("query_id"), F.col("v").alias("vec"))
+    return vec.cosine_matrix(rows, upper=True, floor=0.4).withColumn("score", F.round("score", 9))
+
+
 @query(
     "e5_topk_similar",
     f"""WITH {V}, {CENTROIDS}, s AS (SELECT label AS query_id, vec_id AS doc_id, round(list_cosine_similarity(v, c), 12) AS score FROM cent, (SELECT vec_id, v FROM e)),

@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.operators.vectors import normalize, pool_mean
+from loomspark.operators.vectors import dense_sums, normalize, pool_mean
 from loomspark.plans.bounds import checked, require
+from loomspark.plans.scratch import written
 
 MIN_ROWS = 16
 NEAR_ZERO = 1e-6
-MAX_WIDTH = 16_384
 
 
 def tensor_name(col) -> Column:
@@ -112,46 +112,81 @@ def direction_mean(rows: DataFrame) -> DataFrame:
     return pool_mean(rows, seq="layer", vec="vec").select("layer", normalize("vec", 2).alias("vec"))
 
 
-def direction_pca(rows: DataFrame, *, iters: int = 1000, tol: float = 1e-7) -> DataFrame:
-    """``(layer, vec)``: first principal direction by power iteration, not centred; its largest component is positive.
-
-    Tasks add up their part of X'X; only those d x d sums are shuffled, and a layer's matrix is iterated on in one task.
-    """
+def _products(rows: DataFrame, directions: dict) -> dict:
+    """``X'(Xv)`` of each layer's rows and its direction ``v``: a task hands on one vector for each of its layers."""
+    kind = rows.schema["layer"].dataType.simpleString()
 
-    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict = {}
+    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
         for pdf in batches:
             for layer, part in pdf.groupby("layer"):
-                x = np.stack(part["vec"].to_numpy()).astype(np.float64)
-                if x.shape[1] > MAX_WIDTH:
-                    raise ValueError(f"vectors wider than {MAX_WIDTH}")
-                acc[layer] = acc.get(layer, 0.0) + x.T @ x
-        for layer, g in acc.items():
-            for i, row in enumerate(g):
-                yield pd.DataFrame({"layer": layer, "i": i, "j": np.arange(len(row)), "g": row})
-
-    def iterate(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = int(pdf["i"].max()) + 1
-        g = np.zeros((d, d))
-        g[pdf["i"], pdf["j"]] = pdf["g"]
-        v = np.ones(d) / np.sqrt(d) + np.arange(d) * 1e-3
-        v /= np.linalg.norm(v)
-        for _ in range(iters):
-            w = g @ v
-            size = np.linalg.norm(w)
-            if size == 0:
-                break
-            w /= size
-            done = np.linalg.norm(w - v) < tol
-            v = w
-            if done:
-                break
-        v = v * np.sign(v[np.abs(v).argmax()])
-        return pd.DataFrame({"layer": [pdf["layer"].iloc[0]], "vec": [v]})
-
-    layer_type = rows.schema["layer"].dataType.simpleString()
-    parts = rows.select("layer", "vec").mapInPandas(gram, f"layer {layer_type}, i int, j int, g double")
-    return parts.groupBy("layer", "i", "j").agg(F.sum("g").alias("g")).groupBy("layer").applyInPandas(iterate, f"layer {layer_type}, vec array<double>")
+                if layer in directions:
+                    x = np.stack(part["vec"].to_numpy()).astype(np.float64)
+                    sums[layer] = sums.get(layer, 0.0) + x.T @ (x @ directions[layer])
+        if sums:
+            yield pd.DataFrame({"layer": list(sums), "vec": list(sums.values())})
+
+    parts = rows.mapInPandas(product, f"layer {kind}, vec array<double>")
+    return {r["layer"]: np.array(r["s"]) for r in dense_sums(parts, "layer", "vec").collect()}  # a vector for each layer
+
+
+class _Krylov:
+    """The space that a layer's products span, and the direction in it that its matrix stretches most."""
+
+    def __init__(self, width: int):
+        v = np.ones(width) / np.sqrt(width) + np.arange(width) * 1e-3
+        self.basis, self.images = [v / np.linalg.norm(v)], []
+
+    def take(self, image: np.ndarray, tol: float) -> np.ndarray | None:
+        """The direction if it is exact enough, else nothing, and the basis has one vector more."""
+        self.images.append(image)
+        q, w = np.array(self.basis), np.array(self.images)
+        small = q @ w.T
+        values, vectors = np.linalg.eigh((small + small.T) / 2)
+        y = vectors[:, -1]
+        best, left = y @ q, y @ w - values[-1] * (y @ q)
+        rest = image.copy()
+        for _ in range(2):  # once is not enough where the rest is small
+            rest -= q.T @ (q @ rest)
+        size = np.linalg.norm(rest)
+        if np.linalg.norm(left) <= tol * max(values[-1], 0.0) or size <= 1e-13 * max(np.linalg.norm(image), 1e-300):
+            return best / np.linalg.norm(best)
+        if len(self.basis) == BASIS:  # begin again from the best direction so far
+            self.basis, self.images = [best / np.linalg.norm(best)], []
+        else:
+            self.basis.append(rest / size)
+        return None
+
+
+#: Products of a layer that are kept before its search begins again from the best direction.
+BASIS = 40
+
+
+def direction_pca(rows: DataFrame, *, iters: int = 1000, tol: float = 1e-7) -> DataFrame:
+    """``(layer, vec)``: first principal direction of each layer, not centred; its largest component is positive.
+
+    No matrix is built: a round is ``X'(Xv)``, added up by the tasks, so a layer's width only sets the length of a vector.
+    The driver keeps up to ``BASIS`` vectors of each layer and picks the next ``v`` of all of them; a layer is done when
+    its direction's image is the direction again, up to ``tol``.  A layer of zero rows keeps the direction it began with.
+    """
+    spark = rows.sparkSession
+    kind = rows.schema["layer"].dataType.simpleString()
+    table = written(rows.select("layer", "vec"), "directions")
+    widths = table.groupBy("layer").agg(F.max(F.size("vec")).alias("width")).collect()  # a row for each layer
+    open_layers = {r["layer"]: _Krylov(r["width"]) for r in widths if r["width"] > 0}
+    found = {}
+    for _ in range(iters):
+        if not open_layers:
+            break
+        images = _products(table, {layer: k.basis[-1] for layer, k in open_layers.items()})
+        for layer, image in images.items():
+            v = open_layers[layer].take(image, tol)
+            if v is not None:
+                found[layer] = v
+                del open_layers[layer]
+    found |= {layer: k.basis[0] for layer, k in open_layers.items()}
+    signed = [(layer, [float(x) for x in v * (np.sign(v[np.abs(v).argmax()]) or 1.0)]) for layer, v in sorted(found.items())]
+    return spark.createDataFrame(signed, f"layer {kind}, vec array<double>")
 
 
 def combine_directions(df: DataFrame) -> DataFrame:
