@@ -238,6 +238,41 @@ def _(t):
     return W.plan_types_mixed(tensors(t), "Q4_K_M").select("file", "idx", "planned")
 
 
+def _mixed(name: str, mix: str, base: str, head: str, rules: list[tuple[str, str]], **options) -> None:
+    """A mix with its rules in SQL: kind, block b, rank i of the block among the n of its kind."""
+    block = "CASE {} " + " ".join(f"WHEN '{k}' THEN {v[0]}" for k, v in BLOCK_SIZES.items()) + " END"
+    lower = " ".join(f"WHEN p IN {kinds} THEN '{to}'" for kinds, to in (("('Q4_K')", "Q5_0"), ("('Q5_K')", "Q5_1"), ("('Q6_K')", "Q8_0"), ("('Q2_K', 'Q3_K', 'IQ2_S', 'IQ2_XS', 'IQ3_S', 'IQ3_XXS')", "IQ4_NL")))
+    cases = " ".join(f"WHEN {test} THEN '{to}'" for test, to in rules)
+
+    @query(
+        name,
+        f"""WITH {TENSORS}, k AS (SELECT *, regexp_extract(tensor, '(attn_v|attn_k|attn_q|attn_output|ffn_down|ffn_gate|ffn_up)', 1) AS kind, CASE WHEN tensor LIKE 'blk.%' THEN split_part(tensor, '.', 2)::INTEGER END AS b FROM ten),
+m AS (SELECT *, count(*) FILTER (kind <> '') OVER (PARTITION BY file, kind) AS n, row_number() OVER (PARTITION BY file, kind ORDER BY b) - 1 AS i FROM k),
+p AS (SELECT *, CASE WHEN tensor LIKE '%norm.weight' THEN 'F32' WHEN tensor = 'output.weight' THEN CASE WHEN shape[-1] % {BLOCK_SIZES[base][0]} <> 0 THEN 'Q8_0' ELSE '{head}' END {cases} ELSE '{base}' END AS p FROM m),
+q AS (SELECT *, CASE WHEN p IN ('F32', 'F16') OR shape[-1] % {block.format('p')} = 0 THEN p {lower} END AS q FROM p)
+SELECT file, idx, CASE WHEN q IS NOT NULL AND shape[-1] % {block.format('q')} = 0 THEN q ELSE 'F16' END AS planned FROM q""",
+    )
+    def _(t):
+        return W.plan_types_mixed(tensors(t), mix, **options).select("file", "idx", "planned")
+
+
+EIGHTHS = "({0} < n // 8 OR {0} >= 7 * n // 8 OR ({0} - n // 8) % 3 = 2)"
+_mixed("g15_small_mix", "IQ2_M", "IQ2_S", "Q5_K", [("tensor = 'token_embd.weight'", "IQ3_S"), ("kind IN ('attn_v', 'attn_output')", "IQ3_S"), ("kind = 'ffn_down' AND i < n // 8", "IQ3_S")])
+_mixed("g15_experts", "Q4_K_M", "Q4_K", "Q6_K", [("kind IN ('attn_v', 'attn_k')", "Q8_0"), ("kind = 'attn_output'", "Q5_K"), (f"kind = 'ffn_down' AND {EIGHTHS.format('b')}", "Q6_K")], experts=8)
+_mixed("g15_importance_data", "Q4_0", "Q4_0", "Q6_K", [("kind = 'ffn_down' AND i < n // 8", "Q4_1")], data=True)
+_mixed(
+    "g15_architecture", "Q3_K_M", "Q3_K", "Q8_0",
+    [("kind = 'attn_v' AND i < 2", "Q5_K"), ("kind = 'attn_v'", "Q4_K"), ("kind = 'ffn_down' AND i < n // 16", "Q5_K"), (f"kind = 'ffn_down' AND {EIGHTHS.format('i')}", "Q4_K")],
+    arch="falcon",
+)
+_mixed("g15_wide_model", "Q3_K_S", "Q3_K", "Q6_K", [("kind = 'attn_v'", "Q5_K")], size="70B")
+_mixed(
+    "g15_middle_layers", "IQ3_XS", "IQ3_S", "Q6_K",
+    [("kind = 'attn_v'", "Q4_K"), ("kind IN ('attn_k', 'attn_q')", "IQ3_XXS"), ("kind IN ('ffn_gate', 'ffn_up') AND i >= n // 8 AND i < 7 * n // 8", "IQ3_XXS")],
+    gqa=4,
+)
+
+
 ERR = "x AS (SELECT 'label ' || label AS tensor, unnest(v) AS x FROM e), d AS (SELECT tensor, abs(x - round(x, 1)) AS d FROM x WHERE tensor <> 'label 3')"
 
 
@@ -365,6 +400,25 @@ def _(t):
     return merged.select("tensor", "row", F.round(F.aggregate("values", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
 
 
+@query(
+    "g25_merge_embeddings",
+    f"""WITH {V}, o AS (SELECT label, v, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row FROM e), f AS (SELECT label, v FROM o WHERE row = 0)
+SELECT 'token_embd.' || o.label AS tensor, o.row, round(list_sum(list_transform(list_zip(o.v, f.v), lambda p: p[1] + 0.25 * (o.v[1] * p[2] - o.v[2] * p[2]))), 6) AS total FROM o JOIN f USING (label)""",
+)
+def _(t):
+    """Rank-2 adapters of token tables: A has the first two entries of every vector, B each label's first vector and its negative."""
+    from loomspark.plans.prefix import running_sums
+
+    pos = running_sums(vecs(t).select("label", "vec_id"), ["label"], "vec_id", {"row": F.lit(1).cast("long")}, inclusive=False)
+    name = F.concat(F.lit("token_embd."), F.col("label").cast("string")).alias("tensor")
+    rows = vecs(t).join(pos.select("vec_id", "row"), "vec_id").select(name, "row", F.col("v").alias("values"))
+    b = rows.filter("row = 0").select("tensor", F.transform("values", lambda x: F.array(x, -x)).alias("b"))
+    a = rows.groupBy("tensor").agg(F.transform(F.array_sort(F.collect_list(F.struct("row", F.slice("values", 1, 2).alias("x")))), lambda e: e["x"]).alias("a"))
+    adapters = a.join(b, "tensor").select("tensor", "a", "b", F.lit(2.0).alias("alpha"), F.lit(0.25).alias("strength"))
+    merged = W.merge_adapters(rows, adapters)
+    return merged.select("tensor", "row", F.round(F.aggregate("values", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
+
+
 @query(
     "g26_prune_layers",
     f"""WITH {TENSORS}, k AS (SELECT file, idx, tensor, CASE WHEN tensor LIKE 'blk.%' THEN split_part(tensor, '.', 2)::INTEGER END AS b FROM ten)

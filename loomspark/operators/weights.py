@@ -144,77 +144,93 @@ def param_totals(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ names
 
-# Patterns that tell the parts of a model id apart: fixed values.
-PART_VERSION = r"(?i)^(v|iter)?\d+([.]\d+)*$"
-PART_TYPE = r"(?i)^(i?q\d(_\w)*|b?fp?(16|32))$"
-PART_SIZE = r"(?i)^((([A]|\d+[x])?\d+([._]\d+)?[KMBT][\d]?)|small|mini|medium|large|x?xl)$"
-PART_TUNE = r"(?i)^(chat|instruct|vision|lora)$"
+# What the parts of a model id may be: (kind, pattern, whether it may come first).  Patterns are fixed values.
+PART_RULES = (
+    ("version", r"(?i)^(v|iter)?\d+([.]\d+)*$", True),
+    ("type", r"(?i)^(i?q\d(_\w)*|b?fp?(16|32))$", True),
+    ("size", r"(?i)^((([A]|\d+[x])?\d+([._]\d+)?[KMBT][\d]?)|small|mini|medium|large|x?xl)$", False),
+    ("adapter", r"(?i)^lora$", False),
+    ("finetune", r"(?i)^(chat|instruct|vision|lora)$", False),
+)
+# Written-out sizes: a dot for an underscore, 7b1 for 7.1b, a capital unit.  Fixed values.
+SIZE_SPELLING = (("_", "."), (r"^(.*)(.)(\d)$", "$1.$3$2"))
+SIZE_UNITS = {"K": 1e3, "M": 1e6, "B": 1e9, "T": 1e12}
+ID_STATE = "struct<rest:boolean,base:array<string>,tail:array<string>,finetune:array<string>,version:array<string>,size:array<string>>"
+
+
+def _spelled(part: Column) -> Column:
+    """A size as it is written in names."""
+    (old, new), (moved, order) = SIZE_SPELLING
+    dotted = F.replace(part, F.lit(old), F.lit(new))
+    dotted = F.when(dotted.rlike(r"\d$"), F.regexp_replace(dotted, moved, order)).otherwise(dotted)
+    return F.when(dotted.rlike(r"\d[kmbt]$"), F.concat(F.regexp_replace(dotted, ".$", ""), F.upper(F.right(dotted, F.lit(1))))).otherwise(dotted)
+
+
+def _far(size: Column, total: Column) -> Column:
+    """Whether a size has little to do with the number of parameters; adapters, with a negative number, may be an eighth of it."""
+    units = F.create_map(*[F.lit(x) for kv in SIZE_UNITS.items() for x in kv])
+    known = size.rlike(r"^\d+(\.\d+)?[KMBT]$")
+    params = F.when(known, F.regexp_extract(size, r"^([\d.]+)", 1).cast("double") * F.element_at(units, F.right(size, F.lit(1))))
+    allowed = F.floor(F.abs(total) * 7 / 8)
+    return F.coalesce(F.when(total < 0, params < F.floor(F.abs(total) / 8)).when(total > 0, F.abs(params - total) > allowed), F.lit(False))
+
+
+def _classified(part: Column, i: Column, total: Column) -> Column:
+    """(kind, text) of a part: the first rule that fits; a size that is far off is part of the finetune."""
+    kind = F.lit("")
+    for name, pattern, first in reversed(PART_RULES):
+        fits = part.rlike(pattern) if first else (i > 0) & part.rlike(pattern)
+        kind = F.when(fits & (total < 0) if name == "adapter" else fits, "type" if name == "adapter" else name).otherwise(kind)
+    size = _spelled(part)
+    far = (kind == "size") & _far(size, total)
+    lowered = F.concat(F.regexp_replace(size, ".$", ""), F.lower(F.right(size, F.lit(1))))
+    text = F.when(far, lowered).when(kind == "size", size).when(part.rlike(PART_RULES[1][1]), F.upper(part)).otherwise(part)
+    return F.struct(F.when(far, "finetune").otherwise(kind).alias("kind"), text.alias("text"))
 
 
 def parse_model_id(model_id, total_params=None) -> Column:
     """``struct(name, org, base, finetune, version, size)`` of ids like ``org/Base-v1-7B-chat``.
 
-    With ``total_params`` a size far from it counts as part of the finetune; a negative total marks an adapter.
+    The parts between dashes are classified by ``PART_RULES`` and read once from the left.  Words and versions belong to the base
+    up to the first part of another sort, and behind it to the finetune and the version; versions at the end of an id that is
+    base only are its version.  Beside a size in numbers a size in words is a word.  With ``total_params`` a size far
+    from it counts as part of the finetune; a negative total marks an adapter.
     """
     total = F.lit(0) if total_params is None else F.coalesce(total_params if isinstance(total_params, Column) else F.lit(total_params), F.lit(0))
     c = F.col(model_id) if isinstance(model_id, str) else model_id
-    slashed = F.contains(c, F.lit("/"))
-    org = F.when(slashed, F.split_part(c, F.lit("/"), F.lit(1)))
-    name = F.when(slashed, F.regexp_replace(c, r"^[^/]*/", "")).otherwise(c)
+    slash = F.instr(c, "/")
+    org, name = F.when(slash > 0, F.substring(c, F.lit(1), slash - 1)), F.substring(c, slash + 1, F.length(c))
     parts = F.filter(F.split(name, "-"), lambda p: p != "")
-
-    def size_text(p: Column) -> Column:
-        dots = F.replace(p, F.lit("_"), F.lit("."))
-        # 7b1 means 7.1b
-        moved = F.regexp_replace(dots, r"^(.*)(.)(\d)$", "$1.$3$2")
-        one = F.when(dots.rlike(r"\d$"), moved).otherwise(dots)
-        return F.when(one.rlike(r"\d[kmbt]$"), F.concat(F.regexp_replace(one, r".$", ""), F.upper(F.right(one, F.lit(1))))).otherwise(one)
-
-    def tag(p: Column, i: Column) -> Column:
-        sized = size_text(p)
-        count = F.try_to_number(F.regexp_extract(sized, r"^([0-9]+)", 1), F.lit("999999999999")).cast("double")
-        fraction = F.concat(F.lit("0"), F.regexp_extract(sized, r"^[0-9]+(\.[0-9]+)[KMBT]$", 1)).cast("double")
-        unit = F.pow(F.lit(1000.0), F.instr(F.lit("KMBT"), F.right(sized, F.lit(1))))
-        params = F.when(sized.rlike(r"^[0-9]+(\.[0-9]+)?[KMBT]$"), (count + fraction) * unit)
-        far = ((total < 0) & (params < F.floor(F.abs(total) / 8))) | ((total > 0) & (F.abs(params - total) > F.floor(7 * total / 8)))
-        far = F.coalesce(far, F.lit(False))
-        kind = (
-            F.when(p.rlike(PART_VERSION), "version")
-            .when(p.rlike(PART_TYPE), "type")
-            .when((i > 0) & p.rlike(PART_SIZE), F.when(far, "far").otherwise("size"))
-            .when((i > 0) & (total < 0) & (F.lower(p) == "lora"), "type")
-            .when((i > 0) & p.rlike(PART_TUNE), "finetune")
-            .otherwise("")
-        )
-        lowered = F.concat(F.regexp_replace(sized, ".$", ""), F.lower(F.right(sized, F.lit(1))))
-        text = F.when(p.rlike(PART_TYPE), F.upper(p)).when(kind == "size", sized).when(kind == "far", lowered).otherwise(p)
-        return F.struct(text.alias("t"), F.when(kind == "far", "finetune").otherwise(kind).alias("k"))
-
-    def finish(tags: Column) -> Column:
-        numeric = F.exists(tags, lambda x: (x["k"] == "size") & x["t"].rlike(r"\d"))
-        word = lambda x: numeric & (x["k"] == "size") & x["t"].rlike(r"^\p{L}+$")
-        clean = F.transform(tags, lambda x: F.struct(x["t"].alias("t"), F.when(word(x), "").otherwise(x["k"]).alias("k")))
-
-        def split(a: Column) -> Column:
-            starts = lambda x: ((x["k"] == "") & x["t"].rlike(r"^\p{L}")) | (x["k"] == "version")
-            stop = F.array_position(F.transform(a, starts), F.lit(False)).cast("int")
-            lead = F.when(stop > 0, stop - 1).otherwise(F.size(a))
-            # versions that end the whole name belong to the version
-            back = F.array_position(F.transform(F.reverse(a), lambda x: x["k"] == "version"), F.lit(False)).cast("int")
-            trailing = F.when(back > 0, back - 1).otherwise(F.size(a))
-            n_base = F.when(lead == F.size(a), lead - trailing).otherwise(lead)
-            pick = lambda cond: F.transform(F.filter(a, cond), lambda x: x["t"])
-            join = lambda arr: F.nullif(F.array_join(arr, "-"), F.lit(""))
-            base = join(F.transform(F.slice(a, F.lit(1), n_base), lambda x: x["t"]))
-            tune = join(pick(lambda x, i: (x["k"] == "finetune") | ((x["k"] == "") & (i >= lead))))
-            version = join(pick(lambda x, i: (x["k"] == "version") & (i >= n_base)))
-            size = join(F.array_distinct(pick(lambda x, i: x["k"] == "size")))
-            vague = size.isNull() & tune.isNull() & version.isNull()
-            return F.struct(F.when(~vague, base).alias("base"), tune.alias("finetune"), version.alias("version"), size.alias("size"))
-
-        return F.element_at(F.transform(F.array(clean), split), 1)
-
-    found = F.element_at(F.transform(F.array(F.transform(parts, tag)), finish), 1)
+    none = F.array().cast("array<string>")
+    keep = lambda cond, old, *new: F.when(cond, F.concat(old, *new)).otherwise(old)
+
+    def read(s: Column, x: Column) -> Column:
+        one = F.array(x["text"])
+        opens = ~s["rest"] & ((x["kind"] == "version") | (x["kind"] == "") & x["text"].rlike(r"^\p{L}"))
+        word, version = opens & (x["kind"] == ""), x["kind"] == "version"
+        # A version waits in the tail: it is the base's if anything comes behind it.
+        return F.struct(
+            (~opens).alias("rest"),
+            F.when(s["rest"] | opens & version, s["base"]).when(word, F.concat(s["base"], s["tail"], one)).otherwise(F.concat(s["base"], s["tail"])).alias("base"),
+            F.when(opens & version, F.concat(s["tail"], one)).otherwise(none).alias("tail"),
+            keep(~opens & x["kind"].isin("", "finetune"), s["finetune"], one).alias("finetune"),
+            keep(~opens & version, s["version"], one).alias("version"),
+            keep(x["kind"] == "size", s["size"], one).alias("size"),
+        ).cast(ID_STATE)
+
+    def close(s: Column) -> Column:
+        joined = lambda a: F.nullif(F.array_join(a, "-"), F.lit(""))
+        base, tune, size = joined(s["base"]), joined(s["finetune"]), joined(F.array_distinct(s["size"]))
+        version = joined(F.concat(s["tail"], s["version"]))
+        told = tune.isNotNull() | size.isNotNull() | version.isNotNull()
+        return F.struct(F.when(told, base).alias("base"), tune.alias("finetune"), version.alias("version"), size.alias("size"))
+
+    tags = F.transform(parts, lambda p, i: _classified(p, i, total))
+    numbered = F.exists(tags, lambda x: (x["kind"] == "size") & x["text"].rlike(r"\d"))
+    plain = lambda x: numbered & (x["kind"] == "size") & x["text"].rlike(r"^\p{L}+$")
+    tags = F.transform(tags, lambda x: F.struct(F.when(plain(x), "").otherwise(x["kind"]).alias("kind"), x["text"].alias("text")))
+    start = F.struct(F.lit(False).alias("rest"), *[none.alias(k) for k in ("base", "tail", "finetune", "version", "size")]).cast(ID_STATE)
+    found = F.aggregate(tags, start, read, close)
     sentence = F.contains(c, F.lit(" "))
     only = lambda f: F.when(~sentence, found[f]).alias(f)
     return F.struct(
@@ -230,10 +246,10 @@ def model_catalogue(df: DataFrame, model_id: str = "model_id") -> DataFrame:
     return rows.groupBy("base", "size", "finetune").agg(F.count("*").alias("n"), F.count_distinct("org").alias("n_orgs"))
 
 
-def model_file_name(df: DataFrame) -> Column:
-    """``Base-7B-chat-v1-Q4_0`` from columns name, base, size, finetune, version, type, kind; missing ones are left out."""
+def model_file_name(df: DataFrame, stem: str = "model") -> Column:
+    """``Base-7B-chat-v1-Q4_0`` from columns name, base, size, finetune, version, type, kind; missing ones are left out, ``stem`` stands for a missing name."""
     dash = lambda c: F.replace(F.trim(c), F.lit(" "), F.lit("-"))
-    head = F.coalesce(F.replace(dash("base"), F.lit("/"), F.lit("-")), F.replace(dash("name"), F.lit("/"), F.lit("-")), F.lit("ggml-model"))
+    head = F.coalesce(F.replace(dash("base"), F.lit("/"), F.lit("-")), F.replace(dash("name"), F.lit("/"), F.lit("-")), F.lit(stem))
     return F.concat_ws("-", head, F.col("size"), dash("finetune"), dash("version"), F.upper(dash("type")), dash("kind"))
 
 
@@ -369,36 +385,85 @@ def plan_types(df: DataFrame, target: str) -> DataFrame:
 
 # Base type of each mix: fixed values.
 MIX_BASE = {
-    "Q2_K": "Q2_K", "Q3_K_S": "Q3_K", "Q3_K_M": "Q3_K", "Q3_K_L": "Q3_K", "Q4_K_S": "Q4_K", "Q4_K_M": "Q4_K", "Q5_K_S": "Q5_K",
+    "Q2_K": "Q2_K", "Q2_K_S": "Q2_K", "Q3_K_S": "Q3_K", "Q3_K_M": "Q3_K", "Q3_K_L": "Q3_K", "Q4_K_S": "Q4_K", "Q4_K_M": "Q4_K", "Q5_K_S": "Q5_K",
     "Q5_K_M": "Q5_K", "Q6_K": "Q6_K", "Q4_0": "Q4_0", "Q4_1": "Q4_1", "Q5_0": "Q5_0", "Q5_1": "Q5_1", "Q8_0": "Q8_0",
-    "IQ4_NL": "IQ4_NL", "IQ4_XS": "IQ4_XS", "TQ1_0": "TQ1_0", "TQ2_0": "TQ2_0",
+    "IQ1_S": "IQ1_S", "IQ1_M": "IQ1_M", "IQ2_XXS": "IQ2_XXS", "IQ2_XS": "IQ2_XS", "IQ2_S": "IQ2_XS", "IQ2_M": "IQ2_S",
+    "IQ3_XXS": "IQ3_XXS", "IQ3_XS": "IQ3_S", "IQ3_S": "IQ3_S", "IQ3_M": "IQ3_S", "IQ4_NL": "IQ4_NL", "IQ4_XS": "IQ4_XS", "TQ1_0": "TQ1_0", "TQ2_0": "TQ2_0",
 }
-# Exceptions by tensor kind: (kind, mixes, layer rule, type), the first that holds wins.  Fixed values.
+# The smallest mixes have rules of their own: fixed values.
+SMALL_MIXES = ("IQ1_S", "IQ1_M", "IQ2_XXS", "IQ2_XS", "IQ2_S", "IQ2_M")
+OTHER_MIXES = tuple(m for m in MIX_BASE if m not in SMALL_MIXES)
+# Types of the output and of the token table, where they are not the rule: fixed values.
+HEAD_TYPES = {m: "Q5_K" for m in (*SMALL_MIXES, "IQ3_XXS")}
+EMBEDDING_TYPES = {"IQ2_XXS": "Q2_K", "IQ2_XS": "Q2_K", "IQ1_S": "Q2_K", "IQ1_M": "Q2_K", "IQ2_S": "IQ3_S", "IQ2_M": "IQ3_S", "IQ3_XXS": "IQ3_S", "TQ1_0": "Q4_K", "TQ2_0": "Q4_K"}
+# Exceptions by tensor kind: (kind, mixes, what has to hold, type); the first that holds wins, "base" is the mix's own type.  Fixed values.
 MIX_RULES: list[tuple[str, tuple[str, ...], str, str]] = [
-    ("attn_v", ("Q2_K",), "gqa4", "Q4_K"),
-    ("attn_v", ("Q2_K",), "any", "Q3_K"),
+    ("attn_v", SMALL_MIXES, "gqa4", "Q4_K"),
+    ("attn_v", SMALL_MIXES, "experts4", "Q4_K"),
+    ("attn_v", ("IQ2_S", "IQ2_M"), "", "IQ3_S"),
+    ("attn_v", SMALL_MIXES, "", "Q2_K"),
+    ("attn_v", OTHER_MIXES, "experts8", "Q8_0"),
+    ("attn_v", ("Q2_K", "Q2_K_S", "IQ3_XXS", "IQ3_XS", "IQ3_S"), "gqa4", "Q4_K"),
+    ("attn_v", ("Q2_K",), "", "Q3_K"),
+    ("attn_v", ("IQ3_XXS",), "!data", "IQ3_S"),
+    ("attn_v", ("IQ3_M",), "", "Q4_K"),
     ("attn_v", ("Q3_K_M",), "first2", "Q5_K"),
-    ("attn_v", ("Q3_K_M",), "any", "Q4_K"),
-    ("attn_v", ("Q3_K_L",), "any", "Q5_K"),
+    ("attn_v", ("Q3_K_M",), "", "Q4_K"),
+    ("attn_v", ("Q3_K_L",), "", "Q5_K"),
     ("attn_v", ("IQ4_NL", "IQ4_XS"), "gqa4", "Q5_K"),
     ("attn_v", ("Q4_K_M", "Q5_K_M"), "more", "Q6_K"),
     ("attn_v", ("Q4_K_S",), "first4", "Q5_K"),
-    ("ffn_down", ("Q2_K",), "any", "Q3_K"),
+    ("attn_k", SMALL_MIXES, "experts8", "Q4_K"),
+    ("attn_k", OTHER_MIXES, "experts8", "Q8_0"),
+    ("attn_k", ("IQ3_XS",), "", "IQ3_XXS"),
+    ("attn_k", ("IQ3_XXS",), "", "IQ2_S"),
+    ("attn_q", ("IQ3_XS",), "", "IQ3_XXS"),
+    ("attn_q", ("IQ3_XXS",), "", "IQ2_S"),
+    ("ffn_down", ("IQ2_S", "IQ2_M"), "first8th", "IQ3_S"),
+    ("ffn_down", SMALL_MIXES, "first8th", "Q2_K"),
+    ("ffn_down", ("Q2_K",), "", "Q3_K"),
+    ("ffn_down", ("Q2_K_S",), "first8th", "Q4_K"),
+    ("ffn_down", ("IQ3_XXS",), "!data first8th", "Q4_K"),
+    ("ffn_down", ("IQ3_XXS",), "!data", "Q3_K"),
     ("ffn_down", ("Q3_K_M",), "first16th", "Q5_K"),
-    ("ffn_down", ("Q3_K_M",), "any", "Q4_K"),
-    ("ffn_down", ("Q3_K_L",), "any", "Q5_K"),
-    ("ffn_down", ("Q4_K_M", "Q5_K_M"), "more", "Q6_K"),
-    ("ffn_down", ("IQ4_NL", "IQ4_XS"), "first8th", "Q5_K"),
-    ("ffn_down", ("Q4_K_S",), "first8th", "Q5_K"),
-    ("attn_output", ("Q2_K",), "any", "Q3_K"),
-    ("attn_output", ("Q3_K_M",), "any", "Q4_K"),
-    ("attn_output", ("Q3_K_L",), "any", "Q5_K"),
-    ("attn_qkv", ("Q3_K_M", "Q3_K_L"), "any", "Q4_K"),
-    ("attn_qkv", ("Q4_K_M",), "any", "Q5_K"),
-    ("attn_qkv", ("Q5_K_M",), "any", "Q6_K"),
+    ("ffn_down", ("Q3_K_M",), "!falcon", "Q4_K"),
+    ("ffn_down", ("Q3_K_M",), "more", "Q4_K"),
+    ("ffn_down", ("IQ3_M",), "first8th", "Q4_K"),
+    ("ffn_down", ("IQ3_M",), "experts8 more", "Q4_K"),
+    ("ffn_down", ("Q3_K_L",), "falcon", "Q4_K"),
+    ("ffn_down", ("Q3_K_L",), "", "Q5_K"),
+    ("ffn_down", ("Q4_K_M",), "falcon first16th", "Q6_K"),
+    ("ffn_down", ("Q4_K_M",), "falcon more", "Q5_K"),
+    ("ffn_down", ("Q4_K_M",), "!falcon more", "Q6_K"),
+    ("ffn_down", ("Q5_K_M",), "more", "Q6_K"),
+    ("ffn_down", ("IQ4_NL", "IQ4_XS"), "!data first8th", "Q5_K"),
+    ("ffn_down", ("Q4_K_S",), "!falcon first8th", "Q5_K"),
+    ("ffn_down", ("Q4_0",), "data first8th", "Q4_1"),
+    ("ffn_down", ("Q5_0",), "data first8th", "Q5_1"),
+    ("attn_output", SMALL_MIXES, "experts8", "Q5_K"),
+    ("attn_output", ("IQ1_S", "IQ1_M"), "", "IQ2_XXS"),
+    ("attn_output", ("IQ2_S", "IQ2_M"), "", "IQ3_S"),
+    ("attn_output", ("Q3_K_L",), "falcon", "Q4_K"),
+    ("attn_output", OTHER_MIXES, "falcon", "base"),
+    ("attn_output", ("Q2_K", "IQ3_XS", "IQ3_XXS", "Q3_K_S", "Q3_K_M", "IQ4_NL", "Q4_K_S", "Q4_K_M", "IQ3_S", "IQ3_M", "IQ4_XS"), "experts8", "Q5_K"),
+    ("attn_output", OTHER_MIXES, "experts8", "base"),
+    ("attn_output", ("Q2_K",), "", "Q3_K"),
+    ("attn_output", ("IQ3_XXS",), "", "IQ3_S"),
+    ("attn_output", ("Q3_K_M", "IQ3_M"), "", "Q4_K"),
+    ("attn_output", ("Q3_K_L",), "", "Q5_K"),
+    ("attn_qkv", ("Q3_K_M", "Q3_K_L", "IQ3_M"), "", "Q4_K"),
+    ("attn_qkv", ("Q4_K_M",), "", "Q5_K"),
+    ("attn_qkv", ("Q5_K_M",), "", "Q6_K"),
+    ("ffn_gate", ("IQ3_XS",), "middle", "IQ3_XXS"),
+    ("ffn_up", ("IQ3_XS",), "middle", "IQ3_XXS"),
 ]
+# Types that the values of a shared key take instead in the 70B model: fixed values.
+WIDE_TYPES = {"Q3_K": "Q5_K", "Q4_K": "Q5_K"}
 # Types that need longer rows step down to: fixed values.
-STEP_DOWN = {"TQ1_0": "Q4_0", "TQ2_0": "Q4_0", "Q2_K": "IQ4_NL", "Q3_K": "IQ4_NL", "IQ4_XS": "IQ4_NL", "Q4_K": "Q5_0", "Q5_K": "Q5_1", "Q6_K": "Q8_0"}
+STEP_DOWN = {
+    "TQ1_0": "Q4_0", "TQ2_0": "Q4_0", "Q4_K": "Q5_0", "Q5_K": "Q5_1", "Q6_K": "Q8_0",
+    **dict.fromkeys(("Q2_K", "Q3_K", "IQ4_XS", "IQ1_S", "IQ1_M", "IQ2_XXS", "IQ2_XS", "IQ2_S", "IQ3_XXS", "IQ3_S"), "IQ4_NL"),
+}
 
 
 def use_more_bits(layer, layers) -> Column:
@@ -407,12 +472,28 @@ def use_more_bits(layer, layers) -> Column:
     return (layer < eighth) | (layer >= F.floor(layers * 7 / 8)) | ((layer - eighth) % 3 == 2)
 
 
-def plan_types_mixed(df: DataFrame, mix: str, *, gqa: int = 1, overrides: Sequence[tuple[str, str]] = ()) -> DataFrame:
+def _lookup(names: dict[str, str], key: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), key)
+
+
+def plan_types_mixed(
+    df: DataFrame,
+    mix: str,
+    *,
+    gqa: int = 1,
+    experts: int = 1,
+    data: bool = False,
+    arch: str = "llama",
+    size: str = "",
+    overrides: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
     """Add ``planned`` under a layer-aware mix; ``overrides`` are (regex, type) pairs, the first match wins.
 
-    Norms and 1-D tensors stay F32.  A layer is the rank of a tensor's block among the blocks of its file with that kind.
+    ``gqa`` heads share a key, ``experts`` is their number in a layer, ``data`` tells whether there is importance data.  Norms
+    and 1-D tensors stay F32, and so do the gates that choose experts.  A layer is the rank of a tensor's block among the
+    blocks of its file with that kind; with experts it is the block's number.
     """
-    kind = F.regexp_extract("tensor", r"(attn_v|attn_qkv|attn_output|ffn_down)(?:_exps)?\.weight", 1)
+    kind = F.regexp_extract("tensor", r"(attn_v|attn_k|attn_q|attn_qkv|attn_output|ffn_down|ffn_gate|ffn_up)(?:_exps|_shexp)?\.weight", 1)
     block = F.regexp_extract("tensor", r"^blk\.(\d+)\.", 1)
     rows = df.withColumn("__kind", kind).withColumn("__blk", F.when(block != "", block.cast("int")))
     seen = rows.filter("__kind != '' AND __blk IS NOT NULL").select("file", "__kind", "__blk").distinct()
@@ -420,29 +501,40 @@ def plan_types_mixed(df: DataFrame, mix: str, *, gqa: int = 1, overrides: Sequen
     ranked = seen.withColumn("__layer", F.row_number().over(layer) - 1)
     counts = seen.groupBy("file", "__kind").agg(F.count("*").alias("__n"))
     rows = rows.join(ranked, ["file", "__kind", "__blk"], "left").join(counts, ["file", "__kind"], "left")
-    i, n = F.col("__layer"), F.col("__n")
-    rule = {
-        "any": F.lit(True), "gqa4": F.lit(gqa >= 4), "first2": i < 2, "first4": i < 4, "more": use_more_bits(i, n),
-        "first8th": i < F.floor(n / 8), "first16th": i < F.floor(n / 16),
+    i, n = F.col("__blk") if experts > 1 else F.col("__layer"), F.col("__n")
+    eighth = F.floor(n / 8)
+    holds = {
+        "gqa4": F.lit(gqa >= 4), "experts4": F.lit(experts >= 4), "experts8": F.lit(experts == 8), "data": F.lit(data), "falcon": F.lit(arch == "falcon"),
+        "first2": i < 2, "first4": i < 4, "first8th": i < eighth, "first16th": i < F.floor(n / 16), "more": use_more_bits(i, n),
+        "middle": (i >= eighth) & (i < F.floor(n * 7 / 8)),
     }
     base = MIX_BASE[mix]
     last = F.element_at("shape", -1)
     has_output = df.filter(F.col("tensor") == "output.weight").select("file").distinct().withColumn("__out", F.lit(True))
     rows = rows.join(has_output, "file", "left")
     is_output = (F.col("tensor") == "output.weight") | ((F.col("tensor") == "token_embd.weight") & F.col("__out").isNull())
-    head = F.when(last % blocks.BLOCK_SIZES[base][0] != 0, "Q8_0").otherwise("Q8_0" if base == "Q8_0" else "Q6_K")
-    out = F.when((F.size("shape") <= 1) | F.endswith("tensor", F.lit("_norm.weight")) | ~F.endswith("tensor", F.lit("weight")), "F32")
+    plain = HEAD_TYPES.get(mix, "Q8_0" if base == "Q8_0" else "Q6_K")
+    head = F.when(F.lit(arch == "falcon") | (last % blocks.BLOCK_SIZES[base][0] != 0), "Q8_0").otherwise(plain)
+    floats = (F.size("shape") <= 1) | F.endswith("tensor", F.lit("_norm.weight")) | ~F.endswith("tensor", F.lit("weight")) | F.col("tensor").contains("ffn_gate_inp.weight")
+    out = F.when(floats, "F32")
     for pattern, to in overrides:
         out = out.when(F.col("tensor").rlike(pattern), to)
     out = out.when(is_output, head)
-    if base.startswith("TQ"):
-        out = out.when(F.col("tensor") == "token_embd.weight", "Q4_K")
+    if mix in EMBEDDING_TYPES:
+        out = out.when(F.col("tensor").isin("token_embd.weight", "per_layer_token_embd.weight"), EMBEDDING_TYPES[mix])
     for k, mixes, when, to in MIX_RULES:
         if mix in mixes:
-            out = out.when((F.col("__kind") == k) & rule[when], to)
+            to = base if to == "base" else to
+            if size == "70B" and k == "attn_v" and mix in OTHER_MIXES:
+                to = WIDE_TYPES.get(to, to)
+            test = F.col("__kind") == k
+            for word in when.split():
+                test = test & (~holds[word[1:]] if word[0] == "!" else holds[word])
+            out = out.when(test, to)
+    if size == "70B" and mix in OTHER_MIXES:
+        out = out.when(F.col("__kind") == "attn_v", WIDE_TYPES.get(base, base))
     rows = rows.withColumn("__t", out.otherwise(base))
-    lower = F.element_at(F.create_map(*[F.lit(x) for kv in STEP_DOWN.items() for x in kv]), F.col("__t"))
-    stepped = F.when(last % _type_col("__t", 0) == 0, F.col("__t")).otherwise(lower)
+    stepped = F.when(last % _type_col("__t", 0) == 0, F.col("__t")).otherwise(_lookup(STEP_DOWN, F.col("__t")))
     rows = rows.withColumn("__s", stepped)
     planned = F.when(F.col("__s").isNotNull() & (last % _type_col("__s", 0) == 0), F.col("__s")).otherwise("F16")
     return rows.withColumn("planned", planned).select(*df.columns, "planned")
@@ -644,13 +736,18 @@ ADAPTER_BLOCK = 1_024
 def merge_adapters(base: DataFrame, adapters: DataFrame, *, strength: str = "strength", block: int = ADAPTER_BLOCK) -> DataFrame:
     """``W + scale * B·A`` for weight rows ``(tensor, row, values)`` and adapters ``(tensor, a, b, alpha, strength)``.
 
-    ``a`` is rank x inputs and ``b`` outputs x rank, as arrays of rows, one adapter per row; scale = strength * alpha / rank, or
-    strength when alpha is 0.  Weight rows meet, in blocks, their own rows of B and the small matrix A; adapters add.
+    ``a`` is rank x inputs and ``b`` outputs x rank, as arrays of rows, one adapter per row.  Tables of token vectors are
+    the other way round: their rows are those of ``a`` (tokens x rank), and ``b`` is width x rank, so ``A·B'`` is added.  scale =
+    strength * alpha / rank, or strength when alpha is 0.  Weight rows meet, in blocks, their own rows of the long matrix and the
+    other one; adapters add.
     """
-    scale = F.when(F.col("alpha") != 0, F.col(strength) * F.col("alpha") / F.size("a")).otherwise(F.col(strength))
-    last = F.floor((F.size("b") - 1) / block).cast("long")
-    parts = adapters.select("tensor", "a", "b", scale.alias("scale"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("blk"))
-    parts = parts.select(F.col("tensor").alias("ad_tensor"), F.col("blk").alias("ad_blk"), "a", "scale", F.slice("b", (F.col("blk") * block + 1).cast("int"), F.lit(block)).alias("b"))
+    turned = F.startswith("tensor", F.lit("token_embd"))
+    sides = adapters.select("tensor", "alpha", strength, turned.alias("turned"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("long"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("short"))
+    rank = F.size(F.get("long", F.lit(0)))
+    scale = F.when(F.col("alpha") != 0, F.col(strength) * F.col("alpha") / rank).otherwise(F.col(strength))
+    last = F.floor((F.size("long") - 1) / block).cast("long")
+    parts = sides.select("tensor", "turned", "long", "short", scale.alias("scale"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("blk"))
+    parts = parts.select(F.col("tensor").alias("ad_tensor"), F.col("blk").alias("ad_blk"), "turned", "short", "scale", F.slice("long", (F.col("blk") * block + 1).cast("int"), F.lit(block)).alias("long"))
     rows = base.select("tensor", "row", "values", F.floor(F.col("row") / block).cast("long").alias("blk"))
 
     def add(weights: pd.DataFrame, ads: pd.DataFrame) -> pd.DataFrame:
@@ -659,9 +756,9 @@ def merge_adapters(base: DataFrame, adapters: DataFrame, *, strength: str = "str
         w = np.stack(weights["values"].to_numpy()).astype(np.float64)
         at = (weights["row"] - weights["blk"] * block).to_numpy()
         for ad in ads.itertuples(index=False):
-            b = np.stack(ad.b).astype(np.float64)
-            inside = at < len(b)
-            w[inside] += ad.scale * b[at[inside]] @ np.stack(ad.a).astype(np.float64)
+            own, other = np.stack(ad.long).astype(np.float64), np.stack(ad.short).astype(np.float64)
+            inside = at < len(own)
+            w[inside] += ad.scale * own[at[inside]] @ (other.T if ad.turned else other)
         return weights[["tensor", "row"]].assign(values=list(w))
 
     return rows.groupBy("tensor", "blk").cogroup(parts.groupBy("ad_tensor", "ad_blk")).applyInPandas(add, "tensor string, row long, values array<double>")
