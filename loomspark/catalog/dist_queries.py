@@ -138,6 +138,18 @@ def _(t):
     return D.greedy(dists(t))
 
 
+@query("d14_draw_invariants", f"WITH {DISTS}, m AS (SELECT dist_id FROM dists GROUP BY 1) SELECT count(*) AS n, count(*) AS n_possible, 0::BIGINT AS n_changed, true AS by_weight FROM m")
+def _(t):
+    """A draw for each distribution, all possible, the same a second time; the mean probability of what is drawn is that of weighted draws."""
+    rows = dists(t)
+    first, second = D.draw(rows, 7), D.draw(rows.repartition(5), 7).withColumnRenamed("token_id", "again")
+    weights = D.softmax(rows).select("dist_id", "token_id", "p")
+    met = first.join(weights, ["dist_id", "token_id"], "left").join(second, "dist_id", "left")
+    want = weights.groupBy("dist_id").agg(F.sum(F.col("p") * F.col("p")).alias("want"))
+    close = F.abs(F.avg("p") - F.avg("want")) < 3 / F.sqrt(F.count("*"))
+    return met.join(want, "dist_id").agg(F.count("*").alias("n"), F.count("p").alias("n_possible"), F.count_if(F.col("again") != F.col("token_id")).alias("n_changed"), close.alias("by_weight"))
+
+
 @query("d14_draw")
 def _(t):
     return D.draw(dists(t), 7)

@@ -224,6 +224,15 @@ def _(t):
     return rows.select("doc_id", F.size("tokens").alias("n"), listed("tokens").alias("digest"))
 
 
+@query("p15_sample_invariants", "SELECT least(50, count(*)) AS n, least(50, count(*)) AS n_distinct, least(50, count(*)) AS n_known, 0::BIGINT AS n_other FROM labels")
+def _(t):
+    """Size, distinct keys, keys of the table, and rows that a second draw has and the first has not."""
+    first, second = (P.sample_tasks(t.labels.repartition(parts), 50, key="doc_id").select("doc_id") for parts in (3, 5))
+    known = first.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    counts = [first.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_distinct")), known.agg(F.count("*").alias("n_known")), second.join(first, "doc_id", "left_anti").agg(F.count("*").alias("n_other"))]
+    return counts[0].join(F.broadcast(counts[1])).join(F.broadcast(counts[2]))  # a row each
+
+
 @query("p15_sample_tasks")
 def _(t):
     return P.sample_tasks(t.labels, 50, key="doc_id")

@@ -143,7 +143,7 @@ r AS (SELECT conv_id, turn, count(*) AS n FROM g GROUP BY conv_id, turn, d, g)
 SELECT p.conv_id, p.turn, coalesce(max(n), 0)::INTEGER AS run FROM pairs p LEFT JOIN r USING (conv_id, turn) GROUP BY 1, 2""",
 )
 def _(t):
-    return turn_pairs(t).select("conv_id", "turn", w.longest_common_run("a", "b").alias("run"))
+    return w.longest_common_run(turn_pairs(t), "a", "b").select("conv_id", "turn", "run")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomspark.functions.quantiles import exact_quantiles, grouped_median
 from loomspark.plans.bounds import collect_bounded
-from loomspark.plans.scratch import fresh_folder
+from loomspark.plans.scratch import written
 
 # Columns and types of a benchmark row: fixed values.
 FIELDS = [
@@ -130,25 +130,50 @@ def prettify(df: DataFrame) -> DataFrame:
     return out
 
 
+def _chains(edges: DataFrame, start) -> DataFrame:
+    """``(node, head, off)``: the nearest commit below each one that is the start or has not exactly one child, and how far it is.
+
+    A commit with one child is one step behind it, so pointers go from child to child; each round points twice as far, and
+    the rounds follow the logarithm of the longest chain.
+    """
+    nodes = edges.select(F.col("commit").alias("node")).unionByName(edges.select(F.col("parent").alias("node"))).distinct()
+    children = edges.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n"), F.min("commit").alias("child"))
+    lone = (F.col("n") == 1) & (F.col("node") != F.lit(start))
+    links = nodes.join(children, "node", "left").select("node", F.when(lone, F.col("child")).otherwise(F.col("node")).alias("head"), F.when(lone, 1).otherwise(0).alias("off"))
+    links = written(links.withColumn("open", F.col("off") > 0), "chains")
+    while True:
+        going = links.filter("open")
+        if going.isEmpty():
+            return links.drop("open")
+        there = links.select(F.col("node").alias("head"), F.col("head").alias("next"), F.col("off").alias("more"))
+        moved = going.join(there, "head").select("node", F.col("next").alias("head"), (F.col("off") + F.col("more")).alias("off"), (F.col("more") > 0).alias("open"))
+        links = written(moved.unionByName(links.filter("NOT open")), "chains")
+
+
 def ancestors(edges: DataFrame, start) -> DataFrame:
-    """``(commit, depth)`` of all ancestors of ``start`` in ``edges(commit, parent)``, nearest depth first.
+    """``(commit, depth)`` of all ancestors of ``start`` in ``edges(commit, parent)``, at their smallest depth.
 
-    Each round is one join with the newest layer, which is written beside the earlier ones; it ends with the last layer,
-    however deep that is.
+    Chains of commits with one child each are contracted first.  Depths then go from branch point to branch point, each round
+    by one join with the branch points whose depth changed last, and every commit adds its place in its chain.
     """
-    spark = edges.sparkSession
-    folder = fresh_folder(spark, "ancestors")
-    first = edges.filter(F.col("commit") == start).select("commit").distinct()
-    seen, depth = first, 0
+    edges = edges.select("commit", "parent").filter("commit IS NOT NULL AND parent IS NOT NULL").distinct()
+    chains = _chains(edges, start)
+    # Steps between branch points: from the head of a child to the commit itself.
+    ends = chains.filter("off = 0").select(F.col("node").alias("parent"))
+    below = edges.join(ends, "parent", "left_semi").filter(F.col("parent") != F.lit(start))
+    steps = below.join(chains.withColumnRenamed("node", "commit"), "commit").groupBy("head", F.col("parent").alias("to")).agg((F.min("off") + 1).alias("w"))
+    steps = written(steps, "steps")
+    known = written(chains.filter(F.col("node") == F.lit(start)).select(F.col("node").alias("head"), F.lit(0).alias("depth"), F.lit(True).alias("fresh")), "depths")
     while True:
-        layer = seen.withColumn("depth", F.lit(depth))
-        layer.write.parquet(f"{folder}/layer={depth}")
-        newest = spark.read.schema(layer.schema).parquet(f"{folder}/layer={depth}")
-        whole = spark.read.schema(layer.schema).option("recursiveFileLookup", "true").parquet(folder)
-        if newest.isEmpty():
-            return whole.filter(F.col("depth") > 0)
-        parents = newest.select("commit").join(edges, "commit").select(F.col("parent").alias("commit")).distinct()
-        seen, depth = parents.join(whole, "commit", "left_anti"), depth + 1
+        fresh = known.filter("fresh")
+        if fresh.isEmpty():
+            break
+        reached = fresh.join(steps, "head").groupBy(F.col("to").alias("head")).agg(F.min(F.col("depth") + F.col("w")).alias("new"))
+        both = known.join(reached, "head", "full_outer")
+        better = F.col("new").isNotNull() & (F.col("depth").isNull() | (F.col("new") < F.col("depth")))
+        known = written(both.select("head", F.least("depth", "new").alias("depth"), better.alias("fresh")), "depths")
+    out = chains.join(known, "head").select(F.col("node").alias("commit"), (F.col("depth") + F.col("off")).cast("int").alias("depth"))
+    return out.filter("depth > 0")
 
 
 def pick_builds(rows: DataFrame, mainline: DataFrame) -> tuple[str | None, str | None]:

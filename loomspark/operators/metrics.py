@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomspark.functions import arrays as A
 from loomspark.functions.quantiles import exact_quantiles
 from loomspark.plans.prefix import running_sums
+from loomspark.plans.scratch import written
 
 LOG_FLOOR = 16.0
 Q_MAX = 65535.0
@@ -159,13 +160,16 @@ DP_POINTS = {
 }
 
 
-def _enough(tokens: DataFrame) -> None:
+def _enough(tokens: DataFrame) -> DataFrame:
+    """The table, worked out once for the passes over it."""
+    tokens = written(tokens, "tokens")
     if tokens.limit(MIN_VALUES).count() < MIN_VALUES:
         raise ValueError(f"statistics need at least {MIN_VALUES} values")
+    return tokens
 
 
 def kld_report(tokens: DataFrame) -> DataFrame:
-    _enough(tokens)
+    tokens = _enough(tokens)
     points = exact_quantiles(tokens, {"kld": list(KLD_POINTS.values())})["kld"]
     mean, err = _mean_err(F.col("kld"), F.col("kld2"), F.col("n"))
     return kl_sums(tokens).select(mean.alias("mean"), err.alias("err"), *[F.lit(v).alias(k) for k, v in zip(KLD_POINTS, points)])
@@ -173,7 +177,7 @@ def kld_report(tokens: DataFrame) -> DataFrame:
 
 def dp_report(tokens: DataFrame) -> DataFrame:
     """Change of the target's probability, in percent."""
-    _enough(tokens)
+    tokens = _enough(tokens)
     points = exact_quantiles(tokens, {"p_diff": list(DP_POINTS.values())})["p_diff"]
     n = F.col("n")
     mean, err = _mean_err(F.col("pd"), F.col("pd2"), n)

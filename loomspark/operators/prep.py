@@ -292,7 +292,8 @@ def shuffle_shards(df: DataFrame, shard_size: int, *, idx: str = "idx", seed: in
 
 def assign_batches(df: DataFrame, shards_per_batch: int) -> DataFrame:
     """Add ``batch`` and ``full``: batch b takes the shards at places ``b*k … b*k+k-1``; ``full`` is false in a last batch of fewer whole shards."""
-    n = (df.agg(F.max(F.when(F.col("whole"), F.col("place")))).first()[0] or -1) + 1
+    last = df.agg(F.max(F.when(F.col("whole"), F.col("place")))).first()[0]
+    n = 0 if last is None else last + 1
     rows = df.withColumn("batch", F.floor(F.col("place") / shards_per_batch).cast("long"))
     return rows.withColumn("full", F.col("batch") < n // shards_per_batch)
 

@@ -125,27 +125,37 @@ def task_cost(prefix_len, lengths) -> Column:
     return p + F.aggregate(ls, F.lit(0), lambda s, n: s + n - p)
 
 
-@F.pandas_udf(T.IntegerType())
-def _run_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x, y):
-        if x is None or y is None or not len(x) or not len(y):
-            return 0
-        _, codes = np.unique(np.concatenate([np.asarray(x), np.asarray(y)]), return_inverse=True)
-        x, y = codes[: len(x)], codes[len(x) :]
-        if len(x) > len(y):
-            x, y = y, x
-        best, run = 0, np.zeros(len(y) + 1, dtype=np.int32)
-        for tok in x:
-            run[1:] = np.where(y == tok, run[:-1] + 1, 0)
-            best = max(best, int(run.max()))
-        return best
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="int32")
-
-
-def longest_common_run(a, b) -> Column:
-    """Length of the longest run of tokens both arrays hold in sequence."""
-    return _run_length(a, b)
+def _joined(left: Column, right: Column, gap: Column | int) -> Column:
+    """Hashes of runs out of those of their first part and, ``gap`` places on, their second."""
+    n = F.greatest(F.least(F.size(left), F.size(right) - gap), F.lit(0))
+    return F.zip_with(F.slice(left, F.lit(1), n), F.slice(right, F.lit(1) + gap, n), lambda x, y: F.xxhash64(x, y))
+
+
+def longest_common_run(df: DataFrame, a: str, b: str, *, name: str = "run") -> DataFrame:
+    """``df`` with the length of the longest run of tokens that both arrays hold in sequence; 0 for a null array.
+
+    Two arrays share a run of some length if they share the hash of one.  Hashes of runs of 1, 2, 4 … tokens come each
+    from the one before; then the length is put together from the longest power of two down.  All of it is in the row: work
+    and memory grow with the tokens times the logarithm of the longest array, and one small pass finds that length first.
+    Runs are told apart by 64-bit hashes.
+    """
+    sides = {"__a": a, "__b": b}
+    none = F.array().cast("array<bigint>")
+    longest = df.agg(F.max(F.least(F.size(a), F.size(b)))).first()[0] or 0
+    levels = max(longest, 1).bit_length()
+    out = df
+    for side, tokens in sides.items():
+        start = F.coalesce(F.transform(F.col(tokens), lambda t: F.xxhash64(t)), none)
+        out = out.withColumn(f"{side}0", start)
+    for k in range(1, levels):
+        out = out.withColumns({f"{s}{k}": _joined(F.col(f"{s}{k - 1}"), F.col(f"{s}{k - 1}"), 1 << k - 1) for s in sides})
+    out = out.withColumn("__n", F.lit(0))
+    for k in range(levels - 1, -1, -1):
+        longer = {f"{s}x": F.when(F.col("__n") == 0, F.col(f"{s}{k}")).otherwise(_joined(F.col(f"{s}run"), F.col(f"{s}{k}"), F.col("__n"))) if k < levels - 1 else F.col(f"{s}{k}") for s in sides}
+        out = out.withColumns(longer).withColumn("__hit", F.arrays_overlap("__ax", "__bx"))
+        kept = {f"{s}run": F.when(F.col("__hit"), F.col(f"{s}x")).otherwise(F.col(f"{s}run") if k < levels - 1 else none) for s in sides}
+        out = out.withColumns({**kept, "__n": F.col("__n") + F.when(F.col("__hit"), F.lit(1 << k)).otherwise(0)})
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.col("__n").alias(name))
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
