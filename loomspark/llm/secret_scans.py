@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and literals that an assignment gives to a sensitive name.
 
 The lexer walks over the assignment operators of a text.  Left of each it reads the target name, right of it the
-value: string literals and names, joined by ``+``.  Names of literals, and of what is joined from them, are constants, and
+value: string literals and names, joined by ``+``.  Other forms that give a name a literal are read beside it: options of
+commands, elements and their name and value attributes, calls that set something by name, and setters.  Names of
+literals, and of what is joined from them, are constants, and
 a constant that is given to a sensitive name counts like the literal itself.  A value is scored by the words of its
 target name and by the shape of its terms, each alone and all joined; what is told are the spans of its literals.
 """
@@ -27,9 +29,17 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/%&|^-])=(?![=>~])|(?<!:):(?![:/=])")
-TARGET = re.compile(r"""(?:([A-Za-z_$][\w$.-]*)|["']([\w$. -]{1,80})["'])[\x20\t]*[\])]?[\x20\t]*$""", re.A)
 TERM = re.compile(r"""[\x20\t]*(?:[rbuf]{0,2}("(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)|([A-Za-z_$][\w$.]*+(?![\w("'\[+/=-]))|([^\s"'`,;(){}\[\]<>]+))""", re.A)
 PLUS = re.compile(r"[\x20\t]*[+](?:[\x20\t]*(?=[\"'`A-Za-z_$])|\s*(?=[\"'`]))")
+# Forms without an operator, and a text that each needs.
+OPTION = re.compile(r"""(?<![\w-])--?([A-Za-z][\w-]*+)[\x20\t]+(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|([^\s"'`<>|;&=:-][^\s"'`<>|;&]*+))""", re.A)
+ELEMENT = re.compile(r"<([A-Za-z][\w.-]*+)(?:\s[^<>]*+)?>([^<>\n]++)</\1\s*>", re.A)
+GROUP = re.compile(r"<[A-Za-z][^<>]*+>|\{[^{}]*+\}")
+NAMES = re.compile(r"""(?<![\w-])["']?(?:key|name|id)["']?\s*[=:]\s*["']([^"'\n]*+)["']""", re.I)
+VALUES = re.compile(r"""(?<![\w-])["']?value["']?\s*[=:]\s*["']([^"'\n]*+)["']""", re.I)
+CALL = re.compile(r"""(?<!\w)(?:define|setenv|putenv|set|put|add|setProperty|env|header|addHeader|config)\s*\(\s*["']([^"'\n]++)["']\s*,\s*(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)')""")
+SETTER = re.compile(r"""(?:set|with)_?([A-Za-z]\w*+)\s*\(\s*(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)')\s*\)""", re.A)
+FORMS = ((OPTION, "-"), (ELEMENT, "</"), (CALL, "("), (SETTER, "("))
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 INNER = re.compile(r"(?i)[<>{}]|\$[({A-Za-z_]|%[({sd]")
 BEGINNING = re.compile(r"(?i)^(?:your|my|the|insert|replace|enter|example|sample|dummy|change)[-_ ]")
@@ -43,13 +53,12 @@ SENSITIVE = {
 }
 #: Words that turn a name into one about a secret.
 ABOUT = frozenset("count length len size max min limit path file dir url uri type policy hint field label header prefix expiry expires ttl regex pattern format placeholder name id public".split())
-LOOK_BACK = 160
 THRESHOLD = 0.9
 
 
 def name_score(name: str) -> float:
     """How sensitive a target name is, from 0 to 1."""
-    parts = [w.lower() for w in WORDS.findall(name[-LOOK_BACK:])]
+    parts = [w.lower() for w in WORDS.findall(name)]
     pairs = [f"{a} {b}" for a, b in zip(parts, parts[1:])]
     score = max((SENSITIVE.get(p, 0.0) for p in parts + pairs), default=0.0)
     return score - 0.8 if parts and parts[-1] in ABOUT else score
@@ -120,6 +129,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
+QUOTED_CHARS = NAME_CHARS | {" "}
+
+
+def _target(text: str, at: int) -> str | None:
+    """The name that ends in front of ``at``: a bare or a quoted one, perhaps in brackets.  No name reaches over an operator, so
+    each character is looked at once."""
+
+    def blanks(i: int) -> int:
+        while i > 0 and text[i - 1] in " \t":
+            i -= 1
+        return i
+
+    end = blanks(at)
+    if end > 0 and text[end - 1] in ")]":
+        end = blanks(end - 1)
+    if end > 0 and text[end - 1] in "\"'":
+        start = end - 1
+        while start > 0 and text[start - 1] in QUOTED_CHARS:
+            start -= 1
+        return text[start : end - 1] if 0 < start < end - 1 and text[start - 1] in "\"'" else None
+    start = end
+    while start > 0 and text[start - 1] in NAME_CHARS:
+        start -= 1
+    while start < end and not (text[start].isalpha() or text[start] in "_$"):
+        start += 1
+    return text[start:end] or None
+
+
 def assignments(text: str):
     """(target name, terms as (value, start, end, kind)) of each assignment, in order; kind 1 is a quoted literal, 2 a name, 3 another bare value.
 
@@ -128,7 +166,7 @@ def assignments(text: str):
     op = OPERATOR.search(text)
     while op:
         resume = op.end()
-        left = TARGET.search(text[max(0, op.start() - LOOK_BACK) : op.start()])
+        left = _target(text, op.start())
         terms, at = [], op.end()
         while left and (m := TERM.match(text, at)):
             if m.lastindex == 1:
@@ -141,10 +179,24 @@ def assignments(text: str):
                 break
             at = plus.end()
         if terms:
-            yield left[1] or left[2], terms
+            yield left, terms
         op = OPERATOR.search(text, resume)
 
 
+def pairs(text: str):
+    """(span of the target name, value, span of the value) of options, elements, named attributes, calls and setters."""
+    for form, need in FORMS:
+        if need in text:
+            for m in form.finditer(text):
+                yield m.span(1), m[m.lastindex], m.span(m.lastindex)
+    if "value" in text or "VALUE" in text or "Value" in text:
+        for group in GROUP.finditer(text):
+            name, value = NAMES.search(group[0]), VALUES.search(group[0])
+            if name and value:
+                at = group.start()
+                yield (at + name.start(1), at + name.end(1)), value[1], (at + value.start(1), at + value.end(1))
+
+
 def literal_spans(text: str) -> set[tuple[int, int]]:
     """Spans of the literals that reach a sensitive name, directly or through constants.
 
@@ -152,8 +204,15 @@ def literal_spans(text: str) -> set[tuple[int, int]]:
     One that has nothing, or only itself in a circle, is a bare value like any other.  Terms that are no constants have no
     known text: they are scored alone, and the others are joined without them.
     """
+    found: set[tuple[int, int]] = set()
+    named: set[tuple[int, int]] = set()  # literals that are names of others
+    for name, value, span in pairs(text):
+        named.add(name)
+        weight = name_score(text[slice(*name)])
+        if weight > 0 and weight + literal_score(value) >= THRESHOLD:
+            found.add(span)
     if "=" not in text and ":" not in text:
-        return set()
+        return found
     every = list(assignments(text))
     given: dict[str, list[int]] = {}
     for i, (target, _) in enumerate(every):
@@ -202,14 +261,13 @@ def literal_spans(text: str) -> set[tuple[int, int]]:
             values[i] = joined
             terms_of[i] = [*alone, *known, *([joined] if len(known) > 1 else [])]
             todo.pop()
-    found: set[tuple[int, int]] = set()
     for i, (target, _) in enumerate(every):
         weight = name_score(target)
         if weight > 0:
             for v in terms_of[i]:
                 if weight + v.score() >= THRESHOLD:
                     v.tell(found)
-    return found
+    return found - named
 
 
 def find_secrets(text: str | None) -> list[tuple[int, int, int]]:

@@ -169,6 +169,44 @@ def test_joined_literals(text, want):
     assert [text[s:e] for s, k, e in secret_scans.find_secrets(text) if k == 3] == want
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("run --signing-key Zm9vYmFyMTIz --verbose", ["Zm9vYmFyMTIz"]),
+        ("mysql -pwd 'kJ83hd-ksl22' -h localhost", ["kJ83hd-ksl22"]),
+        ("<passphrase>Zm9vYmFyMTIz</passphrase><title>Zm9vYmFyMTIz</title>", ["Zm9vYmFyMTIz"]),
+        ('<add key="ClientCredential" value="kJ83hd-ksl22" /><add key="Title" value="kJ83hd-ksl23" />', ["kJ83hd-ksl22"]),
+        ('[{"name": "SIGNING_KEY", "value": "kJ83hd-ksl22"}, {"name": "HOST", "value": "kJ83hd-ksl23"}]', ["kJ83hd-ksl22"]),
+        ("define('DB_PWD', 'kJ83hd-ksl22'); define('DB_HOST', 'kJ83hd-ksl23');", ["kJ83hd-ksl22"]),
+        ('client.setPassphrase("kJ83hd-ksl22").setTitle("kJ83hd-ksl23")', ["kJ83hd-ksl22"]),
+        ("x" * 500 + "_pwd" + " " * 400 + "= 'kJ83hd-ksl22'", ["kJ83hd-ksl22"]),
+        ('"' + "long name " * 20 + 'passphrase": "kJ83hd-ksl22"', ["kJ83hd-ksl22"]),
+        ("the well-known man - pass it on --pass-through it went", []),
+    ],
+)
+def test_other_forms_of_assignments(text, want):
+    assert [text[s:e] for s, k, e in secret_scans.find_secrets(text) if k == 3] == want
+
+
+def test_planted_literals_and_decoys():
+    """Recall and precision of the literals beyond the fixed patterns, over many syntaxes."""
+    rng = random.Random(7)
+    names = ["db_pwd", "signingKey", "client_credential", "PRIVATE_KEY", "passphrase", "encryption-key", "auth_key", "accessKey", "userPasscode", "bearer"]
+    plain = ["title", "color", "file_path", "description", "version", "host", "user_name", "pwd_length", "key_id", "pass_count"]
+    syntaxes = ['{n} = "{v}"', "{n}: '{v}'", '"{n}": "{v}",', "{n} := `{v}`", "export {n}={v}", "conf['{n}'] = '{v}'", "tool --{n} {v} -q", "<{n}>{v}</{n}>", '<add key="{n}" value="{v}"/>', 'put("{n}", "{v}")', 'X = "{v}"\nself.{n} = X', '{{"name": "{n}", "value": "{v}"}}']
+    value = lambda: "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789_!") for _ in range(rng.randint(12, 28))).replace("_", "x").replace("!", "7")
+    hits = told = planted = 0
+    for _ in range(3000):
+        good, v = rng.random() < 0.5, value()
+        prose = "a note on " + rng.choice(["tokens: they expire soon", "keys = things that open doors", "the pass: closed in winter"])
+        text = prose + "\n" + rng.choice(syntaxes).format(n=rng.choice(names if good else plain), v=v) + "\n" + prose
+        got = {text[s:e] for s, k, e in secret_scans.find_secrets(text) if k == 3}
+        planted += good
+        hits += good and v in got
+        told += len(got)
+    assert hits / planted > 0.95 and hits / told > 0.95
+
+
 def test_joined_values_score_like_their_text():
     rng = random.Random(8)
     bits = ["x", "X", "0", "your", "-", "_", " ", "$", "{", "a", "%", "s", "null", "n", "/a", "Kq7", "zT4!", "", "0" * 20, "todo", "é"]
@@ -197,7 +235,7 @@ def test_secret_query(make, edge_rows):
     assert next(r for r in got if r.doc_id == 1).base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
-@pytest.mark.parametrize("text", ["a = " * 50_000, 'a="' * 30_000, "x=y+" * 50_000, "a:" * 60_000, "='" * 60_000, 'A=A+"x"\n' * 20_000])
+@pytest.mark.parametrize("text", ["a = " * 50_000, 'a="' * 30_000, "x=y+" * 50_000, "a:" * 60_000, "='" * 60_000, 'A=A+"x"\n' * 20_000, "-a " * 60_000, "<a " * 60_000, "<a>b" * 50_000, "{value" * 40_000, "set(" * 50_000, 'put("a",' * 30_000, "n" * 300_000 + "=" * 9, '"' + "q " * 100_000 + '" = ' * 5])
 def test_long_odd_texts_end(text):
     secret_scans.find_secrets(text)
     pii.examine(text)
