@@ -2,9 +2,9 @@
 
 Fixed patterns give the base spans, which always stay.  Looser patterns propose further candidates.  Five labelers (the
 strict form, a gazetteer, words that speak for the kind nearby, words that speak against it, the shape around) vote on
-every candidate.  Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is and how
-likely each pattern means personal data; with those probabilities as soft labels a logistic regression over features of
-the span is trained, and it decides which candidates become spans.  Votes and features are small codes, so both
+every candidate.  Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is for each
+kind, drawn towards what it is for all of them, and how likely each pattern means personal data; with those
+probabilities as soft labels a logistic regression over features of the span is trained, and it decides which candidates become spans.  Votes and features are small codes, so both
 models are fitted on counts over the whole corpus, of a size that does not depend on it.
 """
 
@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Collection
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.llm.common import map_rows
+from loomspark.plans.bounds import collect_bounded
 from loomspark.plans.scratch import written
 
 BASE = ("email", "ip", "card", "phone")
@@ -46,6 +48,7 @@ NEEDS = {
     "iban": re.compile(r"[A-Z]{2}[0-9]{2}").search,
     "person": re.compile(r"[A-Z][a-z]+[\x20](?:[A-Z]\.[\x20])?[A-Z][a-z]").search,
 }
+#: Given names that are known without a list of one's own.
 GIVEN = frozenset("james mary john patricia robert jennifer michael linda david elizabeth william barbara richard susan joseph jessica thomas sarah charles karen anna maria peter paul hans klaus marie pierre jean louis carlos juan jose luis ana carmen laura sofia emma oliver lucas noah alice".split())
 HONORIFIC = re.compile(r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\b")
 CUES = {
@@ -56,6 +59,7 @@ CUES = {
 CUES = {k: re.compile(r"\b(?:" + "|".join(v.split()) + r")", re.I | re.A) for k, v in CUES.items()}
 AGAINST = re.compile(r"\b(?:isbn|issn|doi|version|ver|build|order|invoice|section|chapter|figure|page|part|model|serial|example)\b", re.I | re.A)
 NEAR = 40
+MAX_NAMES = 1_000_000
 
 VOTES = 5
 PATTERNS = 3**VOTES
@@ -122,9 +126,9 @@ def _strict(kind: str, s: str) -> int:
     return 1
 
 
-def _gazetteer(kind: str, s: str) -> int:
+def _gazetteer(kind: str, s: str, given: Collection[str]) -> int:
     if kind == "person":
-        return 1 if any(w.lower() in GIVEN for w in s.split()) else -1
+        return 1 if any(w.lower() in given for w in s.split()) else -1
     if kind in ("email", "mail_words"):
         return 1 if re.search(r"(?:com|org|net|edu|gov|de|fr|es|uk|io|info)$", s) else 0
     return 0
@@ -137,14 +141,14 @@ def _shape(kind: str, s: str, before: str, after: str) -> int:
     return -1 if before in "#$=/" and before or after in "%$/" and after else 0
 
 
-def candidate(kind: str, text: str, start: int, end: int) -> tuple[int, int]:
+def candidate(kind: str, text: str, start: int, end: int, given: Collection[str] = GIVEN) -> tuple[int, int]:
     """(code of the votes, code of the features) of a span."""
     s = text[start:end]
     left, right = text[max(0, start - NEAR) : start], text[end : end + NEAR]
     before, after = left[-1:], right[:1]
     cue = 2 if CUES[kind].search(left) else 1 if CUES[kind].search(right) else 0
     against = bool(AGAINST.search(left))
-    votes = (_strict(kind, s), _gazetteer(kind, s), 1 if cue else 0, -1 if against else 0, _shape(kind, s, before, after))
+    votes = (_strict(kind, s), _gazetteer(kind, s, given), 1 if cue else 0, -1 if against else 0, _shape(kind, s, before, after))
     share = len(digits_of(s)) / len(s)
     side = lambda c: 0 if not c or c.isspace() else 1 if c in "\"'(<:,;" else 2 if c.isalnum() else 3
     values = (min(3, len(s) // 8), min(3, int(share * 4)), side(before), min(2, side(after)), 2 if against else 1 if cue else 0)
@@ -157,7 +161,7 @@ def candidate(kind: str, text: str, start: int, end: int) -> tuple[int, int]:
     return pattern, code
 
 
-def examine(text: str | None) -> tuple[list, list]:
+def examine(text: str | None, given: Collection[str] = GIVEN) -> tuple[list, list]:
     """Base spans, and all candidates as (start, kind, end, votes, features); base spans are candidates too."""
     text = text or ""
     base = base_spans(text)
@@ -172,41 +176,61 @@ def examine(text: str | None) -> tuple[list, list]:
             reach = max(reach, end)
         elif start < reach:
             continue
-        out.append((start, k, end, *candidate(KINDS[k], text, start, end)))
+        out.append((start, k, end, *candidate(KINDS[k], text, start, end, given)))
     return base, out
 
 
-def _examiner():
-    def row(doc_id, text):
-        found = examine(text)[1]
-        return doc_id, [dict(zip(("start", "kind", "end", "votes", "features"), x)) for x in found]
+def _examiner(given):
+    def start():
+        names = given.value
 
-    return row
+        def row(doc_id, text):
+            found = examine(text, names)[1]
+            return doc_id, [dict(zip(("start", "kind", "end", "votes", "features"), x)) for x in found]
+
+        return row
+
+    return start
+
+
+#: What all kinds say about a labeler counts as so many votes of each kind.
+POOLED = 20.0
 
 
 def reliabilities(counts: dict[tuple[int, int], int], rounds: int = 60) -> dict[tuple[int, int], float]:
     """Probability of personal data for each (kind, vote pattern), by expectation-maximisation.
 
-    Each labeler has, given the truth, its own chances of voting against, not at all, and for; all kinds share
-    them, and each kind has its own share of true candidates.  Counts are smoothed by one vote of each sort.
+    Each labeler has, given the truth, its own chances of voting against, not at all, and for: those of a kind are
+    smoothed by those of all kinds, and these by a vote of each sort and one more of the right one; each kind has its own share
+    of true candidates.  Spans of the fixed patterns are true by definition and say nothing about the labelers of others.
     """
-    if not counts:
-        return {}
-    keys = sorted(counts)
+    out = {k: 1.0 for k in counts if k[0] < len(BASE)}
+    keys = sorted(k for k in counts if k not in out)
+    if not keys:
+        return out
     n = np.array([counts[k] for k in keys], float)
     kind = np.array([k for k, _ in keys])
+    kinds = np.unique(kind)
     votes = np.array([[p // 3 ** (VOTES - 1 - j) % 3 for j in range(VOTES)] for _, p in keys])
+    cast = np.eye(3)[votes]  # pattern, labeler, vote
+    prior = np.ones((2, VOTES, 3))
+    prior[0, :, 0] += 1.0
+    prior[1, :, 2] += 1.0
     q = 1 / (1 + np.exp(-(votes - 1).sum(1) * 2.0 + 0.5))
     for _ in range(rounds):
-        chance = np.zeros((2, VOTES, 3))
-        for y, w in ((1, n * q), (0, n * (1 - q))):
-            for j, v in itertools.product(range(VOTES), range(3)):
-                chance[y, j, v] = w[votes[:, j] == v].sum() + 1.0 + (1.0 if (v == 2) == bool(y) and v != 1 else 0.0)
-            chance[y] /= chance[y].sum(1, keepdims=True)
-        share = np.array([((n * q)[kind == k].sum() + 1) / (n[kind == k].sum() + 2) for k in kind])
-        lift = np.log(chance[1]) - np.log(chance[0])
-        q = 1 / (1 + np.exp(-(np.log(share / (1 - share)) + sum(lift[j, votes[:, j]] for j in range(VOTES)))))
-    return {k: float(p) for k, p in zip(keys, q)}
+        weights = np.stack([n * (1 - q), n * q])
+        pooled = np.einsum("yp,pjv->yjv", weights, cast) + prior
+        pooled /= pooled.sum(2, keepdims=True)
+        score = np.zeros(len(keys))
+        for k in kinds:
+            own = kind == k
+            chance = np.einsum("yp,pjv->yjv", weights[:, own], cast[own]) + POOLED * pooled
+            chance /= chance.sum(2, keepdims=True)
+            share = (weights[1, own].sum() + 1) / (n[own].sum() + 2)
+            lift = np.log(chance[1]) - np.log(chance[0])
+            score[own] = np.log(share / (1 - share)) + np.einsum("pjv,jv->p", cast[own], lift)
+        q = 1 / (1 + np.exp(-score))
+    return out | {k: float(p) for k, p in zip(keys, q)}
 
 
 def train(rows: list[tuple[int, int, float, float]], rounds: int = 300) -> np.ndarray:
@@ -232,16 +256,20 @@ def train(rows: list[tuple[int, int, float, float]], rounds: int = 300) -> np.nd
     return (1 / (1 + np.exp(-design @ w))).reshape(len(KINDS), CODES)
 
 
-def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.5) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.5, names: DataFrame | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id and its spans (start, kind, end) in order, code points, end exclusive.
 
+    ``names`` is a table of given names (its first column) that are known beside the built-in ones, ``MAX_NAMES`` at most.
+
     Texts are read once; what was found in them is written to the shared folder, and both models are fitted on counts of it
     over all rows (at most kinds x vote patterns, and kinds x feature codes).  A null text is an empty one; null
     ids stay; repeated rows give the same row again; an empty table gives an empty table; other columns are not read.
     """
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, found array<struct<start:long,kind:int,end:long,votes:int,features:int>>"
-    seen = written(map_rows(narrow, _examiner, schema), "pii")
+    known = collect_bounded(names.select(F.lower(F.col(names.columns[0]))).distinct(), MAX_NAMES, "given names") if names is not None else []
+    given = docs.sparkSession.sparkContext.broadcast(GIVEN | {r[0] for r in known if r[0]})
+    seen = written(map_rows(narrow, _examiner(given), schema), "pii")
     each = seen.select(F.explode("found").alias("x")).select("x.kind", "x.votes", "x.features")
     counts = each.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n"))
     # The three codes are bounded: kinds x 3^labelers x feature codes, of which a corpus has few; sums of them stay below both bounds.

@@ -278,6 +278,71 @@ def test_pii_labels_and_classifier(make, edge_rows):
     assert all([s for s in got[i] if s[1] < 4] == base_pii(texts[i]) for i in got)
 
 
+def planted_pii(rng):
+    """(text, kind, span or nothing): one candidate of a loose kind in prose, true or a decoy that looks like it."""
+    digit = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwy") for _ in range(rng.randint(3, 8)))
+    first, last = rng.choice(["Zbigniew", "Anna", "Peter", "Maria", "Tadeusz", "Laura"]), word().capitalize()
+    kind, good = rng.choice(["mail_words", "phone_local", "ssn", "iban", "person"]), rng.random() < 0.5
+    if kind == "mail_words":
+        s = f"{word()}.{word()} (at) {word()} (dot) {rng.choice(['com', 'org', 'de'])}" if good else f"{word()} (at) {word()}.{rng.choice(['txt', 'html', 'cfg'])}"
+        near = rng.choice(["please write to", "contact:", "my mail address is"]) if good else rng.choice(["see section", "the figure on page", "version"])
+    elif kind == "phone_local":
+        s = f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{digit(4)}" if good else f"{rng.choice('01')}{digit(2)}-{digit(3)}-{digit(4)}"
+        near = rng.choice(["call", "phone:", "mobile"]) if good else rng.choice(["order", "serial", "invoice", "part"])
+    elif kind == "ssn":
+        s = f"{rng.randint(100, 599)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}" if good else f"{rng.choice(['000', '666', '9' + digit(2)])}-{digit(2)}-{digit(4)}"
+        near = rng.choice(["SSN", "social security no."]) if good else rng.choice(["model", "part", "serial", "order"])
+    elif kind == "iban":
+        body = digit(16)
+        flat = "".join(str(int(c, 36)) for c in body + "DE00")
+        s = f"DE{98 - int(flat) % 97:02d}{body}" if good else f"XK{digit(18)}"
+        near = rng.choice(["IBAN", "bank account", "transfer to"]) if good else rng.choice(["model", "build", "serial"])
+    else:
+        s = f"{rng.choice(['Mr ', 'Dr. ', '', ''])}{first} {last}" if good else f"{word().capitalize()} {word().capitalize()}"
+        near = rng.choice(["dear", "signed", "the patient", "born to"]) if good else rng.choice(["in", "chapter", "figure", "near"])
+    left, right = " ".join(word() for _ in range(12)), " ".join(word() for _ in range(12))
+    text = f"{left} {near} {s} {right}"
+    at = len(left) + len(near) + 2
+    return text, kind, (at, at + len(s)), good
+
+
+def test_planted_personal_data_of_every_loose_kind(spark, make):
+    rng = random.Random(21)
+    cases = [planted_pii(rng) for _ in range(1500)]
+    names = spark.createDataFrame([("Zbigniew",), ("tadeusz",), (None,)], "n string")
+    found = pii.find(make([(k, c[0], "a") for k, c in enumerate(cases)]), names=names).collect()
+    score = defaultdict(Counter)
+    for r in found:
+        _, kind, span, good = cases[r.doc_id]
+        told = any(pii.KINDS[s.kind] == kind and s.start < span[1] and s.end > span[0] for s in r.spans)
+        score[kind]["planted"] += good
+        score[kind]["hit"] += good and told
+        score[kind]["told"] += told
+    assert len(score) == 5
+    for kind, c in score.items():
+        assert c["hit"] / c["planted"] > 0.9 and c["hit"] / c["told"] > 0.9, (kind, c)
+
+
+def test_reliabilities_differ_by_kind():
+    """A labeler that is right for one kind and wrong for another is trusted for the first only."""
+    rng = random.Random(3)
+    counts, truth = Counter(), Counter()
+    for _ in range(6000):
+        kind, y = rng.choice([4, 6]), rng.random() < 0.5
+        votes = [2 if y else 0, *(rng.choice([0, 2]) if rng.random() < 0.2 else (2 if y else 0) for _ in range(2)), 1, 1]
+        votes[0] = votes[0] if kind == 4 else rng.choice([0, 2])
+        pattern = 0
+        for v in votes:
+            pattern = pattern * 3 + v
+        counts[kind, pattern] += 1
+        truth[kind, pattern, y] += 1
+    p = pii.reliabilities(counts)
+    right = sum(n for (k, c, y), n in truth.items() if (p[k, c] > 0.5) == y)
+    assert right / 6000 > 0.93
+    assert pii.reliabilities({(0, 5): 3}) == {(0, 5): 1.0} and pii.reliabilities({}) == {}
+
+
 def test_reliabilities_find_the_bad_labeler():
     rng = random.Random(1)
     counts = Counter()
