@@ -19,6 +19,8 @@ from loomspark.plans.scratch import written
 
 SHARDS = 24
 SEED = 20_240_601
+#: A table of counts up to this size is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 32 << 20
 
 
 def shard_sizes(rows: int, shards: int) -> list[int]:
@@ -26,12 +28,47 @@ def shard_sizes(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
+def _stirling(n: int) -> float:
+    """ln n! less Stirling's formula for it."""
+    if n < 16:
+        return math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi) if n else 0.0
+    return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / n**2) / n**2) / n**2) / n
+
+
+def _deviance(x: int, mean: float) -> float:
+    """x ln(x / mean) + mean - x without the difference of large numbers."""
+    if abs(x - mean) < 0.1 * (x + mean):
+        v = (x - mean) / (x + mean)
+        total, term, j = (x - mean) * v, 2 * x * v, 1
+        while True:
+            term *= v * v
+            more = total + term / (2 * j + 1)
+            if more == total:
+                return total
+            total, j = more, j + 1
+    return x * math.log(x / mean) + mean - x
+
+
+def _binomial(x: int, n: int, p: float) -> float:
+    """ln of the chance of x of n; exact to the digits of a double, however large n is."""
+    if x == 0 or x == n:
+        return n * (math.log1p(-p) if x == 0 else math.log(p)) if n else 0.0
+    error = _stirling(n) - _stirling(x) - _stirling(n - x) - _deviance(x, n * p) - _deviance(n - x, n * (1 - p))
+    return error + 0.5 * (math.log(n) - math.log(2 * math.pi) - math.log(x) - math.log(n - x))
+
+
 def hypergeometric(good: int, bad: int, draws: int, rng: random.Random) -> int:
-    """How many of ``draws`` from ``good + bad`` are good: outwards from the mode until the drawn mass is reached."""
+    """How many of ``draws`` from ``good + bad`` are good: outwards from the mode until the drawn mass is reached.
+
+    The mode's chance is a quotient of binomial ones (all three with the share drawn), so it keeps the digits of a double for
+    any number of rows; those beside it follow by factors.
+    """
     low, high = max(0, draws - bad), min(good, draws)
+    if low == high:
+        return low
     mode = min(high, max(low, (draws + 1) * (good + 1) // (good + bad + 2)))
-    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-    p = math.exp(choose(good, mode) + choose(bad, draws - mode) - choose(good + bad, draws))
+    share = draws / (good + bad)
+    p = math.exp(_binomial(mode, good, share) + _binomial(draws - mode, bad, share) - _binomial(draws, good + bad, share))
     left = rng.random() - p
     down = up = mode
     p_down = p_up = p
@@ -51,13 +88,20 @@ def hypergeometric(good: int, bad: int, draws: int, rng: random.Random) -> int:
     return mode
 
 
-def communication_matrix(counts: list[int], sizes: list[int], seed: int) -> list[list[int]]:
-    """Rows from each partition to each shard; row sums are ``counts``, column sums ``sizes``."""
+#: Rows up to which the library draws a row of the table at once.
+LIBRARY_ROWS = 10**9
+
+
+def communication_matrix(counts: list[int], sizes: list[int], seed: int, library_rows: int = LIBRARY_ROWS) -> list[list[int]]:
+    """Rows from each partition to each shard; row sums are ``counts``, column sums ``sizes``.
+
+    The law is that of a uniform permutation whichever of the two samplers draws.
+    """
     fast, exact = np.random.default_rng(seed), random.Random(seed)
     room = list(sizes)
     out = []
     for n in counts:
-        if sum(room) < 10**9:  # what the library's sampler takes
+        if sum(room) < library_rows:
             row = [int(x) for x in fast.multivariate_hypergeometric(np.array(room, np.int64), n, method="marginals")] if n else [0] * len(room)
         else:
             row, rest, draws = [], sum(room), n
@@ -86,9 +130,10 @@ def shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
     matrix = communication_matrix([n for _, n in counts], shard_sizes(sum(n for _, n in counts), shards), seed)
     ends = [(part, [int(x) for x in np.cumsum(row)]) for (part, _), row in zip(counts, matrix)]
     table = docs.sparkSession.createDataFrame(ends, "__part int, __ends array<long>")
+    table = F.broadcast(table) if 8 * len(ends) * shards <= BROADCAST_BYTES else table
     numbers = rows.select("__part", "__row")
     local = Window.partitionBy("__part").orderBy(F.xxhash64(F.lit(seed), "__row"), "__row")
-    placed = numbers.withColumn("__place", F.row_number().over(local) - 1).join(F.broadcast(table), "__part")
+    placed = numbers.withColumn("__place", F.row_number().over(local) - 1).join(table, "__part")
     dealt = placed.select("__row", F.size(F.filter("__ends", lambda e: e <= F.col("__place"))).alias("shard"), F.xxhash64(F.lit(seed + 1), "__row").alias("__again"))
     slots = ranked(dealt, ["shard", "__again", "__row"], "slot", "dealt", within=["shard"])
     return rows.join(slots.select("__row", "shard", "slot"), "__row").drop("__part", "__row")

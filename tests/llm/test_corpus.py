@@ -1,5 +1,6 @@
 """Operators over whole tables, and the pipeline."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -110,6 +111,46 @@ def test_matrix_has_its_sums():
     assert [sum(r) for r in m] == counts and [sum(c) for c in zip(*m)] == sizes
 
 
+@pytest.mark.parametrize("library_rows", [0, 10**9])
+def test_matrix_has_its_law(library_rows):
+    """Every cell of many tables against the exact chances of a uniform permutation, with either sampler."""
+    counts, sizes, n = [5, 0, 7, 3], [6, 5, 4], 4000
+    seen = [[Counter() for _ in sizes] for _ in counts]
+    for seed in range(n):
+        matrix = sharding.communication_matrix(counts, sizes, seed, library_rows)
+        assert [sum(r) for r in matrix] == counts and [sum(c) for c in zip(*matrix)] == sizes
+        for row, cells in zip(matrix, seen):
+            for x, c in zip(row, cells):
+                c[x] += 1
+    total = sum(sizes)
+    for k, cells in zip(counts, seen):
+        for size, c in zip(sizes, cells):
+            for x in range(min(k, size) + 1):
+                p = comb(size, x) * comb(total - size, k - x) / comb(total, k)
+                assert abs(c[x] - n * p) < 5 * (n * p * (1 - p)) ** 0.5 + 1
+
+
+def test_chances_keep_their_digits():
+    from fractions import Fraction
+
+    for good, bad, draws in ((40, 60, 30), (1, 99, 50), (1000, 9000, 777), (3, 3, 6)):
+        share = draws / (good + bad)
+        for x in range(max(0, draws - bad), min(good, draws) + 1):
+            exact = Fraction(comb(good, x) * comb(bad, draws - x), comb(good + bad, draws))
+            if 0 < share < 1 and exact > Fraction(1, 10**300):
+                got = sharding._binomial(x, good, share) + sharding._binomial(draws - x, bad, share) - sharding._binomial(draws, good + bad, share)
+                assert abs(math.exp(got) / float(exact) - 1) < 1e-9
+    # of a trillion rows: neighbours of the mode have the quotient that their counts say
+    good, bad, draws = 41_666_666_667, 958_333_333_333, 1_000_000
+    share = draws / (good + bad)
+    mode = (draws + 1) * (good + 1) // (good + bad + 2)
+    chance = lambda x: sharding._binomial(x, good, share) + sharding._binomial(draws - x, bad, share)
+    assert abs(math.exp(chance(mode + 50) - chance(mode)) / math.prod((good - k) * (draws - k) / ((k + 1) * (bad - draws + k + 1)) for k in range(mode, mode + 50)) - 1) < 1e-9
+    rng = random.Random(1)
+    drawn = [sharding.hypergeometric(good, bad, draws, rng) for _ in range(300)]
+    assert abs(sum(drawn) / 300 - draws * good / (good + bad)) < 60
+
+
 def test_hypergeometric_law():
     rng = random.Random(9)
     got = Counter(sharding.hypergeometric(7, 9, 6, rng) for _ in range(20_000))
