@@ -1,5 +1,7 @@
 """Training-row queries over ``documents``, ``conversations`` and ``orders``."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from loomspark.catalog.base import query
@@ -83,6 +85,50 @@ def _template_query(family):
         return T.apply_chat_template(t.conversations, family).select("conv_id", F.md5("prompt").alias("digest"))
 
 
+# What other families write for a system, a user and an assistant message (%s), in front of and behind all of them, whether
+# texts are trimmed, and what opens a turn at the start and after a reply.
+_THREE = {
+    "phi3": ("<|system|>\n%s<|end|>\n", "<|user|>\n%s<|end|>\n", "<|assistant|>\n%s<|end|>\n", "", "<|assistant|>\n", False, "", ""),
+    "phi4": ("<|im_start|>system<|im_sep|>%s<|im_end|>", "<|im_start|>user<|im_sep|>%s<|im_end|>", "<|im_start|>assistant<|im_sep|>%s<|im_end|>", "", "<|im_start|>assistant<|im_sep|>", False, "", ""),
+    "falcon3": ("<|system|>\n%s\n", "<|user|>\n%s\n", "<|assistant|>\n%s\n", "", "<|assistant|>\n", False, "", ""),
+    "zephyr": ("<|system|>\n%s<|endoftext|>\n", "<|user|>\n%s<|endoftext|>\n", "<|assistant|>\n%s<|endoftext|>\n", "", "<|assistant|>\n", False, "", ""),
+    "openchat": ("%s<|end_of_turn|>", "GPT4 Correct User: %s<|end_of_turn|>", "GPT4 Correct Assistant: %s<|end_of_turn|>", "", "GPT4 Correct Assistant:", False, "", ""),
+    "vicuna-orca": ("SYSTEM: %s\n", "USER: %s\n", "ASSISTANT: %s</s>\n", "", "ASSISTANT:", False, "", ""),
+    "deepseek": ("%s", "### Instruction:\n%s\n", "### Response:\n%s\n<|EOT|>\n", "", "### Response:\n", False, "", ""),
+    "deepseek2": ("%s\n\n", "User: %s\n\n", "Assistant: %s<｜end▁of▁sentence｜>", "", "Assistant:", False, "", ""),
+    "deepseek3": ("%s\n\n", "<｜User｜>%s", "<｜Assistant｜>%s<｜end▁of▁sentence｜>", "", "<｜Assistant｜>", False, "", ""),
+    "command-r": ("<|START_OF_TURN_TOKEN|><|SYSTEM_TOKEN|>%s<|END_OF_TURN_TOKEN|>", "<|START_OF_TURN_TOKEN|><|USER_TOKEN|>%s<|END_OF_TURN_TOKEN|>", "<|START_OF_TURN_TOKEN|><|CHATBOT_TOKEN|>%s<|END_OF_TURN_TOKEN|>", "", "<|START_OF_TURN_TOKEN|><|CHATBOT_TOKEN|>", True, "", ""),
+    "chatglm3": ("<|system|>\n %s", "<|user|>\n %s", "<|assistant|>\n %s", "[gMASK]sop", "<|assistant|>", False, "", ""),
+    "chatglm4": ("<|system|>\n%s", "<|user|>\n%s", "<|assistant|>\n%s", "[gMASK]<sop>", "<|assistant|>\n", False, "", ""),
+    "glmedge": ("<|system|>\n%s", "<|user|>\n%s", "<|assistant|>\n%s", "", "<|assistant|>", False, "", ""),
+    "minicpm": ("%s", "<用户>%s<AI>", "%s", "", "", True, "", ""),
+    "exaone3": ("[|system|]%s[|endofturn|]\n", "[|user|]%s\n", "[|assistant|]%s[|endofturn|]\n", "", "[|assistant|]", True, "", ""),
+    "granite": ("<|start_of_role|>system<|end_of_role|>%s<|end_of_text|>\n", "<|start_of_role|>user<|end_of_role|>%s<|end_of_text|>\n", "<|start_of_role|>assistant<|end_of_role|>%s<|end_of_text|>\n", "", "<|start_of_role|>assistant<|end_of_role|>\n", False, "", ""),
+    "megrez": ("<|role_start|>system<|role_end|>%s<|turn_end|>", "<|role_start|>user<|role_end|>%s<|turn_end|>", "<|role_start|>assistant<|role_end|>%s<|turn_end|>", "", "<|role_start|>assistant<|role_end|>", False, "", ""),
+    "yandex": ("", " Пользователь: %s\n\n", " Ассистент: %s\n\n", "<s>", " Ассистент:[SEP]", False, "", ""),
+    "bailing": ("<role>SYSTEM</role>%s", "<role>HUMAN</role>%s", "<role>ASSISTANT</role>%s", "", "<role>ASSISTANT</role>", False, "", ""),
+    "llama4": ("<|header_start|>system<|header_end|>\n\n%s<|eot|>", "<|header_start|>user<|header_end|>\n\n%s<|eot|>", "<|header_start|>assistant<|header_end|>\n\n%s<|eot|>", "", "<|header_start|>assistant<|header_end|>\n\n", True, "", ""),
+    "smolvlm": ("%s\n\n", "User: %s<end_of_utterance>\n", "Assistant: %s<end_of_utterance>\n", "<|im_start|>", "Assistant:", False, "", ""),
+    "dots1": ("<|system|>%s<|endofsystem|>", "<|userprompt|>%s<|endofuserprompt|>", "<|response|>%s<|endofresponse|>", "", "<|response|>", False, "", ""),
+    "mistral-v7": ("[SYSTEM_PROMPT] %s[/SYSTEM_PROMPT]", "[INST] %s[/INST]", " %s</s>", "", "", False, "", ""),
+    "mistral-v7-tekken": ("[SYSTEM_PROMPT]%s[/SYSTEM_PROMPT]", "[INST]%s[/INST]", "%s</s>", "", "", False, "", ""),
+    "llama2": ("%s\n", "%s [/INST]", "%s</s>", "[INST] ", "", False, "", "[INST] "),
+    "llama2-sys": ("<<SYS>>\n%s\n<</SYS>>\n\n", "%s [/INST]", "%s</s>", "[INST] ", "", False, "", "[INST] "),
+    "llama2-sys-strip": ("<<SYS>>\n%s\n<</SYS>>\n\n", "%s [/INST]", "%s</s>", "[INST] ", "", True, "", "[INST] "),
+    "mistral-v1": ("%s\n\n", "%s [/INST]", " %s</s>", "", "", False, " [INST] ", " [INST] "),
+    "mistral-v3-tekken": ("%s\n\n", "%s[/INST]", "%s</s>", "", "", False, "[INST]", "[INST]"),
+}
+
+
+def _three(system, user, reply, head, tail, trim, start, after):
+    body = TRIM if trim else "text"
+    said = lambda x: " || ".join(quoted(p) if i % 2 == 0 else body for i, p in enumerate(re.split("(%s)", x)) if p) or "''"
+    seg = f"CASE WHEN turn = 0 THEN {quoted(start)} WHEN prev = 'assistant' THEN {quoted(after)} ELSE '' END || CASE role WHEN 'system' THEN {said(system)} WHEN 'user' THEN {said(user)} ELSE {said(reply)} END"
+    return seg, quoted(head), quoted(tail)
+
+
+_MSG |= {family: _three(*marks) for family, marks in _THREE.items()}
+
 for _family in _MSG:
     _template_query(_family)
 

@@ -577,11 +577,23 @@ UUID_SPACE = "ef001206-dadc-5f6d-a15f-3359e577d4e5"
 SKIPPED_SUFFIXES = (".attention.masked_bias", ".attention.bias", ".rotary_emb.inv_freq")
 
 
-def hash_tensors(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256"), *, skip: Sequence[str] = SKIPPED_SUFFIXES) -> DataFrame:
-    """``(file, tensor, kind, hash)`` of each tensor's bytes ``(file, idx, tensor, data)``."""
+def _hashed(df: DataFrame, skip: Sequence[str]) -> DataFrame:
     rows = df
     for s in skip:
         rows = rows.filter(~F.endswith("tensor", F.lit(s)))
+    return rows
+
+
+def hash_tensors(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256"), *, skip: Sequence[str] = SKIPPED_SUFFIXES) -> DataFrame:
+    """``(file, tensor, kind, hash)`` of each tensor's bytes ``(file, idx, tensor, data)``.
+
+    With a column ``part`` the rows are pieces of tensors, as the tensor source gives them: those of one tensor stream through
+    one task in their order, so a tensor may be larger than a value.
+    """
+    rows = _hashed(df, skip)
+    if "part" in df.columns:
+        parts = rows.select("file", "tensor", "part", "data").repartition("file", "tensor").sortWithinPartitions("file", "tensor", "part")
+        return _running_hashes(parts.drop("part"), ["file", "tensor"], kinds)
     fns = {"sha1": F.sha1("data"), "sha256": F.sha2("data", 256), "uuid": _uuid5("data"), "xxh64": _xxh64("data")}
     items = F.array(*[F.struct(F.lit(k).alias("kind"), fns[k].alias("hash")) for k in kinds])
     return rows.select("file", "tensor", F.explode(items).alias("h")).select("file", "tensor", "h.kind", "h.hash")
@@ -606,41 +618,43 @@ def _uuid5(data) -> Column:
 
 
 def hash_files(df: DataFrame, kinds: Sequence[str] = ("sha1", "sha256", "uuid"), *, skip: Sequence[str] = SKIPPED_SUFFIXES) -> DataFrame:
-    """``(file, kind, hash)`` over all tensors of a file in order.
+    """``(file, kind, hash)`` over all tensors of a file in order; rows may be pieces of tensors, with a column ``part``.
 
     A running hash needs its bytes in order: tasks work on files side by side, and a file's tensors stream through one task.
     """
+    order = ["file", "idx", *[c for c in ("part",) if c in df.columns]]
+    parts = _hashed(df, skip).select(*order, "data").repartition("file").sortWithinPartitions(*order)
+    return _running_hashes(parts.select("file", "data"), ["file"], kinds)
+
+
+def _running_hashes(parts: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """``(*keys, kind, hash)`` of rows ``(*keys, data)`` that come in order within a task."""
     import hashlib
     import uuid
 
     import xxhash
 
-    rows = df
-    for s in skip:
-        rows = rows.filter(~F.endswith("tensor", F.lit(s)))
-    parts = rows.select("file", "idx", "data").repartition("file").sortWithinPartitions("file", "idx")
+    def start() -> dict:
+        return {k: xxhash.xxh64() if k == "xxh64" else hashlib.sha256() if k == "sha256" else hashlib.sha1(uuid.UUID(UUID_SPACE).bytes if k == "uuid" else b"") for k in kinds}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def start() -> dict:
-            return {k: xxhash.xxh64() if k == "xxh64" else hashlib.sha256() if k == "sha256" else hashlib.sha1(uuid.UUID(UUID_SPACE).bytes if k == "uuid" else b"") for k in kinds}
-
-        def finish(name, hs) -> pd.DataFrame:
-            out = {k: str(uuid.UUID(bytes=h.digest()[:16], version=5)) if k == "uuid" else h.hexdigest() for k, h in hs.items()}
-            return pd.DataFrame({"file": name, "kind": list(out), "hash": list(out.values())})
+    def finish(names: tuple, hs: dict) -> pd.DataFrame:
+        out = {k: str(uuid.UUID(bytes=h.digest()[:16], version=5)) if k == "uuid" else h.hexdigest() for k, h in hs.items()}
+        return pd.DataFrame({**dict(zip(keys, names)), "kind": list(out), "hash": list(out.values())})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, hashes = None, {}
         for pdf in batches:
-            for name, data in zip(pdf["file"], pdf["data"]):
-                if name != current:
+            for *names, data in zip(*(pdf[c] for c in (*keys, "data"))):
+                if tuple(names) != current:
                     if current is not None:
                         yield finish(current, hashes)
-                    current, hashes = name, start()
+                    current, hashes = tuple(names), start()
                 for h in hashes.values():
                     h.update(data)
         if current is not None:
             yield finish(current, hashes)
 
-    return parts.mapInPandas(run, "file string, kind string, hash string")
+    return parts.mapInPandas(run, "".join(f"{k} string, " for k in keys) + "kind string, hash string")
 
 
 def verify_manifest(actual: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from loomspark.operators import ngrams as N
 from loomspark.operators import prep as P
 from loomspark.operators import tokens as T
 from loomspark.operators import vectors as V
+from loomspark.operators import weights as Wt
 from loomspark.operators import windows as W
 from loomspark.sources import binary_files as bf
 from loomspark.sources import ranges as R
@@ -78,6 +79,19 @@ def test_a_tensor_comes_in_pieces_of_several_tasks(spark, tmp_path):
         tfile.read_tensor_file(spark, str(tmp_path / "y.tensors"), "data").collect()
 
 
+def test_pieces_of_tensors_hash_like_whole_ones(spark):
+    import hashlib
+
+    raw = {("f", "a"): bytes(range(256)) * 40, ("f", "b"): b"x", ("g", "a"): b""}
+    pieces = [(f, i, t, p, bytearray(data[k : k + 100])) for i, ((f, t), data) in enumerate(raw.items()) for p, k in enumerate(range(0, max(len(data), 1), 100))]
+    random.Random(1).shuffle(pieces)
+    df = spark.createDataFrame(pieces, "file string, idx long, tensor string, part long, data binary").repartition(4)
+    got = {(r.file, r.tensor, r.kind): r.hash for r in Wt.hash_tensors(df, ("sha256", "sha1")).collect()}
+    assert got == {(*k, kind): hashlib.new(kind, data).hexdigest() for k, data in raw.items() for kind in ("sha256", "sha1")}
+    whole = {(r.file, r.kind): r.hash for r in Wt.hash_files(df, ("sha256",)).collect()}
+    assert whole == {("f", "sha256"): hashlib.sha256(raw["f", "a"] + raw["f", "b"]).hexdigest(), ("g", "sha256"): hashlib.sha256(b"").hexdigest()}
+
+
 # streams
 
 
