@@ -170,6 +170,17 @@ def _(t):
     return out.select("row", *[F.col(f"`{c}`").alias(c.replace("\n", "_")) for c in out.columns if c != "row"])
 
 
+@query(
+    "b11_success_maps",
+    f"""WITH {TRIES}, l AS (SELECT model, temp, server_name || '/' || test AS cell, arg_max(round(secs / 100, 6), line_no) AS v FROM tries GROUP BY 1, 2, 3)
+SELECT model || ' @ ' || coalesce(temp::VARCHAR, 'None') AS row, string_agg(cell || '=' || printf('%.6f', v), ',' ORDER BY cell) AS cells FROM l GROUP BY model, temp""",
+)
+def _(t):
+    out = B.success_maps(records(t))
+    cells = F.transform(F.map_entries("cells"), lambda e: F.concat(F.replace(e["key"], F.lit("\n"), F.lit("/")), F.lit("="), F.format_string("%.6f", e["value"])))
+    return out.select("row", F.array_join(F.array_sort(cells), ",").alias("cells"))
+
+
 REQ = """req AS (SELECT event_id, ts AS t_start, ts + to_milliseconds((props->>'$.k')::BIGINT % 10) AS t_first, ts + to_milliseconds((props->>'$.k')::BIGINT % 10 + floor(value * 100)::BIGINT) AS t_end, event_id % 500 AS prompt_n, user_id AS predicted_n,
  ['stop', 'length', 'eos'][event_id % 3 + 1] AS finish FROM events),
 rates AS (SELECT *, epoch_ms(t_first) - epoch_ms(t_start) AS pp, epoch_ms(t_end) - epoch_ms(t_first) AS tg FROM req)"""

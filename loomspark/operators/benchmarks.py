@@ -226,23 +226,42 @@ def tool_bench_summary(tries: DataFrame) -> DataFrame:
     return joined.withColumn("failures", F.coalesce("failures", F.array().cast("array<string>")))
 
 
-def success_matrix(df: DataFrame, *, test_regex: str | None = None, server_regex: str | None = None, max_cells: int = 10_000) -> DataFrame:
-    """Rows ``model @ temp`` (null temperature first), one column per server and test; the last record of a cell wins.
-
-    ``df(model, temp, server_name, test, success_ratio, line_no)``.
-    """
+def _last_cells(df: DataFrame, test_regex: str | None, server_regex: str | None) -> DataFrame:
+    """``(model, temp, cell, v)``: the last record of each server and test."""
     rows = df
     if test_regex:
         rows = rows.filter(F.col("test").rlike(test_regex))
     if server_regex:
         rows = rows.filter(F.col("server_name").rlike(server_regex))
     cell = F.concat_ws("\n", "server_name", "test")
-    last = rows.groupBy("model", "temp", cell.alias("cell")).agg(F.max_by("success_ratio", "line_no").alias("v"))
+    return rows.groupBy("model", "temp", cell.alias("cell")).agg(F.max_by("success_ratio", "line_no").alias("v"))
+
+
+def _row_label() -> Column:
+    return F.concat("model", F.lit(" @ "), F.coalesce(F.col("temp").cast("string"), F.lit("None"))).alias("row")
+
+
+def success_maps(df: DataFrame, *, test_regex: str | None = None, server_regex: str | None = None) -> DataFrame:
+    """``(row, cells)``: the success matrix with a map from server and test to the ratio in each row, for any number of them.
+
+    ``df(model, temp, server_name, test, success_ratio, line_no)``.
+    """
+    last = _last_cells(df, test_regex, server_regex)
+    cells = F.map_from_entries(F.sort_array(F.collect_list(F.struct("cell", "v"))))
+    return last.groupBy("model", "temp").agg(cells.alias("cells")).select(_row_label(), "cells")
+
+
+def success_matrix(df: DataFrame, *, test_regex: str | None = None, server_regex: str | None = None, max_cells: int = 10_000) -> DataFrame:
+    """Rows ``model @ temp`` (null temperature first), one column per server and test; the last record of a cell wins.
+
+    ``df(model, temp, server_name, test, success_ratio, line_no)``.  A table has so many columns at most; beyond them
+    :func:`success_maps` has the same cells.
+    """
+    last = _last_cells(df, test_regex, server_regex)
     cells = sorted(r.cell for r in collect_bounded(last.select("cell").distinct(), max_cells, "server and test combinations"))
     wide = last.groupBy("model", "temp").pivot("cell", cells).agg(F.first("v"))
     nan = F.lit(float("nan"))
-    label = F.concat("model", F.lit(" @ "), F.coalesce(F.col("temp").cast("string"), F.lit("None")))
-    return wide.orderBy("model", F.col("temp").asc_nulls_first()).select(label.alias("row"), *[F.coalesce(F.col(f"`{c}`"), nan).alias(c) for c in cells])
+    return wide.orderBy("model", F.col("temp").asc_nulls_first()).select(_row_label(), *[F.coalesce(F.col(f"`{c}`"), nan).alias(c) for c in cells])
 
 
 def totals_agree(df: DataFrame) -> DataFrame:
