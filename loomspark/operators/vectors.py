@@ -405,8 +405,10 @@ def cosine_matrix(df: DataFrame, *, upper: bool = False, floor: float | None = N
 
 
 def _pivots(corpus: DataFrame) -> np.ndarray | None:
-    """Unit vectors to order a corpus by: those with the smallest hashes of their ids, ``PIVOTS`` at most."""
-    rows = corpus.filter("vec IS NOT NULL").select("vec").orderBy(F.xxhash64("doc_id")).limit(PIVOTS).collect()
+    """Unit vectors to order a corpus by: those with the smallest hashes of their ids, one for each full block and ``PIVOTS`` at most."""
+    there = corpus.filter("vec IS NOT NULL")
+    wanted = min(PIVOTS, max(1, there.count() // BLOCK_ROWS))
+    rows = there.select("vec").orderBy(F.xxhash64("doc_id")).limit(wanted).collect()
     return _unit([r.vec for r in rows]) if rows else None
 
 
@@ -425,31 +427,35 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int, *, max_queries:
     right = _blocks(corpus, "doc_id", "vec", BLOCK_ROWS, "corpus-blocks", pivots)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple] = {}  # block of queries -> ids, scores and documents of the best so far
+        kept: dict[int, tuple] = {}  # block of queries -> ids, scores and documents of the best so far, the best first
         pairs = 0
         for batch in batches:
-            met = list(_each_pair([batch]))
             # The nearest blocks first: what is found there says early what others have to beat.
-            for q, c in sorted(met, key=lambda x: -float(np.dot(x[0]["centroid"], x[1]["centroid"]))):
+            for q, c in sorted(_each_pair([batch]), key=lambda x: -float(np.dot(x[0]["centroid"], x[1]["centroid"]))):
                 if q["block"] not in kept:
-                    kept[q["block"]] = (q["ids"], [np.empty(0)] * len(q["ids"]), [np.empty(0, object)] * len(q["ids"]))
-                _, scores, docs = kept[q["block"]]
+                    shape = (len(q["ids"]), 0)
+                    kept[q["block"]] = (q["ids"], np.empty(shape), np.empty(shape, np.array(c["ids"]).dtype))
+                ids, scores, docs = kept[q["block"]]
                 unit = _matrix(q)
-                worst = np.array([s[k - 1] if len(s) >= k else -np.inf for s in scores])
-                rows = np.flatnonzero(_reach(unit, c) >= worst)
+                rows = np.flatnonzero(_reach(unit, c) >= scores[:, k - 1]) if scores.shape[1] == k else np.arange(len(ids))
                 if not len(rows):
                     continue
                 pairs += len(rows) * len(c["ids"])
                 # equal vectors rank by id, whatever the order of summation
                 found = np.round(_similarity(unit[rows], _matrix(c)), 12)
-                own = np.array(c["ids"], dtype=object)
-                for i, s in zip(rows, found):
-                    scores[i], docs[i] = _top(np.concatenate([scores[i], s]), np.concatenate([docs[i], own]), k)
+                own = np.broadcast_to(np.array(c["ids"]), found.shape)
+                top, names = _top(*(np.concatenate(x, axis=1) for x in ((scores[rows], found), (docs[rows], own))), k)
+                if len(rows) == len(ids):
+                    kept[q["block"]] = (ids, top, names)
+                else:
+                    docs = docs.astype(np.promote_types(docs.dtype, names.dtype))  # texts may be longer
+                    scores[rows], docs[rows] = top, names
+                    kept[q["block"]] = (ids, scores, docs)
         if scored is not None:
             scored.add(pairs)
         for ids, scores, docs in kept.values():
-            names = pa.array([i for i, s in zip(ids, scores) for _ in s], arrow.field(0).type)
-            yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate(docs).tolist(), arrow.field(1).type), pa.array(np.concatenate(scores))], schema=arrow)
+            queries_ = pa.array([i for i in ids for _ in range(scores.shape[1])], arrow.field(0).type)
+            yield pa.RecordBatch.from_arrays([queries_, pa.array(docs.ravel().tolist(), arrow.field(1).type), pa.array(scores.ravel())], schema=arrow)
 
     near = _grid(left, right, False).mapInArrow(best, schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -457,12 +463,16 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int, *, max_queries:
 
 
 def _top(scores: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best ``k`` by score, equal ones by id."""
-    if len(scores) > k:
-        near = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-        scores, docs = scores[near], docs[near]
-    order = sorted(range(len(scores)), key=lambda i: (-scores[i], docs[i]))[:k]
-    return scores[order], docs[order]
+    """The best ``k`` of each row by score, equal ones by id, in order."""
+    if scores.shape[1] > 4 * k:  # what cannot be among them is left out before the rows are put in order
+        edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        near = scores >= edge[:, None]
+        width = int(near.sum(axis=1).max())
+        place = np.argsort(~near, axis=1, kind="stable")[:, :width]
+        low = np.where(np.take_along_axis(near, place, 1), np.take_along_axis(scores, place, 1), -np.inf)
+        scores, docs = low, np.take_along_axis(docs, place, 1)
+    order = np.lexsort((docs, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, 1), np.take_along_axis(docs, order, 1)
 
 
 def rerank_results(df: DataFrame, *, style: str = "jina", return_text: bool = False) -> DataFrame:
