@@ -89,7 +89,7 @@ def test_chunks_do_not_depend_on_partitions(spark):
 
 def test_common_prefix_and_run(spark):
     df = spark.createDataFrame([(list("abcxbcd"), list("bcd")), (list("ab"), list("ab")), ([], list("a"))], "a array<string>, b array<string>")
-    got = df.select(W.common_prefix("a", "b").alias("p"), W.longest_common_run("a", "b").alias("r")).collect()
+    got = W.longest_common_run(df, "a", "b", name="r").select(W.common_prefix("a", "b").alias("p"), "r").collect()
     assert [tuple(r) for r in got] == [(0, 3), (2, 2), (0, 0)]
 
 
