@@ -483,7 +483,7 @@ def plan_types_mixed(
     gqa: int = 1,
     experts: int = 1,
     data: bool = False,
-    arch: str = "llama",
+    arch: str = "",
     size: str = "",
     overrides: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
