@@ -142,12 +142,14 @@ def _(t):
 def _(t):
     """A draw for each distribution, all possible, the same a second time; the mean probability of what is drawn is that of weighted draws."""
     rows = dists(t)
-    first, second = D.draw(rows, 7), D.draw(rows.repartition(5), 7).withColumnRenamed("token_id", "again")
-    weights = D.softmax(rows).select("dist_id", "token_id", "p")
-    met = first.join(weights, ["dist_id", "token_id"], "left").join(second, "dist_id", "left")
-    want = weights.groupBy("dist_id").agg(F.sum(F.col("p") * F.col("p")).alias("want"))
+    first, second = D.draw(rows, 7), D.draw(rows.repartition("dist_id", "token_id"), 7).withColumnRenamed("token_id", "again")
+    weights = D.softmax(rows).groupBy("dist_id").agg(F.collect_list(F.struct("token_id", "p")).alias("all"), F.sum(F.col("p") * F.col("p")).alias("want"))
+    # All sides have a row for each distribution: merged, never sent whole through the driver.
+    met = first.join(weights.hint("merge"), "dist_id").join(second.hint("merge"), "dist_id", "left")
+    own = F.transform(F.filter("all", lambda x: x["token_id"] == F.col("token_id")), lambda x: x["p"])
+    met = met.select("token_id", "again", "want", F.explode_outer(own).alias("p"))
     close = F.abs(F.avg("p") - F.avg("want")) < 3 / F.sqrt(F.count("*"))
-    return met.join(want, "dist_id").agg(F.count("*").alias("n"), F.count("p").alias("n_possible"), F.count_if(F.col("again") != F.col("token_id")).alias("n_changed"), close.alias("by_weight"))
+    return met.agg(F.count("*").alias("n"), F.count("p").alias("n_possible"), F.count_if(F.col("again") != F.col("token_id")).alias("n_changed"), close.alias("by_weight"))
 
 
 @query("d14_draw")
