@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions import text
-from loomspark.plans.bounds import spread
+from loomspark.plans.bounds import dealt, spread
 
 # documents as token arrays
 DOCS = r"docs AS (SELECT doc_id, source, lang, text, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS toks FROM documents)"
@@ -41,7 +41,7 @@ def _logits(dist, salt: int):
 
 def dists(t) -> DataFrame:
     """Long form (dist_id, token_id, logit)."""
-    rows = spread(t.events.select("event_id"), "event_id")
+    rows = dealt(t.events.select("event_id"), "event_id")
     return rows.select(F.col("event_id").alias("dist_id"), F.posexplode(_logits(F.col("event_id"), 1299709)).alias("token_id", "logit"))
 
 

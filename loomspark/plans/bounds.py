@@ -32,6 +32,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want, *[F.col(k) for k in keys])
 
 
+#: Rows that a task gets, about, where each of them becomes many.
+DEALT_ROWS = 50_000
+
+
+def dealt(df: DataFrame, *keys: str, rows: int = DEALT_ROWS) -> DataFrame:
+    """Rows dealt out by ``keys`` to tasks of about ``rows`` each, as many as the table needs.
+
+    What is made of the rows stays in these tasks as far as it is grouped by ``keys``, so slim rows are shuffled, not what they become.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(tasks, *[F.col(k) for k in keys])
+
+
 def checked(df: DataFrame, bad, message: str) -> DataFrame:
     """``df``, failing while it is computed when a row satisfies ``bad``; costs no pass of its own."""
     return df.filter(F.when(bad, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
