@@ -40,6 +40,9 @@ def in_batches(t, rows, batch, what):
     minute = F.lit(DAY).cast("timestamp") + F.make_interval(mins=F.col("batch"))
     timed = rows.withColumn("batch", batch.cast("int")).withColumn("ts", minute)
     schema = timed.drop("batch").schema
+    staged = fresh_folder(t.spark, f"{what}-staged")  # computed once, by all tasks
+    timed.write.partitionBy("batch").parquet(staged)
+    timed = t.spark.read.schema(timed.schema).parquet(staged)
 
     def write(first, last):
         for k in range(first, last):  # in the order in which they are read

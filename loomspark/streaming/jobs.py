@@ -40,15 +40,21 @@ def run_to_table(stream: DataFrame, what: str, path: str | None = None, progress
     """
     spark = stream.sparkSession
     path = path or fresh_folder(spark, what)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{path}/rows")
-        .option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    # Each batch opens a state store and a Python worker for each partition, whatever it holds: as many as there are cores.
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(usual), spark.sparkContext.defaultParallelism)))
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{path}/rows")
+            .option("checkpointLocation", f"{path}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     if progress is not None:
         progress.extend(query.recentProgress)
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")

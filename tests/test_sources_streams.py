@@ -217,3 +217,16 @@ def test_a_task_with_too_many_answers_is_bad_and_whole(spark):
     rows = [(r.question, r.mode, r.answer_no, r.answer, r.label, r.bad) for r in bf.parse_choices(files).collect()]
     assert rows[:2] == [("good", "single", 0, "yes", 1, False), ("good", "single", 1, "no", 0, False)]
     assert rows[6:] == [("bad", "multi", k, "x", 0, True) for k in range(101)]
+
+
+def test_a_stream_opens_as_many_stores_as_there_are_cores(spark, tmp_path):
+    spark.createDataFrame([(1, 0, "a", True)], "reply_id long, seq long, delta string, last boolean").write.parquet(str(tmp_path / "in"))
+    usual, progress = spark.conf.get("spark.sql.shuffle.partitions"), []
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        stream = J.folder_stream(spark, str(tmp_path / "in"), "reply_id long, seq long, delta string, last boolean")
+        out = J.run_to_table(J.assemble_replies(stream, ["</s>"]), "stores", progress=progress).collect()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64" and [r.text for r in out] == ["a"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert progress[0]["stateOperators"][0]["numShufflePartitions"] == spark.sparkContext.defaultParallelism
