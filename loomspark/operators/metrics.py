@@ -256,11 +256,15 @@ def score_choices(df: DataFrame) -> DataFrame:
     return s.select("n", (p * 100.0).alias("score"), err(p).alias("err"), (c * 100.0).alias("chance"), err(c).alias("chance_err"))
 
 
+class AboveLimit(ValueError):
+    """A perplexity that the gate does not let pass."""
+
+
 def gate(df: DataFrame, limit: float = 20.0, *, ppl: str = "ppl") -> DataFrame:
     """Pass the report on, or fail when a perplexity is above the limit."""
     bad = df.filter(F.col(ppl) > limit).limit(1).collect()
     if bad:
-        raise ValueError(f"perplexity {bad[0][ppl]:.4f} is above {limit}")
+        raise AboveLimit(f"perplexity {bad[0][ppl]:.4f} is above {limit}")
     return df
 
 
