@@ -17,12 +17,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.plans.bounds import fits
+
 Filter = Callable[[DataFrame], DataFrame]
 
 W_ALL = ("dist_id",)
 NEG_INF = float("-inf")
 # Natural logarithm of the largest float32: fixed value.
 FLOAT_MAX_LOG = 88.7228391
+#: Rows of a bias table that is sent to all tasks.
+MAX_BIAS = 200_000
 
 
 def _all() -> Window:
@@ -141,19 +145,15 @@ def top_n_sigma(df: DataFrame, n: float) -> DataFrame:
 
 
 def penalties(df: DataFrame, history: DataFrame, last_n: int, repeat: float = 1.0, freq: float = 0.0, present: float = 0.0) -> DataFrame:
-    """Penalise tokens among the last ``last_n`` of ``history(dist_id, tokens)``."""
+    """Penalise tokens among the last ``last_n`` of ``history(dist_id, tokens)``; candidates stay where they are, the tokens come to them."""
     if last_n == 0 or (repeat == 1 and freq == 0 and present == 0):
         return df
     tail = F.col("tokens") if last_n < 0 else F.slice("tokens", -F.least(F.size("tokens"), F.lit(last_n)), last_n)
-    seen = (
-        history.filter(F.size("tokens") > 0)
-        .select("dist_id", F.explode(tail).alias("token_id"))
-        .groupBy("dist_id", "token_id")
-        .agg(F.count("*").alias("__c"))
-    )
+    seen = history.filter(F.size("tokens") > 0).groupBy("dist_id").agg(F.flatten(F.collect_list(tail)).alias("__seen"))
     x = F.col("logit")
     scaled = F.when(x <= 0, x * repeat).otherwise(x / repeat) - (F.col("__c") * freq + present)
-    return df.join(seen, ["dist_id", "token_id"], "left").withColumn("logit", F.when(F.col("__c") > 0, scaled).otherwise(x)).drop("__c")
+    counted = df.join(seen, "dist_id", "left").withColumn("__c", F.size(F.filter("__seen", lambda s: s == F.col("token_id")))).drop("__seen")
+    return counted.withColumn("logit", F.when(F.col("__c") > 0, scaled).otherwise(x)).drop("__c")
 
 
 def _repeat_lengths(tokens: np.ndarray, allowed: int, breakers: Sequence[Sequence[int]]) -> dict[int, int]:
@@ -213,16 +213,20 @@ def dry(
         return tokens.map(one)
 
     most = int(FLOAT_MAX_LOG / math.log(base)) if base > 1.000001 else 0
-    hits = history.select("dist_id", F.explode(repeats("tokens")).alias("h")).select("dist_id", "h.token_id", "h.len")
+    found = history.select("dist_id", repeats("tokens").alias("h")).filter(F.size("h") > 0)
+    hits = found.groupBy("dist_id").agg(F.flatten(F.collect_list("h")).alias("__h"))
     over = F.col("len") - allowed
     over = F.least(over, F.lit(most)) if most > 0 else over
     cost = F.when(F.col("len").isNotNull(), multiplier * F.pow(F.lit(base), over.cast("double")))
-    return df.join(hits, ["dist_id", "token_id"], "left").withColumn("logit", F.col("logit") - F.coalesce(cost, F.lit(0.0))).drop("len")
+    own = F.transform(F.filter("__h", lambda h: h["token_id"] == F.col("token_id")), lambda h: h["len"])
+    met = df.join(hits, "dist_id", "left").select(*df.columns, F.explode_outer(own).alias("len"))
+    return met.withColumn("logit", F.col("logit") - F.coalesce(cost, F.lit(0.0))).drop("len")
 
 
 def logit_bias(df: DataFrame, bias: DataFrame) -> DataFrame:
-    """Add ``bias(token_id, bias)``."""
-    return df.join(bias, "token_id", "left").withColumn("logit", F.col("logit") + F.coalesce("bias", F.lit(0.0))).drop("bias")
+    """Add ``bias(token_id, bias)``; a table of the usual size is sent to the candidates, which are many for each token."""
+    small = F.broadcast(bias) if fits(bias, MAX_BIAS) else bias
+    return df.join(small, "token_id", "left").withColumn("logit", F.col("logit") + F.coalesce("bias", F.lit(0.0))).drop("bias")
 
 
 def greedy(df: DataFrame) -> DataFrame:

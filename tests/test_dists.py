@@ -1,6 +1,7 @@
 """Decoding filters: probabilities in, survivors out, most likely first."""
 
 import math
+import re
 
 import pytest
 
@@ -74,3 +75,78 @@ def test_chain_takes_functions_and_draws_repeat(spark):
     out = D.chain(df, {"top_k": {"k": 4}}, ["top_k", lambda d: d.filter("token_id <> 0")])
     assert out.filter("token_id = 0").count() == 0
     assert sorted(D.draw(df, 3).collect()) == sorted(D.draw(df.repartition(5), 3).collect())
+
+
+def _rows(spark, n):
+    rows = [(d, i, float((d * 7 + i * 3) % 5)) for d in range(n) for i in range(6)]
+    return spark.createDataFrame(rows, "dist_id long, token_id int, logit double")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _events(spark, path, rows):
+    spark.createDataFrame(rows, "event_id long, user_id long, value double").write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def test_distributions_are_dealt_to_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch):
+    from loomspark.catalog import inputs
+    from loomspark.catalog.base import Tables
+    from loomspark.plans import bounds
+
+    monkeypatch.setattr(inputs, "dealt", lambda df, *keys: bounds.dealt(df, *keys, rows=20))
+    df = inputs.dists(Tables(spark, _events(spark, tmp_path, [(i, 0, 0.0) for i in range(1000)])))
+    assert df.rdd.getNumPartitions() == 50 and df.count() == 16_000
+    assert _plan(D.top_k(df, 3)).count("Exchange") == 1  # of the ids; candidates stay where they are
+
+
+def test_histories_come_to_the_candidates(spark):
+    """Penalties and DRY shuffle no candidate: a join goes by the distribution alone."""
+    df = _rows(spark, 40).repartition(7, "dist_id")
+    hist = spark.createDataFrame([(d, [0, 1, 2, 0, 1, d % 6]) for d in range(0, 40, 2)], "dist_id long, tokens array<int>")
+    out = D.dry(D.penalties(df, hist, 4, 1.3, 0.2, 0.1), hist, 0.8, 1.75, 1)
+    assert not re.search(r"hashpartitioning\(dist_id#\d+L?, token_id", _plan(out)) and out.count() == 240
+    counts = {(r.dist_id, r.token_id): r.logit for r in D.penalties(df, hist, 4, 1.0, 1.0, 0.0).collect()}
+    for r in df.collect():
+        tail = [2, 0, 1, r.dist_id % 6] if r.dist_id % 2 == 0 else []
+        assert counts[r.dist_id, r.token_id] == pytest.approx(r.logit - tail.count(r.token_id))
+
+
+def test_a_bias_is_sent_to_the_candidates(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = D.logit_bias(_rows(spark, 20), spark.createDataFrame([(1, 0.5)], "token_id int, bias double"))
+        assert "BroadcastHashJoin" in _plan(out) and "SortMergeJoin" not in _plan(out)
+        assert out.count() == 120
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_draws_meet_without_a_broadcast(spark, tmp_path):
+    from loomspark.catalog import QUERIES
+
+    path = _events(spark, tmp_path, [(i, 0, 0.0) for i in range(500)])
+    out = QUERIES["d14_draw_invariants"](spark, path)
+    assert "BroadcastHashJoin" not in _plan(out)
+    r = out.first()
+    assert (r.n, r.n_possible, r.n_changed, r.by_weight) == (500, 500, 0, True)
+    assert "BroadcastHashJoin" not in _plan(out)  # nor where the sides turn out small
+
+
+def test_a_gate_that_holds_a_report_back_leaves_no_rows(spark, tmp_path):
+    import duckdb
+
+    from loomspark.catalog import ORACLES, QUERIES
+
+    (tmp_path / "good").mkdir()
+    (tmp_path / "bad").mkdir()
+    for name, few in (("good", []), ("bad", [(0, 99, 0.0)])):
+        # event 0 has logits from -5 on; chunk 99 is one position at the worst of them
+        path = _events(spark, tmp_path / name / "t", [(i, i % 2, i % 16 / 100) for i in range(1, 400)] + few)
+        with duckdb.connect() as c:
+            c.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/events.parquet/*.parquet')")
+            want = c.sql(ORACLES["m15_gate"]).fetchall()
+        got = QUERIES["m15_gate"](spark, path).collect()
+        assert len(want) == (2 if name == "good" else 0) and sorted(tuple(r) for r in got) == sorted(want)
