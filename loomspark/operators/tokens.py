@@ -14,16 +14,23 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspark.functions.text import quote_regex
-from loomspark.plans.bounds import collect_bounded
+from loomspark.plans.bounds import collect_bounded, fits
+from loomspark.plans.lineage import cut
 from loomspark.plans.prefix import neighbour, running_sums
 
 MAX_VOCAB = 2_000_000
-CACHE_PIECES = 500_000
+#: Pieces that a worker remembers, and how long they may be; longer ones are encoded each time.
+CACHE_PIECES, CACHE_LENGTH = 100_000, 40
+#: Rows of a batch that are Python objects at a time.
+SLICE_ROWS = 256
+#: Entries of a vocabulary that is sent to all tasks.
+SENT_ENTRIES = 200_000
 SPACE_MARK = "\u2581"
 #: A noncharacter that no speech holds, around its numbers.
 BORDER = "\ufdd0"
@@ -202,11 +209,17 @@ class _Normal(dict):
         return out
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def normal_words(texts: pd.Series) -> pd.Series:
+def _in_slices(values: pa.Array, fn: Callable, kind: pa.DataType) -> pa.Array:
+    """``fn`` of each value; only a slice at a time is Python objects."""
+    parts = [pa.array(map(fn, values.slice(at, SLICE_ROWS).to_pylist()), kind) for at in range(0, len(values), SLICE_ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def normal_words(texts: pa.Array) -> pa.Array:
     """Lower-cased words without accents; punctuation, ASCII symbols and CJK stand alone."""
     table = _Normal()
-    return texts.map(lambda s: s.translate(table).split())
+    return _in_slices(texts, lambda s: s.translate(table).split(), pa.list_(pa.string()))
 
 
 # ------------------------------------------------------------------ vocabularies
@@ -374,7 +387,7 @@ def _encoder(v: Vocab) -> Callable[[str], list[int]]:
         got = seen.get(piece)
         if got is None:
             got = fn(v, piece)
-            if len(seen) < CACHE_PIECES:
+            if len(piece) <= CACHE_LENGTH and len(seen) < CACHE_PIECES:
                 seen[piece] = got
         return got
 
@@ -413,15 +426,15 @@ def tokenize_corpus(
     src = src.select(doc, F.col("pieces.id").alias("ids"), F.col("pieces.text").alias("texts"))
     shared = df.sparkSession.sparkContext.broadcast(v)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
         encode, table = _encoder(vocab), _Normal()
 
         def one(special, texts) -> list[int]:
             out: list[int] = []
             for known, p in zip(special, texts):
-                if known is not None and known == known:
-                    out.append(int(known))
+                if known is not None:
+                    out.append(known)
                 elif vocab.kind == "wpm":
                     for w in p.translate(table).split():
                         out += encode(w)
@@ -434,10 +447,13 @@ def tokenize_corpus(
                 out = [t for i, t in enumerate(out) if not (i and t == vocab.unk == out[i - 1])]
             return out
 
-        for pdf in batches:
-            yield pd.DataFrame({doc: pdf[doc], "tokens": [one(i, t) for i, t in zip(pdf["ids"], pdf["texts"])]})
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                keys, specials, texts = batch.slice(at, SLICE_ROWS).columns
+                tokens = pa.array([one(i, t) for i, t in zip(specials.to_pylist(), texts.to_pylist())], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([keys, tokens], [doc, "tokens"])
 
-    ids = src.mapInPandas(run, f"{doc} {df.schema[doc].dataType.simpleString()}, tokens array<int>")
+    ids = src.mapInArrow(run, f"{doc} {df.schema[doc].dataType.simpleString()}, tokens array<int>")
     if not add_special:
         return ids.select(doc, "tokens", F.lit(False).alias("double_bos"), F.lit(False).alias("double_eos"))
     tail = v.sep if v.kind == "wpm" else v.eos
@@ -493,17 +509,34 @@ def join_pieces(df: DataFrame, pieces: DataFrame, *, doc: str = "doc_id", tokens
 
 
 def detokenize(df: DataFrame, v: Vocab, *, doc: str = "doc_id", tokens: str = "tokens", special: bool = False) -> DataFrame:
-    """``(doc, text)``: bytes of all tokens are joined before they are decoded."""
-    spark = df.sparkSession
-    pieces = spark.createDataFrame([(i, bytearray(raw)) for i, raw in piece_bytes(v, special).items()], "token_id int, raw binary")
-    return join_pieces(df, pieces, doc=doc, tokens=tokens, drop_space=v.space_prefix and v.kind in ("spm", "ugm", "wpm"))
+    """``(doc, text)`` of each row: bytes of all its tokens are joined before they are decoded; nothing is shuffled.
+
+    Ids that the vocabulary does not have stand for nothing, bytes that are no UTF-8 for U+FFFD.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(piece_bytes(v, special))
+    drop_space = v.space_prefix and v.kind in ("spm", "ugm", "wpm")
+
+    @F.arrow_udf(T.BinaryType())
+    def joined(ids: pa.Array) -> pa.Array:
+        raw = shared.value
+
+        def one(seq: list[int] | None) -> bytes:
+            seq = seq or []
+            whole = b"".join([raw.get(i, b"") for i in seq])
+            return whole[1:] if drop_space and seq and raw.get(seq[0], b"").startswith(b" ") else whole
+
+        return _in_slices(ids, one, pa.binary())
+
+    return df.select(doc, F.make_valid_utf8(joined(tokens).cast("string")).alias("text"))
 
 
 # ------------------------------------------------------------------ tables around tokens
 
 
 def token_report(df: DataFrame, vocab: DataFrame, *, doc: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """``(doc, pos, token_id, piece, invalid_utf8, total)``; ``vocab(token_id, raw binary)``."""
+    """``(doc, pos, token_id, piece, invalid_utf8, total)``; ``vocab(token_id, raw binary)`` is computed once and sent to the tokens where it is small."""
+    vocab = cut(vocab)
+    vocab = F.broadcast(vocab) if fits(vocab, SENT_ENTRIES) else vocab
     rows = df.select(doc, F.size(tokens).alias("total"), F.posexplode(tokens).alias("pos", "token_id"))
     raw = F.col("raw")
     return rows.join(vocab, "token_id", "left").select(

@@ -190,3 +190,34 @@ def test_frequencies_equal_the_token_table(spark, tables):
     docs = tables.documents.limit(40)
     table = T.tokenize_corpus(docs, v, add_special=False).select(F.explode("tokens").alias("token_id")).groupBy("token_id").count()
     assert {tuple(r) for r in table.collect()} == {tuple(r) for r in T.token_frequencies(docs, v).collect()}
+
+
+def test_a_document_is_joined_in_its_row(spark):
+    """No shuffle, and the bytes of each row whatever its key: the text comes back over batches of several slices."""
+    ids = {chr(b): b + 1 for b in range(256)}
+    v = T.Vocab("rwkv", ids, attrs=dict.fromkeys(ids.values(), T.ATTR_NORMAL))
+    texts = [f"é{i} " * (i % 5) for i in range(3 * T.SLICE_ROWS)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    out = T.detokenize(T.tokenize_corpus(df, v, add_special=False), v)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.text for r in out.collect()} == dict(enumerate(texts))
+
+
+def test_a_worker_remembers_short_pieces_only(monkeypatch):
+    calls = []
+    monkeypatch.setitem(T.ENCODERS, "rwkv", lambda v, s: calls.append(s) or [1])
+    encode = T._encoder(T.Vocab("rwkv", {"a": 1}))
+    for piece in ("short", "x" * 5000) * 3:
+        encode(piece)
+    assert calls.count("short") == 1 and calls.count("x" * 5000) == 3
+
+
+def test_a_small_vocabulary_is_sent_to_the_tokens(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(1, [0, 1, 0])], "doc_id long, tokens array<int>")
+        out = T.token_report(df, spark.createDataFrame([(0, bytearray(b"a"))], "token_id int, raw binary"))
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.pos, r.piece) for r in out.collect()} == {(0, "a"), (1, None), (2, "a")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
