@@ -269,11 +269,11 @@ def assemble_replies(stream: DataFrame, stops: Sequence[str], *, ts: str | None
 
     Text that may be the start of a stop word is held back until it is clear; a stop word ends the reply and is not released.
     A delta that comes ahead of its turn waits in the state, in whatever batch the ones before it come; one that was
-    there already is passed over.  A finished reply leaves a timer and nothing else.  When the watermark of ``ts`` (else of the
+    there already is passed over, and one without a reply id belongs to no reply.  A finished reply leaves a timer and nothing else.  When the watermark of ``ts`` (else of the
     time of arrival) is ``idle_ms`` behind a reply's last delta, that goes too, and a reply that is still open is closed: what was
     held back is released, what waits behind a missing delta is given up.
     """
-    rows = _timed(stream, ts, late).select("reply_id", "seq", "delta", "last", "event_time")
+    rows = _timed(stream, ts, late).select("reply_id", "seq", "delta", "last", "event_time").filter("reply_id IS NOT NULL")
     return rows.groupBy("reply_id").transformWithStateInPandas(
         _ReplyAssembler(stops, idle_ms), "reply_id long, seq long, text string, done boolean", "Append", "EventTime"
     )

@@ -230,3 +230,11 @@ def test_a_stream_opens_as_many_stores_as_there_are_cores(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
     assert progress[0]["stateOperators"][0]["numShufflePartitions"] == spark.sparkContext.defaultParallelism
+
+
+def test_deltas_without_a_reply_take_no_reply_with_them(spark, tmp_path):
+    rows = [(i if i % 4 else None, 0, f"t{i}", True) for i in range(40)]
+    spark.createDataFrame(rows, "reply_id long, seq long, delta string, last boolean").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = J.folder_stream(spark, str(tmp_path / "in"), "reply_id long, seq long, delta string, last boolean")
+    out = J.run_to_table(J.assemble_replies(stream, ["</s>"]), "nulls").collect()
+    assert {r.reply_id: r.text for r in out if r.reply_id is not None} == {i: f"t{i}" for i in range(40) if i % 4}
