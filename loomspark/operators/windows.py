@@ -173,6 +173,30 @@ def _prefix_hashes(seqs: pd.Series) -> pd.Series:
     return seqs.map(one)
 
 
+def _prefixes(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``(keep, len, shared, h)``: length and hash of each prefix."""
+    hashed = df.select(*keep, F.size("tokens").alias("len"), _prefix_hashes("tokens").alias("hs"))
+    return hashed.select(*keep, "len", F.posexplode("hs").alias("p", "h")).select(*keep, "len", (F.col("p") + 1).alias("shared"), "h")
+
+
+def _powers(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``(keep, shared, h)`` of the prefixes of 1, 2, 4, 8 ... tokens."""
+    hashed = df.select(*keep, _prefix_hashes("tokens").alias("hs"))
+    some = F.filter("hs", lambda _, i: (i + 1).bitwiseAND(i) == 0)
+    return hashed.select(*keep, F.posexplode(some).alias("k", "h")).select(*keep, F.expr("shiftleft(1, k)").alias("shared"), "h")
+
+
+def reachable(prompts: DataFrame, cached: DataFrame) -> DataFrame:
+    """``(prompt_id, tokens)`` of prompts with a cached prefix, their tokens cut where no longer prefix can be cached.
+
+    A prefix that is cached has only cached prefixes itself.  So it is enough to look up the prefixes of 1, 2, 4, 8 ... tokens:
+    what a prompt shares is shorter than twice the longest of these that is cached.
+    """
+    known = _powers(cached, []).distinct()
+    reach = _powers(prompts, ["prompt_id"]).join(known, ["shared", "h"]).groupBy("prompt_id").agg((2 * F.max("shared") - 1).alias("reach"))
+    return prompts.join(reach, "prompt_id").select("prompt_id", F.slice("tokens", F.lit(1), F.least("reach", F.size("tokens"))).alias("tokens"))
+
+
 def match_prefix(prompts: DataFrame, cached: DataFrame, min_sim: float) -> DataFrame:
     """The cached sequence sharing the longest prefix with each prompt.
 
@@ -180,22 +204,17 @@ def match_prefix(prompts: DataFrame, cached: DataFrame, min_sim: float) -> DataF
     counts when shared length / cached length exceeds ``min_sim``; equal lengths go to the smaller id.
     Prompts without a candidate get the least recently used entry.
 
-    Both sides list their prefixes; the cached side keeps one entry per distinct prefix, so the join is by
-    equality on a unique key and no prompt is ever paired with all cached rows.
+    Both sides list their prefixes, the prompts as far as one can be cached; the cached side keeps one entry per distinct
+    prefix, so the join is by equality on a unique key and no prompt is ever paired with all cached rows.
     """
-    def prefixes(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        return df.select(*keep, F.size("tokens").alias("len"), F.posexplode(_prefix_hashes("tokens")).alias("p", "h")).select(
-            *keep, "len", (F.col("p") + 1).alias("shared"), "h"
-        )
-
     best = (
-        prefixes(cached, ["cache_id"])
+        _prefixes(cached, ["cache_id"])
         .filter(F.col("shared") / F.col("len") > min_sim)
         .groupBy("shared", "h")
         .agg(F.min("cache_id").alias("cache_id"))
     )
     hits = (
-        prefixes(prompts, ["prompt_id"])
+        _prefixes(reachable(prompts, cached), ["prompt_id"])
         .join(best, ["shared", "h"])
         .groupBy("prompt_id")
         .agg(F.max(F.struct("shared", (-F.col("cache_id")).alias("neg"))).alias("m"))

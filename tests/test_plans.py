@@ -115,6 +115,15 @@ def test_match_prefix_against_all_pairs(spark):
         assert (r.cache_id, r.shared) == want
 
 
+def test_prompts_list_only_prefixes_that_may_be_cached(spark, capsys):
+    """Of two prompts of 1,000 tokens, one cached for 5 of them and one for none, the first lists 7 prefixes."""
+    prompts = spark.createDataFrame([(1, list(range(1000))), (2, [7] * 1000)], "prompt_id long, tokens array<int>")
+    cached = spark.createDataFrame([(10, 1, [0, 1, 2, 3, 4, 9, 9, 9])], "cache_id long, last_used long, tokens array<int>")
+    near = W.reachable(prompts, cached)
+    assert [(r.prompt_id, r.tokens) for r in near.collect()] == [(1, [0, 1, 2, 3, 4, 5, 6])]
+    assert sorted(map(tuple, W.match_prefix(prompts, cached, 0.02).collect())) == [(1, 10, 5, False), (2, 10, 0, True)]
+
+
 @pytest.mark.parametrize("odd", [[], [math.inf], [math.nan, -math.inf], [math.inf, math.inf, math.nan], [1e308, -1e308], [5e-324, 1e-323]])
 @pytest.mark.parametrize("n", [40, 120_000])
 def test_quantiles_with_odd_numbers(spark, odd, n):
