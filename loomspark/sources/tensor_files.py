@@ -2,7 +2,7 @@
 
 ``spark.dataSource.register(TensorFiles)``, then ``spark.read.format("tensorfile").option("what", …).load(path)``.
 The driver lists files and their sizes.  Tasks read the headers; the bytes of a tensor are read by the task whose range of the file
-they begin in.
+they begin in.  Small files share a task.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from loomspark.sources.ranges import RANGE_BYTES, Bytes, Cursor, locate
 MAGIC = 0x46554747
 VERSIONS = (2, 3)
 ALIGNMENT = 32
+# What opening a file and reading its header counts for, in bytes, when files are dealt out to tasks.
+OPEN_BYTES = 1 << 20
 # Value types by number: name and struct code.  Fixed values.
 VALUE_TYPES = {
     0: ("UINT8", "B"), 1: ("INT8", "b"), 2: ("UINT16", "H"), 3: ("INT16", "h"), 4: ("UINT32", "I"), 5: ("INT32", "i"), 6: ("FLOAT32", "f"),
@@ -114,12 +116,17 @@ class _Header:
 
 
 @dataclass
-class _Part(InputPartition):
+class _Range:
     file: str
     start: int = 0
     stop: int = 0
 
 
+@dataclass
+class _Part(InputPartition):
+    ranges: list[_Range]
+
+
 def _listed(path: str) -> list[tuple[str, int]]:
     """(file, bytes) of a file, or of what a pattern in the last part of a path stands for."""
     fs, inside = locate(path)
@@ -139,23 +146,32 @@ class _Reader(DataSourceReader):
             raise ValueError(f"no files at {options['path']}")
 
     def partitions(self):
-        if self.what != "data":
-            return [_Part(name) for name, _ in self.files]
-        return [_Part(name, at, at + self.range) for name, size in self.files for at in range(0, max(size, 1), self.range)]
+        """Ranges of files, as many to a task as make up ``rangeBytes``."""
+        parts, held = [], 0
+        for name, size in self.files:
+            for at in range(0, max(size, 1), self.range) if self.what == "data" else (0,):
+                cost = OPEN_BYTES + (min(self.range, size - at) if self.what == "data" else 0)
+                if not parts or held + cost > self.range:
+                    parts.append(_Part([]))
+                    held = 0
+                parts[-1].ranges.append(_Range(name, at, at + self.range))
+                held += cost
+        return parts
 
     def read(self, partition: _Part) -> Iterator[tuple]:
-        with Bytes(partition.file) as data:
-            head = _Header(data)
-            if self.what == "kv":
-                for row in head.kv:
-                    yield (partition.file, *row)
-            elif self.what == "tensors":
-                for row in head.tensors:
-                    yield (partition.file, *row)
-            else:
-                yield from self._pieces(partition, data, head.tensors)
-
-    def _pieces(self, partition: _Part, data: Bytes, tensors: list[tuple]) -> Iterator[tuple]:
+        for part in partition.ranges:
+            with Bytes(part.file) as data:
+                head = _Header(data)
+                if self.what == "kv":
+                    for row in head.kv:
+                        yield (part.file, *row)
+                elif self.what == "tensors":
+                    for row in head.tensors:
+                        yield (part.file, *row)
+                else:
+                    yield from self._pieces(part, data, head.tensors)
+
+    def _pieces(self, partition: _Range, data: Bytes, tensors: list[tuple]) -> Iterator[tuple]:
         """The pieces that begin in the range; long tensors come in pieces of whole blocks, so many tasks can share one."""
         for idx, name, kind, _, _, n_bytes, offset in tensors:
             if offset + n_bytes > data.size:

@@ -79,6 +79,18 @@ def test_a_tensor_comes_in_pieces_of_several_tasks(spark, tmp_path):
         tfile.read_tensor_file(spark, str(tmp_path / "y.tensors"), "data").collect()
 
 
+@pytest.mark.parametrize("what", ["kv", "tensors", "data"])
+def test_small_tensor_files_share_tasks(spark, tmp_path, what):
+    for i in range(50):
+        head = struct.pack("<IIQQQ", 0x46554747, 3, 1, 1, 1) + b"k" + struct.pack("<II", 4, i)
+        head += struct.pack("<Q", 1) + b"a" + struct.pack("<IQIQ", 1, 2, 0, 0)
+        (tmp_path / f"{i}.tensors").write_bytes(head.ljust(-(-len(head) // 32) * 32, b"\0") + np.array([i, i], "<f4").tobytes())
+    rows = tfile.read_tensor_file(spark, str(tmp_path / "*.tensors"), what)
+    assert rows.rdd.getNumPartitions() == 1 and rows.select("file").distinct().count() == rows.count() == 50
+    apart = tfile.read_tensor_file(spark, str(tmp_path / "*.tensors"), what, rangeBytes=10 << 20)
+    assert 5 <= apart.rdd.getNumPartitions() <= 6 and sorted(map(str, apart.collect())) == sorted(map(str, rows.collect()))
+
+
 def test_pieces_of_tensors_hash_like_whole_ones(spark):
     import hashlib
 
