@@ -27,6 +27,16 @@ def test_numbered_lines_cross_blocks(spark, tmp_path):
     assert all(r.line == f"line {r.line_no}" for r in rows) and len(rows) == 5000
 
 
+def test_numbered_lines_neither_sort_nor_move_a_block(spark, tmp_path, capsys):
+    (tmp_path / "a").write_text("".join(f"a{i}\n" for i in range(300)))
+    (tmp_path / "b").write_text("".join(f"b{i}\n" for i in range(200)))
+    rows = tf.numbered_lines(spark, str(tmp_path))
+    rows.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "row_number" not in plan
+    assert sorted((r.line[0], r.line_no) for r in rows.collect()) == [(f, i) for f, n in (("a", 300), ("b", 200)) for i in range(n)] and all(r.line[1:] == str(r.line_no) for r in rows.collect())
+
+
 def test_quiz_needs_six_lines(spark, tmp_path):
     (tmp_path / "q").write_text("a\n1\n2\n3\n")
     with pytest.raises(ValueError):
