@@ -103,6 +103,8 @@ def read_blank_csv(spark: SparkSession, path) -> DataFrame:
 
 # ------------------------------------------------------------------ benchmark rows
 
+# Rows of a gzipped file.
+FILE_ROWS = 100_000
 BENCH_SCHEMA = ", ".join(f"{n} {k}" for n, k in FIELDS)
 
 
@@ -132,15 +134,19 @@ def _missing(have: Sequence[str]) -> None:
 
 
 def write_bench(df: DataFrame, path: str, fmt: str = "jsonl") -> None:
-    """Benchmark rows as CSV with a header, JSON lines, or files that each hold one JSON array."""
+    """Benchmark rows as gzipped CSV with a header, JSON lines, or files that each hold one JSON array.
+
+    Every row repeats the names or the same few values, so the files shrink to a small part.  A gzipped file
+    is read by one task, so a file holds ``FILE_ROWS`` rows at most (an array: those of one task).
+    """
     rows = df.select(*[n for n, _ in FIELDS])
     if fmt == "csv":
-        rows.write.option("header", True).option("quoteAll", True).csv(path)
+        rows.write.option("header", True).option("quoteAll", True).option("maxRecordsPerFile", FILE_ROWS).csv(path, compression="gzip")
     elif fmt == "jsonl":
-        rows.write.option("ignoreNullFields", False).json(path)
+        rows.write.option("ignoreNullFields", False).option("maxRecordsPerFile", FILE_ROWS).json(path, compression="gzip")
     elif fmt == "json":
         items = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
-        items.mapInPandas(_as_array, "value string").write.text(path)  # one file, and one array, per task
+        items.mapInPandas(_as_array, "value string").write.text(path, compression="gzip")  # one file, and one array, per task
     else:
         raise ValueError(f"unknown format {fmt}")
 

@@ -37,6 +37,15 @@ def test_numbered_lines_neither_sort_nor_move_a_block(spark, tmp_path, capsys):
     assert sorted((r.line[0], r.line_no) for r in rows.collect()) == [(f, i) for f, n in (("a", 300), ("b", 200)) for i in range(n)] and all(r.line[1:] == str(r.line_no) for r in rows.collect())
 
 
+def test_bench_files_are_compressed(spark, tables, tmp_path):
+    rows = bench_rows(tables).limit(500)
+    for fmt in ("jsonl", "csv"):
+        tf.write_bench(rows, str(tmp_path / fmt), fmt)
+        assert sum(f.stat().st_size for f in (tmp_path / fmt).glob("part-*")) < 50_000
+        back = tf.read_bench(spark, str(tmp_path / fmt), fmt)
+        assert back.count() == 500
+
+
 def test_quiz_needs_six_lines(spark, tmp_path):
     (tmp_path / "q").write_text("a\n1\n2\n3\n")
     with pytest.raises(ValueError):
