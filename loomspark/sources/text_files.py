@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from loomspark.functions.text import split_keep_empty
 from loomspark.operators.benchmarks import FIELDS
-from loomspark.plans.bounds import checked, fits, require
+from loomspark.plans.bounds import checked, fits
 from loomspark.plans.prefix import running_sums
 
 INSTRUCTION = "instruction string, input string, output string"
 CORRUPT = "_corrupt_record"
 # Blocks of text files whose places are sent to all tasks.
 BLOCKS_SENT = 100_000
+# Lines of quiz files that a task gets, about.
+TASK_LINES = 500_000
 
 
 def _read(spark: SparkSession, path, schema: str, fmt: str) -> DataFrame:
@@ -71,8 +73,12 @@ def read_quiz6(spark: SparkSession, path) -> DataFrame:
     """``(file, task, context, gold, endings)``: six lines a task; another number of lines is an error."""
     lines = numbered_lines(spark, path)
     counts = lines.groupBy("file").agg(F.count("*").alias("n"))
-    require(counts, F.col("n") % 6 != 0, "the number of lines is not a multiple of 6")
+    seen = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") % 6 != 0).alias("bad")).first()
+    if seen.bad:
+        raise ValueError("the number of lines is not a multiple of 6")
     rows = lines.withColumn("task", F.floor(F.col("line_no") / 6)).withColumn("k", (F.col("line_no") % 6).cast("int"))
+    # Text in aggregates is sorted, so lines are dealt out first: a task sorts its own, not a whole block.
+    rows = rows.repartition(max(spark.sparkContext.defaultParallelism, -(-(seen.n or 0) // TASK_LINES)), "file", "task")
     wide = rows.groupBy("file", "task").pivot("k", list(range(6))).agg(F.first("line"))
     return wide.select("file", "task", F.col("0").alias("context"), F.col("1").cast("int").alias("gold"), F.array("2", "3", "4", "5").alias("endings"))
 

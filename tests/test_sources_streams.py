@@ -37,6 +37,14 @@ def test_numbered_lines_neither_sort_nor_move_a_block(spark, tmp_path, capsys):
     assert sorted((r.line[0], r.line_no) for r in rows.collect()) == [(f, i) for f, n in (("a", 300), ("b", 200)) for i in range(n)] and all(r.line[1:] == str(r.line_no) for r in rows.collect())
 
 
+def test_lines_of_a_quiz_are_dealt_before_they_are_sorted(spark, tmp_path, monkeypatch):
+    (tmp_path / "q").write_text("".join(f"context {i}\n{i % 4}\na\nb\nc\nd\n" for i in range(1000)))
+    monkeypatch.setattr(tf, "TASK_LINES", 100)
+    rows = tf.read_quiz6(spark, str(tmp_path / "q"))
+    assert rows.rdd.getNumPartitions() == 60
+    assert sorted((r.task, r.context, r.gold, r.endings) for r in rows.collect()) == [(i, f"context {i}", i % 4, list("abcd")) for i in range(1000)]
+
+
 def test_bench_files_are_compressed(spark, tables, tmp_path):
     rows = bench_rows(tables).limit(500)
     for fmt in ("jsonl", "csv"):
