@@ -64,6 +64,26 @@ def test_ranges_equal_whole_files(spark, tmp_path, kind):
     assert drop(rows) == drop(parse(spark.createDataFrame([("f", bytearray(raw))], "path string, content binary"))) != []
 
 
+def test_rows_of_small_files_share_frames():
+    lists = [[(f"f{i}", i, 0, 1)] for i in range(120)]
+    got = list(R.frames(iter(lists), R.RANGES))
+    assert len(got) == 1 and list(got[0].columns) == ["path", "start", "first", "n"] and len(got[0]) == 120
+    assert [len(f) for f in R.frames(([("p", 0, 0, 1)] * 30_000 for _ in range(5)), R.RANGES)] == [60_000, 60_000, 30_000]
+
+
+def test_a_document_is_counted_and_written_where_it_was_dealt(spark, monkeypatch, capsys):
+    from loomspark.catalog import source_queries as S
+    from loomspark.catalog.base import QUERIES
+
+    seen = []
+    monkeypatch.setattr(S, "write_files", lambda files, folder: (seen.append(files), R.write_files(files, folder))[1])
+    rows = QUERIES["s10_ngram_files"](spark, "/root/testdata/sf0.001")
+    seen[0].explain()
+    plan = capsys.readouterr().out
+    assert "Exchange hashpartitioning(doc_id" in plan and "token" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert rows.filter("cnt > 0").count() > 0
+
+
 def test_a_tensor_comes_in_pieces_of_several_tasks(spark, tmp_path):
     head = struct.pack("<IIQQ", 0x46554747, 3, 2, 0)
     for name, n, at in (("a", 1000, 0), ("b", 0, 4000)):
