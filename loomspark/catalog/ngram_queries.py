@@ -83,7 +83,9 @@ def _(t):
     from loomspark.functions import text
 
     prompts = t.conversations.select(text.words("text").alias("tokens"))
-    out = ng.ngram_predict_validated(ng.ngram_flat(prompts), ng.ngram_flat(doc_words(t), 2, 2), "lax")
+    docs = doc_words(t)
+    parts = ng.tasks(docs, prompts)
+    out = ng.ngram_predict_validated(ng.ngram_flat(prompts, parts=parts), ng.ngram_flat(docs, 2, 2, parts=parts), "lax")
     return out.select("n", joined(), "token", "cnt", "total")
 
 

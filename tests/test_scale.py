@@ -224,6 +224,74 @@ def test_sizes_are_summed_from_wider_ones(spark):
     assert {(r.n, tuple(r.ngram), r.token): r.cnt for r in N.ngram_counts(df, 2, 4).collect()} == want
 
 
+def plain_counts(docs, n_min, n_max):
+    want = {}
+    for seq in docs:
+        for n in range(n_min, n_max + 1):
+            for i in range(n, len(seq)):
+                key = (n, tuple(seq[i - n : i]), seq[i])
+                want[key] = want.get(key, 0) + 1
+    return want
+
+
+def flat_counts(df):
+    return {(r.n, tuple(r[f"p{k}"] for k in range(r.n, 0, -1)), r.token): r.cnt for r in df.collect()}
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange " in line]
+
+
+@pytest.mark.parametrize("words", [["a", "the", "word", "longer", "longest", ""], ["\x01", "\x02", "\x02a", "\x02n", "\x02\x01b", "n"], [1, 22, 123456, 1234567]])
+def test_runs_hold_every_ngram(spark, words):
+    rng = random.Random(5)
+    docs = [[rng.choice(words) for _ in range(rng.randint(0, 9))] for _ in range(60)]
+    kind = "long" if isinstance(words[0], int) else "string"
+    df = spark.createDataFrame([(i, seq) for i, seq in enumerate([*docs, None])], f"doc_id long, tokens array<{kind}>")
+    for sizes in ((2, 2), (1, 4), (3, 4), (1, 2)):
+        flat = N.ngram_flat(df, *sizes, parts=3)
+        assert flat_counts(flat) == plain_counts(docs, *sizes)
+        assert flat.filter("n > 1").groupBy("p2", "p1").agg(F.countDistinct("anchor").alias("k")).filter("k <> 1").isEmpty()
+
+
+def test_missing_tokens_in_runs_are_those_of_rows(spark):
+    df = spark.createDataFrame([(1, ["a", None, "b", "longer", None, None, "a"]), (2, [None]), (3, [None, "b"])], "doc_id long, tokens array<string>")
+    key = lambda d: sorted(map(repr, d.select("n", "p4", "p3", "p2", "p1", "token", "cnt").collect()))
+    assert key(N.ngram_flat(df, parts=2)) == key(N.ngram_flat(df.withColumn("all", F.lit(1)), keep=("all",)))
+
+
+def test_text_is_shuffled_once_for_predictions(spark):
+    rng = random.Random(6)
+    docs = [[rng.choice(["a", "the", "longer", "longest"]) for _ in range(12)] for _ in range(40)]
+    df = spark.createDataFrame([(seq,) for seq in docs], "tokens array<string>")
+    static = N.ngram_flat(df, 2, 2, parts=3)
+    assert len(exchanges(N.ngram_predict(static))) == 1
+    counts = plain_counts(docs, 2, 2)
+    best = {g: min((-c, t) for (_, h, t), c in counts.items() if h == g) for _, g, _ in counts}
+    totals = {g: sum(c for (_, h, _), c in counts.items() if h == g) for g in best}
+    want = {(g, t, -c, totals[g]) for g, (c, t) in best.items() if totals[g] >= 2 and -100 * c >= 50 * totals[g]}
+    assert {(tuple(r.ngram), r.token, r.cnt, r.total) for r in N.ngram_predict(static).collect()} == want
+
+
+def test_static_counts_meet_grams_where_both_lie(spark):
+    rng = random.Random(7)
+    words = ["a", "the", "longer", "longest"]
+    chats, docs = ([[rng.choice(words) for _ in range(9)] for _ in range(n)] for n in (30, 40))
+    left, right = (spark.createDataFrame([(seq,) for seq in rows], "tokens array<string>") for rows in (chats, docs))
+    out = N.ngram_predict_validated(N.ngram_flat(left, 2, 4, parts=3), N.ngram_flat(right, 2, 2, parts=3))
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert len({line.split("Exchange")[1].split("hashpartitioning")[0] for line in exchanges(out)}) == 1 and len(exchanges(out)) == 4  # three reuse one
+    counts, static = plain_counts(chats, 2, 4), plain_counts(docs, 2, 2)
+    want = set()
+    for n, g in {key[:2] for key in counts}:
+        part = {t: c for (m, h, t), c in counts.items() if (m, h) == (n, g)}
+        top = min(part, key=lambda t: (-part[t] * (100 * static[2, g[-2:], t] if (2, g[-2:], t) in static else 1), t))
+        total = sum(part.values())
+        if total >= N.LAX_SAMPLES[n - 1] and 100 * part[top] >= N.LAX_PERCENT[n - 1] * total:
+            want.add((n, g, top, part[top], total))
+    assert {(r.n, tuple(r.ngram), r.token, r.cnt, r.total) for r in out.collect()} == want
+
+
 # vectors
 
 
