@@ -141,7 +141,8 @@ def _(t):
     docs = doc_words(t)
     ctx = ng.ngram_flat(prompts, keep=("prompt_id",))
     chats = t.conversations.select(text.words("text").alias("tokens"))
-    out = ng.ngram_draft(prompts, ctx, ng.ngram_flat(chats), ng.ngram_flat(docs, 2, 2), 3)
+    parts = ng.tasks(docs, chats)
+    out = ng.ngram_draft(prompts, ctx, ng.ngram_flat(chats, parts=parts), ng.ngram_flat(docs, 2, 2, parts=parts), 3, parts=parts)
     return out.select("prompt_id", F.array_join("draft", " ").alias("draft"), F.size("draft").alias("n_draft"))
 
 

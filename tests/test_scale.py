@@ -292,6 +292,21 @@ def test_static_counts_meet_grams_where_both_lie(spark):
     assert {(r.n, tuple(r.ngram), r.token, r.cnt, r.total) for r in out.collect()} == want
 
 
+def test_static_counts_of_drafts_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    docs = spark.createDataFrame([(i, list("abcabd")) for i in range(5)], "prompt_id long, tokens array<string>")
+    counts = N.ngram_static(docs)
+    static = counts.mapInPandas(told, counts.schema)
+    _, resident, _ = N.draft_tables(N.ngram_counts(docs, keep=("prompt_id",)), N.ngram_counts(docs), static)
+    assert seen.value == counts.count() == resident.count()
+
+
 # vectors
 
 
