@@ -76,8 +76,9 @@ def word_chunks(t):
 
 
 def word_deltas(t):
-    parts = F.split("text", r"(?<= )", -1)
-    rows = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("reply_id"), F.size(parts).alias("n"), F.posexplode(parts).alias("seq", "delta"))
+    # The words in a column of their own: as an expression they would be split again for each word.
+    parts = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("reply_id"), F.split("text", r"(?<= )", -1).alias("parts"))
+    rows = parts.select("reply_id", F.size("parts").alias("n"), F.posexplode("parts").alias("seq", "delta"))
     return rows.select("reply_id", F.col("seq").cast("long").alias("seq"), "delta", (F.col("seq") == F.col("n") - 1).alias("last"), "n")
 
 

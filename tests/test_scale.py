@@ -179,6 +179,15 @@ def test_ngram_state_goes_when_documents_are_idle(spark, tmp_path):
     assert len(rows) >= 7 and max(rows) >= 3 * len(docs) and rows[-1] < 10
 
 
+def test_a_message_is_split_once(spark):
+    from loomspark.catalog.base import Tables
+    from loomspark.catalog.stream_queries import word_deltas
+
+    rows = word_deltas(Tables(spark, "/root/testdata/sf0.001"))
+    above, below = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+    assert "split(text" in below and "split(text" not in above
+
+
 # drafts
 
 
