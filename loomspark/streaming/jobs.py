@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from loomspark.operators.benchmarks import service_metrics
-from loomspark.operators.ngrams import NGRAM_MAX
+from loomspark.operators.ngrams import ESC, NGRAM_MAX, SEP, read_token, written_token
 from loomspark.plans.scratch import fresh_folder
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -98,28 +98,70 @@ def _timed(stream: DataFrame, ts: str | None, late: str) -> DataFrame:
     return stream.withColumn("event_time", time.cast("timestamp")).withWatermark("event_time", late)
 
 
-def _due(times: list, idle_ms: int) -> int:
-    return max(int(pd.Timestamp(t).timestamp() * 1000) for t in times) + idle_ms
+#: Groups that keys are dealt to.  A call of Python and its trips to the store are paid for each group, not each key; many more than
+#: there are tasks, few enough that a group has many keys where there are millions.  State that is kept was dealt by it.
+GROUPS = 512
+#: A group's state is read whole unless it has so many times the keys of a batch.
+MANY = 8
+
+
+def _grouped(stream: DataFrame, key: str):
+    """Rows with ``at``, their time in milliseconds, dealt to groups by ``key``."""
+    rows = stream.withColumn("at", F.unix_millis("event_time")).withColumn("key_group", F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int"))
+    return rows.groupBy("key_group")
 
 
 class _Timed(StatefulProcessor):
-    """State that goes when the watermark has passed the last row of its key by ``idle_ms``; a key has one timer."""
+    """State of the keys of a group; a key's goes when the watermark has passed its last row by ``idle_ms``.
+
+    The map ``main`` has a row for each key, which ends with the time when it goes.  A group has one timer, set for the first of these times or sooner.
+    """
+
+    main, columns = "", ()
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.timer = handle.getValueState("timer", "due long")
-
-    def keep_until(self, times: list) -> None:
-        """Move the timer behind the last of ``times``, never back."""
-        due, held = _due(times, self.idle_ms), self.timer.get()
-        if held is None or due > held[0]:
+        self.timer = handle.getValueState("timer", "due long, n long")
+
+    def read(self, state, keys) -> dict:
+        """What ``state`` has for these keys, and for others too where that is cheaper."""
+        held = self.timer.get()
+        if held is None:
+            return {}
+        if len(keys) * MANY < held[1]:
+            return {k: tuple(state.getValue((k,))) for k in keys if state.containsKey((k,))}
+        return {k[0]: tuple(v) for k, v in state.iterator()} if state.exists() else {}
+
+    def keep_until(self, due: int, more: int) -> None:
+        """Move the timer in front of ``due``, never behind; the group has ``more`` keys than before."""
+        held = self.timer.get()
+        if held is None or due < held[0]:
             if held is not None:
                 self.handle.deleteTimer(held[0])
             self.handle.registerTimer(due)
-            self.timer.update((due,))
+        if held is None or due < held[0] or more:
+            self.timer.update((due if held is None else min(due, held[0]), more + (0 if held is None else held[1])))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Keys whose time has come go; the timer moves to the first of the others."""
+        now = timerValues.getCurrentWatermarkInMs()
+        main = getattr(self, self.main)
+        rows = {k[0]: tuple(v) for k, v in main.iterator()} if main.exists() else {}
+        out = self.close_keys({k: v for k, v in rows.items() if v[-1] < now})
+        left = [v[-1] for v in rows.values() if v[-1] >= now]
+        if left:
+            self.handle.registerTimer(min(left))
+            self.timer.update((min(left), len(left)))
+        else:
+            self.timer.clear()
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close_keys(self, rows: dict) -> list:
+        """Clear the state of these keys; what is told of them at last."""
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
@@ -128,53 +170,72 @@ class _Timed(StatefulProcessor):
 # ------------------------------------------------------------------ n-grams
 
 
-class _NgramCounter(_Timed):
-    def __init__(self, n_min: int, n_max: int, idle_ms: int):
-        super().__init__(idle_ms)
-        self.n_min, self.n_max = n_min, n_max
+def _joined(tokens) -> Column:
+    """An array of tokens as one string."""
+    plain = F.array_join(tokens, "", "")
+    odd = F.contains(plain, F.lit(SEP)) | F.contains(plain, F.lit(ESC))
+    return F.when(odd, F.array_join(F.transform(tokens, written_token), SEP)).otherwise(F.array_join(tokens, SEP, ESC + "n"))
+
+
+def _split(text) -> Column:
+    pieces = F.split(text, SEP, -1)
+    return F.when(F.contains(text, F.lit(ESC)), F.transform(pieces, lambda t: read_token(t, "string"))).otherwise(pieces)
+
+
+class _Chunks(_Timed):
+    """Hands on each chunk behind the last tokens before it."""
+
+    main, columns = "expect", ("run", "known", "gap")
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.tail = handle.getListState("tail", "token string")
-        self.expect = handle.getValueState("expect", "seq long")
+        self.tail = handle.getMapState("tail", "doc string", "tokens string")
+        self.expect = handle.getMapState("expect", "doc string", "seq long, due long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        chunks, times = [], []
+        docs, times = {}, {}
         for pdf in rows:
-            chunks += [(int(s), [] if t is None else list(t)) for s, t in zip(pdf["seq"], pdf["tokens"])]
-            times += list(pdf["event_time"])
-        expect = self.expect.get()[0] if self.expect.exists() else 0
-        tail = [t[0] for t in self.tail.get()] if self.tail.exists() else []
-        counts: dict[tuple, int] = {}
-        gaps = 0
-        for seq, tokens in sorted(chunks):
-            gaps += seq != expect
-            if seq < expect:
-                continue
-            if seq > expect:
-                tail = []
-            expect = seq + 1
-            seen = tail + tokens
-            for i in range(len(tail), len(seen)):
-                for n in range(self.n_min, min(self.n_max, i) + 1):
-                    item = (tuple(seen[i - n : i]), seen[i])
-                    counts[item] = counts.get(item, 0) + 1
-            tail = seen[-NGRAM_MAX:]
-        self.expect.update((expect,))
-        if tail:
-            self.tail.put([(t,) for t in tail])
-        elif self.tail.exists():
-            self.tail.clear()
-        self.keep_until(times)
-        out = [(len(g), list(g), t, c, 0) for (g, t), c in counts.items()]
-        if gaps:
-            out.append((0, [], None, 0, gaps))
-        yield pd.DataFrame(out, columns=["n", "ngram", "token", "cnt", "gap"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        for state in (self.tail, self.expect, self.timer):
-            state.clear()
-        yield pd.DataFrame([], columns=["n", "ngram", "token", "cnt", "gap"])
+            for doc, *chunk, at in zip(pdf["doc"], pdf["seq"], pdf["run"], pdf["n"], pdf["at"]):
+                docs.setdefault(doc, []).append(chunk)
+                times[doc] = max(at, times.get(doc, at))
+        expects = self.read(self.expect, docs)
+        tails = self.read(self.tail, docs)
+        out, first, more = [], None, 0
+        for doc, chunks in docs.items():
+            was, had = expects.get(doc), tails.get(doc)
+            expect, tail, gaps = was[0] if was else 0, had[0].split(SEP) if had else [], 0
+            chunks.sort(key=lambda c: c[0])
+            if len({c[0] for c in chunks}) < len(chunks):
+                chunks.sort(key=lambda c: (c[0], c[1].split(SEP) if c[2] else []))
+            for seq, run, n in chunks:
+                gaps += seq != expect
+                if seq < expect:
+                    continue
+                if seq > expect:
+                    tail = []
+                expect = int(seq) + 1
+                if n:
+                    out.append((SEP.join([*tail, run]), len(tail), 0))
+                    tail = [*tail, *run.rsplit(SEP, NGRAM_MAX)[-min(n, NGRAM_MAX) :]][-NGRAM_MAX:]
+            if gaps:
+                out.append((None, 0, gaps))
+            due = max(int(times[doc]) + self.idle_ms, was[1] if was else 0)
+            if (expect, due) != was:
+                self.expect.updateValue((doc,), (expect, due))
+            if tail and (not had or SEP.join(tail) != had[0]):
+                self.tail.updateValue((doc,), (SEP.join(tail),))
+            elif not tail and had:
+                self.tail.removeKey((doc,))
+            first, more = min(due, first or due), more + (was is None)
+        self.keep_until(first, more)
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close_keys(self, rows: dict) -> list:
+        for doc in rows:
+            self.expect.removeKey((doc,))
+            if self.tail.containsKey((doc,)):
+                self.tail.removeKey((doc,))
+        return []
 
 
 def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX, *, ts: str | None = None, late: str = LATE, idle_ms: int = IDLE_MS) -> DataFrame:
@@ -184,11 +245,25 @@ def incremental_ngrams(stream: DataFrame, n_min: int = 1, n_max: int = NGRAM_MAX
     the time of arrival) is ``idle_ms`` behind the document's last chunk.  Where chunks are missing a gap row without
     n-gram is told and counting begins anew behind it, so no n-gram reaches over the gap; a chunk that comes after its turn
     is told as a gap too and is not counted, and one behind the watermark is dropped.
+
+    Python puts the tokens before it in front of each chunk, as strings; the n-grams are cut from them in the row, a row for each place.
     """
-    rows = _timed(stream, ts, late).select("doc_id", "seq", "tokens", "event_time")
-    return rows.groupBy("doc_id").transformWithStateInPandas(
-        _NgramCounter(n_min, n_max, idle_ms), "n int, ngram array<string>, token string, cnt long, gap long", "Append", "EventTime"
-    )
+    doc = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("")).alias("doc")
+    size = F.greatest(F.size("tokens"), F.lit(0)).alias("n")
+    rows = _timed(stream, ts, late).select(doc, "seq", F.coalesce(_joined(F.col("tokens")), F.lit("")).alias("run"), size, "event_time")
+    runs = _grouped(rows, "doc").transformWithStateInPandas(_Chunks(idle_ms), "run string, known int, gap long", "Append", "EventTime")
+    runs = runs.select(_split(F.col("run")).alias("a"), "known", "gap")
+    # The tokens from the first new one on, each beside those before it: shifted copies of one array.
+    new = F.size("a") - F.col("known")
+    before = [F.concat(F.array_repeat(F.lit(None).cast("string"), k), "a") for k in range(n_max, 0, -1)]
+    slots = [F.slice(c, F.col("known") + 1, new).alias(f"p{k}") for c, k in zip(before, range(n_max, 0, -1))]
+    places = F.sequence(F.col("known"), F.size("a") - 1).alias("i")
+    cut = runs.select("gap", F.posexplode_outer(F.when(F.col("gap") == 0, F.arrays_zip(places, *slots, F.slice("a", F.col("known") + 1, new).alias("token")))).alias("at", "z"))
+    gram = lambda n: F.array(*[F.col(f"z.p{k}") for k in range(n, 0, -1)])
+    each = F.array(*[F.when(F.col("z.i") >= n, F.struct(F.lit(n).alias("n"), gram(n).alias("ngram"))) for n in range(n_min, n_max + 1)])
+    gap = F.array(F.struct(F.lit(0).alias("n"), F.slice(F.array(F.lit("")), 1, 0).alias("ngram")))
+    out = cut.select("gap", "z.token", F.explode(F.when(F.col("gap") > 0, gap).otherwise(each)).alias("g")).filter("g IS NOT NULL")
+    return out.select("g.n", "g.ngram", "token", F.when(F.col("gap") > 0, 0).otherwise(1).cast("long").alias("cnt"), "gap")
 
 
 # ------------------------------------------------------------------ replies
@@ -205,63 +280,80 @@ def held_from(text: str, stops: Sequence[str]) -> int:
     return cut
 
 
-REPLY = ["reply_id", "seq", "text", "done"]
+class _ReplyAssembler(_Timed):
+    """``open`` has the next number, the text held back and the deltas ahead of a reply; of a finished one its time only."""
 
+    main, columns = "open", ("reply_id", "seq", "text", "done")
 
-class _ReplyAssembler(_Timed):
     def __init__(self, stops: Sequence[str], idle_ms: int):
         super().__init__(idle_ms)
         self.stops = list(stops)
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.open = handle.getValueState("open", "expect long, held string")
-        self.waiting = handle.getMapState("waiting", "seq long", "delta string, last boolean")
+        self.open = handle.getMapState("open", "reply_id long", "expect long, held string, ahead long, due long")
+        self.waiting = handle.getMapState("waiting", "reply_id long, seq long", "delta string, last boolean")
+
+    def ahead(self, replies) -> dict:
+        """Waiting deltas of these replies, by reply and number."""
+        out: dict[int, dict] = {r: {} for r in replies}
+        if out and self.waiting.exists():
+            for (reply, seq), (delta, last) in self.waiting.iterator():
+                if reply in out:
+                    out[reply][int(seq)] = (delta, bool(last))
+        return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        deltas, times = {}, []
+        replies, times = {}, {}
         for pdf in rows:
-            for s, d, e in zip(pdf["seq"], pdf["delta"], pdf["last"]):
-                deltas.setdefault(int(s), (d, bool(e)))
-            times += list(pdf["event_time"])
-        done = not self.open.exists() and self.timer.exists()  # of a finished reply only the timer is left
-        expect, held = self.open.get() if self.open.exists() else (0, "")
-        out = []
-        ahead = {} if done or not self.waiting.exists() else {int(k[0]): (v[0], bool(v[1])) for k, v in self.waiting.iterator()}
-        deltas |= ahead
-        while not done and expect in deltas:
-            delta, is_last = deltas[expect]
-            text = held + (delta or "")
-            hits = [i for i in (text.find(s) for s in self.stops) if i >= 0]
-            if hits:
-                part, held, done = text[: min(hits)], "", True
-            elif is_last:
-                part, held, done = text, "", True
-            else:
-                at = held_from(text, self.stops)
-                part, held = text[:at], text[at:]
-            if part or done:
-                out.append((key[0], expect, part, done))
-            expect += 1
-        if done:
-            self.open.clear()
-            self.waiting.clear()
-        else:
-            self.open.update((expect, held))
+            for r, s, d, e, at in zip(pdf["reply_id"], pdf["seq"], pdf["delta"], pdf["last"], pdf["at"]):
+                replies.setdefault(r, {}).setdefault(int(s), (d, bool(e)))
+                times[r] = max(at, times.get(r, at))
+        held_of = self.read(self.open, replies)
+        waiting = self.ahead([r for r in replies if r in held_of and held_of[r][2]])
+        out, first, more = [], None, 0
+        for r, deltas in replies.items():
+            was = held_of.get(r)
+            expect, held, _, due = was or (0, "", 0, 0)
+            due = max(int(times[r]) + self.idle_ms, due)
+            first, more = min(due, first or due), more + (was is None)
+            ahead = waiting.get(r, {})
+            done = expect is None
+            deltas |= ahead
+            while not done and expect in deltas:
+                delta, is_last = deltas[expect]
+                text = held + (delta or "")
+                hits = [i for i in (text.find(s) for s in self.stops) if i >= 0]
+                if hits:
+                    part, held, done = text[: min(hits)], "", True
+                elif is_last:
+                    part, held, done = text, "", True
+                else:
+                    at = held_from(text, self.stops)
+                    part, held = text[:at], text[at:]
+                if part or done:
+                    out.append((r, expect, part, done))
+                expect += 1
+            later = {} if done else {s: v for s, v in deltas.items() if s >= expect}
             for s in ahead:
-                if s < expect:
-                    self.waiting.removeKey((s,))
-            for s, v in deltas.items():
-                if s >= expect and s not in ahead:
-                    self.waiting.updateValue((s,), v)
-        self.keep_until(times)
-        yield pd.DataFrame(out, columns=REPLY)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out = [(key[0], self.open.get()[0], self.open.get()[1], True)] if self.open.exists() else []
-        for state in (self.open, self.waiting, self.timer):
-            state.clear()
-        yield pd.DataFrame(out, columns=REPLY)
+                if s not in later:
+                    self.waiting.removeKey((r, s))
+            for s, v in later.items():
+                if s not in ahead:
+                    self.waiting.updateValue((r, s), v)
+            now = (None, None, 0, due) if done else (expect, held, len(later), due)
+            if now != was:
+                self.open.updateValue((r,), now)
+        self.keep_until(first, more)
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close_keys(self, rows: dict) -> list:
+        for r, deltas in self.ahead([r for r, v in rows.items() if v[2]]).items():
+            for s in deltas:
+                self.waiting.removeKey((r, s))
+        for r in rows:
+            self.open.removeKey((r,))
+        return [(r, v[0], v[1], True) for r, v in rows.items() if v[0] is not None]
 
 
 def assemble_replies(stream: DataFrame, stops: Sequence[str], *, ts: str | None = None, late: str = LATE, idle_ms: int = IDLE_MS) -> DataFrame:
@@ -269,12 +361,12 @@ def assemble_replies(stream: DataFrame, stops: Sequence[str], *, ts: str | None
 
     Text that may be the start of a stop word is held back until it is clear; a stop word ends the reply and is not released.
     A delta that comes ahead of its turn waits in the state, in whatever batch the ones before it come; one that was
-    there already is passed over, and one without a reply id belongs to no reply.  A finished reply leaves a timer and nothing else.  When the watermark of ``ts`` (else of the
+    there already is passed over, and one without a reply id belongs to no reply.  A finished reply leaves its time and nothing else.  When the watermark of ``ts`` (else of the
     time of arrival) is ``idle_ms`` behind a reply's last delta, that goes too, and a reply that is still open is closed: what was
     held back is released, what waits behind a missing delta is given up.
     """
     rows = _timed(stream, ts, late).select("reply_id", "seq", "delta", "last", "event_time").filter("reply_id IS NOT NULL")
-    return rows.groupBy("reply_id").transformWithStateInPandas(
+    return _grouped(rows, "reply_id").transformWithStateInPandas(
         _ReplyAssembler(stops, idle_ms), "reply_id long, seq long, text string, done boolean", "Append", "EventTime"
     )
 

@@ -179,6 +179,42 @@ def test_ngram_state_goes_when_documents_are_idle(spark, tmp_path):
     assert len(rows) >= 7 and max(rows) >= 3 * len(docs) and rows[-1] < 10
 
 
+def test_replies_of_a_group_share_calls_and_a_timer(spark, tmp_path):
+    schema, progress = "reply_id long, seq long, delta string, last boolean, ts string", []
+    n = 2 * J.GROUPS
+    write_batch(spark, [(i, s, f"{i}.{s} ", False, at(1)) for i in range(n) for s in (0, 2)], schema, tmp_path / "in")
+    write_batch(spark, [(i, 1, f"{i}.1 ", i % 2 == 0, at(2)) for i in range(n)], schema, tmp_path / "in")
+    for minute in (300, 600):
+        write_batch(spark, [(-1, 0, "", True, at(minute))], schema, tmp_path / "in")
+    stream = J.folder_stream(spark, str(tmp_path / "in"), schema)
+    rows = J.run_to_table(J.assemble_replies(stream, ["</s>"], ts="ts"), "replies", progress=progress).filter("reply_id >= 0").orderBy("seq").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.reply_id, []).append((r.text, r.done))
+    assert {i: "".join(t for t, _ in v) for i, v in got.items()} == {i: f"{i}.0 {i}.1 " + (f"{i}.2 " if i % 2 else "") for i in range(n)}
+    assert all([d for _, d in v].count(True) == 1 for v in got.values())
+    assert max(p["stateOperators"][0]["customMetrics"].get("numRegisteredTimers", 0) for p in progress) <= J.GROUPS
+    assert max(state_rows(progress)) >= n and state_rows(progress)[-1] <= 6
+
+
+def test_replies_of_one_group_go_each_in_its_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "GROUPS", 1)
+    schema, progress = "reply_id long, seq long, delta string, last boolean, ts string", []
+    n = 30
+    write_batch(spark, [(i, 0, f"{i} <", False, at(i)) for i in range(n)] + [(i, 2, "never", False, at(i)) for i in range(n)], schema, tmp_path / "in")
+    write_batch(spark, [(3, 1, "kept", False, at(50))], schema, tmp_path / "in")  # few of many: read by themselves
+    for minute in (80, 81, 82, 400, 401):  # a row's watermark holds from the next batch on
+        write_batch(spark, [(100 + minute, 0, "x", True, at(minute))], schema, tmp_path / "in")
+    table = J.run_to_table(J.assemble_replies(J.folder_stream(spark, str(tmp_path / "in"), schema), ["<s>"], ts="ts"), "replies", progress=progress)
+    got = {}
+    for r in table.filter("reply_id < 100").orderBy("seq").collect():
+        got.setdefault(r.reply_id, []).append((r.text, r.done))
+    assert got == {i: [(f"{i} ", False), ("<", True)] if i != 3 else [("3 ", False), ("<kept", False), ("never", False), ("", True)] for i in range(n)}
+    held = state_rows(progress)
+    # Idle for an hour and ten minutes late: at 80 those before minute 10 go, 3 being heard of at 50.
+    assert max(held) == 2 * n + 1 and any(30 < rows < 50 for rows in held) and held[-1] <= 3
+
+
 def test_a_message_is_split_once(spark):
     from loomspark.catalog.base import Tables
     from loomspark.catalog.stream_queries import word_deltas
