@@ -215,6 +215,23 @@ def test_replies_of_one_group_go_each_in_its_time(spark, tmp_path, monkeypatch):
     assert max(held) == 2 * n + 1 and any(30 < rows < 50 for rows in held) and held[-1] <= 3
 
 
+def test_chunks_of_a_group_share_calls_and_a_timer(spark, tmp_path):
+    schema, progress = "doc_id long, seq long, tokens array<string>, ts string", []
+    odd = ["a", "\x01", "", "b\x02n", None, "\x02", "a", "\x01"]
+    docs = {d: [odd[(d + i * i) % 8] for i in range(9)] for d in range(2 * J.GROUPS)}
+    docs[None] = ["x", "", "x"]
+    for k in range(3):
+        write_batch(spark, [(d, k, toks[3 * k : 3 * k + 3], at(k)) for d, toks in docs.items()], schema, tmp_path / "in")
+    out = J.run_to_table(J.incremental_ngrams(J.folder_stream(spark, str(tmp_path / "in"), schema), ts="ts"), "ngrams", progress=progress)
+    want = {}
+    for toks in docs.values():
+        for i, n in ((i, n) for i in range(len(toks)) for n in range(1, min(4, i) + 1)):
+            key = (n, tuple(toks[i - n : i]), toks[i])
+            want[key] = want.get(key, 0) + 1
+    assert {(r.n, tuple(r.ngram), r.token): r.cnt for r in out.groupBy("n", "ngram", "token").agg(F.sum("cnt").alias("cnt")).collect()} == want
+    assert max(p["stateOperators"][0]["customMetrics"].get("numRegisteredTimers", 0) for p in progress) <= J.GROUPS
+
+
 def test_a_message_is_split_once(spark):
     from loomspark.catalog.base import Tables
     from loomspark.catalog.stream_queries import word_deltas
