@@ -68,8 +68,9 @@ def _(t):
 SELECT k, CASE WHEN c > 1e12 THEN '~' || round_even(c * 1e-12, 0)::BIGINT || 'T' WHEN c > 1e9 THEN '~' || round_even(c * 1e-9, 0)::BIGINT || 'B' WHEN c > 1e6 THEN '~' || round_even(c * 1e-6, 0)::BIGINT || 'M' WHEN c > 1e3 THEN '~' || round_even(c * 1e-3, 0)::BIGINT || 'K' ELSE c::VARCHAR END AS label FROM c""",
 )
 def _(t):
-    c = (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey") + F.col("o_custkey")).cast("long")
-    return t.orders.select(F.col("o_orderkey").alias("k"), W.count_label(c).alias("label"))
+    # Keys of some millions make counts that no long holds.
+    k, c = (F.col(x).cast("decimal(38,0)") for x in ("o_orderkey", "o_custkey"))
+    return t.orders.select(F.col("o_orderkey").alias("k"), W.count_label(k * k * c + c).alias("label"))
 
 
 @query(

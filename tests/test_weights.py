@@ -170,3 +170,12 @@ def test_xxh64_of_tensors_and_files(spark):
     got = {(r.file, r.tensor): r.hash for r in W.hash_tensors(df, ("xxh64",)).collect()}
     assert got == {(f, t): xxhash.xxh64(d).hexdigest() for f, t, d in (("f", "a", b"one"), ("f", "b", b""), ("g", "a", b"two"))}
     assert {r.file: r.hash for r in W.hash_files(df, ("xxh64",)).collect()} == {"f": xxhash.xxh64(b"one").hexdigest(), "g": xxhash.xxh64(b"two").hexdigest()}
+
+
+def test_counts_that_no_long_holds_have_labels(spark, tmp_path):
+    from loomspark.catalog.base import QUERIES
+
+    keys = [(1, 1), (99, 10), (30_000, 9), (2_000_000, 300_000), (54_000_000, 5_400_000), (0, 7), (None, 3)]
+    spark.createDataFrame(keys, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    rows = {r.k: r.label for r in QUERIES["g4_count_labels"](spark, str(tmp_path)).collect()}
+    assert rows == {1: "2", 99: "~98K", 30_000: "~8B", 2_000_000: "~1200Q", 54_000_000: "~15746400Q", 0: "7", None: None}
