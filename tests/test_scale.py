@@ -71,6 +71,29 @@ def test_rows_of_small_files_share_frames():
     assert [len(f) for f in R.frames(([("p", 0, 0, 1)] * 30_000 for _ in range(5)), R.RANGES)] == [60_000, 60_000, 30_000]
 
 
+def test_tasks_list_folders(spark, tmp_path):
+    top = tmp_path / "in"
+    for name in ("in/part=1/x", "in/part=1/_y", "in/part=2/x", "flat/a", "flat/b c%.bin", "flat/d=1", "flat/_hidden", "flat/.hidden", "flat/deeper/y"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    for path in (str(top), f"file://{top}", [f"{tmp_path}/flat/a", f"file:{top}/part=1/"], f"{tmp_path}/flat"):
+        got = R.list_files(spark, path)
+        assert not got.inputFiles()  # nothing is listed on the driver
+        spark_lists = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+        plain = path[0] == "/"
+        assert sorted((r.path.removeprefix("file:") if plain else r.path, r.length) for r in spark_lists) == sorted(map(tuple, got.collect())) != []
+    assert R.list_files(spark, f"{top}/part=1/x").first().path == f"{top}/part=1/x" and R.list_files(spark, f"{top}/part=*/x").count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        R.list_files(spark, f"{top}/nothing").collect()
+
+
+def test_written_files_are_dealt_to_parts(spark, tmp_path):
+    files = spark.range(300).select(F.col("id").cast("string").alias("path"), F.col("id").cast("string").cast("binary").alias("content"))
+    folder = R.write_files(files, f"{tmp_path}/out")
+    assert max(len(list(d.iterdir())) for d in (tmp_path / "out").iterdir()) < 20
+    assert sorted(int(r.path.rsplit("/", 1)[1]) for r in R.list_files(spark, folder).collect()) == list(range(300))
+
+
 def test_a_document_is_counted_and_written_where_it_was_dealt(spark, monkeypatch, capsys):
     from loomspark.catalog import source_queries as S
     from loomspark.catalog.base import QUERIES
