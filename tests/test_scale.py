@@ -529,3 +529,40 @@ def test_ancestors_of_random_histories(spark):
         depth |= {p: depth_of + 1 for depth_of in [max(depth.values())] for p in layer}
     got = {r.commit: r.depth for r in B.ancestors(spark.createDataFrame(edges, "commit long, parent long"), 0).collect()}
     assert got == {c: d for c, d in depth.items() if d}
+
+
+def odd_docs(n, seed):
+    rng = random.Random(seed)
+    pool = ["a", "bb", "longer", "\x01", "x\x02n", "", None, "längst", "word"]
+    return [(i, [rng.choice(pool) for _ in range(rng.randint(0, 12))]) for i in range(n)] + [(n, None)]
+
+
+@pytest.mark.parametrize("sizes", [(2, 2), (1, 4), (2, 4), (3, 3)])
+def test_dealt_counts_equal_plain_ones(spark, sizes):
+    docs = odd_docs(80, 5)
+    flat = N.ngram_flat(spark.createDataFrame(docs, "doc_id long, tokens array<string>"), *sizes)
+    want = {}
+    for _, toks in docs:
+        for i, n in ((i, n) for i in range(len(toks or [])) for n in range(sizes[0], min(sizes[1], i) + 1)):
+            # A context that begins with a missing token is taken for one that is too short.
+            if toks[i] is not None and toks[i - n] is not None:
+                key = (n, *[None] * (4 - n), *toks[i - n : i + 1])
+                want[key] = want.get(key, 0) + 1
+    assert {(r.n, r.p4, r.p3, r.p2, r.p1, r.token): r.cnt for r in flat.collect()} == want
+
+
+def test_few_counts_pick_the_static_ones_they_ask_for(spark, capsys):
+    prompts = spark.createDataFrame(odd_docs(30, 6), "prompt_id long, tokens array<string>")
+    docs = spark.createDataFrame(odd_docs(200, 7), "doc_id long, tokens array<string>")
+    own, static = N.ngram_flat(prompts, 2, 4, keep=("prompt_id",)), N.ngram_flat(docs, 2, 2)
+    both = [N.ngram_predict_validated(own, static, keep=("prompt_id",), parts=8, few=few) for few in (False, True)]
+    rows = [sorted(str(tuple(r)) for r in df.collect()) for df in both]
+    assert rows[0] == rows[1] != []
+    both[1].explain()
+    assert "LeftSemi" in capsys.readouterr().out  # before the union and its sort
+
+
+def test_words_of_a_text_are_not_looked_up_one_by_one(spark):
+    docs = spark.createDataFrame(odd_docs(5, 8), "doc_id long, tokens array<string>")
+    plan = N.ngram_flat(docs, 2, 2, parts=8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 1  # of the tokens that have to be written otherwise
