@@ -292,15 +292,16 @@ class _ReplyAssembler(_Timed):
     def init(self, handle) -> None:
         super().init(handle)
         self.open = handle.getMapState("open", "reply_id long", "expect long, held string, ahead long, due long")
-        self.waiting = handle.getMapState("waiting", "reply_id long, seq long", "delta string, last boolean")
+        # A row for what came ahead in one batch, by the first of its numbers.
+        self.waiting = handle.getMapState("waiting", "reply_id long, seq long", "seqs array<long>, deltas array<string>, lasts array<boolean>")
 
     def ahead(self, replies) -> dict:
-        """Waiting deltas of these replies, by reply and number."""
+        """Waiting deltas of these replies, by reply, row and number."""
         out: dict[int, dict] = {r: {} for r in replies}
         if out and self.waiting.exists():
-            for (reply, seq), (delta, last) in self.waiting.iterator():
+            for (reply, first), (seqs, deltas, lasts) in self.waiting.iterator():
                 if reply in out:
-                    out[reply][int(seq)] = (delta, bool(last))
+                    out[reply][first] = {s: (d, e) for s, d, e in zip(seqs, deltas, lasts)}
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -317,7 +318,8 @@ class _ReplyAssembler(_Timed):
             expect, held, _, due = was or (0, "", 0, 0)
             due = max(int(times[r]) + self.idle_ms, due)
             first, more = min(due, first or due), more + (was is None)
-            ahead = waiting.get(r, {})
+            kept = waiting.get(r, {})
+            ahead = {s: v for row in kept.values() for s, v in row.items()}
             done = expect is None
             deltas |= ahead
             while not done and expect in deltas:
@@ -335,12 +337,12 @@ class _ReplyAssembler(_Timed):
                     out.append((r, expect, part, done))
                 expect += 1
             later = {} if done else {s: v for s, v in deltas.items() if s >= expect}
-            for s in ahead:
-                if s not in later:
-                    self.waiting.removeKey((r, s))
-            for s, v in later.items():
-                if s not in ahead:
-                    self.waiting.updateValue((r, s), v)
+            for seq, row in kept.items():
+                if not any(s in later for s in row):
+                    self.waiting.removeKey((r, seq))
+            fresh = {s: v for s, v in later.items() if s not in ahead}
+            if fresh:
+                self.waiting.updateValue((r, min(fresh)), (list(fresh), [d for d, _ in fresh.values()], [e for _, e in fresh.values()]))
             now = (None, None, 0, due) if done else (expect, held, len(later), due)
             if now != was:
                 self.open.updateValue((r,), now)
@@ -348,9 +350,9 @@ class _ReplyAssembler(_Timed):
         yield pd.DataFrame(out, columns=self.columns)
 
     def close_keys(self, rows: dict) -> list:
-        for r, deltas in self.ahead([r for r, v in rows.items() if v[2]]).items():
-            for s in deltas:
-                self.waiting.removeKey((r, s))
+        for r, kept in self.ahead([r for r, v in rows.items() if v[2]]).items():
+            for seq in kept:
+                self.waiting.removeKey((r, seq))
         for r in rows:
             self.open.removeKey((r,))
         return [(r, v[0], v[1], True) for r, v in rows.items() if v[0] is not None]

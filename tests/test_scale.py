@@ -220,6 +220,15 @@ def test_replies_of_a_group_share_calls_and_a_timer(spark, tmp_path):
     assert max(state_rows(progress)) >= n and state_rows(progress)[-1] <= 6
 
 
+def test_deltas_ahead_wait_in_rows_of_their_batch(spark, tmp_path):
+    schema, progress = "reply_id long, seq long, delta string, last boolean", []
+    for seqs in ([2, 3, 4, 5, 9], [5, 7, 8], [0], [1], [6, 2], [10]):
+        write_batch(spark, [(1, s, f"{s} " if s != 3 else None, s == 10) for s in seqs], schema, tmp_path / "in")
+    out = J.run_to_table(J.assemble_replies(J.folder_stream(spark, str(tmp_path / "in"), schema), ["</s>"]), "replies", progress=progress)
+    assert "".join(r.text for r in out.orderBy("seq").collect()) == "0 1 2 4 5 6 7 8 9 10 "
+    assert state_rows(progress)[:6] == [3, 4, 4, 4, 2, 2]  # a timer, the reply, and one row for each batch
+
+
 def test_replies_of_one_group_go_each_in_its_time(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(J, "GROUPS", 1)
     schema, progress = "reply_id long, seq long, delta string, last boolean, ts string", []
